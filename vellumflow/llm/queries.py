@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, runtime, wavelet
+from . import bpe, runtime, secrets, wavelet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -15,6 +15,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(runtime.documents(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.encode_files(runtime.documents(spark, sf_dir), tokenizer_path(), end_id=2)
 
@@ -28,4 +32,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_secret_scan": secrets.sql()}
