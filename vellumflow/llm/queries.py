@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, runtime, secrets, substring, wavelet
+from . import bpe, fingerprint, neardup, runtime, secrets, substring, wavelet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,6 +31,10 @@ def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(runtime.documents(spark, sf_dir), tokenizer_path())
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.report(runtime.documents(spark, sf_dir))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(runtime.documents(spark, sf_dir))
 

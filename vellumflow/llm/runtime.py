@@ -6,6 +6,8 @@ import gc
 import tempfile
 import uuid
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +52,50 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+#: Bits of a sieve; a fixed size, whatever is put in.
+SIEVE_BITS = 1 << 23
+
+
+def sieve(ids: DataFrame, column: str):
+    """A test that holds for every value of ``ids.column`` and, while few are held, for few others.
+
+    One bit of a bitmap of fixed size (1 MB) for each value; the driver gathers the bitmap, never the values. With
+    too many values it lets all pass, so it may only spare work, not decide.
+    """
+    from pyspark.sql import functions as F
+
+    per = 8 * 4096
+    bit = F.pmod(F.xxhash64(F.col(column)), F.lit(SIEVE_BITS))
+    parts = ids.select(F.floor(bit / per).alias("part"), (bit % per).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("map")).collect()
+    whole = bytearray(SIEVE_BITS // 8)
+    for row in parts:
+        whole[row["part"] * 4096 : row["part"] * 4096 + 4096] = row["map"]
+    held = ids.sparkSession.sparkContext.broadcast(bytes(whole))
+
+    @F.pandas_udf("boolean")
+    def passes(bits: pd.Series) -> pd.Series:
+        import numpy as np
+
+        table = np.frombuffer(held.value, np.uint8)
+        at = bits.to_numpy()
+        return pd.Series((table[at >> 3] >> (at & 7)) & 1 == 1)
+
+    return lambda c: passes(F.pmod(F.xxhash64(F.col(c)), F.lit(SIEVE_BITS)))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, comp): the least node reachable, of every node in ``edges`` (a, b). Labels fall to the least neighbour's
+    and then to their own label's label, until none changes; every round is a table in the shared folder."""
+    both = save(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), "labels")
+    while True:
+        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("m"))
+        low = labels.join(near, labels["node"] == near["a"]).select("node", "comp", F.least("comp", "m").alias("low"))
+        up = labels.select(F.col("node").alias("low"), F.col("comp").alias("top"))
+        step = save(low.join(up, "low", "left").select("node", "comp", F.least("low", "top").alias("next")), "labels")
+        changed = step.where("next < comp").limit(1).count()
+        labels = step.select("node", F.col("next").alias("comp"))
+        if not changed:
+            return labels
