@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, neardup, runtime, secrets, substring, wavelet
+from . import bpe, fingerprint, neardup, quality, runtime, secrets, substring, toxicity, wavelet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -19,10 +19,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(runtime.documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(runtime.documents(spark, sf_dir), runtime.labels(spark, sf_dir))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(runtime.documents(spark, sf_dir))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(runtime.documents(spark, sf_dir), runtime.labels(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.encode_files(runtime.documents(spark, sf_dir), tokenizer_path(), end_id=2)
 

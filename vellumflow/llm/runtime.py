@@ -50,6 +50,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -98,31 +98,35 @@ def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: n
     return mix(out + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end, count): of each word its hash and byte range in ``raw``, and the words of each document."""
-    table = _LOWER_BYTE if lower else _BYTE
-    got, begins, stops, counts = [], [], [], np.zeros(len(offsets) - 1, dtype=np.int64)
+def parts(raw: np.ndarray, offsets: np.ndarray):
+    """(first document, last, from byte, to byte): ranges of bounded size; only a long document is cut, at white space."""
     for first, last in pieces(raw, offsets):
-        lo, hi = int(offsets[first]), int(offsets[last])
-        at = lo
+        at, hi = int(offsets[first]), int(offsets[last])
         while at < hi:
             to = min(hi, at + 4 * PIECE_BYTES)
-            if to < hi:  # one long document: cut it at white space
+            if to < hi:
                 back = np.flatnonzero(WHITE[raw[at:to]])
                 if len(back):
                     to = at + int(back[-1]) + 1
                 else:
                     more = np.flatnonzero(WHITE[raw[to:hi]])
                     to = to + int(more[0]) + 1 if len(more) else hi
-            part = raw[at:to]
-            cuts = offsets[first:last] - at
-            s, e = _word_bounds(part, cuts[(cuts >= 0)])
-            got.append(_span_hashes(part, s, e, table))
-            begins.append(s + at)
-            stops.append(e + at)
-            where = np.searchsorted(offsets[first : last + 1], s + at, side="right") - 1
-            counts[first:last] += np.bincount(where, minlength=last - first)
+            yield first, last, at, to
             at = to
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end, count): of each word its hash and byte range in ``raw``, and the words of each document."""
+    table = _LOWER_BYTE if lower else _BYTE
+    got, begins, stops, counts = [], [], [], np.zeros(len(offsets) - 1, dtype=np.int64)
+    for first, last, at, to in parts(raw, offsets):
+        part, cuts = raw[at:to], offsets[first:last] - at
+        s, e = _word_bounds(part, cuts[cuts >= 0])
+        got.append(_span_hashes(part, s, e, table))
+        begins.append(s + at)
+        stops.append(e + at)
+        where = np.searchsorted(offsets[first : last + 1], s + at, side="right") - 1
+        counts[first:last] += np.bincount(where, minlength=last - first)
     if not got:
         none = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=U64), none, none, counts
@@ -139,3 +143,43 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
         out *= U64(0xC2B2AE3D27D4EB4F)
         out += hashes[k : k + n]
     return mix(out)
+
+
+class Prefix:
+    """Hashes of any byte ranges of one part: cumulative sums of a polynomial modulo 2**64."""
+
+    def __init__(self, raw: np.ndarray):
+        self.total = np.zeros(len(raw) + 1, dtype=U64)
+        value = _BYTE[raw]
+        value *= _power("up", _BASE, len(raw))
+        np.cumsum(value, out=self.total[1:])
+        self.down = _power("down", _BASE_INV, len(raw) + 1)
+
+    def buckets(self, start: np.ndarray, size, bits: int, salt: int) -> np.ndarray:
+        """The range from ``start`` of ``size`` bytes, hashed to ``bits`` bits."""
+        x = (self.total[start + size] - self.total[start]) * self.down[start]
+        x ^= x >> U64(32)
+        x += U64(salt)
+        x *= U64(0x9E3779B97F4A7C15)
+        return (x >> U64(64 - bits)).astype(np.int64)
+
+
+def word_bounds(part: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _word_bounds(part, cuts[cuts >= 0])
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """A copy with A-Z, and the two-byte letters U+00C0 to U+00DE, in lower case."""
+    out = raw.copy()
+    out[(raw >= 65) & (raw <= 90)] += 32
+    after = np.zeros(len(raw), bool)
+    after[1:] = raw[:-1] == 0xC3
+    out[after & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)] += 32
+    return out
+
+
+def stretches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the word sequences [first, last) of ``hashes``, equal for equal sequences of words."""
+    total = np.zeros(len(hashes) + 1, dtype=U64)
+    np.cumsum(hashes * _power("up", _BASE, len(hashes)), out=total[1:])
+    return mix((total[last] - total[first]) * _power("down", _BASE_INV, len(hashes) + 1)[first] + (last - first).astype(U64))
