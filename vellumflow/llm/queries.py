@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, neardup, quality, runtime, secrets, substring, toxicity, wavelet
+from . import bpe, fingerprint, neardup, packing, quality, runtime, secrets, substring, topk, toxicity, wavelet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -27,6 +27,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(runtime.documents(spark, sf_dir))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(runtime.documents(spark, sf_dir))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(runtime.documents(spark, sf_dir), runtime.labels(spark, sf_dir))
 
@@ -43,6 +47,10 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.report(runtime.documents(spark, sf_dir))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(runtime.documents(spark, sf_dir))
 
@@ -52,4 +60,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secrets.sql()}
+    return {"op1_secret_scan": secrets.sql(), "op9_exact_top_k": topk.sql()}
