@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import runtime
+from .pieces import plain_pieces
 
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 400_000
 CACHE_CHARS = 64
 END = "</w>"
+SHORT, NEVER = 64, 1 << 60
 
 
 def byte_letters() -> list[str]:
@@ -59,9 +61,16 @@ class ForcedBoundaryBPE:
         for token in self.vocab:
             letters = self.letters(token[: -len(END)], True) if token.endswith(END) and len(token) > len(END) else self.letters(token, False)
             self.joined.update(zip(letters, letters[1:]))
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.plain = self.special.keys() <= {"<|startoftext|>", "<|endoftext|>"} and self.rules_are_plain(spec)
+        self.letter = byte_letters()
         self.pieces: dict[str, tuple[int, ...]] = {}
 
+    @staticmethod
+    def rules_are_plain(spec: dict) -> bool:
+        """Whether the file splits as ``plain_pieces`` does: checked on its rules' own text."""
+        kinds = [x["type"] for x in spec["normalizer"].get("normalizers", [])] + [x["type"] for x in spec["pre_tokenizer"].get("pretokenizers", [])]
+        return kinds == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"] and "'s|'t|'re|'ve|'m|'ll|'d|" in json.dumps(spec["pre_tokenizer"])
+
     @staticmethod
     def letters(word: str, ends: bool) -> list[str]:
         out = list(word)
@@ -80,8 +89,19 @@ class ForcedBoundaryBPE:
             yield letters[first:]
 
     def merge(self, parts: list[str]) -> list[int]:
-        """Merges by lowest rank, then leftmost, with a heap over a linked list: n log n for n letters."""
+        """Merges by lowest rank, then leftmost; long fragments with a heap over a linked list, in n log n."""
         n, ranks = len(parts), self.ranks
+        if n <= SHORT:
+            of = [ranks.get(x, NEVER) for x in zip(parts, parts[1:])]
+            while of and (best := min(of)) != NEVER:
+                k = of.index(best)
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+                del of[k]
+                if k < len(of):
+                    of[k] = ranks.get((parts[k], parts[k + 1]), NEVER)
+                if k:
+                    of[k - 1] = ranks.get((parts[k - 1], parts[k]), NEVER)
+            return [self.vocab[x] for x in parts if x in self.vocab]
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(r, k) for k in range(n - 1) if (r := ranks.get((parts[k], parts[k + 1]))) is not None]
         heapq.heapify(heap)
@@ -113,6 +133,8 @@ class ForcedBoundaryBPE:
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """The ids of a text without ASCII white space."""
+        if self.plain and (pieces := plain_pieces(chunk)) is not None:
+            return tuple(i for p in pieces for i in self.word(p if p.isascii() else "".join([self.letter[b] for b in p.encode()])))
         out: list[int] = []
         for part in self.special_cut.split(chunk) if self.special_cut else [chunk]:
             if part in self.special:
@@ -138,6 +160,10 @@ def chunks(text: str | None) -> list[str]:
 _encoders: dict[str, ForcedBoundaryBPE] = {}
 
 
+#: For each file, what digests() keeps of chunks: number of ids, ids and tokens joined by one space.
+_known: dict[str, dict[str, tuple[int, str, str]]] = {}
+
+
 def encoder(path: str) -> ForcedBoundaryBPE:
     if path not in _encoders:
         _encoders[path] = ForcedBoundaryBPE(path)
@@ -179,7 +205,7 @@ def digests(df: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         bpe = encoder(path)
-        known: dict[str, tuple[int, str, str]] = {"": (0, "", "")}
+        known = _known.setdefault(path, {"": (0, "", "")})
         for b in batches:
             n, ids, text = [], [], []
             for value in b.column(1).to_pylist():
@@ -190,7 +216,8 @@ def digests(df: DataFrame, path: str) -> DataFrame:
                         got = (len(x), " ".join(map(str, x)), bpe.decode(x))
                         if len(c) <= CACHE_CHARS:
                             if len(known) >= CACHE_ENTRIES:
-                                known = {"": (0, "", "")}
+                                known.clear()
+                                known[""] = (0, "", "")
                             known[c] = got
                     if got[0]:
                         parts.append(got)
