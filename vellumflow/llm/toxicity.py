@@ -21,7 +21,7 @@ from .textscan import Prefix, column_bytes, lowered, parts, word_bounds
 
 BITS = 18
 PREFIXES = (5, 6, 7, 8)
-MOST = 3000
+MOST, SLICE = 2000, 200
 THRESHOLD = 0.3
 SENTENCE_THRESHOLD = 0.3
 EPOCHS, RATE, BATCH, LEAST_DOCS = 20, 1.0, 64, 3
@@ -89,37 +89,35 @@ def train(texts: pa.Array, y: np.ndarray) -> Model | None:
     """Learns from whole texts and their labels; None without both classes."""
     if len(set(y.tolist())) < 2:
         return None
-    feats, sents, docs = [], [], []
-    base = 0
-    for f, sentence, a, _, doc in scan(texts):
-        feats.append(f)
-        sents.append(sentence + base)
-        docs.append(doc)
-        base += len(a)
-    if not feats:
+    flats, owners, sents, sizes = [], [], [], np.zeros(len(y), np.int64)
+    met = np.zeros(1 << BITS, np.int64)
+    for k in range(0, len(y), SLICE):
+        for f, sentence, _, _, doc in scan(texts.slice(k, SLICE)):
+            local = np.arange(len(doc)) - np.searchsorted(doc, doc) + sizes[k + doc]
+            np.add.at(sizes, k + doc, 1)
+            on = f.ravel() >= 0
+            flat = f.ravel()[on].astype(np.int32)
+            owner = np.repeat((k + doc[sentence]).astype(np.int32), f.shape[1])[on]
+            met += np.bincount(np.unique(owner.astype(np.int64) << BITS | flat) & ((1 << BITS) - 1), minlength=1 << BITS)
+            flats.append(flat)
+            owners.append(owner)
+            sents.append(np.repeat(local[sentence].astype(np.int32), f.shape[1])[on])
+    if not flats:
         return None
-    f, sentence, doc = np.concatenate(feats), np.concatenate(sents), np.concatenate(docs)
-    word_doc = doc[sentence]
-    flat, owner = f.ravel(), np.repeat(word_doc, f.shape[1])
-    flat, owner, sent = flat[flat >= 0], owner[flat >= 0], np.repeat(sentence, f.shape[1])[f.ravel() >= 0]
-    seen = np.unique(flat * np.int64(len(y)) + owner) // len(y)
-    common = np.bincount(seen, minlength=1 << BITS) >= LEAST_DOCS
-    keep = common[flat]
-    flat, owner, sent = flat[keep], owner[keep], sent[keep]
-    order = np.argsort(owner, kind="stable")
-    flat, owner, sent = flat[order], owner[order], sent[order]
+    keep = [met[x] >= LEAST_DOCS for x in flats]
+    flat, owner, sent = (np.concatenate([x[m] for x, m in zip(xs, keep)]) for xs in (flats, owners, sents))
+    del flats, owners, sents, keep
     begin = np.searchsorted(owner, np.arange(len(y) + 1))
-    sent_begin = np.searchsorted(doc, np.arange(len(y) + 1))
     w, g2, bias, b2 = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6), START, 1e-6
     rng = np.random.Generator(np.random.PCG64(7))
     for epoch in range(EPOCHS):
         for batch in np.array_split(rng.permutation(len(y)), max(1, len(y) // BATCH)):
             fi = np.concatenate([flat[begin[d] : begin[d + 1]] for d in batch])
-            count = [sent_begin[d + 1] - sent_begin[d] for d in batch]
+            count = sizes[batch]
             start = np.cumsum([0, *count])
             if not start[-1]:
                 continue
-            si = np.concatenate([sent[begin[d] : begin[d + 1]] - sent_begin[d] + k for d, k in zip(batch, start)])
+            si = np.concatenate([sent[begin[d] : begin[d + 1]] + k for d, k in zip(batch, start)])
             p = _sigmoid(bias + np.bincount(si, w[fi], start[-1]))
             who = np.repeat(np.arange(len(batch)), count)
             none = np.exp(np.bincount(who, np.log1p(-np.minimum(p, 1 - 1e-9)), len(batch)))
@@ -168,6 +166,26 @@ def score(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "
     return rows.mapInArrow(run, f"{kinds}, score double, offending string")
 
 
+def clean(df: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose score is below ``threshold``."""
+    runtime.tune(df.sparkSession)
+    held = df.sparkSession.sparkContext.broadcast(None if model is None else (model.weights, model.bias))
+    place = df.columns.index(text)
+
+    def run(batches):
+        m = None if held.value is None else Model(*held.value)
+        for b in batches:
+            if m is None:
+                yield b
+                continue
+            none = np.zeros(b.num_rows)
+            for f, sentence, first, _, doc in scan(b.column(place)):
+                none += np.bincount(doc, np.log1p(-np.minimum(m.sentence_scores(f, sentence, len(first)), 1 - 1e-9)), b.num_rows)
+            yield b.filter(pa.array(-np.expm1(none) < threshold))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(documents, labels)
     return score(documents, model).select("doc_id", (labelled.fold() == labelled.HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "offending")
