@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import pandas as pd
@@ -37,13 +38,25 @@ def save(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/vellumflow/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files whose frames are no longer held."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete shuffle files whose frames are no longer held; it takes a second round to reach them all."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that save() wrote, once all that was made of them is saved too."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import runtime
-from .textscan import U64, column_bytes, mix, windows, words
+from .textscan import U64, column_bytes, stretches, windows, words
 
 WINDOW, SEED = 13, 5
 SPAN = WINDOW - SEED + 1
@@ -34,13 +34,13 @@ SHARD_WORDS = 40_000
 LAST = 2**63 - 1
 
 
-def runs_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, windows) of each run of a document's word hashes; at most SPAN windows a run."""
+def runs_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimiser, text, first window, windows) of each run of a document's word hashes; at most SPAN windows a run."""
     seeds = windows(hashes, SEED)
     n = len(hashes) - WINDOW + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return np.zeros(0, U64), none, none
+        return np.zeros(0, U64), np.zeros(0, U64), none, none
     least = seeds[:n].copy()
     for k in range(1, SPAN):
         np.minimum(least, seeds[k : k + n], out=least)
@@ -51,25 +51,20 @@ def runs_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts = -(-count // SPAN)
         k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first, count = np.repeat(first, parts) + SPAN * k, np.minimum(np.repeat(count, parts) - SPAN * k, SPAN)
-    return least[first], first, count
+    return least[first], stretches(hashes, first, first + count + WINDOW - 1), first, count
 
 
 def batch_runs(column: pa.Array):
-    """(row, minimiser, first window, windows) of every text of an Arrow column."""
+    """(row, minimiser, text, first window, windows) of every run of an Arrow column of texts."""
     raw, at = column_bytes(column)
     hashes, _, _, counts = words(raw, at)
-    rows, keys, firsts, sizes = [], [], [], []
+    got = [[np.zeros(0, np.int64)], [np.zeros(0, U64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
     base = np.cumsum(counts) - counts
     for k in np.flatnonzero(counts >= WINDOW).tolist():
-        h, first, size = runs_of(hashes[base[k] : base[k] + counts[k]])
-        rows.append(np.full(len(h), k))
-        keys.append(h)
-        firsts.append(first)
-        sizes.append(size)
-    if not rows:
-        none = np.zeros(0, np.int64)
-        return none, np.zeros(0, U64), none, none
-    return tuple(map(np.concatenate, (rows, keys, firsts, sizes)))
+        run = runs_of(hashes[base[k] : base[k] + counts[k]])
+        for held, x in zip(got, (np.full(len(run[0]), k), *run)):
+            held.append(x)
+    return tuple(map(np.concatenate, got))
 
 
 class Automaton:
@@ -153,56 +148,55 @@ class Automaton:
 def _scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            row, key, first, size = batch_runs(b.column(2))
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))], ["h", "id", "tag", "first", "size"])
+            row, h, c, first, size = batch_runs(b.column(2))
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), b.column(0).take(at), b.column(1).take(at), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int8))], ["h", "c", "id", "tag", "first", "size"])
 
-    return docs.mapInArrow(run, "h long, id long, tag long, first int, size int")
+    return docs.mapInArrow(run, "h long, c long, id long, tag int, first int, size byte")
 
 
-def _expand(joined: DataFrame) -> DataFrame:
-    """Rows of three kinds: 0 a document without shared runs (its result), 1 a shared run, 2 a document with some."""
-    kinds = "kind int, id long, tag long, n_words long, sha string, h long, c long, first int, size int, text string"
-    names = [f.split()[0] for f in kinds.split(", ")]
+def _texts(joined: DataFrame) -> DataFrame:
+    """(h, c, off, id, hot, text) of the runs listed for each document; a hot one as single windows under their own
+    hash, with ``off`` the window's place in the run."""
+    names = ["h", "c", "off", "id", "hot", "text"]
 
     def run(batches):
         for b in batches:
-            got = {n: [] for n in names}
-
-            def put(**x):
-                for n in names:
-                    got[n].append(x.get(n))
-
-            texts = b.column(2)
-            raw, at = column_bytes(texts)
+            raw, at = column_bytes(b.column(1))
             hashes, start, end, counts = words(raw, at)
             data, base = raw.tobytes(), np.cumsum(counts) - counts
-            for k, (i, tag, runs) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist())):
-                s, e = start[base[k] : base[k] + counts[k]].tolist(), end[base[k] : base[k] + counts[k]].tolist()
-                if not runs:
-                    kept = b" ".join([data[x:y] for x, y in zip(s, e)])
-                    put(kind=0, id=i, tag=tag, n_words=len(s), sha=hashlib.sha256(kept).hexdigest())
-                    continue
-                put(kind=2, id=i, tag=tag, n_words=len(s), text=texts[k].as_py())
-                mine = hashes[base[k] : base[k] + counts[k]]
-                whole = windows(mine, WINDOW).view(np.int64)
+            out: list[list] = [[] for _ in names]
+            hs, cs, offs, ids, hots, texts = out
+            for k, (i, runs) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())):
+                span = slice(base[k], base[k] + counts[k])
+                s, e = start[span], end[span]
+                flat = b" ".join([data[x:y] for x, y in zip(s.tolist(), e.tolist())])
+                stop = np.cumsum(e - s + 1)
+                stop, begin = (stop - 1).tolist(), (stop - (e - s + 1)).tolist()
                 for x in runs:
                     first, size = x["first"], x["size"]
                     if x["hot"]:
-                        for p in range(first, first + size):
-                            g = int(whole[p])
-                            put(kind=1, id=i, tag=tag, h=g, c=g, first=p, size=1, text=b" ".join([data[s[j] : e[j]] for j in range(p, p + WINDOW)]).decode())
+                        g = windows(hashes[span][first : first + size + WINDOW - 1], WINDOW).view(np.int64).tolist()
+                        for p in range(size):
+                            texts.append(flat[begin[first + p] : stop[first + p + WINDOW - 1]])
+                        hs += g
+                        offs += range(size)
                     else:
-                        stop = first + size + WINDOW - 1
-                        c = int(mix(windows(mine[first:stop], stop - first) + U64(size)).view(np.int64)[0])
-                        put(kind=1, id=i, tag=tag, h=x["h"], c=c, first=first, size=size, text=b" ".join([data[s[j] : e[j]] for j in range(first, stop)]).decode())
-            schema = pa.schema([(n, {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[f.split()[1]]) for n, f in zip(names, kinds.split(", "))])
-            yield pa.RecordBatch.from_pydict(got, schema=schema)
+                        texts.append(flat[begin[first] : stop[first + size + WINDOW - 2]])
+                        hs.append(x["h"])
+                        offs.append(0)
+                    new = len(hs) - len(cs)
+                    cs += [x["c"]] * new
+                    ids += [i] * new
+                    hots += [x["hot"]] * new
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(out, kinds)), pa.array(texts, pa.binary()).cast(pa.string())], names)
 
-    return joined.mapInArrow(run, kinds)
+    return joined.select("id", "text", "runs").mapInArrow(run, "h long, c long, off int, id long, hot boolean, text string")
 
 
 def _shards(reference: DataFrame) -> DataFrame:
-    """(h, c, least array<long>) of each distinct run, in shards of whole minimisers."""
+    """(h, c, least array<long>) of each distinct run (h, c, id, text), in shards of whole minimisers."""
 
     def run(batches):
         held: list[tuple] = []
@@ -231,34 +225,52 @@ def _shards(reference: DataFrame) -> DataFrame:
     return reference.repartition(runtime.partitions(reference.sparkSession), "h").sortWithinPartitions("h").mapInArrow(run, "h long, c long, least array<long>")
 
 
-def repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, tag, kind, n_words, sha, text, cut array<int>) of every document: ``cut`` holds the first words of the
-    windows to remove, null where there are none; ``sha`` is given only where nothing can be removed, ``text`` else."""
-    spark = df.sparkSession
+def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``df`` with __id (null ids as LAST) and __tag, which tells rows of one id apart where ids repeat."""
+    rows = df.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
+    size = rows.agg(F.count("*").alias("n"), F.count_distinct("__id").alias("ids")).first()
+    return rows.withColumn("__tag", (F.hash(F.coalesce(F.col(text), F.lit(""))) if size["n"] != size["ids"] else F.lit(0)))
+
+
+def repeats(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """(copies, cuts) with key (id, tag): ``copies`` are whole copies of a text of a smaller id, of which all
+    is covered if a window fits in; ``cuts`` hold the first words of the windows to remove from the others."""
+    spark = keyed.sparkSession
     runtime.tune(spark)
-    rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = rows.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).first()
-    docs = rows.select("id", (F.crc32("text") if size["n"] != size["ids"] else F.lit(0)).cast("long").alias("tag"), "text")
+    docs = keyed.select(F.col("__id").alias("id"), F.col("__tag").alias("tag"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    marks = runtime.save(docs.select("id", "tag", F.unhex(F.md5("text")).alias("mark")), "marks")
+    first = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    copies = runtime.save(marks.join(first, "mark").where("id > lo").select("id", "tag").distinct(), "copies")
+    maybe = runtime.sieve(copies, "id")
+    fresh = docs.where(~maybe("id")).unionByName(docs.where(maybe("id")).join(copies.hint("merge"), ["id", "tag"], "left_anti"))
 
-    found = _scan(docs)
+    found = _scan(fresh)
     shared = found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("h", (F.col("n") > HOT_RUNS).alias("hot"))
-    listed = found.join(shared, "h").groupBy("id", "tag").agg(F.collect_list(F.struct("h", "first", "size", "hot")).alias("runs"))
-    listed = runtime.save(listed, "runs")
+    runs = runtime.save(found.join(shared, "h"), "runs")
     runtime.release(spark)
 
-    joined = docs.join(listed.hint("merge"), ["id", "tag"], "left").select("id", "tag", "text", "runs")
-    work = runtime.save(_expand(joined), "work")
+    of_text = runs.groupBy("h", "c").agg(F.min(F.struct("id", "tag", "first", "size", "hot")).alias("r"))
+    listed = of_text.groupBy("r.id", "r.tag").agg(F.collect_list(F.struct("h", "c", "r.first", "r.size", "r.hot")).alias("runs"))
+    listed = runtime.save(listed, "listed")
+    holds = runtime.sieve(listed, "id")
+    work = runtime.save(_texts(docs.where(holds("id")).join(listed.hint("merge"), ["id", "tag"])), "texts")
+    runtime.discard(listed)
     runtime.release(spark)
 
-    run = work.where("kind = 1")
-    reference = run.groupBy("h", "c").agg(F.min(F.struct("id", "text")).alias("m")).select("h", "c", "m.id", "m.text")
-    least = _shards(reference)
-    hit = run.select("h", "c", "id", "tag", "first").join(least, ["h", "c"])
+    cold = work.where("not hot").select("h", "c", "id", "text")
+    hot = work.where("hot").groupBy("h").agg(F.min(F.struct("id", "text")).alias("m")).select("h", F.col("h").alias("c"), "m.id", "m.text")
+    least = runtime.save(_shards(cold.unionByName(hot)), "least")
+
+    of_run = work.select("h", F.when(F.col("hot"), F.col("h")).otherwise(F.col("c")).alias("k"), "c", "off").join(least.withColumnRenamed("c", "k"), ["h", "k"])
+    of_text = of_run.groupBy("c").agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("off", "least"))), lambda x: x["least"])).alias("least"))
     places = F.filter(F.transform("least", lambda x, k: F.when(x < F.col("id"), F.col("first") + k)), lambda x: x.isNotNull())
-    cut = hit.withColumn("at", places).where(F.size("at") > 0).groupBy("id", "tag").agg(F.flatten(F.collect_list("at")).alias("cut"))
-    rest = work.where("kind = 2").select("id", "tag", "kind", "n_words", "sha", "text")
-    done = work.where("kind = 0").select("id", "tag", "kind", "n_words", "sha", "text", F.lit(None).cast("array<int>").alias("cut"))
-    return done.unionByName(rest.join(cut.hint("merge"), ["id", "tag"], "left"))
+    cuts = runs.select("c", "id", "tag", "first").join(of_text, "c").select("id", "tag", places.alias("at")).where(F.size("at") > 0)
+    cuts = cuts.groupBy("id", "tag").agg(F.flatten(F.collect_list("at")).alias("cut"))
+    cuts = runtime.save(cuts, "cuts")
+    runtime.discard(runs, work, least, marks)
+    runtime.release(spark)
+    return copies, cuts
 
 
 def _marked(n: int, cut) -> np.ndarray:
@@ -269,25 +281,66 @@ def _marked(n: int, cut) -> np.ndarray:
     return np.cumsum(gone[:-1]) > 0
 
 
+def _cut_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with __cut (first words of the windows to remove, or null) and __whole (a copy: all is covered)."""
+    keyed = _keyed(df, key, text)
+    copies, cuts = repeats(keyed, text)
+    gone = copies.select("id", "tag", F.array().cast("array<int>").alias("cut"), F.lit(True).alias("whole")).unionByName(cuts.withColumn("whole", F.lit(False)))
+    gone = runtime.save(gone.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("cut").alias("__cut"), F.col("whole").alias("__whole")), "gone")
+    touched = runtime.sieve(gone, "__id")
+    none = keyed.where(~touched("__id")).withColumns({"__cut": F.lit(None).cast("array<int>"), "__whole": F.lit(False)})
+    some = keyed.where(touched("__id")).join(gone.hint("merge"), ["__id", "__tag"], "left").withColumn("__whole", F.coalesce("__whole", F.lit(False)))
+    return none.unionByName(some.select(none.columns)).drop("__id", "__tag")
+
+
+def _kept(n: int, cut, whole: bool) -> np.ndarray | None:
+    """Which of ``n`` words stay; None: all."""
+    if whole and n >= WINDOW:
+        return np.zeros(n, bool)
+    return ~_marked(n, cut) if cut else None
+
+
 def report(df: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
 
     def run(batches):
         for b in batches:
-            ids, kind, n, sha, texts, cuts = (b.column(k).to_pylist() for k in range(6))
-            removed = []
-            for k in range(len(ids)):
-                if kind[k] == 0:
-                    removed.append(0)
+            raw, at = column_bytes(b.column(1))
+            _, start, end, counts = words(raw, at)
+            data, base, removed, sha = raw.tobytes(), np.cumsum(counts) - counts, [], []
+            for k, (cut, whole) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
+                s, e = start[base[k] : base[k] + counts[k]], end[base[k] : base[k] + counts[k]]
+                if (keep := _kept(len(s), cut, whole)) is not None:
+                    s, e = s[keep], e[keep]
+                removed.append(int(counts[k]) - len(s))
+                sha.append(hashlib.sha256(b" ".join([data[x:y] for x, y in zip(s.tolist(), e.tolist())])).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+    rows = _cut_rows(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return rows.select("doc_id", "text", "__cut", "__whole").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def remove(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with the covered words, and the white space after them, taken out of its texts; other texts as they were."""
+    rows = _cut_rows(df, key, text)
+    place = rows.columns.index(text)
+
+    def run(batches):
+        for b in batches:
+            texts, own = b.column(place), []
+            raw, at = column_bytes(texts)
+            _, start, end, counts = words(raw, at)
+            data, base = raw.tobytes(), np.cumsum(counts) - counts
+            for k, (cut, whole) in enumerate(zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist())):
+                keep = _kept(int(counts[k]), cut, whole)
+                if keep is None:
+                    own.append(texts[k].as_py())
                     continue
-                raw, at = column_bytes(pa.array([texts[k]]))
-                _, s, e, _ = words(raw, at)
-                gone = _marked(len(s), cuts[k] or [])
-                data = raw.tobytes()
-                kept = ~gone
-                sha[k] = hashlib.sha256(b" ".join([data[x:y] for x, y in zip(s[kept].tolist(), e[kept].tolist())])).hexdigest()
-                removed.append(int(gone.sum()))
-            keys = [None if i == LAST else i for i in ids]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return repeats(df).select("id", "kind", "n_words", "sha", "text", "cut").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+                s = np.append(start[base[k] : base[k] + counts[k]], at[k + 1])
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], keep, [False]]).astype(np.int8)))
+                pieces = [data[s[x] : s[y]] for x, y in zip(edge[::2].tolist(), edge[1::2].tolist())]
+                own.append(b"".join(pieces).decode())
+            arrays = [pa.array(own, pa.string()) if j == place else c for j, c in enumerate(b.columns[:-2])]
+            yield pa.RecordBatch.from_arrays(arrays, b.schema.names[:-2])
+
+    return rows.mapInArrow(run, df.schema)
