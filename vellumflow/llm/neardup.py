@@ -4,8 +4,9 @@ Sets of equal shingles become one class first, so exact copies weigh nothing. In
 sizes n and m whose overlap must reach need(n, m) = T(n + m) / (100 + T) can differ only in n - need of the first's
 tokens, so a prefix of each suffices to find them. Three exact filters follow each other:
 
-1. order by hash: each class sends its first n - ceil(Tn/100) + SPARE shingles; a class goes on if enough of them occur
-   in another class (all data take part; most classes end here);
+1. order by hash: each class sends its first n - ceil(Tn/100) + spare(n) shingles; of those that a linked class of m
+   shingles sends too there are at least spare(m), so a class goes on if that many of its own occur in another class
+   (all data take part; most classes end here);
 2. document frequencies among those left: at least ceil(Tn/100) of a class's shingles must occur in another class;
 3. order by frequency, rare first. Shingles up to RARE documents are indexed singly. More frequent ones are divided
    into sub-classes, prefixes are extended by one token for each sub-class, and pairs of tokens of one sub-class are
@@ -57,6 +58,11 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
+def spare(n):
+    """Shingles sent beyond the least number; more of them make the first filter stricter."""
+    return SPARE + n // 7
+
+
 def largest_partner(overlap, n, percent: int):
     """The largest m with need(n, m) <= overlap."""
     return (100 + percent) * overlap // percent - n
@@ -108,7 +114,7 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
                 n.append(len(s))
                 one.append(int(mix(s).sum(dtype=U64).astype(np.int64)))
                 two.append(int(mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64).astype(np.int64)))
-                prefix.append(s[: len(s) - least_overlap(len(s), percent) + SPARE].view(np.int64))
+                prefix.append(s[: len(s) - least_overlap(len(s), percent) + spare(len(s))].view(np.int64))
             at = np.cumsum([0, *map(len, prefix)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists], ["id", "n", "s1", "s2", "prefix"])
@@ -163,7 +169,9 @@ def links(tokens: DataFrame, percent: int) -> DataFrame:
     empty = tokens.sparkSession.createDataFrame([], "a long, b long")
     index = runtime.save(_index(tokens, percent), "index")
     central = index.groupBy("sig").agg(F.min(F.struct("pos", "node", "n", "most")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    index = runtime.save(index.join(central, "sig"), "buckets")
+    entries, index = index, runtime.save(index.join(central, "sig"), "buckets")
+    runtime.discard(entries)
+    runtime.release(index.sparkSession)
     fits = (F.col("n") <= F.col("c.most")) & (F.col("c.n") <= F.col("most")) & (F.col("node") != F.col("c.node"))
     star = index.where(fits).select(*_pair(F.col("node"), F.col("c.node"))).distinct()
     found = runtime.save(_verified(star, tokens, percent), "star")
@@ -173,6 +181,7 @@ def links(tokens: DataFrame, percent: int) -> DataFrame:
         labelled = index.join(comps, "node", "left").select("sig", "node", "n", "most", F.coalesce("comp", "node").alias("comp"))
         open_ = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
         left = runtime.save(labelled.join(open_, "sig"), "open")
+        runtime.release(index.sparkSession)
         if left.isEmpty():
             return found
         if salt:  # once more against one class of each bucket, another one for each
@@ -194,19 +203,22 @@ def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id",
     size = docs.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).first()
     unique = size["n"] == size["ids"]
 
-    first = runtime.save(_sets(docs, percent), "sets")
+    sets = runtime.save(_sets(docs, percent), "sets")
+    first = runtime.save(sets.drop("prefix"), "marks")
     classes = first.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("lo"), F.first("n").alias("n"))
     classes = runtime.save(classes.withColumn("node", F.col("lo") if unique else F.xxhash64("s1", "s2")), "classes")
 
     # 1: shingles of hash-ordered prefixes that occur in two classes
-    chosen = classes.select("s1", "s2", "lo", "node").join(first.select("id", "s1", "s2", "prefix"), ["s1", "s2"]).where("id = lo")
+    chosen = classes.select("s1", "s2", "lo", "node").join(sets.select("id", "s1", "s2", "prefix"), ["s1", "s2"]).where("id = lo")
     if not unique:
         chosen = chosen.dropDuplicates(["node"])
     sent = chosen.select("node", F.explode("prefix").alias("h"))
     twice = sent.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
     met = sent.join(twice, "h").groupBy("node").agg(F.count("*").alias("met"))
-    enough = F.least(F.lit(SPARE), F.expr(f"(n * {percent} + 99) div 100"))
+    overlap = F.expr(f"(n * {percent} + 99) div 100")  # the size of the smallest partner, too
+    enough = F.least(F.lit(SPARE) + F.floor(overlap / 7), overlap)
     alive = runtime.save(met.join(classes, "node").where(F.col("met") >= enough).select("node", "n", F.col("lo").alias("id"), "s1", "s2"), "alive")
+    runtime.discard(sets)
     runtime.release(spark)
 
     # 2: frequencies among the classes left
@@ -220,6 +232,7 @@ def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id",
     often = each.groupBy("h").agg(F.count("*").cast("int").alias("f")).where("f > 1")
     tokens = each.join(often, "h").groupBy("node", "n").agg(F.collect_list(F.struct("f", "h")).alias("tokens"))
     tokens = runtime.save(tokens.where(F.size("tokens") >= F.expr(f"(n * {percent} + 99) div 100")), "tokens")
+    runtime.discard(whole)
     runtime.release(spark)
 
     # 3: candidates, links, components
@@ -229,6 +242,19 @@ def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id",
     return first.select("id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left").select("id", "n", F.coalesce("comp", "id").alias("comp"))
 
 
+def keep_one(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` without the rows whose component holds a smaller id; of repeated rows of one id and text, one stays."""
+    found = near_duplicates(df, percent, key, text)
+    drop = runtime.save(found.where("comp < id").select(F.col("id").alias("__id"), F.col("n").alias("__n")).distinct(), "drop")
+    size = df.agg(F.count("*").alias("n"), F.count_distinct(F.coalesce(F.col(key).cast("long"), F.lit(LAST))).alias("ids")).first()
+    if size["n"] != size["ids"]:
+        df = df.dropDuplicates([key, text])
+    rows = df.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
+    passes = runtime.sieve(drop, "__id")
+    stay = rows.where(passes("__id")).join(drop.select("__id").hint("merge"), "__id", "left_anti")
+    return rows.where(~passes("__id")).unionByName(stay).drop("__id")
+
+
 def report(df: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     real = lambda c: F.when(F.col(c) < LAST, F.col(c))
