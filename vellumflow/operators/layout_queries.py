@@ -27,7 +27,12 @@ PAGE_WIDTH, PAGE_HEIGHT = 540.0, 800.0
 _special_sql = "(" + ", ".join(f"'{x}'" for x in SPECIAL) + ")"
 _shared = lambda a, b: f"(greatest(0, least({a}.r, {b}.r) - greatest({a}.l, {b}.l)) * greatest(0, least({a}.b, {b}.b) - greatest({a}.t, {b}.t)))"
 _area = lambda a: f"(({a}.r - {a}.l) * ({a}.b - {a}.t))"
-_page = Window.partitionBy("page")
+
+
+def _page():
+    return Window.partitionBy("page")
+
+
 
 ASSIGNED = f"""pairs AS (SELECT c.page, c.idx, k.cid, {_shared('c', 'k')} / {_area('c')} AS part FROM cells c JOIN clusters k ON c.page = k.page
   WHERE trim(c.text) <> '' AND c.l < k.r AND c.r > k.l AND c.t < k.b AND c.b > k.t AND {_shared('c', 'k')} / {_area('c')} > {CELL_OVERLAP}),
@@ -63,7 +68,7 @@ def orphan_clusters(spark, folder):
     cells, clusters = fixtures.cells(spark, folder), fixtures.clusters(spark, folder)
     top = clusters.groupBy("page").agg(F.max("cid").alias("top"))
     free = cells.where(F.trim("text") != "").join(assign(cells, clusters), ["page", "idx"], "left_anti").join(top, "page", "left")
-    return free.select("page", (F.coalesce("top", F.lit(0)) + F.row_number().over(_page.orderBy("idx"))).alias("cid"), F.lit("text").alias("label"), F.round("confidence", 6).alias("confidence"), *"ltrb")
+    return free.select("page", (F.coalesce("top", F.lit(0)) + F.row_number().over(_page().orderBy("idx"))).alias("cid"), F.lit("text").alias("label"), F.round("confidence", 6).alias("confidence"), *"ltrb")
 
 
 _values = ", ".join(f"('{k}', {v})" for k, v in LEAST_CONFIDENCE.items())
@@ -227,7 +232,7 @@ def cluster_sort(spark, folder):
     """Places of the clusters in the three reading orders."""
     clusters = fixtures.clusters(spark, folder)
     first = assign(fixtures.cells(spark, folder), clusters).groupBy("page", "cid").agg(F.min("idx").alias("first"))
-    place = lambda *by: F.row_number().over(_page.orderBy(*by, "cid"))
+    place = lambda *by: F.row_number().over(_page().orderBy(*by, "cid"))
     rows = clusters.join(first, ["page", "cid"], "left").withColumn("first", F.coalesce("first", F.lit(2147483647)))
     return rows.select("page", "cid", place("first", "t", "l").alias("by_id"), place("t", "l").alias("tblr"), place("l", "t").alias("lrtb"))
 
@@ -245,7 +250,7 @@ def ocr_union_reindex(spark, folder):
     """Printed cells, then recognised ones, numbered anew."""
     cells = fixtures.cells(spark, folder)
     both = cells.where(~F.col("from_ocr")).unionByName(cells.where("from_ocr"))
-    return both.select("page", F.col("idx").alias("old"), (F.row_number().over(_page.orderBy("from_ocr", "idx")) - 1).cast("long").alias("idx"))
+    return both.select("page", F.col("idx").alias("old"), (F.row_number().over(_page().orderBy("from_ocr", "idx")) - 1).cast("long").alias("idx"))
 
 
 @query("text_in_rect", f"WITH {C}, {K} SELECT k.page, k.cid, sha256(string_agg(c.text, ' ' ORDER BY c.idx)) AS text_sha, count(*)::BIGINT AS n FROM clusters k JOIN cells c ON k.page = c.page WHERE {_shared('c', 'k')} / {_area('c')} > 0.5 GROUP BY k.page, k.cid")

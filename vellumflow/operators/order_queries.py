@@ -25,14 +25,15 @@ def items(spark, folder):
     )
 
 
-_doc = Window.partitionBy("doc").orderBy("ord")
+def _doc():
+    return Window.partitionBy("doc").orderBy("ord")
 
 
 @query("list_markers", f"""WITH {ITEMS}, g AS (SELECT *, sum(CASE WHEN kind <> 'list_item' THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY ord) AS grp FROM items)
   SELECT doc, ord, grp::BIGINT AS grp, (row_number() OVER (PARTITION BY doc, grp ORDER BY ord) - 1 + doc % 4 + 1) || '.' AS marker FROM g WHERE kind = 'list_item'""")
 def list_markers(spark, folder):
     """Consecutive list items share a list; an item's marker is the list's start plus the items before it."""
-    run = F.sum(F.when(F.col("kind") != "list_item", 1).otherwise(0)).over(_doc)
+    run = F.sum(F.when(F.col("kind") != "list_item", 1).otherwise(0)).over(_doc())
     number = F.row_number().over(Window.partitionBy("doc", "grp").orderBy("ord")) - 1 + F.col("doc") % 4 + 1
     return items(spark, folder).withColumn("grp", run).where("kind = 'list_item'").select("doc", "ord", "grp", F.concat(number.cast("string"), F.lit(".")).alias("marker"))
 
@@ -56,7 +57,7 @@ def numbered_headings(spark, folder):
   SELECT doc, ord, coalesce(h1, 0) AS h1, CASE WHEN h2 > coalesce(h1, 0) THEN h2 ELSE 0 END AS h2, CASE WHEN h3 > greatest(coalesce(h1, 0), coalesce(h2, 0)) THEN h3 ELSE 0 END AS h3 FROM u WHERE kind <> 'heading'""")
 def heading_path(spark, folder):
     """The headings above each item: the latest of each level, unless a shallower one came later. Window functions only."""
-    last = lambda k: F.coalesce(F.max(F.when((F.col("kind") == "heading") & (F.col("level") == k), F.col("ord"))).over(_doc), F.lit(0))
+    last = lambda k: F.coalesce(F.max(F.when((F.col("kind") == "heading") & (F.col("level") == k), F.col("ord"))).over(_doc()), F.lit(0))
     rows = items(spark, folder).select("doc", "ord", "kind", *(last(k).alias(f"u{k}") for k in (1, 2, 3)))
     h2, h3 = F.when(F.col("u2") > F.col("u1"), F.col("u2")).otherwise(0), F.when(F.col("u3") > F.greatest("u1", "u2"), F.col("u3")).otherwise(0)
     return rows.where("kind <> 'heading'").select("doc", "ord", F.col("u1").alias("h1"), h2.cast("long").alias("h2"), h3.cast("long").alias("h3"))
@@ -65,14 +66,14 @@ def heading_path(spark, folder):
 @query("page_islands", f"WITH {ITEMS}, f AS (SELECT *, CASE WHEN level > lag(level) OVER (PARTITION BY doc ORDER BY ord) THEN 1 ELSE 0 END AS flip FROM items) SELECT doc, ord, sum(flip) OVER (PARTITION BY doc ORDER BY ord)::BIGINT AS island FROM f")
 def page_islands(spark, folder):
     """Groups that end where an item's page is beyond the current one."""
-    flip = F.when(F.col("level") > F.lag("level").over(_doc), 1).otherwise(0)
-    return items(spark, folder).withColumn("flip", flip).select("doc", "ord", F.sum("flip").over(_doc).alias("island"))
+    flip = F.when(F.col("level") > F.lag("level").over(_doc()), 1).otherwise(0)
+    return items(spark, folder).withColumn("flip", flip).select("doc", "ord", F.sum("flip").over(_doc()).alias("island"))
 
 
 @query("text_merge_spans", f"WITH {ITEMS} SELECT doc, ord, (coalesce(sum(length(text) + 1) OVER (PARTITION BY doc ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first, (coalesce(sum(length(text) + 1) OVER (PARTITION BY doc ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(text))::BIGINT AS last FROM items WHERE kind = 'text'")
 def text_merge_spans(spark, folder):
     """Where each part of a text merged over columns and pages stands in it (parts are joined by a space)."""
-    before = F.coalesce(F.sum(F.length("text") + 1).over(_doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum(F.length("text") + 1).over(_doc().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return items(spark, folder).where("kind = 'text'").select("doc", "ord", before.alias("first"), (before + F.length("text")).alias("last"))
 
 
@@ -153,9 +154,9 @@ def page_text_concat(spark, folder):
 def chunk_hierarchical(spark, folder):
     """One chunk for each element, list items of a list together, with the heading above for context."""
     rows = items(spark, folder)
-    run = F.sum(F.when(F.col("kind") != "list_item", 1).otherwise(0)).over(_doc)
-    head = F.coalesce(F.max(F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc), F.lit(0))
-    title = F.max_by(F.when(F.col("kind") == "heading", F.col("text")), F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc)
+    run = F.sum(F.when(F.col("kind") != "list_item", 1).otherwise(0)).over(_doc())
+    head = F.coalesce(F.max(F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc()), F.lit(0))
+    title = F.max_by(F.when(F.col("kind") == "heading", F.col("text")), F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc())
     g = rows.select("*", run.alias("grp"), head.alias("head"), title.alias("title")).where("kind <> 'heading'")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n")
     c = g.groupBy("doc", F.when(F.col("kind") == "list_item", F.col("grp")).otherwise(-F.col("ord")).alias("g"), "head", "title").agg(F.min("ord").alias("first"), text.alias("text"))
@@ -261,7 +262,7 @@ def table_pivot(spark, folder):
 @query("ref_resolution", f"WITH {ITEMS}, h AS (SELECT *, max(CASE WHEN kind = 'heading' THEN ord END) OVER (PARTITION BY doc ORDER BY ord) AS parent FROM items) SELECT c.doc, c.ord, p.text AS parent_text FROM h c JOIN items p ON p.doc = c.doc AND p.ord = c.parent WHERE c.kind <> 'heading'")
 def ref_resolution(spark, folder):
     """Children with their parents' texts, by following references."""
-    h = items(spark, folder).withColumn("parent", F.max(F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc))
+    h = items(spark, folder).withColumn("parent", F.max(F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc()))
     p = items(spark, folder).select("doc", F.col("ord").alias("parent"), F.col("text").alias("parent_text"))
     return h.where("kind <> 'heading'").join(p, ["doc", "parent"]).select("doc", "ord", "parent_text")
 
