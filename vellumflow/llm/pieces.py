@@ -10,8 +10,8 @@ import re
 
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
 _PLAIN_TEXT = re.compile("[!-~À-ÖØ-öø-įı-ſ \\t\\n\\r]*")
-# Fixed value: the splitter's pattern, for the letters above.
-_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\\sa-zÀ-ÖØ-öø-ſ0-9]+")
+# Fixed value: the splitter's pattern, for the letters above (its letters come first here: nothing else starts with one).
+_SPLIT = re.compile("[a-zÀ-ÖØ-öø-ſ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\sa-zÀ-ÖØ-öø-ſ0-9]+")
 
 
 def plain_pieces(chunk: str) -> list[str] | None:
@@ -23,7 +23,9 @@ def plain_pieces(chunk: str) -> list[str] | None:
 
 def text_pieces(text: str) -> list[str] | None:
     """The same for a whole text, of chunks divided by space, tab, line feed or carriage return."""
-    if _PLAIN_TEXT.fullmatch(text) is None or "<|" in text:
+    if "<|" in text:
+        return None
+    if not (text.isascii() and text.replace("\n", " ").replace("\t", " ").replace("\r", " ").isprintable()) and _PLAIN_TEXT.fullmatch(text) is None:
         return None
     return _SPLIT.findall(text.lower())
 

@@ -3,7 +3,7 @@
 Documents are dealt to partitions by ranges of doc_id and sorted, encoded, and gathered into shards of about
 ``SHARD_TOKENS`` ids (a document is never divided). A shard file holds one bit-plane per bit of the largest id, from
 the highest down; every plane lists that bit of all ids after a stable partition by the bits above it. Each plane is
-deflated, and its counts of ones before every block of 512 bits give rank in constant time, from which follow
+compressed, and its counts of ones before every block of 512 bits give rank in constant time, from which follow
 access, counting and occurrence lookup. Ids from 0 to 2**32-1 can be held.
 
 Shard files are rows (part, shard, ..., file binary) of a parquet folder, so that any store that Spark writes will
@@ -14,43 +14,50 @@ Null texts count as empty: they still get their end id. Rows of equal doc_id sta
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import runtime
+from .bpe import END, ForcedBoundaryBPE
+from .pieces import Recent, plain_pieces, text_pieces
 
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
 MAGIC = b"VWM1"
-CACHE_ENTRIES = 150_000
-CACHE_CHARS = 64
+CACHE_ENTRIES = 1_000_000
 
 
 def build(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> bytes:
     """The file of one shard: ids of documents in sequence, their lengths and keys."""
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-    planes, ones = [], []
+    planes, ones, pack = [], [], zstandard.ZstdCompressor(1).compress
     for k in range(bits - 1, -1, -1):
-        bit = (rest >> k) & 1 != 0
-        packed = np.packbits(bit)
-        ones.append(int(bit.sum()))
-        planes.append(zlib.compress(packed.tobytes(), 1))
-        rest = np.concatenate([rest[~bit], rest[bit]])
-    docs = zlib.compress(lengths.astype("<i8").tobytes() + keys.astype("<i8").tobytes(), 1)
+        bit = (rest & rest.dtype.type(1 << k)) != 0
+        high, low = np.flatnonzero(bit), np.flatnonzero(~bit)
+        ones.append(len(high))
+        planes.append(pack(np.packbits(bit).tobytes()))
+        rest = np.concatenate([rest[low], rest[high]])
+    docs = pack(lengths.astype("<i8").tobytes() + keys.astype("<i8").tobytes())
     head = struct.pack("<4sIQQQ", MAGIC, bits, len(ids), len(lengths), len(docs))
     sizes = struct.pack(f"<{2 * bits}Q", *map(len, planes), *ones)
     return b"".join([head, sizes, docs, *planes])
 
 
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 class Shard:
-    """Reads one shard file; planes are inflated when they are first needed."""
+    """Reads one shard file; planes are expanded when they are first needed."""
 
     def __init__(self, file: bytes):
         magic, self.bits, self.n, n_docs, docs = struct.unpack_from("<4sIQQQ", file)
@@ -59,7 +66,7 @@ class Shard:
         at = struct.calcsize("<4sIQQQ")
         sizes = struct.unpack_from(f"<{2 * self.bits}Q", file, at)
         at += 16 * self.bits
-        raw = zlib.decompress(file[at : at + docs])
+        raw = _unpack(file[at : at + docs])
         self.lengths, self.keys = np.frombuffer(raw, "<i8", n_docs), np.frombuffer(raw, "<i8", n_docs, 8 * n_docs)
         at += docs
         self.file, self.spans = file, []
@@ -73,7 +80,7 @@ class Shard:
         """(packed bytes, ones before each block)."""
         if level not in self.planes:
             a, b = self.spans[level]
-            packed = np.frombuffer(zlib.decompress(self.file[a:b]), np.uint8)
+            packed = np.frombuffer(_unpack(self.file[a:b]), np.uint8)
             whole = np.zeros(-(-len(packed) * 8 // BLOCK) * BLOCK // 8, np.uint8)
             whole[: len(packed)] = packed
             counts = np.bitwise_count(whole).reshape(-1, BLOCK // 8).sum(1, dtype=np.int64)
@@ -144,43 +151,90 @@ class Shard:
         rest = np.zeros(self.n, kind)
         for level in range(self.bits - 1, -1, -1):
             a, b = self.spans[level]
-            bit = np.unpackbits(np.frombuffer(zlib.decompress(self.file[a:b]), np.uint8), count=self.n).view(bool)
+            bit = np.unpackbits(np.frombuffer(_unpack(self.file[a:b]), np.uint8), count=self.n).view(bool)
             out = np.empty(self.n, kind)
-            out[~bit] = rest[: self.zeros[level]]
-            out[bit] = rest[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
+            out[np.flatnonzero(~bit)] = rest[: self.zeros[level]]
+            out[np.flatnonzero(bit)] = rest[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
             rest = out
         return rest
 
 
 class ChunkEncoder:
-    """The tokenizers library, asked once for each distinct chunk between ASCII white space, which the file's rules drop."""
+    """The tokenizers library, asked once for each distinct piece.
+
+    Nothing is ever joined across ASCII white space, and a plain chunk's pieces are encoded each for itself; so the
+    ids of a text are those of its pieces in sequence, and pieces (and chunks) that come again are looked up.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, text: str | None) -> bytes:
-        parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        here: dict[str, bytes] = {}
-        new = list({p for p in parts if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            here[p] = np.asarray(e.ids, dtype="<u4").tobytes()
-        out = b"".join([known[p] if p in known else here[p] for p in parts])
-        if len(known) + len(here) > CACHE_ENTRIES:
-            known.clear()
-            known[""] = b""
-        known.update((p, x) for p, x in here.items() if len(p) <= CACHE_CHARS)
+        self.divided = Tokenizer.from_file(path)  # for plain pieces, on which the file's normaliser and splitter do nothing more
+        self.divided.no_truncation()
+        self.divided.no_padding()
+        self.divided.normalizer = None
+        self.divided.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.plain = spec["model"].get("end_of_word_suffix") == END and ForcedBoundaryBPE.rules_are_plain(spec)
+        self.last = np.zeros(max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1, bool)
+        self.last[[i for t, i in spec["model"]["vocab"].items() if t.endswith(END)]] = True
+        self.pieces = Recent(CACHE_ENTRIES)
+
+    def one_by_one(self, texts: list[str]) -> dict[str, bytes]:
+        return {p: np.asarray(e.ids, dtype="<u4").tobytes() for p, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False))}
+
+    def library(self, plain: list[str], other: list[str]) -> dict[str, bytes]:
+        """Plain pieces are asked for in one text; each ends where an id with the end-of-word mark does."""
+        out = self.one_by_one(other) if other else {}
+        for k in range(0, len(plain), 2000):
+            part = plain[k : k + 2000]
+            ids = np.asarray(self.divided.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.flatnonzero(self.last[ids]) + 1
+            if len(stops) == len(part):
+                raw, ends = ids.tobytes(), (4 * stops).tolist()
+                out.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                out.update(self.one_by_one(part))
         return out
 
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        divided = [text_pieces(t or "") if self.plain else None for t in texts]
+        table = self.pieces
+        table.turn()
+        found = [list(map(table.get, xs)) if xs is not None else [self.by_chunks(t or "")] for t, xs in zip(texts, divided)]
+        missed = [k for k, ids in enumerate(found) if None in ids]
+        holes = [[j for j, x in enumerate(found[k]) if x is None] for k in missed]
+        new = {divided[k][j] for k, js in zip(missed, holes) for j in js}
+        table.update((x, table.older[x]) for x in new if x in table.older)
+        table.update(self.library([x for x in new if x not in table], []))
+        for k, js in zip(missed, holes):
+            ids, xs = found[k], divided[k]
+            for j in js:
+                ids[j] = table[xs[j]]
+        return list(map(b"".join, found))
+
+    def by_chunks(self, text: str) -> bytes:
+        """A text with other letters: chunk by chunk, plain ones from the table."""
+        parts = [p for p in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if p]
+        split = {p: plain_pieces(p) if self.plain else None for p in set(parts)}
+        plain = {x for xs in split.values() if xs is not None for x in xs}
+        got = self.library([x for x in plain if not self.pieces.has(x)], [p for p, xs in split.items() if xs is None])
+        ids = {p: got[p] if xs is None else b"".join([got[x] if x in got else self.pieces[x] for x in xs]) for p, xs in split.items()}
+        return b"".join([ids[p] for p in parts])
+
+
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def encoder(path: str) -> ChunkEncoder:
+    if path not in _encoders:
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]
+
 
 def write(df: DataFrame, folder: str, path: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encodes (doc_id, text) with the tokenizer file ``path`` and writes the shard files into ``folder``."""
@@ -188,7 +242,7 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 2, shard_tokens:
     runtime.tune(spark)
 
     def run(batches):
-        encode = ChunkEncoder(path)
+        encode = encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         part, shard, before = TaskContext.get().partitionId(), 0, 0
         ids: list[bytes] = []
@@ -205,8 +259,8 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 2, shard_tokens:
             return row
 
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = encode(text) + end
+            for key, x in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
+                x += end
                 if ids and held + len(x) // 4 > shard_tokens:
                     yield flush()
                 ids.append(x)
