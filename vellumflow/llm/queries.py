@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, neardup, packing, quality, runtime, secrets, substring, topk, toxicity, wavelet
+from . import bpe, fingerprint, neardup, packing, quality, runtime, secrets, sql, substring, topk, toxicity, wavelet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -60,4 +60,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secrets.sql(), "op9_exact_top_k": topk.sql()}
+    return {
+        "op1_secret_scan": secrets.sql(),
+        "op4_packing": sql.packs(),
+        "op8_ngram_jaccard": sql.near_duplicates(),
+        "op9_exact_top_k": topk.sql(),
+        "op10_substring_dedup": sql.substrings(),
+    }
