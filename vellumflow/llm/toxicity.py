@@ -25,7 +25,9 @@ MOST, SLICE = 2000, 200
 THRESHOLD = 0.3
 SENTENCE_THRESHOLD = 0.3
 EPOCHS, RATE, BATCH, LEAST_DOCS = 20, 1.0, 64, 3
-START = -6.0
+START = -7.0
+#: How much a clean document counts against a toxic one (classes are drawn evenly), and the pull of each weight to 0.
+CLEAN_WEIGHT, SHRINK = 2.0, 0.0
 _OUTER = np.zeros(256, bool)
 _OUTER[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _STOP = np.zeros(256, bool)
@@ -81,8 +83,10 @@ class Model:
         self.padded = np.append(weights, np.float32(0))
 
     def sentence_scores(self, features: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
+        """0 without any evidence, so that the length of a document alone never makes it toxic."""
         value = self.padded[features].sum(1, dtype=np.float64)
-        return _sigmoid(self.bias + np.bincount(sentence, value, n))
+        none = _sigmoid(np.array(self.bias))
+        return np.maximum(0, (_sigmoid(self.bias + np.bincount(sentence, value, n)) - none) / (1 - none))
 
 
 def train(texts: pa.Array, y: np.ndarray) -> Model | None:
@@ -121,11 +125,11 @@ def train(texts: pa.Array, y: np.ndarray) -> Model | None:
             p = _sigmoid(bias + np.bincount(si, w[fi], start[-1]))
             who = np.repeat(np.arange(len(batch)), count)
             none = np.exp(np.bincount(who, np.log1p(-np.minimum(p, 1 - 1e-9)), len(batch)))
-            pull = np.where(y[batch] == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
+            pull = np.where(y[batch] == 1, -none / np.maximum(1 - none, 1e-9), CLEAN_WEIGHT)
             gz = p * pull[who]
             grad = np.bincount(fi, gz[si], 1 << BITS) / len(batch)
             on = np.flatnonzero(grad)
-            step = grad[on] + 1e-5 * w[on]
+            step = grad[on] + SHRINK / len(batch)
             g2[on] += step**2
             w[on] = np.maximum(w[on] - RATE * step / np.sqrt(g2[on]), 0)  # evidence only adds
             gb = gz.sum() / len(batch)
