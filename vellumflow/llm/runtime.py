@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows that an Arrow batch holds at most, so that a Python worker sees some megabytes of text at a time.
 BATCH_ROWS = 1000
+#: And bytes, so that long texts come in smaller batches.
+BATCH_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def tune(spark: SparkSession) -> None:
+    """Bounds the batches that Python workers get; to be called before a plan with Python in it runs."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def partitions(spark: SparkSession) -> int:
