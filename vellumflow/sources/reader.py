@@ -19,6 +19,8 @@ PARSERS = {
     "html": (html.parse, True), "md": (markup.markdown, True), "asciidoc": (markup.asciidoc, True), "csv": (markup.separated, True), "vtt": (markup.webvtt, True), "xml_jats": (xmldocs.jats, True), "xml_uspto": (xmldocs.patent, True),
     "json_tree": (xmldocs.saved, True), "docx": (office.docx, False), "pptx": (office.pptx, False), "xlsx": (office.xlsx, False), "ofd": (xmldocs.ofd, False), "mets_gbs": (xmldocs.mets, False),
 }
+#: Bytes of documents that a Python worker gets at a time.
+BATCH_BYTES = 32 << 20
 #: Formats that need a model, which has to be plugged in.
 PLUGGED = ("pdf", "image", "audio")
 
@@ -63,6 +65,7 @@ def items(df: DataFrame, kind: str | None = None, content: str = "content", key:
     ``kind`` is the format of all rows, or that of a column named format. Each Arrow batch is parsed on its own, so
     tasks stay narrow and no row is shuffled.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = df.select(F.col(key).alias("key"), F.col(content).alias("content"), (F.lit(kind) if kind else F.col("format")).alias("format"), (F.col(base) if base else F.lit(None).cast("string")).alias("base"))
     schema = StructType.fromDDL(f"key {df.schema[key].dataType.simpleString()}, error string, {ITEM_FIELDS}")
     arrow, names = to_arrow_schema(schema), schema.names
