@@ -34,3 +34,37 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main([str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--to", "md", "outline"]) == 1
     assert capsys.readouterr().out.strip() == "1 failure, 1 success"
     assert spark.read.parquet(str(tmp_path / "out/md")).first()["markdown"] == "# A"
+
+
+def test_sql_functions(spark):
+    from vellumflow.plans import sql
+
+    sql.register(spark)
+    spark.createDataFrame([(1, "md", "# A\n\nb"), (2, "csv", "a,b\n1,2"), (3, "none", "x")], "id int, kind string, content string").createOrReplaceTempView("docs_in")
+    got = spark.sql("SELECT id, label, text, error FROM docs_in, LATERAL parse_document(kind, content)").collect()
+    assert sorted((r["id"], r["label"], r["text"]) for r in got if r["error"] is None) == [(1, "text", "b"), (1, "title", "A"), (2, "table", None)]
+    assert [r["id"] for r in got if r["error"]] == [3]
+    assert spark.sql("SELECT detect_format('x.html', encode('x', 'utf-8'))").first()[0] == "html"
+
+
+def test_timeout(spark, tmp_path):
+    from vellumflow.plans.convert import DocumentConverter
+
+    (tmp_path / "a.md").write_text("# A")
+    r = DocumentConverter(spark, document_timeout=-1.0).convert_all(str(tmp_path))
+    assert [(x["status"], x["error"]) for x in r.documents.collect()] == [("partial_success", "document timeout exceeded")] and r.items.count() == 1
+
+
+def test_pictures():
+    import struct
+
+    from vellumflow.sources import images
+
+    png = b"\x89PNG\r\n\x1a\n" + b"\0" * 8 + struct.pack(">II", 30, 20)
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x11\x08" + struct.pack(">HH", 20, 30) + b"\0" * 9
+    entry = lambda tag, v: struct.pack("<HHII", tag, 4, 1, v)
+    ifd = lambda w, nxt: struct.pack("<H", 2) + entry(256, w) + entry(257, 20) + struct.pack("<I", nxt)
+    tiff = b"II*\x00" + struct.pack("<I", 8) + ifd(30, 38) + ifd(31, 0)
+    assert images.frames(png) == images.frames(jpeg) == [(30, 20)] and images.frames(tiff) == [(30, 20), (31, 20)]
+    assert images.frames(b"BM" + b"\0" * 16 + struct.pack("<ii", 30, -20)) == [(30, 20)] and images.frames(b"GIF89a" + struct.pack("<HH", 30, 20)) == [(30, 20)]
+    assert [(x.label, x.page) for x in images.parse(tiff).items] == [("chapter", 1), ("picture", 1), ("chapter", 2), ("picture", 2)]

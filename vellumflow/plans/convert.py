@@ -79,8 +79,8 @@ class Result:
 class DocumentConverter:
     """Converts files of the allowed formats (all, if none are named)."""
 
-    def __init__(self, spark: SparkSession, allowed_formats: tuple[str, ...] | None = None):
-        self.spark, self.allowed = spark, allowed_formats
+    def __init__(self, spark: SparkSession, allowed_formats: tuple[str, ...] | None = None, document_timeout: float | None = None):
+        self.spark, self.allowed, self.timeout = spark, allowed_formats, document_timeout
 
     def convert_all(self, path: str, limits: Limits = Limits(), patterns: str | None = None, raises_on_error: bool = False) -> Result:
         found = reader.inputs(reader.files(self.spark, path, patterns), self.allowed, limits.max_file_size)
@@ -96,17 +96,18 @@ class DocumentConverter:
         return self._result(rows, limits, False, "base")
 
     def _result(self, found: DataFrame, limits: Limits, strict: bool, base: str | None = None) -> Result:
-        parsed = reader.items(found.where("status = 'pending'"), base=base)
+        parsed = reader.items(found.where("status = 'pending'"), base=base, timeout=self.timeout)
         first, last = limits.page_range
-        pages = parsed.groupBy("doc_id").agg(F.max("error").alias("parse_error"), F.max("page").alias("n_pages"))
+        pages = parsed.groupBy("doc_id").agg(F.max(F.when(F.col("error") != reader.TOO_LATE, F.col("error"))).alias("parse_error"), F.bool_or(F.coalesce(F.col("error") == reader.TOO_LATE, F.lit(False))).alias("late"), F.max("page").alias("n_pages"))
         docs = found.drop("content").join(pages, "doc_id", "left")
         many = F.col("n_pages") > limits.max_num_pages if limits.max_num_pages is not None else F.lit(False)
         beyond = F.coalesce(F.col("n_pages") < first, F.lit(False))
         live = F.col("status") == "pending"
         error = F.coalesce(F.col("error"), F.when(live & F.col("parse_error").isNotNull(), F.col("parse_error")).when(live & many, "too many pages").when(live & beyond, "first page beyond the end"))
-        docs = docs.withColumn("error", error).withColumn("status", F.when(~live, F.col("status")).when(F.col("error").isNotNull(), "failure").otherwise("success")).drop("parse_error")
-        if strict and (bad := docs.where("status <> 'success'").select("file", "error").first()):
+        docs = docs.withColumn("error", error).withColumn("status", F.when(~live, F.col("status")).when(F.col("error").isNotNull(), "failure").when(F.coalesce("late", F.lit(False)), "partial_success").otherwise("success"))
+        docs = docs.withColumn("error", F.when(F.col("status") == "partial_success", reader.TOO_LATE).otherwise(F.col("error"))).drop("parse_error", "late")
+        if strict and (bad := docs.where("status NOT IN ('success', 'partial_success')").select("file", "error").first()):
             raise ConversionError(f"{bad['file']}: {bad['error']}")
-        good = docs.where("status = 'success'").select("doc_id").distinct()
+        good = docs.where("status IN ('success', 'partial_success')").select("doc_id").distinct()
         kept = parsed.where(F.col("error").isNull() & (F.col("page").isNull() | F.col("page").between(first, last))).join(good, "doc_id", "left_semi")
         return Result(docs, kept)

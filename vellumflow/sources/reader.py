@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import time
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from vellumflow.sources import formats, html, markup, office, xmldocs
+from vellumflow.sources import formats, html, images, markup, office, xmldocs
 from vellumflow.sources.tree import ITEM_FIELDS, Tree
 
 #: For each format its parser and whether that takes text.
 PARSERS = {
     "html": (html.parse, True), "md": (markup.markdown, True), "asciidoc": (markup.asciidoc, True), "csv": (markup.separated, True), "vtt": (markup.webvtt, True), "xml_jats": (xmldocs.jats, True), "xml_uspto": (xmldocs.patent, True),
-    "json_tree": (xmldocs.saved, True), "docx": (office.docx, False), "pptx": (office.pptx, False), "xlsx": (office.xlsx, False), "ofd": (xmldocs.ofd, False), "mets_gbs": (xmldocs.mets, False),
+    "json_tree": (xmldocs.saved, True), "docx": (office.docx, False), "pptx": (office.pptx, False), "xlsx": (office.xlsx, False), "ofd": (xmldocs.ofd, False), "mets_gbs": (xmldocs.mets, False), "image": (images.parse, False),
 }
 #: Bytes of documents that a Python worker gets at a time.
 BATCH_BYTES = 32 << 20
 #: Formats that need a model, which has to be plugged in.
-PLUGGED = ("pdf", "image", "audio")
+PLUGGED = ("pdf", "audio")
+TOO_LATE = "document timeout exceeded"
 
 
 def parse(kind: str, content: bytes | str, base: str | None = None) -> Tree:
@@ -59,11 +61,12 @@ def inputs(found: DataFrame, allowed: tuple[str, ...] | None = None, max_size: i
     return rows.withColumn("status", status).withColumn("error", error).select(F.when(live, F.sha2("content", 256)).alias("doc_id"), "file", "format", F.col("length").alias("filesize"), "status", "error", F.when(live, F.col("content")).alias("content"))
 
 
-def items(df: DataFrame, kind: str | None = None, content: str = "content", key: str = "doc_id", base: str | None = None) -> DataFrame:
+def items(df: DataFrame, kind: str | None = None, content: str = "content", key: str = "doc_id", base: str | None = None, timeout: float | None = None) -> DataFrame:
     """(key, error, items...) rows of each document: a document that cannot be parsed gives one row with its error.
 
     ``kind`` is the format of all rows, or that of a column named format. Each Arrow batch is parsed on its own, so
-    tasks stay narrow and no row is shuffled.
+    tasks stay narrow and no row is shuffled. A document that took longer than ``timeout`` seconds keeps its items and
+    gets one more row that says so.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = df.select(F.col(key).alias("key"), F.col(content).alias("content"), (F.lit(kind) if kind else F.col("format")).alias("format"), (F.col(base) if base else F.lit(None).cast("string")).alias("base"))
@@ -74,6 +77,7 @@ def items(df: DataFrame, kind: str | None = None, content: str = "content", key:
         for b in batches:
             out: list[dict] = []
             for k, c, f, u in zip(*(b.column(j).to_pylist() for j in range(4))):
+                began = time.monotonic()
                 try:
                     if c is None:
                         raise ValueError("no content")
@@ -86,6 +90,8 @@ def items(df: DataFrame, kind: str | None = None, content: str = "content", key:
                     if row["cells"] is not None:
                         row["cells"] = [dict(zip(("r0", "r1", "c0", "c1", "text", "column_header", "row_header"), x)) for x in row["cells"]]
                     out.append(row)
+                if timeout is not None and time.monotonic() - began > timeout:
+                    out.append({"key": k, "error": TOO_LATE})
             yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in out], schema=arrow)
 
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
