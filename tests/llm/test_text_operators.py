@@ -166,6 +166,18 @@ def test_bpe_as_the_library(spark, rows):
     assert all(back[i] == t.decode(t.encode(x or "", add_special_tokens=False).ids, skip_special_tokens=False) for i, x in odd)
 
 
+def test_another_kind_of_file():
+    from tokenizers import Tokenizer
+
+    P = pytest.importorskip("public_tokenizers")
+    other = P.path("byte_bpe_50k.json")
+    texts = ["Two  spaces", None, "", "é 1"]
+    want = [Tokenizer.from_file(other).encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in wavelet.ChunkEncoder(other)(texts)] == want
+    with pytest.raises(ValueError):
+        bpe.ForcedBoundaryBPE(other)
+
+
 def test_long_fragments_merge_alike():
     e = bpe.encoder(path())
     parts = e.letters("abcdefghijklmnop" * 3, True)

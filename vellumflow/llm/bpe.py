@@ -49,6 +49,8 @@ class ForcedBoundaryBPE:
         model = spec["model"]
         if model["type"] != "BPE" or model.get("end_of_word_suffix") != END or spec.get("decoder") is not None:
             raise ValueError("a BPE file with the end-of-word mark and without a decoder is needed")
+        if not self.rules_are_plain(spec):
+            raise ValueError("a file whose rules drop white space and split words is needed")
         self.rules = Tokenizer.from_file(path)  # its normaliser and splitter only
         self.vocab: dict[str, int] = model["vocab"]
         self.tokens = {i: t for t, i in self.vocab.items()}
@@ -61,14 +63,14 @@ class ForcedBoundaryBPE:
         for token in self.vocab:
             letters = self.letters(token[: -len(END)], True) if token.endswith(END) and len(token) > len(END) else self.letters(token, False)
             self.joined.update(zip(letters, letters[1:]))
-        self.plain = self.special.keys() <= {"<|startoftext|>", "<|endoftext|>"} and self.rules_are_plain(spec)
+        self.plain = all(x.startswith("<|") for x in self.special)
         self.letter = byte_letters()
         self.pieces: dict[str, tuple[int, ...]] = {}
 
     @staticmethod
     def rules_are_plain(spec: dict) -> bool:
         """Whether the file splits as ``plain_pieces`` does: checked on its rules' own text."""
-        kinds = [x["type"] for x in spec["normalizer"].get("normalizers", [])] + [x["type"] for x in spec["pre_tokenizer"].get("pretokenizers", [])]
+        kinds = [x["type"] for part, name in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")) for x in (spec.get(part) or {}).get(name, [])]
         return kinds == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"] and "'s|'t|'re|'ve|'m|'ll|'d|" in json.dumps(spec["pre_tokenizer"])
 
     @staticmethod

@@ -202,7 +202,9 @@ class ChunkEncoder:
         return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        divided = [text_pieces(t or "") if self.plain else None for t in texts]
+        if not self.plain:  # another kind of file: whole texts, nothing looked up
+            return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        divided = [text_pieces(t or "") for t in texts]
         table = self.pieces
         table.turn()
         found = [list(map(table.get, xs)) if xs is not None else [self.by_chunks(t or "")] for t, xs in zip(texts, divided)]
@@ -220,7 +222,7 @@ class ChunkEncoder:
     def by_chunks(self, text: str) -> bytes:
         """A text with other letters: chunk by chunk, plain ones from the table."""
         parts = [p for p in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if p]
-        split = {p: plain_pieces(p) if self.plain else None for p in set(parts)}
+        split = {p: plain_pieces(p) for p in set(parts)}
         plain = {x for xs in split.values() if xs is not None for x in xs}
         got = self.library([x for x in plain if not self.pieces.has(x)], [p for p, xs in split.items() if xs is None])
         ids = {p: got[p] if xs is None else b"".join([got[x] if x in got else self.pieces[x] for x in xs]) for p, xs in split.items()}
