@@ -18,6 +18,7 @@ Null texts have no words. Rows of equal doc_id never remove from each other. A n
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,37 +35,33 @@ SHARD_WORDS = 40_000
 LAST = 2**63 - 1
 
 
-def runs_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, text, first window, windows) of each run of a document's word hashes; at most SPAN windows a run."""
-    seeds = windows(hashes, SEED)
+def batch_runs(column: pa.Array):
+    """(row, minimiser, text, first window, windows) of every run of an Arrow column of texts: consecutive windows of one
+    document and one minimiser, at most SPAN in a run."""
+    hashes, _, _, counts = words(*column_bytes(column))
+    none = np.zeros(0, np.int64)
     n = len(hashes) - WINDOW + 1
     if n <= 0:
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, U64), np.zeros(0, U64), none, none
+        return none, np.zeros(0, U64), np.zeros(0, U64), none, none
+    base = np.cumsum(counts) - counts
+    doc = np.repeat(np.arange(len(counts)), counts)
+    at = np.flatnonzero(doc[:n] == doc[WINDOW - 1 :])  # windows that lie in one document
+    seeds = windows(hashes, SEED)
     least = seeds[:n].copy()
     for k in range(1, SPAN):
         np.minimum(least, seeds[k : k + n], out=least)
-    change = np.flatnonzero(least[1:] != least[:-1]) + 1
-    first = np.concatenate([[0], change])
-    count = np.diff(np.concatenate([first, [n]]))
+    least = least[at]
+    begins = np.ones(len(at), bool)
+    begins[1:] = (least[1:] != least[:-1]) | (doc[at[1:]] != doc[at[:-1]])
+    first = np.flatnonzero(begins)
+    count = np.diff(np.concatenate([first, [len(at)]]))
     if (count > SPAN).any():  # a seed that repeats within the document
         parts = -(-count // SPAN)
         k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first, count = np.repeat(first, parts) + SPAN * k, np.minimum(np.repeat(count, parts) - SPAN * k, SPAN)
-    return least[first], stretches(hashes, first, first + count + WINDOW - 1), first, count
-
-
-def batch_runs(column: pa.Array):
-    """(row, minimiser, text, first window, windows) of every run of an Arrow column of texts."""
-    raw, at = column_bytes(column)
-    hashes, _, _, counts = words(raw, at)
-    got = [[np.zeros(0, np.int64)], [np.zeros(0, U64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
-    base = np.cumsum(counts) - counts
-    for k in np.flatnonzero(counts >= WINDOW).tolist():
-        run = runs_of(hashes[base[k] : base[k] + counts[k]])
-        for held, x in zip(got, (np.full(len(run[0]), k), *run)):
-            held.append(x)
-    return tuple(map(np.concatenate, got))
+    start = at[first]
+    row = doc[start]
+    return row, least[first], stretches(hashes, start, start + count + WINDOW - 1), start - base[row], count
 
 
 class Automaton:
@@ -162,24 +159,20 @@ def _texts(joined: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            raw, at = column_bytes(b.column(1))
-            hashes, start, end, counts = words(raw, at)
-            data, base = raw.tobytes(), np.cumsum(counts) - counts
             out: list[list] = [[] for _ in names]
             hs, cs, offs, ids, hots, texts = out
-            for k, (i, runs) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())):
-                span = slice(base[k], base[k] + counts[k])
-                s, e = start[span], end[span]
-                flat = b" ".join([data[x:y] for x, y in zip(s.tolist(), e.tolist())])
-                stop = np.cumsum(e - s + 1)
-                stop, begin = (stop - 1).tolist(), (stop - (e - s + 1)).tolist()
+            for i, text, runs in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
+                own = text.split()  # at the same six bytes as everywhere here
+                flat = b" ".join(own)
+                stop = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1) - 1
+                begin = np.concatenate([[0], stop[:-1] + 1]).tolist()
+                stop = stop.tolist()
+                hashes = words(*column_bytes(pa.array([text])))[0] if any(x["hot"] for x in runs) else None
                 for x in runs:
                     first, size = x["first"], x["size"]
                     if x["hot"]:
-                        g = windows(hashes[span][first : first + size + WINDOW - 1], WINDOW).view(np.int64).tolist()
-                        for p in range(size):
-                            texts.append(flat[begin[first + p] : stop[first + p + WINDOW - 1]])
-                        hs += g
+                        hs += windows(hashes[first : first + size + WINDOW - 1], WINDOW).view(np.int64).tolist()
+                        texts += [flat[begin[p] : stop[p + WINDOW - 1]] for p in range(first, first + size)]
                         offs += range(size)
                     else:
                         texts.append(flat[begin[first] : stop[first + size + WINDOW - 2]])
@@ -305,16 +298,16 @@ def report(df: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            raw, at = column_bytes(b.column(1))
-            _, start, end, counts = words(raw, at)
-            data, base, removed, sha = raw.tobytes(), np.cumsum(counts) - counts, [], []
-            for k, (cut, whole) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                s, e = start[base[k] : base[k] + counts[k]], end[base[k] : base[k] + counts[k]]
-                if (keep := _kept(len(s), cut, whole)) is not None:
-                    s, e = s[keep], e[keep]
-                removed.append(int(counts[k]) - len(s))
-                sha.append(hashlib.sha256(b" ".join([data[x:y] for x, y in zip(s.tolist(), e.tolist())])).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+            count, removed, sha = [], [], []
+            for text, cut, whole in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                own = (text or b"").split()  # at the same six bytes as everywhere here
+                n = len(own)
+                if (keep := _kept(n, cut, whole)) is not None:
+                    own = list(compress(own, keep.tolist()))
+                count.append(n)
+                removed.append(n - len(own))
+                sha.append(hashlib.sha256(b" ".join(own)).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     rows = _cut_rows(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     return rows.select("doc_id", "text", "__cut", "__whole").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
@@ -327,19 +320,18 @@ def remove(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     def run(batches):
         for b in batches:
-            texts, own = b.column(place), []
-            raw, at = column_bytes(texts)
-            _, start, end, counts = words(raw, at)
-            data, base = raw.tobytes(), np.cumsum(counts) - counts
+            own = b.column(place).to_pylist()
             for k, (cut, whole) in enumerate(zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist())):
-                keep = _kept(int(counts[k]), cut, whole)
+                if own[k] is None or not (cut or whole):
+                    continue
+                data = own[k].encode()
+                _, s, _, _ = words(*column_bytes(pa.array([data])))
+                keep = _kept(len(s), cut, whole)
                 if keep is None:
-                    own.append(texts[k].as_py())
                     continue
-                s = np.append(start[base[k] : base[k] + counts[k]], at[k + 1])
+                s = np.append(s, len(data))
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], keep, [False]]).astype(np.int8)))
-                pieces = [data[s[x] : s[y]] for x, y in zip(edge[::2].tolist(), edge[1::2].tolist())]
-                own.append(b"".join(pieces).decode())
+                own[k] = b"".join([data[s[x] : s[y]] for x, y in zip(edge[::2].tolist(), edge[1::2].tolist())]).decode()
             arrays = [pa.array(own, pa.string()) if j == place else c for j, c in enumerate(b.columns[:-2])]
             yield pa.RecordBatch.from_arrays(arrays, b.schema.names[:-2])
 
