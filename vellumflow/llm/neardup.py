@@ -209,7 +209,12 @@ def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id",
     classes = runtime.save(classes.withColumn("node", F.col("lo") if unique else F.xxhash64("s1", "s2")), "classes")
 
     # 1: shingles of hash-ordered prefixes that occur in two classes
-    chosen = classes.select("s1", "s2", "lo", "node").join(sets.select("id", "s1", "s2", "prefix"), ["s1", "s2"]).where("id = lo")
+    others = first.join(classes, ["s1", "s2"]).where("id > lo").select("id", "s1", "s2").distinct()
+    others = runtime.save(others, "others")  # rows that another one stands for: few enough to be told apart by a sieve
+    maybe = runtime.sieve(others, "id")
+    full = sets.where("n > 0")
+    chosen = full.where(~maybe("id")).unionByName(full.where(maybe("id")).join(others.hint("merge"), ["id", "s1", "s2"], "left_anti").select(full.columns))
+    chosen = chosen.withColumn("node", F.col("id") if unique else F.xxhash64("s1", "s2"))
     if not unique:
         chosen = chosen.dropDuplicates(["node"])
     sent = chosen.select("node", F.explode("prefix").alias("h"))
