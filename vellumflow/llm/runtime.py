@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Rows that an Arrow batch holds at most, so that a Python worker sees some megabytes of text at a time.
 BATCH_ROWS = 1000
 #: And bytes, so that long texts come in smaller batches.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
