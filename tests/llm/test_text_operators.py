@@ -260,6 +260,16 @@ def brute_components(rows):
     return [(i, len(sets[k]), None if least[top(k)] == neardup.LAST else least[top(k)]) for k, (i, _) in enumerate(rows)]
 
 
+def brute_parts(rows):
+    """The distinct rows with words, by component."""
+    rows = [r for r in dict.fromkeys(rows) if brute_sets(r[1])]
+    named = brute_components([(k, t) for k, (_, t) in enumerate(rows)])
+    parts = {}
+    for k, _, c in named:
+        parts.setdefault(c, []).append(rows[k])
+    return list(parts.values())
+
+
 @pytest.mark.parametrize("odd, rare", [(False, 64), (True, 64), (False, 1)])
 def test_near_duplicates(spark, rows, monkeypatch, odd, rare):
     rng = __import__("random").Random(5)
@@ -277,6 +287,21 @@ def test_near_duplicates(spark, rows, monkeypatch, odd, rare):
     assert got == sorted(brute_components(all_rows), key=str)
 
 
+def test_keep_one_with_odd_ids(spark, rows):
+    near = cases.prose(__import__("random").Random(8), 100)
+    all_rows = [*cases.with_odd_ids(rows), (7000, near), (7000, near + " more"), (7000, near.upper()), (None, near + " words"), (None, "unlike all"), (None, ""), (None, None), (None, "")]
+    got = [(r["doc_id"], r["text"]) for r in neardup.keep_one(cases.frame(spark, all_rows)).collect()]
+    assert len(set(got)) == len(got) and set(got) <= set(all_rows)
+    parts = brute_parts(all_rows)
+    kept = [[r for r in part if r in got] for part in parts]
+    big = lambda i: neardup.LAST if i is None else i
+    for part, left in zip(parts, kept):
+        assert len(left) == 1 and big(left[0][0]) == min(big(i) for i, _ in part), part
+    blank = {r for r in all_rows if not brute_sets(r[1])}
+    assert blank <= set(got) and len(got) == len(parts) + len(blank)
+    assert {(None, "only here"), (None, "unlike all")} <= set(got)
+
+
 def test_signatures_cover_every_link():
     rng = np.random.default_rng(2)
     universe = rng.integers(1, 2**63, 4000).astype(np.uint64)

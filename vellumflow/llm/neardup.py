@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from . import runtime
 from .textscan import U64, column_bytes, mix, windows, words
@@ -106,14 +107,20 @@ def signatures(n: int, tokens: np.ndarray, frequency: np.ndarray, percent: int):
             earlier.append(t)
 
 
+def _marks(s: np.ndarray) -> tuple[int, int]:
+    """(s1, s2), the fingerprint of a set."""
+    return int(mix(s).sum(dtype=U64).astype(np.int64)), int(mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64).astype(np.int64))
+
+
 def _sets(docs: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             n, one, two, prefix = [], [], [], []
             for s in shingle_sets(b.column(1)):
                 n.append(len(s))
-                one.append(int(mix(s).sum(dtype=U64).astype(np.int64)))
-                two.append(int(mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64).astype(np.int64)))
+                s1, s2 = _marks(s)
+                one.append(s1)
+                two.append(s2)
                 prefix.append(s[: len(s) - least_overlap(len(s), percent) + spare(len(s))].view(np.int64))
             at = np.cumsum([0, *map(len, prefix)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
@@ -195,8 +202,23 @@ def links(tokens: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, comp) of every row: its set size and the least id of its component."""
+def _marked(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the size and the fingerprint of each row's set: __n, __s1, __s2."""
+
+    def run(batches):
+        for b in batches:
+            sets = shingle_sets(b.column("__text"))
+            marks = [_marks(s) for s in sets]
+            more = [pa.array([len(s) for s in sets], pa.int32()), pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *more], [*b.schema.names[:-1], "__n", "__s1", "__s2"])
+
+    schema = StructType([*rows.schema.fields, *(StructField(c, t) for c, t in (("__n", IntegerType()), ("__s1", LongType()), ("__s2", LongType())))])
+    return rows.withColumn("__text", runtime.text_of(text)).mapInArrow(run, schema)
+
+
+def _labelled(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFrame, bool]:
+    """(id, n, s1, s2, least) of every row, and whether ids are unique. ``least`` is the least (lo, s1, s2) of the row's
+    component, one set of it even where ids repeat; null for empty sets."""
     spark = df.sparkSession
     runtime.tune(spark)
     docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -242,22 +264,35 @@ def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id",
 
     # 3: candidates, links, components
     comps = runtime.components(links(tokens, percent))
-    least = comps.join(classes.select("node", "lo"), "node").groupBy("comp").agg(F.min("lo").alias("least"))
-    of_class = classes.join(comps.join(least, "comp").select("node", "least"), "node", "left").select("s1", "s2", F.coalesce("least", "lo").alias("comp"))
-    return first.select("id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left").select("id", "n", F.coalesce("comp", "id").alias("comp"))
+    least = comps.join(classes.select("node", F.struct("lo", "s1", "s2").alias("own")), "node").groupBy("comp").agg(F.min("own").alias("least"))
+    of_class = classes.join(comps.join(least, "comp").select("node", "least"), "node", "left").select("s1", "s2", F.coalesce("least", F.struct("lo", "s1", "s2")).alias("least"))
+    return first.select("id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left").select("id", "n", "s1", "s2", "least"), unique
+
+
+def near_duplicates(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n, comp) of every row: its set size and the least id of its component."""
+    return _labelled(df, percent, key, text)[0].select("id", "n", F.coalesce("least.lo", "id").alias("comp"))
 
 
 def keep_one(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` without the rows whose component holds a smaller id; of repeated rows of one id and text, one stays."""
-    found = near_duplicates(df, percent, key, text)
-    drop = runtime.save(found.where("comp < id").select(F.col("id").alias("__id"), F.col("n").alias("__n")).distinct(), "drop")
-    size = df.agg(F.count("*").alias("n"), F.count_distinct(F.coalesce(F.col(key).cast("long"), F.lit(LAST))).alias("ids")).first()
-    if size["n"] != size["ids"]:
-        df = df.dropDuplicates([key, text])
+    """One row of each component of ``df``, one with the least id; where several sets have that id, the one with the least
+    fingerprint, and of its rows the one with the least text. Of empty texts, repeated rows of one id and text become one."""
+    found, unique = _labelled(df, percent, key, text)
+    kept = (F.col("id") == F.col("least.lo")) & (F.col("s1") == F.col("least.s1")) & (F.col("s2") == F.col("least.s2"))
+    drop = runtime.save(found.where("n > 0").where(~kept).select(F.col("id").alias("__id"), F.col("s1").alias("__s1"), F.col("s2").alias("__s2")).distinct(), "drop")
     rows = df.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
-    passes = runtime.sieve(drop, "__id")
-    stay = rows.where(passes("__id")).join(drop.select("__id").hint("merge"), "__id", "left_anti")
-    return rows.where(~passes("__id")).unionByName(stay).drop("__id")
+    if unique:
+        passes = runtime.sieve(drop, "__id")
+        stay = rows.where(passes("__id")).join(drop.select("__id").hint("merge"), "__id", "left_anti")
+        return rows.where(~passes("__id")).unionByName(stay).drop("__id")
+    # an id does not name a row: those of repeated ids and of ids in ``drop`` are told apart by their sets
+    again = rows.groupBy("__id").agg(F.count("*").alias("k")).where("k > 1").select("__id")
+    passes = runtime.sieve(runtime.save(drop.select("__id").union(again), "again"), "__id")
+    marked = _marked(rows.where(passes("__id")), text)
+    blank = F.when(F.col("__n") == 0, F.struct(key, text)).alias("__blank")
+    one = marked.groupBy("__id", "__s1", "__s2", blank).agg(F.min_by(F.struct(*df.columns), runtime.text_of(text)).alias("__row"))
+    stay = one.join(drop.hint("merge"), ["__id", "__s1", "__s2"], "left_anti").select("__row.*")
+    return rows.where(~passes("__id")).drop("__id").unionByName(stay)
 
 
 def report(df: DataFrame) -> DataFrame:
