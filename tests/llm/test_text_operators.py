@@ -260,6 +260,16 @@ def brute_components(rows):
     return [(i, len(sets[k]), None if least[top(k)] == neardup.LAST else least[top(k)]) for k, (i, _) in enumerate(rows)]
 
 
+def test_near_copies_of_equal_size_under_one_id(spark):
+    rng = __import__("random").Random(11)
+    all_rows = []
+    for k in range(12):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(84)]
+        all_rows += [(100 + k, " ".join(w)), (None if k % 2 else 50, " ".join([*w[:-1], "changed"]))]
+    got = sorted((tuple(r) for r in neardup.report(cases.frame(spark, all_rows)).collect()), key=str)
+    assert got == sorted(brute_components(all_rows), key=str)
+
+
 def brute_parts(rows):
     """The distinct rows with words, by component."""
     rows = [r for r in dict.fromkeys(rows) if brute_sets(r[1])]

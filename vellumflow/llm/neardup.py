@@ -140,6 +140,20 @@ def _whole_sets(rows: DataFrame) -> DataFrame:
     return rows.select("node", "n", "text").mapInArrow(run, "node long, n int, h array<long>")
 
 
+def _own_sets(docs: DataFrame) -> DataFrame:
+    """The set of each text beside its id and its fingerprint."""
+
+    def run(batches):
+        for b in batches:
+            sets = shingle_sets(b.column(1))
+            marks = [_marks(s) for s in sets]
+            at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()), lists], ["id", "s1", "s2", "h"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, s1 long, s2 long, h array<long>")
+
+
 def _index(tokens: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -250,10 +264,13 @@ def _labelled(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFra
 
     # 2: frequencies among the classes left
     passes = runtime.sieve(alive, "id")
-    texts = docs.where(passes("id")).join(alive.hint("merge"), "id")
-    if not unique:
-        texts = texts.dropDuplicates(["node", "text"])
-    whole = runtime.save(_whole_sets(texts).where(F.size("h") == F.col("n")) if unique else _whole_sets(texts).where(F.size("h") == F.col("n")).dropDuplicates(["node"]), "whole")
+    if unique:
+        texts = docs.where(passes("id")).join(alive.hint("merge"), "id")
+        whole = _whole_sets(texts).where(F.size("h") == F.col("n"))
+    else:  # an id does not name a text: each set goes to the class of its fingerprint
+        own = _own_sets(docs.where(passes("id"))).dropDuplicates(["id", "s1", "s2"])
+        whole = own.join(alive.hint("merge"), ["id", "s1", "s2"]).select("node", "n", "h")
+    whole = runtime.save(whole, "whole")
     runtime.release(spark)
     each = whole.select("node", "n", F.explode("h").alias("h"))
     often = each.groupBy("h").agg(F.count("*").cast("int").alias("f")).where("f > 1")
