@@ -32,3 +32,10 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_aps_records_keep_long_values(spark, tmp_path):
+    made = spark.createDataFrame([(1, "x" * 3000, "m", 2)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey long")
+    made.write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r["field"]: r["value"] for r in catalogue.queries()["aps_records"](spark, str(tmp_path)).collect()}
+    assert got["TTL"] == "x" * 3000 + " m more"

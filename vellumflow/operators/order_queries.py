@@ -238,7 +238,7 @@ def aps_records(spark, folder):
     made = F.array(F.lit("PATN"), s("WKU  ", "c_custkey"), s("TTL  ", "c_name"), s("     ", "c_mktsegment"), F.lit("     more"), F.lit("ABST"), s("PAL  bal ", "c_nationkey"))
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("doc"), F.posexplode(made).alias("k", "line"))
     w = Window.partitionBy("doc").orderBy("k")
-    p = rows.withColumn("field", F.trim(F.left("line", F.lit(5)))).withColumn("value", F.trim(F.substring("line", 6, 1000)))
+    p = rows.withColumn("field", F.trim(F.left("line", F.lit(5)))).withColumn("value", F.trim(F.substr(F.col("line"), F.lit(6))))
     g = p.withColumn("rec", F.sum(F.when(F.col("field") != "", 1).otherwise(0)).over(w))
     value = F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "value"))), lambda x: x["value"]), " "))
     return g.groupBy("doc", "rec").agg(F.max("field").alias("field"), value.alias("value"))
