@@ -364,6 +364,15 @@ def test_substring_dedup(spark, rows, monkeypatch, odd, hot, shard):
     assert got == want and any(r[2] for r in want)
 
 
+def test_substring_dedup_without_sieve_and_many_null_ids(spark, rows, monkeypatch):
+    monkeypatch.setattr(runtime.Sieve, "MOST_BLOCKS", 0)
+    all_rows = [(None if k % 3 else i, t) for k, (i, t) in enumerate(cases.with_odd_ids(rows))]
+    got = sorted((tuple(r) for r in substring.report(cases.frame(spark, all_rows)).collect()), key=str)
+    assert got == sorted(brute_removed(all_rows), key=str)
+    got = sorted((tuple(r) for r in neardup.report(cases.frame(spark, all_rows)).collect()), key=str)
+    assert got == sorted(brute_components(all_rows), key=str)
+
+
 def test_automaton():
     a = substring.Automaton()
     texts = [("a b c d".split(), 5), ("b c d e".split(), 3), ("x a b c".split(), 9), ("b c d e".split(), 4)]
@@ -376,12 +385,27 @@ def test_automaton():
     assert a.least("e a q b c".split(), 2) == [substring.LAST, substring.LAST, substring.LAST, 3]
 
 
-def test_sieve_and_components(spark):
-    ids = spark.range(0, 1000, 7).withColumnRenamed("id", "k")
-    passes = runtime.sieve(ids, "k")
-    some = spark.range(1000).withColumnRenamed("id", "k")
-    got = {r["k"] for r in some.where(passes("k")).collect()}
-    assert {*range(0, 1000, 7)} <= got and len(got) < 200
+@pytest.mark.parametrize("step", [1, 3, 50])
+def test_sieve(spark, step):
+    ids = spark.range(0, 60000, 2 * step).withColumnRenamed("id", "k")
+    sieve = runtime.Sieve(ids, "k")
+    some = spark.range(60000).withColumnRenamed("id", "k")
+    got = {r["k"] for r in sieve.passing(some, "k").collect()}
+    rest = {r["k"] for r in sieve.failing(some, "k").collect()}
+    assert {*range(0, 60000, 2 * step)} <= got and not got & rest and len(got) + len(rest) == 60000
+    assert len(got) - 30000 // step < 0.04 * 60000  # alike at every fill
+    assert "Python" not in sieve.passing(some, "k")._jdf.queryExecution().toString()
+    assert runtime.Sieve(ids.limit(0), "k").passing(some, "k").count() == 0
+
+
+def test_sieve_with_too_many(spark, monkeypatch):
+    monkeypatch.setattr(runtime.Sieve, "MOST_BLOCKS", 1)
+    ids = spark.range(0, 60000, 2).withColumnRenamed("id", "k")
+    sieve = runtime.Sieve(ids, "k")
+    assert sieve.full and sieve.passing(ids, "k").count() == 30000 and sieve.failing(ids, "k").count() == 0
+
+
+def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(30)] + [(100, 50), (70, 100)], "a long, b long")
     comp = {r["node"]: r["comp"] for r in runtime.components(edges).collect()}
     assert all(comp[k] == 0 for k in range(31)) and comp[70] == comp[100] == comp[50] == 50

@@ -182,7 +182,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([bpe.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], ["key", "ids"])
 
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(runtime.lean(run), f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -194,7 +194,7 @@ def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> D
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([bpe.decode(x or ()) for x in b.column(1).to_pylist()], pa.string())], ["key", "decoded"])
 
-    return df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, decoded string").withColumnRenamed("key", key)
+    return df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(runtime.lean(run), f"key {kind}, decoded string").withColumnRenamed("key", key)
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
@@ -228,4 +228,4 @@ def digests(df: DataFrame, path: str) -> DataFrame:
                 text.append(hashlib.sha256(" ".join([p[2] for p in parts]).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(text)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return df.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return df.select("doc_id", "text").mapInArrow(runtime.lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

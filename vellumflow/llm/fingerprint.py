@@ -166,7 +166,7 @@ def report(df: DataFrame) -> DataFrame:
                     yield out
                 held, marks = held[-1:], marks.take([-1])
 
-    return with_next(df).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return with_next(df).mapInArrow(runtime.lean(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

@@ -14,8 +14,8 @@ tokens, so a prefix of each suffices to find them. Three exact filters follow ea
    partner size for which it is needed, which bounds what it can pair with.
 
 Linked classes are found without emitting all pairs of a bucket: each class is first verified against the most central
-class of its buckets, then only pairs that are not yet in one component remain, and all of these are verified. Overlaps
-are counted exactly. Nothing is capped.
+class of its buckets, then against another one, then only pairs that are not yet in one component remain, and all of these
+are verified. Nothing is capped. Shingles are compared by 64-bit hashes, sets by 128 bits; the texts themselves are not.
 
 Null or blank texts have the empty set and link with nothing. Rows of equal doc_id are separate documents unless their
 sets are equal. A null doc_id counts as larger than all and comes back as null.
@@ -23,6 +23,8 @@ sets are equal. A null doc_id counts as larger than all and comes back as null.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,7 +38,11 @@ WORDS, PERCENT = 5, 80
 SPARE = 8
 RARE = 64
 COMBINED_FROM = 24
+#: Rounds in which what is open in a bucket is held against one of its classes, before all that remain are.
+LEADS = 1
 LAST = 2**63 - 1
+#: Entries that the index hands on at a time.
+INDEX_ROWS = 50_000
 
 
 def shingle_sets(column: pa.Array, size: int = WORDS) -> list[np.ndarray]:
@@ -126,7 +132,7 @@ def _sets(docs: DataFrame, percent: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists], ["id", "n", "s1", "s2", "prefix"])
 
-    return docs.mapInArrow(run, "id long, n int, s1 long, s2 long, prefix array<long>")
+    return docs.mapInArrow(runtime.lean(run), "id long, n int, s1 long, s2 long, prefix array<long>")
 
 
 def _whole_sets(rows: DataFrame) -> DataFrame:
@@ -137,7 +143,7 @@ def _whole_sets(rows: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["node", "n", "h"])
 
-    return rows.select("node", "n", "text").mapInArrow(run, "node long, n int, h array<long>")
+    return rows.select("node", "n", "text").mapInArrow(runtime.lean(run), "node long, n int, h array<long>")
 
 
 def _own_sets(docs: DataFrame) -> DataFrame:
@@ -151,26 +157,41 @@ def _own_sets(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()), lists], ["id", "s1", "s2", "h"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, s1 long, s2 long, h array<long>")
+    return docs.select("id", "text").mapInArrow(runtime.lean(run), "id long, s1 long, s2 long, h array<long>")
 
 
 def _index(tokens: DataFrame, percent: int) -> DataFrame:
+    """Entries (sig, node, n, most, pos) of all sets. A batch of entries goes on as soon as it holds INDEX_ROWS, so that
+    a worker never holds more than that and the entries of one set."""
+    names = ["sig", "node", "n", "most", "pos"]
+    kinds = "Qqiii"
+
     def run(batches):
+        def full():
+            arrays = [np.frombuffer(c, c.typecode) for c in held]
+            arrays[0] = arrays[0].view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], names)
+
+        held = [array(k) for k in kinds]
         for b in batches:
-            sig, node, size, most, pos = [], [], [], [], []
             for i, n, listed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 listed = listed.values
                 f, h = listed.field("f").to_numpy(), listed.field("h").to_numpy().view(U64)
                 order = np.lexsort((h, f))
+                before = len(held[0])
                 for s, m, p in signatures(n, h[order], f[order], percent):
-                    sig.append(s - 2**64 if s >= 2**63 else s)
-                    node.append(i)
-                    size.append(n)
-                    most.append(m)
-                    pos.append(p)
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int32()), pa.array(most, pa.int32()), pa.array(pos, pa.int32())], ["sig", "node", "n", "most", "pos"])
+                    held[0].append(s)
+                    held[3].append(m)
+                    held[4].append(p)
+                new = len(held[0]) - before
+                held[1].extend([i] * new)
+                held[2].extend([n] * new)
+                if len(held[0]) >= INDEX_ROWS:
+                    yield full()
+                    held = [array(k) for k in kinds]
+        yield full()
 
-    return tokens.select("node", "n", "tokens").mapInArrow(run, "sig long, node long, n int, most int, pos int")
+    return tokens.select("node", "n", "tokens").mapInArrow(runtime.lean(run), "sig long, node long, n int, most int, pos int")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -188,31 +209,34 @@ def _pair(x: Column, y: Column):
 def links(tokens: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes that join all that are linked, if not each single link."""
     empty = tokens.sparkSession.createDataFrame([], "a long, b long")
-    index = runtime.save(_index(tokens, percent), "index")
-    central = index.groupBy("sig").agg(F.min(F.struct("pos", "node", "n", "most")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    entries, index = index, runtime.save(index.join(central, "sig"), "buckets")
-    runtime.discard(entries)
-    runtime.release(index.sparkSession)
+    entries = runtime.save(_index(tokens, percent), "index")
+    # what is summed up for a signature is a table before it is joined, so that Spark can split the join's large keys
+    central = runtime.save(entries.groupBy("sig").agg(F.min(F.struct("pos", "node", "n", "most")).alias("c"), F.count("*").alias("k")).where("k > 1"), "central")
+    index = runtime.save(runtime.Sieve(central, "sig").passing(entries, "sig").join(central.hint("merge"), "sig"), "buckets")
+    runtime.discard(entries, central)
     fits = (F.col("n") <= F.col("c.most")) & (F.col("c.n") <= F.col("most")) & (F.col("node") != F.col("c.node"))
     star = index.where(fits).select(*_pair(F.col("node"), F.col("c.node"))).distinct()
     found = runtime.save(_verified(star, tokens, percent), "star")
 
-    for salt in (1, None):
+    for salt in range(LEADS + 1):
         comps = runtime.components(found)
         labelled = index.join(comps, "node", "left").select("sig", "node", "n", "most", F.coalesce("comp", "node").alias("comp"))
-        open_ = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-        left = runtime.save(labelled.join(open_, "sig"), "open")
-        runtime.release(index.sparkSession)
+        labelled = runtime.save(labelled, "labelled")
+        open_ = runtime.save(labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig"), "signatures")
+        left = runtime.save(runtime.Sieve(open_, "sig").passing(labelled, "sig").join(open_.hint("merge"), "sig"), "open")
+        runtime.discard(labelled, open_)
         if left.isEmpty():
-            return found
-        if salt:  # once more against one class of each bucket, another one for each
-            lead = left.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node", "sig").alias("x"), "node", "n", "most", "comp")).alias("c"))
-            pairs = left.join(lead, "sig").where((F.col("comp") != F.col("c.comp")) & (F.col("n") <= F.col("c.most")) & (F.col("c.n") <= F.col("most"))).select(*_pair(F.col("node"), F.col("c.node")))
+            break
+        if salt < LEADS:  # against one class of each bucket, another one for each
+            lead = runtime.save(left.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node", "sig", F.lit(salt)).alias("x"), "node", "n", "most", "comp")).alias("c")), "leads")
+            pairs = left.join(lead.hint("merge"), "sig").where((F.col("comp") != F.col("c.comp")) & (F.col("n") <= F.col("c.most")) & (F.col("c.n") <= F.col("most"))).select(*_pair(F.col("node"), F.col("c.node")))
         else:  # all that remain
             x, y = left.alias("x"), left.alias("y")
             pairs = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") < F.col("y.comp")) & (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most"))).select(*_pair(F.col("x.node"), F.col("y.node")))
         more = _verified(pairs.distinct(), tokens, percent)
-        found = runtime.save(found.unionByName(more).unionByName(empty), "links")
+        found, old = runtime.save(found.unionByName(more).unionByName(empty), "links"), found
+        runtime.discard(old, left, comps, *([lead] if salt < LEADS else []))
+    runtime.discard(index)
     return found
 
 
@@ -227,7 +251,7 @@ def _marked(rows: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *more], [*b.schema.names[:-1], "__n", "__s1", "__s2"])
 
     schema = StructType([*rows.schema.fields, *(StructField(c, t) for c, t in (("__n", IntegerType()), ("__s1", LongType()), ("__s2", LongType())))])
-    return rows.withColumn("__text", runtime.text_of(text)).mapInArrow(run, schema)
+    return rows.withColumn("__text", runtime.text_of(text)).mapInArrow(runtime.lean(run), schema)
 
 
 def _labelled(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFrame, bool]:
@@ -247,40 +271,38 @@ def _labelled(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFra
     # 1: shingles of hash-ordered prefixes that occur in two classes
     others = first.join(classes, ["s1", "s2"]).where("id > lo").select("id", "s1", "s2").distinct()
     others = runtime.save(others, "others")  # rows that another one stands for: few enough to be told apart by a sieve
-    maybe = runtime.sieve(others, "id")
+    maybe = runtime.Sieve(others, "id")
     full = sets.where("n > 0")
-    chosen = full.where(~maybe("id")).unionByName(full.where(maybe("id")).join(others.hint("merge"), ["id", "s1", "s2"], "left_anti").select(full.columns))
+    chosen = maybe.failing(full, "id").unionByName(maybe.passing(full, "id").join(others.hint("merge"), ["id", "s1", "s2"], "left_anti").select(full.columns))
     chosen = chosen.withColumn("node", F.col("id") if unique else F.xxhash64("s1", "s2"))
     if not unique:
         chosen = chosen.dropDuplicates(["node"])
     sent = chosen.select("node", F.explode("prefix").alias("h"))
-    twice = sent.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-    met = sent.join(twice, "h").groupBy("node").agg(F.count("*").alias("met"))
+    twice = runtime.save(sent.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "twice")
+    met = runtime.Sieve(twice, "h").passing(sent, "h").join(twice.hint("merge"), "h").groupBy("node").agg(F.count("*").alias("met"))
     overlap = F.expr(f"(n * {percent} + 99) div 100")  # the size of the smallest partner, too
     enough = F.least(F.lit(SPARE) + F.floor(overlap / 7), overlap)
     alive = runtime.save(met.join(classes, "node").where(F.col("met") >= enough).select("node", "n", F.col("lo").alias("id"), "s1", "s2"), "alive")
-    runtime.discard(sets)
-    runtime.release(spark)
+    runtime.discard(sets, others, twice)
 
     # 2: frequencies among the classes left
-    passes = runtime.sieve(alive, "id")
+    texts = runtime.Sieve(alive, "id").passing(docs, "id")
     if unique:
-        texts = docs.where(passes("id")).join(alive.hint("merge"), "id")
-        whole = _whole_sets(texts).where(F.size("h") == F.col("n"))
+        whole = _whole_sets(texts.join(alive.hint("merge"), "id")).where(F.size("h") == F.col("n"))
     else:  # an id does not name a text: each set goes to the class of its fingerprint
-        own = _own_sets(docs.where(passes("id"))).dropDuplicates(["id", "s1", "s2"])
+        own = _own_sets(texts).dropDuplicates(["id", "s1", "s2"])
         whole = own.join(alive.hint("merge"), ["id", "s1", "s2"]).select("node", "n", "h")
     whole = runtime.save(whole, "whole")
-    runtime.release(spark)
     each = whole.select("node", "n", F.explode("h").alias("h"))
-    often = each.groupBy("h").agg(F.count("*").cast("int").alias("f")).where("f > 1")
-    tokens = each.join(often, "h").groupBy("node", "n").agg(F.collect_list(F.struct("f", "h")).alias("tokens"))
+    often = runtime.save(each.groupBy("h").agg(F.count("*").cast("int").alias("f")).where("f > 1"), "often")
+    tokens = each.join(often.hint("merge"), "h").groupBy("node", "n").agg(F.collect_list(F.struct("f", "h")).alias("tokens"))
     tokens = runtime.save(tokens.where(F.size("tokens") >= F.expr(f"(n * {percent} + 99) div 100")), "tokens")
-    runtime.discard(whole)
-    runtime.release(spark)
+    runtime.discard(whole, often, alive)
 
     # 3: candidates, links, components
-    comps = runtime.components(links(tokens, percent))
+    linked = links(tokens, percent)
+    comps = runtime.components(linked)
+    runtime.discard(tokens, linked)
     least = comps.join(classes.select("node", F.struct("lo", "s1", "s2").alias("own")), "node").groupBy("comp").agg(F.min("own").alias("least"))
     of_class = classes.join(comps.join(least, "comp").select("node", "least"), "node", "left").select("s1", "s2", F.coalesce("least", F.struct("lo", "s1", "s2")).alias("least"))
     return first.select("id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left").select("id", "n", "s1", "s2", "least"), unique
@@ -299,17 +321,17 @@ def keep_one(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: s
     drop = runtime.save(found.where("n > 0").where(~kept).select(F.col("id").alias("__id"), F.col("s1").alias("__s1"), F.col("s2").alias("__s2")).distinct(), "drop")
     rows = df.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
     if unique:
-        passes = runtime.sieve(drop, "__id")
-        stay = rows.where(passes("__id")).join(drop.select("__id").hint("merge"), "__id", "left_anti")
-        return rows.where(~passes("__id")).unionByName(stay).drop("__id")
+        maybe = runtime.Sieve(drop, "__id")
+        stay = maybe.passing(rows, "__id").join(drop.select("__id").hint("merge"), "__id", "left_anti")
+        return maybe.failing(rows, "__id").unionByName(stay.select(rows.columns)).drop("__id")
     # an id does not name a row: those of repeated ids and of ids in ``drop`` are told apart by their sets
     again = rows.groupBy("__id").agg(F.count("*").alias("k")).where("k > 1").select("__id")
-    passes = runtime.sieve(runtime.save(drop.select("__id").union(again), "again"), "__id")
-    marked = _marked(rows.where(passes("__id")), text)
+    maybe = runtime.Sieve(runtime.save(drop.select("__id").union(again), "again"), "__id")
+    marked = _marked(maybe.passing(rows, "__id"), text)
     blank = F.when(F.col("__n") == 0, F.struct(key, text)).alias("__blank")
     one = marked.groupBy("__id", "__s1", "__s2", blank).agg(F.min_by(F.struct(*df.columns), runtime.text_of(text)).alias("__row"))
     stay = one.join(drop.hint("merge"), ["__id", "__s1", "__s2"], "left_anti").select("__row.*")
-    return rows.where(~passes("__id")).drop("__id").unionByName(stay)
+    return maybe.failing(rows, "__id").drop("__id").unionByName(stay)
 
 
 def report(df: DataFrame) -> DataFrame:

@@ -134,7 +134,7 @@ def score(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "
             s = np.full(b.num_rows, 0.5) if m is None else m.scores(b.column(0))
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(s)], [key, "score"])
 
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, score double")
+    return rows.mapInArrow(runtime.lean(run), f"`{key}` {rows.schema[key].dataType.simpleString()}, score double")
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -149,7 +149,7 @@ def _scan(docs: DataFrame) -> DataFrame:
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), b.column(0).take(at), b.column(1).take(at), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int8))], ["h", "c", "id", "tag", "first", "size"])
 
-    return docs.mapInArrow(run, "h long, c long, id long, tag int, first int, size byte")
+    return docs.mapInArrow(runtime.lean(run), "h long, c long, id long, tag binary, first int, size byte")
 
 
 def _texts(joined: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def _texts(joined: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(out, kinds)), pa.array(texts, pa.binary()).cast(pa.string())], names)
 
-    return joined.select("id", "text", "runs").mapInArrow(run, "h long, c long, off int, id long, hot boolean, text string")
+    return joined.select("id", "text", "runs").mapInArrow(runtime.lean(run), "h long, c long, off int, id long, hot boolean, text string")
 
 
 def _shards(reference: DataFrame) -> DataFrame:
@@ -215,54 +215,55 @@ def _shards(reference: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return reference.repartition(runtime.partitions(reference.sparkSession), "h").sortWithinPartitions("h").mapInArrow(run, "h long, c long, least array<long>")
+    return reference.repartition(runtime.partitions(reference.sparkSession), "h").sortWithinPartitions("h").mapInArrow(runtime.lean(run), "h long, c long, least array<long>")
 
 
 def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``df`` with __id (null ids as LAST) and __tag, which tells rows of one id apart where ids repeat."""
+    """``df`` with __id (null ids as LAST) and __tag: where ids repeat, the 128-bit digest of the row's text, so that only rows
+    of equal id and text, which are treated alike, share both."""
     rows = df.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
     size = rows.agg(F.count("*").alias("n"), F.count_distinct("__id").alias("ids")).first()
-    return rows.withColumn("__tag", (F.hash(F.coalesce(F.col(text), F.lit(""))) if size["n"] != size["ids"] else F.lit(0)))
+    return rows.withColumn("__tag", F.unhex(F.md5(runtime.text_of(text))) if size["n"] != size["ids"] else F.lit(b""))
 
 
 def repeats(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """(copies, cuts) with key (id, tag): ``copies`` are whole copies of a text of a smaller id, of which all
-    is covered if a window fits in; ``cuts`` hold the first words of the windows to remove from the others."""
+    is covered if a window fits in; ``cuts`` hold the first words of the windows to remove from the others.
+
+    What is summed up for a key is a table before it is joined, so that Spark can split the join's large keys."""
     spark = keyed.sparkSession
     runtime.tune(spark)
     docs = keyed.select(F.col("__id").alias("id"), F.col("__tag").alias("tag"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     marks = runtime.save(docs.select("id", "tag", F.unhex(F.md5("text")).alias("mark")), "marks")
-    first = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    copies = runtime.save(marks.join(first, "mark").where("id > lo").select("id", "tag").distinct(), "copies")
-    maybe = runtime.sieve(copies, "id")
-    fresh = docs.where(~maybe("id")).unionByName(docs.where(maybe("id")).join(copies.hint("merge"), ["id", "tag"], "left_anti"))
+    first = runtime.save(marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "first")
+    copies = runtime.save(marks.join(first.hint("merge"), "mark").where("id > lo").select("id", "tag").distinct(), "copies")
+    runtime.discard(marks, first)
+    maybe = runtime.Sieve(copies, "id")
+    fresh = maybe.failing(docs, "id").unionByName(maybe.passing(docs, "id").join(copies.hint("merge"), ["id", "tag"], "left_anti").select(docs.columns))
 
     found = _scan(fresh)
-    shared = found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("h", (F.col("n") > HOT_RUNS).alias("hot"))
-    runs = runtime.save(found.join(shared, "h"), "runs")
-    runtime.release(spark)
+    shared = runtime.save(found.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("h", (F.col("n") > HOT_RUNS).alias("hot")), "shared")
+    runs = runtime.save(runtime.Sieve(shared, "h").passing(found, "h").join(shared.hint("merge"), "h"), "runs")
+    runtime.discard(shared)
 
     of_text = runs.groupBy("h", "c").agg(F.min(F.struct("id", "tag", "first", "size", "hot")).alias("r"))
     listed = of_text.groupBy("r.id", "r.tag").agg(F.collect_list(F.struct("h", "c", "r.first", "r.size", "r.hot")).alias("runs"))
     listed = runtime.save(listed, "listed")
-    holds = runtime.sieve(listed, "id")
-    work = runtime.save(_texts(docs.where(holds("id")).join(listed.hint("merge"), ["id", "tag"])), "texts")
+    work = runtime.save(_texts(runtime.Sieve(listed, "id").passing(docs, "id").join(listed.hint("merge"), ["id", "tag"])), "texts")
     runtime.discard(listed)
-    runtime.release(spark)
 
     cold = work.where("not hot").select("h", "c", "id", "text")
     hot = work.where("hot").groupBy("h").agg(F.min(F.struct("id", "text")).alias("m")).select("h", F.col("h").alias("c"), "m.id", "m.text")
     least = runtime.save(_shards(cold.unionByName(hot)), "least")
 
     of_run = work.select("h", F.when(F.col("hot"), F.col("h")).otherwise(F.col("c")).alias("k"), "c", "off").join(least.withColumnRenamed("c", "k"), ["h", "k"])
-    of_text = of_run.groupBy("c").agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("off", "least"))), lambda x: x["least"])).alias("least"))
+    of_text = runtime.save(of_run.groupBy("c").agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("off", "least"))), lambda x: x["least"])).alias("least")), "places")
     places = F.filter(F.transform("least", lambda x, k: F.when(x < F.col("id"), F.col("first") + k)), lambda x: x.isNotNull())
-    cuts = runs.select("c", "id", "tag", "first").join(of_text, "c").select("id", "tag", places.alias("at")).where(F.size("at") > 0)
+    cuts = runs.select("c", "id", "tag", "first").join(of_text.hint("merge"), "c").select("id", "tag", places.alias("at")).where(F.size("at") > 0)
     cuts = cuts.groupBy("id", "tag").agg(F.flatten(F.collect_list("at")).alias("cut"))
     cuts = runtime.save(cuts, "cuts")
-    runtime.discard(runs, work, least, marks)
-    runtime.release(spark)
+    runtime.discard(runs, work, least, of_text)
     return copies, cuts
 
 
@@ -280,9 +281,10 @@ def _cut_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     copies, cuts = repeats(keyed, text)
     gone = copies.select("id", "tag", F.array().cast("array<int>").alias("cut"), F.lit(True).alias("whole")).unionByName(cuts.withColumn("whole", F.lit(False)))
     gone = runtime.save(gone.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("cut").alias("__cut"), F.col("whole").alias("__whole")), "gone")
-    touched = runtime.sieve(gone, "__id")
-    none = keyed.where(~touched("__id")).withColumns({"__cut": F.lit(None).cast("array<int>"), "__whole": F.lit(False)})
-    some = keyed.where(touched("__id")).join(gone.hint("merge"), ["__id", "__tag"], "left").withColumn("__whole", F.coalesce("__whole", F.lit(False)))
+    runtime.discard(copies, cuts)
+    touched = runtime.Sieve(gone, "__id")
+    none = touched.failing(keyed, "__id").withColumns({"__cut": F.lit(None).cast("array<int>"), "__whole": F.lit(False)})
+    some = touched.passing(keyed, "__id").join(gone.hint("merge"), ["__id", "__tag"], "left").withColumn("__whole", F.coalesce("__whole", F.lit(False)))
     return none.unionByName(some.select(none.columns)).drop("__id", "__tag")
 
 
@@ -310,7 +312,7 @@ def report(df: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     rows = _cut_rows(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return rows.select("doc_id", "text", "__cut", "__whole").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return rows.select("doc_id", "text", "__cut", "__whole").mapInArrow(runtime.lean(run), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,4 +337,4 @@ def remove(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             arrays = [pa.array(own, pa.string()) if j == place else c for j, c in enumerate(b.columns[:-2])]
             yield pa.RecordBatch.from_arrays(arrays, b.schema.names[:-2])
 
-    return rows.mapInArrow(run, df.schema)
+    return rows.mapInArrow(runtime.lean(run), df.schema)

@@ -103,7 +103,7 @@ def parts(raw: np.ndarray, offsets: np.ndarray):
     for first, last in pieces(raw, offsets):
         at, hi = int(offsets[first]), int(offsets[last])
         while at < hi:
-            to = min(hi, at + 4 * PIECE_BYTES)
+            to = min(hi, at + PIECE_BYTES)
             if to < hi:
                 back = np.flatnonzero(WHITE[raw[at:to]])
                 if len(back):

@@ -117,7 +117,7 @@ def _search(candidates: DataFrame, queries: pa.Table, width: int, k: int) -> Dat
         if sum(size):
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, size)), pa.array(np.concatenate(best.id)), pa.array(np.concatenate(best.score).astype(np.int64))], ["query_id", "vec_id", "score"])
 
-    return candidates.mapInArrow(run, "query_id long, vec_id long, score long")
+    return candidates.mapInArrow(runtime.lean(run), "query_id long, vec_id long, score long")
 
 
 def top_k(df: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:

@@ -167,7 +167,7 @@ def score(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(-np.expm1(none)), pa.array([",".join(x) for x in found])], [*b.schema.names[1:], "score", "offending"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(run, f"{kinds}, score double, offending string")
+    return rows.mapInArrow(runtime.lean(run), f"{kinds}, score double, offending string")
 
 
 def clean(df: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -187,7 +187,7 @@ def clean(df: DataFrame, model: Model | None, text: str = "text", threshold: flo
                 none += np.bincount(doc, np.log1p(-np.minimum(m.sentence_scores(f, sentence, len(first)), 1 - 1e-9)), b.num_rows)
             yield b.filter(pa.array(-np.expm1(none) < threshold))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(runtime.lean(run), df.schema)
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:

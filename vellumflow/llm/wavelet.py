@@ -272,7 +272,7 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 2, shard_tokens:
             yield flush()
 
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(runtime.partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(run, "part long, shard long, first_doc long, before long, n_tokens long, n_null long, file binary").write.parquet(folder)
+    rows.mapInArrow(runtime.lean(run), "part long, shard long, first_doc long, before long, n_tokens long, n_null long, file binary").write.parquet(folder)
 
 
 NAMES = ["part", "shard", "first_doc", "before", "n_tokens", "n_null", "file"]
@@ -302,7 +302,7 @@ def read(spark, folder: str) -> DataFrame:
                 keys = pa.array(shard.keys, pa.int64(), mask=np.arange(len(shard.keys)) < missing)
                 yield pa.RecordBatch.from_arrays([keys, pa.array(stops - shard.lengths + before + base[part]), pa.array(shard.lengths), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.select("part", "before", "n_null", "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.select("part", "before", "n_null", "file").mapInArrow(runtime.lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_files(df: DataFrame, path: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
