@@ -5,33 +5,20 @@ from __future__ import annotations
 import ctypes
 import functools
 import operator
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellumflow.scratch import discard, save, shared_dir  # noqa: F401
+
 #: Rows that an Arrow batch holds at most, so that a Python worker sees some megabytes of text at a time.
 BATCH_ROWS = 1000
 #: And bytes, so that long texts come in smaller batches.
 BATCH_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where all run on one machine (a local master)
-    and it is unset, a temporary folder takes its place; on a cluster that would be a folder of each executor's own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="vellumflow-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def tune(spark: SparkSession) -> None:
     """Bounds the batches that Python workers get and lets shuffle files go as soon as the action that needs them has ended
     (what is used again is a table); to be called before a plan with Python in it runs."""
@@ -63,32 +50,6 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _file(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes ``df`` as a table in the shared folder and reads it back. The table goes with discard(),
-    or when the application ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/vellumflow/{uuid.uuid4().hex}"
-    df.write.parquet(f"{path}/{name}")
-    out = spark.read.schema(df.schema).parquet(f"{path}/{name}")
-    at, system = _file(spark, path)
-    system.deleteOnExit(at)
-    out._saved_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes tables that save() wrote, once all that was made of them is saved too."""
-    for df in tables:
-        at, system = _file(df.sparkSession, df._saved_at)
-        system.delete(at, True)
-        system.cancelDeleteOnExit(at)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
