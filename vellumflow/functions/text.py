@@ -105,3 +105,14 @@ def generated(c: Column) -> Column:
 def private_use(c: Column) -> Column:
     """How many characters are in the private use area U+E000 to U+F8FF."""
     return F.length(c) - F.length(F.regexp_replace(c, "[\\x{E000}-\\x{F8FF}]", ""))
+
+
+def script_name(script: Column) -> Column:
+    """The name under which trained data of a script is kept."""
+    # Script names and what they are called there.
+    return F.when(script.isin("Katakana", "Hiragana"), "Japanese").when(script == "Han", "HanS").when(script == "Korean", "Hangul").otherwise(script)
+
+
+def page_turn(clockwise: Column) -> Column:
+    """A clockwise turn in degrees as the counter-clockwise angle from 0 to 359."""
+    return F.pmod(-clockwise, F.lit(360))

@@ -2,31 +2,19 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vellumflow.functions import text as T
 from vellumflow.functions.geometry import Box
-from vellumflow.operators import fixtures
+from vellumflow.operators import fixtures, layout
+from vellumflow.operators.layout import CHILD_OVERLAP, FULL_PAGE, LEAST_CONFIDENCE, SPECIAL, WRAPPERS, area_sql, assign, groups, labels_sql, overlaps, shared_sql
 from vellumflow.registry import query, table
 
 C, K = fixtures.CELLS, fixtures.CLUSTERS
 
-# Least confidence of a cluster by its label.
-LEAST_CONFIDENCE = {
-    "caption": 0.5, "footnote": 0.5, "formula": 0.5, "list_item": 0.5, "page_footer": 0.5, "page_header": 0.5, "picture": 0.5, "section_header": 0.45, "table": 0.5, "text": 0.5,
-    "title": 0.45, "code": 0.45, "checkbox_selected": 0.45, "checkbox_unselected": 0.45, "form": 0.45, "key_value_region": 0.45, "document_index": 0.45,
-}
-# Labels that hold other clusters, and how groups of overlapping clusters are decided.
-WRAPPERS = ("form", "key_value_region", "table", "document_index")
-SPECIAL = (*WRAPPERS, "picture")
-OVERLAP = {"regular": (1.3, 0.05), "picture": (2.0, 0.3), "wrapper": (2.0, 0.2)}
-CELL_OVERLAP, CHILD_OVERLAP, SAME_IOU, SAME_PART, FULL_PAGE = 0.2, 0.8, 0.8, 0.8, 0.90
 PAGE_WIDTH, PAGE_HEIGHT = 540.0, 800.0
-
-_special_sql = "(" + ", ".join(f"'{x}'" for x in SPECIAL) + ")"
-_shared = lambda a, b: f"(greatest(0, least({a}.r, {b}.r) - greatest({a}.l, {b}.l)) * greatest(0, least({a}.b, {b}.b) - greatest({a}.t, {b}.t)))"
-_area = lambda a: f"(({a}.r - {a}.l) * ({a}.b - {a}.t))"
+_special_sql, _shared, _area = labels_sql(SPECIAL), shared_sql, area_sql
 
 
 def _page():
@@ -34,19 +22,7 @@ def _page():
 
 
 
-ASSIGNED = f"""pairs AS (SELECT c.page, c.idx, k.cid, {_shared('c', 'k')} / {_area('c')} AS part FROM cells c JOIN clusters k ON c.page = k.page
-  WHERE trim(c.text) <> '' AND c.l < k.r AND c.r > k.l AND c.t < k.b AND c.b > k.t AND {_shared('c', 'k')} / {_area('c')} > {CELL_OVERLAP}),
-assigned AS (SELECT page, idx, cid, part FROM (SELECT *, row_number() OVER (PARTITION BY page, idx ORDER BY round(part, 9) DESC, cid) AS k FROM pairs) WHERE k = 1)"""
-
-
-def assign(cells, clusters):
-    """(page, idx, cid, part): the cluster that covers most of each cell that is not blank, above a fifth of it; of
-    equals the first. A join on the page with a box test, then one maximum for each cell."""
-    a, b = Box.of(), Box.of("k_")
-    right = clusters.select("page", "cid", *(F.col(x).alias(f"k_{x}") for x in "ltrb"))
-    pairs = cells.where(F.trim("text") != "").join(right, "page").where(a.overlaps(b)).withColumn("part", a.inside(b)).where(F.col("part") > CELL_OVERLAP)
-    best = F.min(F.struct((-F.round("part", 9)).alias("o"), "cid", "part")).alias("best")
-    return pairs.groupBy("page", "idx").agg(best).select("page", "idx", "best.cid", "best.part")
+ASSIGNED = layout.assign_sql("clusters", "assigned")
 
 
 @query("cell_cluster_assign", f"WITH {C}, {K}, {ASSIGNED} SELECT page, idx, cid, round(part, 6) AS part FROM assigned")
@@ -95,10 +71,7 @@ def full_page_pictures(spark, folder):
 
 
 def children(clusters):
-    """(page, special, cid): regular clusters that lie with more than 0.8 of their area in a special one."""
-    s = clusters.where(F.col("label").isin(*SPECIAL)).select("page", F.col("cid").alias("special"), F.col("label").alias("s_label"), *(F.col(x).alias(f"s_{x}") for x in "ltrb"))
-    r = clusters.where(~F.col("label").isin(*SPECIAL))
-    return r.join(s, "page").where(Box.of().overlaps(Box.of("s_"))).where(Box.of().inside(Box.of("s_")) > CHILD_OVERLAP)
+    return layout.children(clusters.where(F.col("label").isin(*SPECIAL)), clusters.where(~F.col("label").isin(*SPECIAL)))
 
 
 CHILDREN = f"children AS (SELECT r.page, s.cid AS special, s.label AS s_label, s.l AS s_l, s.t AS s_t, s.r AS s_r, s.b AS s_b, r.* EXCLUDE (page) FROM clusters r JOIN clusters s ON r.page = s.page WHERE r.label NOT IN {_special_sql} AND s.label IN {_special_sql} AND {_shared('r', 's')} / {_area('r')} > {CHILD_OVERLAP})"
@@ -122,96 +95,62 @@ def form_bounds(spark, folder):
     return held.groupBy("page", F.col("special").alias("cid")).agg(F.min("l").alias("l"), F.min("t").alias("t"), F.max("r").alias("r"), F.max("b").alias("b"))
 
 
-def same(clusters):
-    """(page, x, y), x < y: pairs of clusters of a page that overlap too much to be two."""
-    a = clusters.select("page", F.col("cid").alias("x"), *(F.col(e).alias(f"x_{e}") for e in "ltrb"))
-    b = clusters.select("page", F.col("cid").alias("y"), *(F.col(e).alias(f"y_{e}") for e in "ltrb"))
-    p, q = Box.of("x_"), Box.of("y_")
-    too_much = (p.iou(q) > SAME_IOU) | (p.inside(q) > SAME_PART) | (q.inside(p) > SAME_PART)
-    return a.join(b, "page").where((F.col("x") < F.col("y")) & p.overlaps(q) & too_much).select("page", "x", "y")
-
-
-SAME = f"""same AS (SELECT p.page, p.cid AS x, q.cid AS y FROM clusters p JOIN clusters q ON p.page = q.page AND p.cid < q.cid
-  WHERE {_shared('p', 'q')} / ({_area('p')} + {_area('q')} - {_shared('p', 'q')}) > {SAME_IOU} OR {_shared('p', 'q')} / {_area('p')} > {SAME_PART} OR {_shared('p', 'q')} / {_area('q')} > {SAME_PART})"""
+SAME = layout.overlaps_sql("clusters", "same")
+GROUPS = layout.groups_sql("same", "grouped")
 
 
 @query("cluster_overlap_pairs", f"WITH {K}, {SAME} SELECT page, x, y FROM same")
 def cluster_overlap_pairs(spark, folder):
-    return same(fixtures.clusters(spark, folder))
+    return overlaps(fixtures.clusters(spark, folder))
 
 
 def grouped(clusters):
-    """(page, cid, grp): connected groups of overlapping clusters, named by their least cid. Pages are small, so each
-    is solved in one Arrow call."""
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        box = pdf.sort_values("cid")
-        cid, edges = box["cid"].to_numpy(), box[list("ltrb")].to_numpy()
-        label = list(range(len(cid)))
-
-        def root(k):
-            while label[k] != k:
-                label[k] = label[label[k]]
-                k = label[k]
-            return k
-
-        area = (edges[:, 2] - edges[:, 0]) * (edges[:, 3] - edges[:, 1])
-        for k in range(len(cid)):
-            w = (edges[k + 1 :, 2].clip(max=edges[k, 2]) - edges[k + 1 :, 0].clip(min=edges[k, 0])).clip(min=0)
-            h = (edges[k + 1 :, 3].clip(max=edges[k, 3]) - edges[k + 1 :, 1].clip(min=edges[k, 1])).clip(min=0)
-            both, other = w * h, area[k + 1 :]
-            hit = (both / (area[k] + other - both) > SAME_IOU) | (both / area[k] > SAME_PART) | (both / other > SAME_PART)
-            for j in (hit.nonzero()[0] + k + 1).tolist():
-                x, y = root(k), root(j)
-                label[max(x, y)] = min(x, y)
-        return pd.DataFrame({"page": box["page"].to_numpy(), "cid": cid, "grp": [cid[root(k)] for k in range(len(cid))]})
-
-    return clusters.groupBy("page").applyInPandas(solve, "page long, cid long, grp long")
-
-
-@query("cluster_components", f"""WITH RECURSIVE {K}, {SAME}, both_ways AS (SELECT page, x, y FROM same UNION SELECT page, y, x FROM same),
-  reach AS (SELECT page, cid, cid AS other FROM clusters UNION SELECT r.page, r.cid, e.y FROM reach r JOIN both_ways e ON e.page = r.page AND e.x = r.other) SELECT page, cid, min(other) AS grp FROM reach GROUP BY page, cid""")
+    """(page, cid, grp) of all clusters: connected groups of overlapping ones; the others stand alone."""
+    return clusters.join(groups(overlaps(clusters)), ["page", "cid"], "left").select(*clusters.columns, F.coalesce("grp", "cid").alias("grp"))
+
+
+@query("cluster_components", f"WITH RECURSIVE {K}, {SAME}, {GROUPS} SELECT k.page, k.cid, coalesce(g.grp, k.cid) AS grp FROM clusters k LEFT JOIN grouped g ON g.page = k.page AND g.cid = k.cid")
 def cluster_components(spark, folder):
-    return grouped(fixtures.clusters(spark, folder))
+    return grouped(fixtures.clusters(spark, folder)).select("page", "cid", "grp")
 
 
-@query("cluster_best")
+@query("cluster_best", f"""WITH RECURSIVE {K}, {SAME}, {GROUPS}, members AS (SELECT k.*, coalesce(g.grp, k.cid) AS grp FROM clusters k LEFT JOIN grouped g ON g.page = k.page AND g.cid = k.cid), {layout.chosen_sql('members', 'regular', 'best')}
+  SELECT b.page, b.cid, b.n::BIGINT AS members, k.label FROM best b JOIN clusters k ON k.page = b.page AND k.cid = b.cid""")
 def cluster_best(spark, folder):
-    """The cluster that stands for each group: a list item beats a text of about its size, code beats what it contains;
-    else a candidate falls to another that is not much smaller and clearly more confident, and the largest of those left
-    wins unless a smaller one is more confident by the gap. If none is left, the first stands."""
+    """The cluster that stands for each group."""
     rows = fixtures.clusters(spark, folder)
-    area_rate, gap = OVERLAP["regular"]
+    return layout.chosen(grouped(rows), "regular").join(rows.select("page", "cid", "label"), ["page", "cid"]).select("page", "cid", F.col("n").alias("members"), "label")
+
+
+def _kinds():
+    return ("picture", ("picture",)), ("wrapper", WRAPPERS)
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        groups: dict = {}
-        for x in pdf.sort_values("cid").to_dict("records"):
-            groups.setdefault(x["grp"], []).append(x)
-        return pd.DataFrame([one(items) for items in groups.values()], columns=["page", "cid", "members", "label"])
 
-    def one(items: list[dict]) -> tuple:
-        for x in items:
-            x["area"] = (x["r"] - x["l"]) * (x["b"] - x["t"])
+_of_kind = lambda kind, labels: f"{kind}s AS (SELECT * FROM clusters WHERE label IN {labels_sql(labels)}), {layout.overlaps_sql(f'{kind}s', f'{kind}_pairs')}, {layout.groups_sql(f'{kind}_pairs', f'{kind}_groups')}, {kind}_members AS (SELECT k.*, g.grp FROM {kind}s k JOIN {kind}_groups g ON g.page = k.page AND g.cid = k.cid), {layout.chosen_sql(f'{kind}_members', kind, f'{kind}_best')}"
 
-        def within(x, y):
-            w = max(0.0, min(x["r"], y["r"]) - max(x["l"], y["l"])) * max(0.0, min(x["b"], y["b"]) - max(x["t"], y["t"]))
-            return w / x["area"] if x["area"] else 0.0
 
-        def stands(x, y):
-            if x["label"] == "list_item" and y["label"] == "text" and abs(1 - x["area"] / y["area"]) < 0.2:
-                return True
-            if x["label"] == "code" and within(y, x) > 0.8:
-                return True
-            return not (x["area"] / y["area"] <= area_rate and y["confidence"] - x["confidence"] > gap)
+@query("special_best", f"WITH RECURSIVE {K}, {', '.join(_of_kind(*x) for x in _kinds())} " + " UNION ALL ".join(f"SELECT '{kind}' AS kind, page, grp, cid, n FROM {kind}_best" for kind, _ in _kinds()))
+def special_best(spark, folder):
+    """Who stands for each group of overlapping pictures and of overlapping wrappers, each by the thresholds of its kind."""
+    rows, parts = fixtures.clusters(spark, folder), []
+    for kind, labels in _kinds():
+        own = rows.where(F.col("label").isin(*labels))
+        parts.append(layout.chosen(own.join(groups(overlaps(own)), ["page", "cid"]), kind).select(F.lit(kind).alias("kind"), "page", "grp", "cid", "n"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("cross_type_overlaps", f"WITH {K} SELECT page, cid FROM clusters w WHERE label IN {labels_sql(WRAPPERS)} AND NOT EXISTS (SELECT 1 FROM clusters t WHERE t.page = w.page AND t.cid <> w.cid AND t.label = 'table' AND {_shared('w', 't')} / {_area('w')} > {layout.TABLE_OVERLAP} AND w.confidence - t.confidence < {layout.TABLE_GAP})")
+def cross_type_overlaps(spark, folder):
+    """Wrappers without those that are nearly all inside a table and not clearly more confident."""
+    rows = fixtures.clusters(spark, folder)
+    wrappers = rows.where(F.col("label").isin(*WRAPPERS))
+    return wrappers.join(layout.like_tables(wrappers, rows.where("label = 'table'")), ["page", "cid"], "left_anti").select("page", "cid")
 
-        best = None
-        for x in items:
-            if all(stands(x, y) for y in items if y is not x) and (best is None or (x["area"] > best["area"] and best["confidence"] - x["confidence"] <= gap)):
-                best = x
-        best = best or items[0]
-        return best["page"], best["cid"], len(items), best["label"]
 
-    return rows.join(grouped(rows), ["page", "cid"]).groupBy("page").applyInPandas(choose, "page long, cid long, members long, label string")
+@query("layout_postprocess", layout.postprocess_sql(PAGE_WIDTH * PAGE_HEIGHT, f"{C}, {K}"))
+def layout_postprocess(spark, folder):
+    """The whole chain from cells and clusters to the final ones in their order."""
+    return layout.postprocess(fixtures.cells(spark, folder), fixtures.clusters(spark, folder), PAGE_WIDTH * PAGE_HEIGHT)
 
 
 @query("cluster_bounds", f"""WITH {C}, {K}, {ASSIGNED}, u AS (SELECT a.page, a.cid, min(c.l) AS l, min(c.t) AS t, max(c.r) AS r, max(c.b) AS b FROM assigned a JOIN cells c ON a.page = c.page AND a.idx = c.idx GROUP BY a.page, a.cid)
@@ -220,9 +159,9 @@ def cluster_best(spark, folder):
 def cluster_bounds(spark, folder):
     """Boxes shrink or grow to the cells they hold; a table never shrinks."""
     cells, clusters = fixtures.cells(spark, folder), fixtures.clusters(spark, folder)
-    held = assign(cells, clusters).select("page", "idx", "cid").join(cells, ["page", "idx"]).groupBy("page", "cid").agg(F.min("l").alias("u_l"), F.min("t").alias("u_t"), F.max("r").alias("u_r"), F.max("b").alias("u_b"))
-    edge = lambda x, f: F.when(F.col("label") == "table", f(x, f"u_{x}")).otherwise(F.col(f"u_{x}")).alias(x)
-    return clusters.join(held, ["page", "cid"]).select("page", "cid", edge("l", F.least), edge("t", F.least), edge("r", F.greatest), edge("b", F.greatest))
+    held = assign(cells, clusters).select("page", "idx", "cid")
+    full = clusters.join(held, ["page", "cid"], "left_semi")
+    return layout.fitted(full, held, cells).select("page", "cid", *"ltrb")
 
 
 @query("cluster_sort", f"""WITH {C}, {K}, {ASSIGNED}, f AS (SELECT page, cid, min(idx) AS first FROM assigned GROUP BY page, cid)
@@ -298,9 +237,7 @@ def bbox_expand_scale_flip(spark, folder):
 def script_and_orientation(spark, folder):
     """Script names as trained data is named, clockwise page turns as counter-clockwise angles."""
     raw = F.when(F.col("lang") == "en", "Latin").when(F.col("lang") == "fr", "Han").when(F.col("lang") == "de", "Katakana").otherwise("Korean")
-    # Script names and what they are called elsewhere.
-    script = F.when(raw.isin("Katakana", "Hiragana"), "Japanese").when(raw == "Han", "HanS").when(raw == "Korean", "Hangul").otherwise(raw)
-    return table(spark, folder, "documents").select("lang", script.alias("script"), F.pmod(-(F.col("doc_id") % 4) * 90, F.lit(360)).alias("angle")).distinct()
+    return table(spark, folder, "documents").select("lang", T.script_name(raw).alias("script"), T.page_turn(F.col("doc_id") % 4 * 90).alias("angle")).distinct()
 
 
 @query("picture_area_threshold", f"WITH {K} SELECT page, cid, round({_area('k')} / {PAGE_WIDTH * PAGE_HEIGHT}, 6) AS part FROM clusters k WHERE label = 'picture' AND {_area('k')} / {PAGE_WIDTH * PAGE_HEIGHT} >= 0.01")
@@ -315,7 +252,7 @@ def page_dimensions(spark, folder):
     return fixtures.cells(spark, folder).groupBy("page").agg((F.max("r") - F.min("l")).alias("width"), (F.max("b") - F.min("t")).alias("height"))
 
 
-@query("layout_elements", f"""WITH {C}, {K}, {ASSIGNED} SELECT k.page, k.cid, CASE WHEN label = 'table' THEN 'table' WHEN label = 'picture' THEN 'figure' WHEN label = 'form' THEN 'container' ELSE 'text' END AS kind, count(a.idx)::BIGINT AS n_cells
+@query("layout_elements", f"""WITH {C}, {K}, {ASSIGNED} SELECT k.page, k.cid, CASE WHEN label IN ('table', 'document_index') THEN 'table' WHEN label = 'picture' THEN 'figure' WHEN label IN ('form', 'key_value_region') THEN 'container' ELSE 'text' END AS kind, count(a.idx)::BIGINT AS n_cells
   FROM clusters k LEFT JOIN assigned a ON k.page = a.page AND k.cid = a.cid GROUP BY ALL""")
 def layout_elements(spark, folder):
     """Clusters as elements: tables and figures keep their row even if no structure or class was predicted."""

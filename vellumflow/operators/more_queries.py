@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vellumflow.functions.geometry import Box
 from vellumflow.operators import fixtures
-from vellumflow.operators.layout_queries import PAGE_HEIGHT, PAGE_WIDTH, assign, grouped
+from vellumflow.operators.layout_queries import PAGE_HEIGHT, PAGE_WIDTH
+from vellumflow.plans.options import OcrOptions
 from vellumflow.registry import query, table
 from vellumflow.sources.formats import EXTENSIONS, MEDIA_TYPES
 
@@ -81,19 +81,25 @@ def ocr_confidence_filter(spark, folder):
     return fixtures.cells(spark, folder).where(F.col("from_ocr") & (F.col("confidence") >= 0.95) & (F.trim("text") != "") & (Box.of().area() > 0)).groupBy("page").agg(F.count("*").alias("kept"))
 
 
-@query("bitmap_coverage")
-def bitmap_coverage(spark, folder):
-    """The part of each page that its pictures cover together (overlaps once), on a grid; more than 0.05 asks for OCR."""
-
-    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
+#: The grid on which coverage is measured: units of a cell, rows, columns, columns in a word of bits.
+UNIT, ROWS, COLUMNS, WORD = 4, int(PAGE_HEIGHT) // 4, int(PAGE_WIDTH) // 4, 45
 
-        grid = np.zeros((int(PAGE_HEIGHT) // 4, int(PAGE_WIDTH) // 4), bool)
-        for l, t, r, b in pdf[list("ltrb")].to_numpy():
-            grid[int(max(t, 0) // 4) : int(-(-b // 4)), int(max(l, 0) // 4) : int(-(-r // 4))] = True
-        return pd.DataFrame({"page": [pdf["page"].iloc[0]], "part": [float(grid.mean())], "ocr": [bool(grid.mean() > 0.05)]})
 
-    return fixtures.clusters(spark, folder).where("label = 'picture'").groupBy("page").applyInPandas(cover, "page long, part double, ocr boolean")
+@query("bitmap_coverage", f"""WITH {K}, p AS (SELECT page, greatest(floor(l / {UNIT}), 0)::BIGINT AS c0, least(ceil(r / {UNIT}), {COLUMNS})::BIGINT AS c1, greatest(floor(t / {UNIT}), 0)::BIGINT AS r0, least(ceil(b / {UNIT}), {ROWS})::BIGINT AS r1 FROM clusters WHERE label = 'picture'),
+  y AS (SELECT page, c0, c1, unnest(range(r0, r1)) AS y FROM p), x AS (SELECT DISTINCT page, y, unnest(range(c0, c1)) AS x FROM y)
+  SELECT page, count(*) / {ROWS * COLUMNS}::DOUBLE AS part, count(*) / {ROWS * COLUMNS}::DOUBLE > {OcrOptions().bitmap_area_threshold} AS ocr FROM x GROUP BY page""")
+def bitmap_coverage(spark, folder):
+    """The part of each page that its pictures cover together (overlaps once), on a grid; more than a twentieth asks for OCR.
+    Each grid row of a picture is a few words of bits, and rows are united by bit_or."""
+    low = lambda c: F.greatest(F.floor(F.col(c) / UNIT), F.lit(0))
+    high = lambda c, n: F.least(F.ceil(F.col(c) / UNIT), F.lit(n))
+    rows = fixtures.clusters(spark, folder).where("label = 'picture'").select("page", low("l").alias("c0"), high("r", COLUMNS).alias("c1"), low("t").alias("r0"), high("b", ROWS).alias("r1")).where("c0 < c1 AND r0 < r1")
+    rows = rows.select("page", "c0", "c1", F.explode(F.sequence("r0", F.col("r1") - 1)).alias("y"))
+    within = lambda c, w: F.least(F.greatest(F.col(c) - w * WORD, F.lit(0)), F.lit(WORD)).cast("int")
+    bits = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), within("c1", w)) - F.call_function("shiftleft", F.lit(1).cast("long"), within("c0", w))
+    united = rows.groupBy("page", "y").agg(*(F.bit_or(bits(w)).alias(f"w{w}") for w in range(COLUMNS // WORD)))
+    part = F.sum(sum(F.bit_count(f"w{w}") for w in range(COLUMNS // WORD))) / (ROWS * COLUMNS)
+    return united.groupBy("page").agg(part.alias("part")).withColumn("ocr", F.col("part") > OcrOptions().bitmap_area_threshold)
 
 
 @query("reading_order", f"""WITH {K}, c AS (SELECT *, CASE WHEN (l + r) / 2 < {PAGE_WIDTH / 2} OR r - l > {PAGE_WIDTH} * 0.6 THEN 0 ELSE 1 END AS col, label IN ('page_header', 'page_footer') AS furniture FROM clusters)
@@ -143,24 +149,3 @@ def citation_flatten(spark, folder):
     """The parts of a reference in one line, without empty ones and double stops."""
     tail = F.when(F.col("p_partkey") % 2 == 0, F.col("p_type"))
     return table(spark, folder, "part").select("p_partkey", F.concat(F.rtrim(F.col("p_name"), F.lit(".")), F.lit(". "), F.concat_ws(" ", "p_brand", F.concat(F.lit("("), F.col("p_size").cast("string"), F.lit(")")), tail)).alias("citation"))
-
-
-@query("layout_postprocess")
-def layout_postprocess(spark, folder):
-    """The whole chain: sure enough clusters, overlapping groups to one, cells assigned, empty ones dropped, boxes fitted,
-    orphan cells as text clusters, reading places."""
-    from vellumflow.operators.layout_queries import LEAST_CONFIDENCE
-
-    cells, k = fixtures.cells(spark, folder), fixtures.clusters(spark, folder)
-    least = F.create_map(*(F.lit(x) for kv in LEAST_CONFIDENCE.items() for x in kv))
-    sure = k.where(F.col("confidence") >= least[F.col("label")])
-    one = sure.join(grouped(sure), ["page", "cid"]).withColumn("area", Box.of().area()).groupBy("page", "grp").agg(F.max_by(F.struct("cid", "label", "confidence", *"ltrb"), F.struct("area", -F.col("cid"))).alias("k")).select("page", "k.*")
-    held = assign(cells, one).select("page", "idx", "cid")
-    full = held.join(cells.select("page", "idx", *"ltrb"), ["page", "idx"]).groupBy("page", "cid").agg(F.min("idx").alias("first"), F.count("*").alias("n"), F.min("l").alias("l"), F.min("t").alias("t"), F.max("r").alias("r"), F.max("b").alias("b"))
-    fitted = one.select("page", "cid", "label", "confidence").join(full, ["page", "cid"])
-    top = k.groupBy("page").agg(F.max("cid").alias("top"))
-    free = cells.where(F.trim("text") != "").join(held, ["page", "idx"], "left_anti").join(top, "page", "left")
-    number = F.coalesce("top", F.lit(0)) + F.row_number().over(Window.partitionBy("page").orderBy("idx"))
-    orphans = free.select("page", number.alias("cid"), F.lit("text").alias("label"), "confidence", F.col("idx").alias("first"), F.lit(1).cast("long").alias("n"), *"ltrb")
-    place = F.row_number().over(Window.partitionBy("page").orderBy("first", "t", "l", "cid"))
-    return fitted.unionByName(orphans).select("page", "cid", "label", "n", place.alias("place"))
