@@ -4,9 +4,12 @@ from pyspark.sql import functions as F
 from tests.test_sources import ARTICLE, book, slides, word
 from vellumflow.functions import text as T
 from vellumflow.functions.geometry import Box
-from vellumflow.plans import plugins, serialize
+from vellumflow.operators import layout
+from vellumflow.plans import chunk, plugins, serialize
 from vellumflow.plans.convert import ConversionError, DocumentConverter, Limits, Result
-from vellumflow.sources import reader
+from vellumflow.plans.options import LayoutOptions, PipelineOptions
+from vellumflow.sources import formats, reader
+from vellumflow.sources.tree import Tree
 from vellumflow.streaming import stream
 
 
@@ -31,13 +34,63 @@ def test_convert_files(spark, folder, tmp_path):
     assert "running head" not in md["a.docx"] and "| h1  | h1  |" in md["a.docx"] and "secret" not in md["c.xlsx"]
     r.save(str(tmp_path))
     assert Result.load(spark, str(tmp_path)).items.count() == r.items.count()
-    assert {x["status"]: x["count"] for x in r.export(str(tmp_path / "out")).collect()} == {"success": 7, "failure": 3}
+    assert {x["status"]: x["count"] for x in r.export(str(tmp_path / "out"), ("md", "json", "text", "doctags", "html_split_page")).collect()} == {"success": 7, "failure": 3}
     assert spark.read.parquet(str(tmp_path / "out/json")).count() == 7
     assert r.tables().count() == 8 and r.outline().count() == 7
     assert r.html(split_pages=True).where("html LIKE '%<section>%'").count() > 3
     assert serialize.tagged(r.items).where("tagged LIKE '%<title>T</title>%'").count() == 1
 
 
+def test_equal_files_and_plugged_parsers(spark, tmp_path):
+    for name in ("a/x.md", "b/x.md"):
+        (tmp_path / name).parent.mkdir()
+        (tmp_path / name).write_bytes(b"# T\n\nhello world\n\n```\nx = 1\n```\n")
+    (tmp_path / "c.pdf").write_bytes(b"%PDF-1.4 words")
+
+    def pdf(content):
+        tree = Tree()
+        tree.add("text", text=bytes(content).decode()[9:])
+        return tree
+
+    options = PipelineOptions(do_code_enrichment=True, allow_external_plugins=True)
+    r = DocumentConverter(spark, options=options, parsers={"pdf": pdf}, plugins={"code": lambda s: s.str.upper()}).convert_all(str(tmp_path))
+    docs = r.documents.collect()
+    assert len({x["doc_id"] for x in docs}) == 3 and len({x["hash"] for x in docs}) == 2 and {x["status"] for x in docs} == {"success"}
+    md = {x["path"].rsplit("/", 2)[1]: x["markdown"] for x in r.documents.join(r.markdown(), "doc_id").collect()}
+    assert md["a"] == md["b"] == "# T\n\nhello world\n\n```\nx = 1\n```" and "words" in md.values()
+    assert {x["code"] for x in r.items.where("label = 'code'").collect()} == {"X = 1"}
+    assert "MapInArrow" not in r.markdown()._jdf.queryExecution().toString()  # parsed once, when converted
+    with pytest.raises(KeyError):
+        DocumentConverter(spark, options=options).convert_all(str(tmp_path))
+    with pytest.raises(PermissionError):
+        DocumentConverter(spark, options=PipelineOptions(do_code_enrichment=True), plugins={"code": lambda s: s}).convert_all(str(tmp_path))
+
+
+def test_sniffing_of_a_part():
+    whole = word()
+    assert formats.detect("x", whole[:8192], whole[-4000:]) == formats.detect("x", whole) == "docx"
+    assert formats.detect("x.docx", whole[:8192], whole[-30:]) == "docx" and formats.detect("x", whole[:8192], whole[-30:]) is None
+    assert formats.detect("a.xml", b"<?xml version='1.0'?><article><front/></article>") == "xml_jats"
+    assert formats.detect("a.xml", b"<us-patent-grant lang='EN'/>") == "xml_uspto"
+
+
+def test_tables_and_pieces(spark):
+    df = spark.createDataFrame([(1, "| a | b |\n|---|---|\n| x, y | 2 |\n")], "id long, t string")
+    t = DocumentConverter(spark).convert_string(df, "md", "t", "id").tables().first()
+    assert t["csv"] == 'a,b\n"x, y",2\n' and t["html"] == "<table><tr><th>a</th><th>b</th></tr><tr><td>x, y</td><td>2</td></tr></table>"
+    for text in ("a b c d e f g", "aaaaaaaa b", "", "a", "aaa aaa aaa"):
+        got = list(chunk._pieces(text, 5, len))
+        assert " ".join(got) == text and all(len(p) <= 5 or " " not in p for p in got)
+        assert all(len(p + " " + q.split(" ")[0]) > 5 for p, q in zip(got, got[1:]))
+
+
+def test_layout_options(spark):
+    cells = spark.createDataFrame([(1, 0, "a", 0.9, 0.0, 0.0, 10.0, 10.0), (1, 1, "b", 0.8, 100.0, 0.0, 110.0, 10.0)], "page long, idx long, text string, confidence double, l double, t double, r double, b double")
+    clusters = spark.createDataFrame([(1, 1, "text", 0.9, 0.0, 0.0, 12.0, 12.0), (1, 2, "text", 0.9, 200.0, 0.0, 212.0, 12.0)], "page long, cid long, label string, confidence double, l double, t double, r double, b double")
+    n = lambda **o: sorted(r["cid"] for r in layout.postprocess(cells, clusters, 1e6, LayoutOptions(**o)).collect())
+    assert n() == [1, 3] and n(create_orphan_clusters=False) == [1] and n(keep_empty_clusters=True) == [1, 2, 3] and n(skip_cell_assignment=True) == [1, 2]
+
+
 def test_limits(spark, folder):
     c = DocumentConverter(spark, ("md", "pptx", "xlsx"))
     got = {x["file"]: x["status"] for x in c.convert_all(folder, Limits(max_num_pages=1)).documents.collect()}

@@ -6,7 +6,8 @@ from vellumflow.sources.tree import grid
 
 
 def test_options():
-    assert PipelineOptions().key() == PipelineOptions().key() != PipelineOptions(do_ocr=False).key()
+    assert PipelineOptions().key() == PipelineOptions().key() != PipelineOptions(do_code_enrichment=True).key()
+    assert AcceleratorOptions().resolved(("cpu", "mps")) == "mps" and AcceleratorOptions(device="cuda:1").resolved() == "cpu"
     with pytest.raises(ValueError):
         AcceleratorOptions(device="tpu")
 

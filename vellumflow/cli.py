@@ -1,4 +1,4 @@
-"""python -m vellumflow.cli SOURCE --output FOLDER [--from FORMAT ...] [--to md json html outline]: converts files."""
+"""python -m vellumflow.cli SOURCE --output FOLDER [--from FORMAT ...] [--to md json html html_split_page text doctags outline]: converts files."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("source")
     p.add_argument("--output", required=True)
     p.add_argument("--from", dest="formats", nargs="*")
-    p.add_argument("--to", nargs="*", default=["md"], choices=["md", "json", "html", "outline"])
+    p.add_argument("--to", nargs="*", default=["md"], choices=["md", "json", "html", "html_split_page", "text", "doctags", "outline"])
     p.add_argument("--max-file-size", type=int)
     p.add_argument("--max-pages", type=int)
     p.add_argument("--abort-on-error", action="store_true")

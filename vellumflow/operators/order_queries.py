@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vellumflow.operators import fixtures
+from vellumflow.operators.folds import folded
 from vellumflow.registry import query, table
 
 C = fixtures.CELLS
@@ -38,19 +38,23 @@ def list_markers(spark, folder):
     return items(spark, folder).withColumn("grp", run).where("kind = 'list_item'").select("doc", "ord", "grp", F.concat(number.cast("string"), F.lit(".")).alias("marker"))
 
 
-@query("numbered_headings")
+@query("numbered_headings", f"""WITH RECURSIVE {ITEMS}, h AS (SELECT doc, ord, level, row_number() OVER (PARTITION BY doc ORDER BY ord) AS k FROM items WHERE kind = 'heading'),
+  f AS (SELECT doc, k, ord, level, CASE level WHEN 1 THEN [1, 0, 0] WHEN 2 THEN [1, 1, 0] ELSE [1, 1, 1] END AS n FROM h WHERE k = 1
+    UNION ALL SELECT h.doc, h.k, h.ord, h.level, CASE h.level WHEN 1 THEN [n[1] + 1, 0, 0] WHEN 2 THEN [greatest(n[1], 1), n[2] + 1, 0] ELSE [greatest(n[1], 1), greatest(n[2], 1), n[3] + 1] END FROM f JOIN h ON h.doc = f.doc AND h.k = f.k + 1)
+  SELECT doc, ord, array_to_string(n[1:level], '.') AS number FROM f""")
 def numbered_headings(spark, folder):
     """Numbers 1.2.3 of headings: a heading counts up on its level and resets the deeper ones; an upper level that was
-    never met counts as 1. A fold over the headings of a document, in one expression."""
-    h = F.array_sort(F.collect_list(F.struct("ord", "level")))
-    start = F.struct(F.array(F.lit(0), F.lit(0), F.lit(0)).alias("n"), F.expr("cast(array() as array<struct<ord:bigint,number:string>>)").alias("out"))
-
-    def step(acc, x):
-        n = F.transform(acc["n"], lambda v, k: F.when(k + 1 == x["level"], v + 1).when(k + 1 > x["level"], 0).otherwise(F.greatest(v, F.lit(1))))
-        return F.struct(n.alias("n"), F.array_append(acc["out"], F.struct(x["ord"].alias("ord"), F.array_join(F.transform(F.slice(n, F.lit(1), x["level"]), lambda v: v.cast("string")), ".").alias("number"))).alias("out"))
-
-    folded = F.aggregate(h, start, step, lambda acc: acc["out"])
-    return items(spark, folder).where("kind = 'heading'").groupBy("doc").agg(folded.alias("h")).select("doc", F.inline("h"))
+    never met counts as 1. So a level's number is the count of its headings since the last shallower one, and one more if a
+    deeper one came before all of them there: window functions only."""
+    h = items(spark, folder).where("kind = 'heading'").select("doc", "ord", "level")
+    w = Window.partitionBy("doc").orderBy("ord")
+    h = h.withColumn("s1", F.sum(F.when(F.col("level") == 1, 1).otherwise(0)).over(w))
+    h = h.withColumn("s2", F.sum(F.when(F.col("level") == 2, 1).otherwise(0)).over(Window.partitionBy("doc", "s1").orderBy("ord")))
+    n3 = F.sum(F.when(F.col("level") == 3, 1).otherwise(0)).over(Window.partitionBy("doc", "s1", "s2").orderBy("ord"))
+    lead = lambda least, *by: F.min(F.when(F.col("level") >= least, F.struct("ord", "level"))).over(Window.partitionBy(*by))["level"]
+    more = lambda c: F.when(c, 1).otherwise(0)
+    h = h.select("doc", "ord", "level", (F.col("s1") + more(lead(1, "doc") > 1)).alias("n1"), (F.col("s2") + more(lead(2, "doc", "s1") > 2)).alias("n2"), n3.alias("n3"))
+    return h.select("doc", "ord", F.array_join(F.slice(F.array(*(F.col(f"n{k}").cast("string") for k in (1, 2, 3))), F.lit(1), F.col("level")), ".").alias("number"))
 
 
 @query("heading_path", f"""WITH {ITEMS}, u AS (SELECT *, max(CASE WHEN kind = 'heading' AND level = 1 THEN ord END) OVER w AS h1, max(CASE WHEN kind = 'heading' AND level = 2 THEN ord END) OVER w AS h2, max(CASE WHEN kind = 'heading' AND level = 3 THEN ord END) OVER w AS h3 FROM items WINDOW w AS (PARTITION BY doc ORDER BY ord))
@@ -89,52 +93,61 @@ def paragraph_gap(spark, folder):
     return rows.select("page", "idx", F.sum("brk").over(w).alias("para"), "space")
 
 
-@query("line_group_fold")
+@query("line_group_fold", f"""WITH RECURSIVE {C}, o AS (SELECT page, idx, t, b, row_number() OVER (PARTITION BY page ORDER BY t, l, idx) AS k FROM cells),
+  f AS (SELECT page, idx, k, 0 AS line, t AS low, b - t AS tall FROM o WHERE k = 1
+    UNION ALL SELECT o.page, o.idx, o.k, CASE WHEN abs(o.t - low) > greatest(o.b - o.t, tall, 1.0) * 0.6 + 0.8 THEN line + 1 ELSE line END, CASE WHEN abs(o.t - low) > greatest(o.b - o.t, tall, 1.0) * 0.6 + 0.8 THEN o.t ELSE least(low, o.t) END,
+      CASE WHEN abs(o.t - low) > greatest(o.b - o.t, tall, 1.0) * 0.6 + 0.8 THEN o.b - o.t ELSE greatest(tall, o.b - o.t) END FROM f JOIN o ON o.page = f.page AND o.k = f.k + 1) SELECT page, idx, line::BIGINT AS line FROM f""")
 def line_group_fold(spark, folder):
     """Cells of a page as lines: the height a line tolerates follows the cells it already has, so this is a fold over
-    the cells in order of (top, left), one page at a time."""
+    the cells in order of (top, left)."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["t", "l", "idx"])
+    def lines(top, bottom):
         line, low, tall, out = -1, None, 0.0, []
-        for t, b in zip(rows["t"], rows["b"]):
+        for t, b in zip(top.tolist(), bottom.tolist()):
             if low is None or abs(t - low) > max(b - t, tall, 1.0) * 0.6 + 0.8:
                 line, low, tall = line + 1, t, b - t
             low, tall = min(low, t), max(tall, b - t)
             out.append(line)
-        return pd.DataFrame({"page": rows["page"].to_numpy(), "idx": rows["idx"].to_numpy(), "line": out})
+        return out
+
+    rows = fixtures.cells(spark, folder).select("page", "t", "l", "idx", "b")
+    return folded(rows, ("page",), ("t", "l", "idx"), ("t", "b"), lines, "line").select("page", "idx", F.col("line").cast("long").alias("line"))
+
 
-    return fixtures.cells(spark, folder).groupBy("page").applyInPandas(fold, "page long, idx long, line long")
+#: Cells as they are printed: in order of (top, left).
+PRINTED = f"{C}, printed AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY t, l, idx) AS k FROM cells)"
 
 
-@query("cell_merge_fold")
+@query("cell_merge_fold", f"""WITH RECURSIVE {PRINTED}, f AS (SELECT page, k, 0 AS line, t AS top, b AS bottom FROM printed WHERE k = 1
+    UNION ALL SELECT o.page, o.k, line + CASE WHEN abs(o.t - top) <= 0.5 * (bottom - top) AND abs(o.b - bottom) <= 0.5 * (bottom - top) THEN 0 ELSE 1 END,
+      CASE WHEN abs(o.t - top) <= 0.5 * (bottom - top) AND abs(o.b - bottom) <= 0.5 * (bottom - top) THEN least(top, o.t) ELSE o.t END, CASE WHEN abs(o.t - top) <= 0.5 * (bottom - top) AND abs(o.b - bottom) <= 0.5 * (bottom - top) THEN greatest(bottom, o.b) ELSE o.b END
+      FROM f JOIN printed o ON o.page = f.page AND o.k = f.k + 1),
+  p AS (SELECT o.*, f.line, lag(o.r) OVER w AS pr, lag(o.b - o.t) OVER w AS ph FROM printed o JOIN f USING (page, k) WINDOW w AS (PARTITION BY o.page, f.line ORDER BY o.k)),
+  g AS (SELECT *, sum(CASE WHEN l - pr <= (ph + b - t) / 2 THEN 0 ELSE 1 END) OVER (PARTITION BY page ORDER BY k) AS run FROM p)
+  SELECT page, run::BIGINT AS idx, trim(string_agg(trim(text), ' ' ORDER BY k) FILTER (trim(text) <> '')) AS text, min(l) AS l, min(t) AS t, max(r) AS r, max(b) AS b FROM g GROUP BY page, run""")
 def cell_merge_fold(spark, folder):
-    """Neighbouring cells of a row merged into runs: a row takes cells whose edges differ by at most half its height so
-    far, a run ends at a gap wider than the mean height; runs are numbered from 1."""
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows: list[dict] = []
-        for x in pdf.sort_values(["t", "idx"]).to_dict("records"):
-            row = rows[-1] if rows else None
-            if row and max(abs(x["t"] - row["t"]), abs(x["b"] - row["b"])) <= 0.5 * (row["b"] - row["t"]):
-                row["cells"].append(x)
-                row["t"], row["b"] = min(row["t"], x["t"]), max(row["b"], x["b"])
+    """Neighbouring cells of a row merged into runs. A row takes the next cell while both its edges differ by at most half the
+    row's height so far from the row's (a fold); a run ends where the gap to the cell before is wider than the mean height of
+    the two (lag and a running sum). Runs are numbered from 1."""
+
+    def rows_of(top, bottom):
+        row, t0, b0, out = -1, 0.0, 0.0, []
+        for t, b in zip(top.tolist(), bottom.tolist()):
+            if row >= 0 and max(abs(t - t0), abs(b - b0)) <= 0.5 * (b0 - t0):
+                t0, b0 = min(t, t0), max(b, b0)
             else:
-                rows.append({"t": x["t"], "b": x["b"], "cells": [x]})
-        out = []
-        for row in rows:
-            run = None
-            for x in sorted(row["cells"], key=lambda c: (c["l"], c["idx"])):
-                if run and x["l"] - run["r"] <= (run["b"] - run["t"] + x["b"] - x["t"]) / 2:
-                    run["text"] += x["text"].strip() and " " + x["text"].strip()
-                    run.update(r=max(run["r"], x["r"]), t=min(run["t"], x["t"]), b=max(run["b"], x["b"]))
-                else:
-                    run = {"text": x["text"].strip(), "l": x["l"], "t": x["t"], "r": x["r"], "b": x["b"]}
-                    out.append(run)
-        page = int(pdf["page"].iloc[0])
-        return pd.DataFrame([(page, k + 1, x["text"], x["l"], x["t"], x["r"], x["b"]) for k, x in enumerate(out)], columns=["page", "idx", "text", *"ltrb"])
-
-    return fixtures.cells(spark, folder).groupBy("page").applyInPandas(merge, "page long, idx long, text string, l double, t double, r double, b double")
+                row, t0, b0 = row + 1, t, b
+            out.append(row)
+        return out
+
+    cells = fixtures.cells(spark, folder).select("page", "t", "l", "idx", "r", "b", "text")
+    c = folded(cells, ("page",), ("t", "l", "idx"), ("t", "b"), rows_of, "row")
+    here = Window.partitionBy("page", "row").orderBy("t", "l", "idx")
+    joins = F.col("l") - F.lag("r").over(here) <= (F.lag(F.col("b") - F.col("t")).over(here) + F.col("b") - F.col("t")) / 2
+    c = c.withColumn("new", F.when(joins, 0).otherwise(1)).withColumn("run", F.sum("new").over(Window.partitionBy("page").orderBy("t", "l", "idx")))
+    said = F.transform(F.array_sort(F.collect_list(F.when(F.trim("text") != "", F.struct("t", "l", "idx", F.trim("text").alias("x"))))), lambda x: x["x"])
+    merged = c.groupBy("page", F.col("run").alias("idx")).agg(said.alias("said"), F.min("l").alias("l"), F.min("t").alias("t"), F.max("r").alias("r"), F.max("b").alias("b"))
+    return merged.select("page", "idx", F.when(F.size("said") > 0, F.array_join("said", " ")).alias("text"), *"ltrb")
 
 
 @query("batch_assign", f"WITH {ITEMS} SELECT doc, ord, (ord - 1) // 4 AS batch FROM items")
@@ -163,24 +176,35 @@ def chunk_hierarchical(spark, folder):
     return c.select("doc", "first", "head", F.sha2(F.concat_ws("\n", "title", "text"), 256).alias("chunk_sha"))
 
 
-@query("chunk_hybrid")
+MOST_WORDS = 40
+
+
+@query("chunk_hybrid", f"""WITH RECURSIVE ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents),
+  w AS (SELECT doc_id, line_no, list_filter(string_split(line, ' '), lambda x: x <> '') AS w FROM ln), p AS (SELECT doc_id, line_no, a, w[a + 1:a + {MOST_WORDS}] AS p FROM (SELECT *, unnest(range(0, len(w), {MOST_WORDS})) AS a FROM w WHERE len(w) > 0)),
+  o AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, a) AS k, len(p) AS n, array_to_string(p, ' ') AS text FROM p),
+  f AS (SELECT doc_id, k, n AS held, 0 AS chunk_no FROM o WHERE k = 1
+    UNION ALL SELECT o.doc_id, o.k, CASE WHEN held + n <= {MOST_WORDS} THEN held + n ELSE n END, CASE WHEN held + n <= {MOST_WORDS} THEN chunk_no ELSE chunk_no + 1 END FROM f JOIN o ON o.doc_id = f.doc_id AND o.k = f.k + 1)
+  SELECT doc_id, chunk_no, sum(n)::INTEGER AS n_words, sha256(string_agg(text, chr(10) ORDER BY k)) AS chunk_sha FROM o JOIN f USING (doc_id, k) GROUP BY doc_id, chunk_no""")
 def chunk_hybrid(spark, folder):
     """Chunks of at most 40 words: longer lines are split, then shorter neighbours under one heading are merged while
-    they fit. A fold over the ordered pieces of a document, in one expression."""
-    most = 40
-    lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = lines.withColumn("w", F.filter(F.split("line", " "), lambda x: x != "")).where(F.size("w") > 0)
-    parts = words.select("doc_id", "line_no", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / most).cast("int")), lambda k: F.slice(F.col("w"), k * most + 1, F.lit(most)))).alias("part", "p"))
-    pieces = F.array_sort(F.collect_list(F.struct("line_no", "part", F.size("p").alias("n"), F.array_join("p", " ").alias("text"))))
-    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("text"), F.expr("cast(array() as array<struct<n:int,text:string>>)").alias("out"))
+    they fit. The fold sees only the sizes of the ordered pieces of a document."""
 
-    def step(acc, x):
-        fits = (acc["n"] == 0) | (acc["n"] + x["n"] <= most)
-        text = F.when(acc["n"] == 0, x["text"]).otherwise(F.concat(acc["text"], F.lit("\n"), x["text"]))
-        return F.struct(F.when(fits, acc["n"] + x["n"]).otherwise(x["n"]).alias("n"), F.when(fits, text).otherwise(x["text"]).alias("text"), F.when(fits, acc["out"]).otherwise(F.array_append(acc["out"], F.struct(acc["n"].alias("n"), acc["text"].alias("text")))).alias("out"))
+    def chunks(sizes):
+        chunk, held, out = 0, 0, []
+        for n in sizes.tolist():
+            if held and held + n > MOST_WORDS:
+                chunk, held = chunk + 1, 0
+            held += n
+            out.append(chunk)
+        return out
 
-    chunks = F.aggregate(pieces, start, step, lambda acc: F.array_append(acc["out"], F.struct(acc["n"].alias("n"), acc["text"].alias("text"))))
-    return parts.groupBy("doc_id").agg(chunks.alias("c")).select("doc_id", F.posexplode("c").alias("chunk_no", "c")).select("doc_id", "chunk_no", F.col("c.n").alias("n_words"), F.sha2("c.text", 256).alias("chunk_sha"))
+    lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    words = lines.withColumn("w", F.filter(F.split("line", " "), lambda x: x != "")).where(F.size("w") > 0)
+    parts = words.select("doc_id", "line_no", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / MOST_WORDS).cast("int")), lambda k: F.slice(F.col("w"), k * MOST_WORDS + 1, F.lit(MOST_WORDS)))).alias("part", "p"))
+    pieces = parts.select("doc_id", "line_no", "part", F.size("p").alias("n"), F.array_join("p", " ").alias("text"))
+    c = folded(pieces, ("doc_id",), ("line_no", "part"), ("n",), chunks, "chunk_no")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "part", "text"))), lambda x: x["text"]), "\n")
+    return c.groupBy("doc_id", "chunk_no").agg(F.sum("n").cast("int").alias("n_words"), F.sha2(text, 256).alias("chunk_sha"))
 
 
 @query("chunk_overlapping", """WITH w AS (SELECT doc_id, list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM documents), s AS (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 30, 1), 98)) AS first FROM w WHERE len(w) > 0)
@@ -252,11 +276,15 @@ def affiliation_join(spark, folder):
     return j.groupBy("c_custkey").agg(F.array_join(F.sort_array(F.collect_set(F.concat_ws(", ", "n_name", "r_name"))), "; ").alias("affiliations"))
 
 
-@query("table_pivot", "SELECT l_orderkey AS row, coalesce(max(CASE WHEN l_linenumber = 1 THEN l_partkey END), -1) AS c1, coalesce(max(CASE WHEN l_linenumber = 2 THEN l_partkey END), -1) AS c2, coalesce(max(CASE WHEN l_linenumber = 3 THEN l_partkey END), -1) AS c3 FROM lineitem GROUP BY 1")
+#: Columns of the table that cells are put into: all line numbers there are.
+TABLE_COLUMNS = range(1, 8)
+
+
+@query("table_pivot", "SELECT l_orderkey AS row, " + ", ".join(f"coalesce(max(CASE WHEN l_linenumber = {k} THEN l_partkey END), -1) AS c{k}" for k in TABLE_COLUMNS) + " FROM lineitem GROUP BY 1")
 def table_pivot(spark, folder):
     """Table cells as a rectangular table."""
-    p = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("row")).pivot("l_linenumber", [1, 2, 3]).agg(F.max("l_partkey"))
-    return p.select("row", *(F.coalesce(F.col(str(k)), F.lit(-1)).cast("long").alias(f"c{k}") for k in (1, 2, 3)))
+    p = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("row")).pivot("l_linenumber", list(TABLE_COLUMNS)).agg(F.max("l_partkey"))
+    return p.select("row", *(F.coalesce(F.col(str(k)), F.lit(-1)).cast("long").alias(f"c{k}") for k in TABLE_COLUMNS))
 
 
 @query("ref_resolution", f"WITH {ITEMS}, h AS (SELECT *, max(CASE WHEN kind = 'heading' THEN ord END) OVER (PARTITION BY doc ORDER BY ord) AS parent FROM items) SELECT c.doc, c.ord, p.text AS parent_text FROM h c JOIN items p ON p.doc = c.doc AND p.ord = c.parent WHERE c.kind <> 'heading'")

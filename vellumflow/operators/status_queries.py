@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vellumflow.plans import plugins, serialize
 from vellumflow.registry import query, table
 
 # Where the grades of a score begin.
@@ -88,8 +89,7 @@ PAGE_STATUS = "page_status AS (SELECT user_id AS doc_id, event_id, CASE WHEN eve
 def status_rollup(spark, folder):
     """A document's status from its pages: late ones make it partial, as does a failed page among sound ones."""
     e = table(spark, folder, "events")
-    top = e.agg(F.max("value").alias("top"))
-    p = e.join(F.broadcast(top)).select(F.col("user_id").alias("doc_id"), (F.col("event_id") % 11 == 0).alias("bad"), (F.col("value") > 0.999 * F.col("top")).alias("late"))
+    p = e.select(F.col("user_id").alias("doc_id"), (F.col("event_id") % 11 == 0).alias("bad"), (F.col("value") > 0.999 * e.agg(F.max("value")).scalar()).alias("late"))
     ok, failed = F.count_if(~F.col("bad")), F.count_if("bad")
     return p.groupBy("doc_id").agg(ok.alias("ok"), failed.alias("failed"), F.when(F.bool_or("late"), "partial_success").when(ok == 0, "failure").when(failed > 0, "partial_success").otherwise("success").alias("status"))
 
@@ -136,11 +136,13 @@ def extraction_status(spark, folder):
 
 @query("content_layer_filter", "SELECT o_orderstatus AS layer, count(*)::BIGINT AS n FROM orders WHERE o_orderstatus IN ('O', 'P') GROUP BY 1")
 def content_layer_filter(spark, folder):
-    """Only the layers asked for."""
-    return table(spark, folder, "orders").where(F.col("o_orderstatus").isin("O", "P")).groupBy(F.col("o_orderstatus").alias("layer")).agg(F.count("*").alias("n"))
+    """Only the layers asked for, by the exporters' own filter."""
+    items = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("layer"), F.lit(None).cast("string").alias("error"))
+    return serialize.of_layers(items, ("O", "P")).groupBy("layer").agg(F.count("*").alias("n"))
 
 
 @query("plugin_origin_filter", "SELECT p_brand, count(*)::BIGINT AS n FROM part WHERE starts_with(p_name, 'part') OR p_size > 40 GROUP BY 1")
 def plugin_origin_filter(spark, folder):
-    """Plug-ins from outside stay out unless they are allowed."""
-    return table(spark, folder, "part").where(F.col("p_name").startswith("part") | (F.col("p_size") > 40)).groupBy("p_brand").agg(F.count("*").alias("n"))
+    """Plug-ins from outside (of another module than part) stay out unless they are allowed (here: sizes above 40)."""
+    p = table(spark, folder, "part")
+    return p.where(plugins.admitted(F.col("p_name"), "part", F.col("p_size") > 40)).groupBy("p_brand").agg(F.count("*").alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from vellumflow.functions import text as T
 from vellumflow.operators import fixtures
+from vellumflow.plans.options import options_key
 from vellumflow.registry import query, table
 
 D = fixtures.PERTURBED
@@ -35,9 +36,9 @@ def whitespace_collapse(spark, folder):
     return fixtures.perturbed(spark, folder).select("doc_id", F.sha2(T.collapse(F.col("text")), 256).alias("clean_sha"))
 
 
-@query("underscore_clamp", f"WITH {D} SELECT doc_id, right(regexp_replace(text, '_{{11,}}', '__________', 'g'), 20) AS tail FROM noisy")
+@query("underscore_clamp", f"WITH {D} SELECT doc_id, sha256(regexp_replace(text, '_{{11,}}', '__________', 'g')) AS text_sha FROM noisy")
 def underscore_clamp(spark, folder):
-    return fixtures.perturbed(spark, folder).select("doc_id", F.right(T.clamp_underscores(F.col("text")), F.lit(20)).alias("tail"))
+    return fixtures.perturbed(spark, folder).select("doc_id", F.sha2(T.clamp_underscores(F.col("text")), 256).alias("text_sha"))
 
 
 _frag = r"len(regexp_extract_all(text, '\b[A-Za-z](?:/[a-z]{1,3}\.[a-z]{1,3}){2,}\b'))"
@@ -60,10 +61,10 @@ def page_hash(spark, folder):
     return table(spark, folder, "pages").select("page_id", F.sha2(F.concat_ws(":", F.sha2("html", 256), (F.col("page_id") - 1).cast("string")), 256).alias("page_hash"))
 
 
-@query("options_hash", "SELECT DISTINCT lang, md5(lang || '|' || source) AS options_hash FROM documents")
+@query("options_hash", "SELECT DISTINCT lang, md5('{\"lang\":\"' || lang || '\",\"source\":\"' || source || '\"}') AS options_hash FROM documents")
 def options_hash(spark, folder):
-    """The key under which a pipeline with given options is kept."""
-    return table(spark, folder, "documents").select("lang", F.md5(F.concat_ws("|", "lang", "source")).alias("options_hash")).distinct()
+    """The key under which a pipeline with given options is kept: a digest of their names and values in order."""
+    return table(spark, folder, "documents").select("lang", options_key(F.struct("lang", "source")).alias("options_hash")).distinct()
 
 
 LINES = r"""lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM marked)"""

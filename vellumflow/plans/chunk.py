@@ -81,15 +81,21 @@ def hierarchical(items: DataFrame, key: str = "doc_id", count: Callable[[str], i
 
 
 def _pieces(text: str, most: int, count: Callable[[str], int]):
-    """Parts of at most ``most`` tokens, cut between words; a single longer word stands alone."""
-    part: list[str] = []
-    for w in text.split(" "):
-        if part and count(" ".join([*part, w])) > most:
-            yield " ".join(part)
-            part = []
-        part.append(w)
-    if part:
-        yield " ".join(part)
+    """Parts of at most ``most`` tokens, cut between words; a single longer word stands alone. A part's end is found by doubling
+    and halving, so a part costs a few counts and not one for each word; counts are taken to grow with the text."""
+    own = text.split(" ")
+    first = 0
+    while first < len(own):
+        fits = lambda k: count(" ".join(own[first : first + k])) <= most  # noqa: B023, E731
+        good, bad = 1, 2
+        while first + bad <= len(own) and fits(bad):
+            good, bad = bad, 2 * bad
+        bad = min(bad, len(own) - first + 1)
+        while bad - good > 1:
+            middle = (good + bad) // 2
+            good, bad = (middle, bad) if fits(middle) else (good, middle)
+        yield " ".join(own[first : first + good])
+        first += good
 
 
 def hybrid(chunks: DataFrame, max_tokens: int, key: str = "doc_id", count: Callable[[str], int] = words, merge_peers: bool = True) -> DataFrame:

@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellumflow import scratch
 from vellumflow.plans import serialize
+from vellumflow.plans.options import PipelineOptions
+from vellumflow.plans.plugins import Registry, enrich
 from vellumflow.sources import reader
 
 
@@ -52,12 +55,19 @@ class Result:
     def html(self, split_pages: bool = False) -> DataFrame:
         return serialize.as_html(self.items, split_pages=split_pages)
 
+    def text(self) -> DataFrame:
+        return serialize.plain(self.items)
+
+    def doctags(self) -> DataFrame:
+        return serialize.tagged(self.items)
+
     def outline(self) -> DataFrame:
         return serialize.outline(self.items)
 
     def tables(self) -> DataFrame:
-        """(doc_id, ord, markdown) of every table."""
-        return self.items.where("label = 'table'").select("doc_id", "ord", serialize.table_markdown("cells").alias("markdown"))
+        """(doc_id, ord, markdown, html, csv) of every table."""
+        made = (serialize.table_markdown("cells").alias("markdown"), serialize.table_html("cells").alias("html"), serialize.table_csv("cells").alias("csv"))
+        return self.items.where("label = 'table'").select("doc_id", "ord", *made)
 
     def save(self, path: str) -> None:
         self.documents.drop("content").write.mode("overwrite").parquet(f"{path}/documents")
@@ -70,19 +80,38 @@ class Result:
     def export(self, path: str, kinds: tuple[str, ...] = ("md", "json")) -> DataFrame:
         """Writes the full successes, one folder for each kind; returns how many documents there are of each status."""
         good = self.documents.where("status = 'success'").select("doc_id")
-        made = {"md": self.markdown, "json": self.json, "html": self.html, "outline": self.outline}
+        made = {"md": self.markdown, "json": self.json, "html": self.html, "outline": self.outline, "text": self.text, "doctags": self.doctags, "html_split_page": lambda: self.html(split_pages=True)}
         for kind in kinds:
             made[kind]().join(good, "doc_id", "left_semi").write.mode("overwrite").parquet(f"{path}/{kind}")
         return self.documents.groupBy("status").count()
 
 
 class DocumentConverter:
-    """Converts files of the allowed formats (all, if none are named)."""
-
-    def __init__(self, spark: SparkSession, allowed_formats: tuple[str, ...] | None = None, document_timeout: float | None = None):
-        self.spark, self.allowed, self.timeout = spark, allowed_formats, document_timeout
+    """Converts files of the allowed formats (all, if none are named).
+
+    ``parsers`` are the caller's, by format (content -> Tree), for PDF, sound or instead of the library's own. ``plugins`` are the
+    models of the enrichments that ``options`` ask for (series of texts -> series of answers), by name."""
+
+    def __init__(self, spark: SparkSession, allowed_formats: tuple[str, ...] | None = None, document_timeout: float | None = None, options: PipelineOptions = PipelineOptions(), parsers: dict | None = None, plugins: dict | None = None):
+        self.spark, self.allowed, self.options, self.parsers, self.plugins = spark, allowed_formats, options, parsers, plugins or {}
+        self.timeout = document_timeout if document_timeout is not None else options.document_timeout
+        self.pipelines: dict[str, tuple] = {}
+
+    def initialize_pipeline(self) -> tuple:
+        """The (plug-in, label, model) of each enrichment, made once for each set of options; a missing or barred one is an error."""
+        key = self.options.key()
+        if key not in self.pipelines:
+            made = []
+            for name, label in self.options.enrichments().items():
+                registry = Registry(name, self.options.allow_external_plugins)
+                if name in self.plugins:
+                    registry.register(name, lambda f=self.plugins[name]: f, origin=self.plugins[name])
+                made.append((name, label, registry.create(name)))
+            self.pipelines[key] = tuple(made)
+        return self.pipelines[key]
 
     def convert_all(self, path: str, limits: Limits = Limits(), patterns: str | None = None, raises_on_error: bool = False) -> Result:
+        """Files are parsed here, once; what is made of the result reads the table of their items in the shared folder."""
         found = reader.inputs(reader.files(self.spark, path, patterns), self.allowed, limits.max_file_size)
         return self._result(found, limits, raises_on_error)
 
@@ -96,10 +125,11 @@ class DocumentConverter:
         return self._result(rows, limits, False, "base")
 
     def _result(self, found: DataFrame, limits: Limits, strict: bool, base: str | None = None) -> Result:
-        parsed = reader.items(found.where("status = 'pending'"), base=base, timeout=self.timeout)
+        wanted = self.initialize_pipeline()
+        parsed = scratch.save(reader.items(found.where("status = 'pending'"), base=base, timeout=self.timeout, parsers=self.parsers), "items")
         first, last = limits.page_range
         pages = parsed.groupBy("doc_id").agg(F.max(F.when(F.col("error") != reader.TOO_LATE, F.col("error"))).alias("parse_error"), F.bool_or(F.coalesce(F.col("error") == reader.TOO_LATE, F.lit(False))).alias("late"), F.max("page").alias("n_pages"))
-        docs = found.drop("content").join(pages, "doc_id", "left")
+        docs = scratch.save(found.drop("content"), "documents").join(pages, "doc_id", "left")
         many = F.col("n_pages") > limits.max_num_pages if limits.max_num_pages is not None else F.lit(False)
         beyond = F.coalesce(F.col("n_pages") < first, F.lit(False))
         live = F.col("status") == "pending"
@@ -110,4 +140,6 @@ class DocumentConverter:
             raise ConversionError(f"{bad['file']}: {bad['error']}")
         good = docs.where("status IN ('success', 'partial_success')").select("doc_id").distinct()
         kept = parsed.where(F.col("error").isNull() & (F.col("page").isNull() | F.col("page").between(first, last))).join(good, "doc_id", "left_semi")
+        for name, label, model in wanted:
+            kept = enrich(kept, F.col("label") == label, model, name)
         return Result(docs, kept)

@@ -1,28 +1,37 @@
-"""Options as frozen values; plan builders take them as literals, tasks never read the environment."""
+"""Options as frozen values. Every one of them is read by the part of the library that it is named for."""
 
 from __future__ import annotations
 
+import hashlib
 import os
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class AcceleratorOptions:
-    num_threads: int = int(os.environ.get("OMP_NUM_THREADS", "4"))
+    """Where a plugged-in model runs; plug-ins get ``resolved()``."""
+
+    num_threads: int = field(default_factory=lambda: int(os.environ.get("OMP_NUM_THREADS", "4")))
     device: str = "auto"
 
     def __post_init__(self):
         if self.device.split(":")[0] not in ("auto", "cpu", "cuda", "mps"):
             raise ValueError(f"no device named {self.device}")
 
+    def resolved(self, available: tuple[str, ...] = ("cpu",)) -> str:
+        """The device asked for if it is there, else the processor; auto takes the first of cuda, mps and cpu."""
+        kind = self.device.split(":")[0]
+        if kind == "auto":
+            return next((d + ":0" if d == "cuda" else d for d in ("cuda", "mps") if d in available), "cpu")
+        return self.device if kind in available else "cpu"
+
 
 @dataclass(frozen=True)
 class OcrOptions:
-    kind: str = "auto"
-    lang: tuple[str, ...] = ()
-    force_full_page_ocr: bool = False
     bitmap_area_threshold: float = 0.05
-    text_score: float = 0.5
 
 
 @dataclass(frozen=True)
@@ -32,69 +41,28 @@ class LayoutOptions:
     skip_cell_assignment: bool = False
 
 
-@dataclass(frozen=True)
-class TableOptions:
-    do_cell_matching: bool = True
-    mode: str = "accurate"
-
-
-@dataclass(frozen=True)
-class PictureDescriptionOptions:
-    batch_size: int = 8
-    scale: float = 2.0
-    picture_area_threshold: float = 0.05
-    url: str | None = None
-    timeout: float = 20.0
-    concurrency: int = 1
-
-
-@dataclass(frozen=True)
-class VlmOptions:
-    prompt: str = ""
-    scale: float = 2.0
-    temperature: float = 0.0
-    stop_strings: tuple[str, ...] = ()
-    max_new_tokens: int = 4096
-    response_format: str = "doctags"
-
-
-@dataclass(frozen=True)
-class AsrOptions:
-    language: str = "en"
-    word_timestamps: bool = True
-
-
-@dataclass(frozen=True)
-class BackendOptions:
-    enable_remote_fetch: bool = False
-    enable_local_fetch: bool = False
-    fetch_images: bool = False
-    source_uri: str | None = None
-    password: str | None = None
-
-
 @dataclass(frozen=True)
 class PipelineOptions:
+    """What DocumentConverter does besides parsing. Each enrichment needs a plug-in of its name."""
+
     document_timeout: float | None = None
-    enable_remote_services: bool = False
     allow_external_plugins: bool = False
-    do_ocr: bool = True
-    do_table_structure: bool = True
     do_code_enrichment: bool = False
     do_formula_enrichment: bool = False
     do_picture_classification: bool = False
     do_picture_description: bool = False
-    images_scale: float = 1.0
-    ocr: OcrOptions = field(default_factory=OcrOptions)
-    layout: LayoutOptions = field(default_factory=LayoutOptions)
-    tables: TableOptions = field(default_factory=TableOptions)
-    pictures: PictureDescriptionOptions = field(default_factory=PictureDescriptionOptions)
-    vlm: VlmOptions = field(default_factory=VlmOptions)
-    asr: AsrOptions = field(default_factory=AsrOptions)
     accelerator: AcceleratorOptions = field(default_factory=AcceleratorOptions)
 
+    def enrichments(self) -> dict[str, str]:
+        """The labels to enrich, by the name of the plug-in."""
+        wanted = (("code", "code", self.do_code_enrichment), ("formula", "formula", self.do_formula_enrichment), ("picture_classification", "picture", self.do_picture_classification), ("picture_description", "picture", self.do_picture_description))
+        return {name: label for name, label, on in wanted if on}
+
     def key(self) -> str:
         """The name under which a pipeline with these options is kept."""
-        import hashlib
+        return hashlib.md5(repr(sorted(asdict(self).items())).encode(), usedforsecurity=False).hexdigest()
+
 
-        return hashlib.md5(repr(self).encode(), usedforsecurity=False).hexdigest()
+def options_key(options: Column) -> Column:
+    """The same for options that are a struct column."""
+    return F.md5(F.to_json(options))

@@ -9,7 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GROUPS = ("ocr", "layout", "table_structure", "picture_description")
+GROUPS = ("ocr", "layout", "table_structure", "picture_description", "picture_classification", "code", "formula", "parser")
+
+
+def admitted(module: Column, own: str, allowed: Column) -> Column:
+    """Whether a plug-in may be used: it comes from the library's own module, or those from outside are allowed."""
+    return module.startswith(own) | allowed
 
 
 class Registry:
@@ -21,11 +26,13 @@ class Registry:
         self.group, self.allow_external = group, allow_external
         self.made: dict[str, Callable[..., Any]] = {}
 
-    def register(self, kind: str, factory: Callable[..., Any]) -> None:
+    def register(self, kind: str, factory: Callable[..., Any], origin: Callable[..., Any] | None = None) -> None:
+        """``origin``: whose module counts, if not the factory's."""
         if kind in self.made:
             raise ValueError(f"{kind} is registered already")
-        if not self.allow_external and not factory.__module__.split(".")[0] == __name__.split(".")[0]:
-            raise PermissionError(f"{factory.__module__} is not part of this library")
+        module = (origin or factory).__module__
+        if not self.allow_external and module.split(".")[0] != __name__.split(".")[0]:
+            raise PermissionError(f"{module} is not part of this library")
         self.made[kind] = factory
 
     def create(self, kind: str, **options) -> Any:

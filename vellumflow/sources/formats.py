@@ -36,8 +36,11 @@ def looks_separated(text: str) -> bool:
     return any(len({x.count(d) for x in lines[:3]}) == 1 and lines[0].count(d) > 0 for d in ",;\t|")
 
 
-def detect(name: str, content: bytes) -> str | None:
-    """The format of a file: magic bytes, archive contents, extension, then the look of the text."""
+def detect(name: str, content: bytes, tail: bytes | None = None) -> str | None:
+    """The format of a file: magic bytes, archive contents, extension, then the look of the text.
+
+    ``content`` may be the first 8 KB only; then ``tail``, the last bytes of an archive, holds its index. An archive whose index
+    is longer than that goes by its extension."""
     low, head = name.lower(), content[:8192]
     for magic, kind in MAGIC:
         if head.startswith(magic):
@@ -46,9 +49,9 @@ def detect(name: str, content: bytes) -> str | None:
         return "audio" if head[8:12] in (b"WAVE", b"AVI ") else "image"
     if head.startswith(b"PK"):
         try:
-            names = set(zipfile.ZipFile(io.BytesIO(content)).namelist())
+            names = set(zipfile.ZipFile(io.BytesIO(content if tail is None else tail)).namelist())
         except zipfile.BadZipFile:
-            return None
+            return None if tail is None else next((f for f in ("docx", "pptx", "xlsx", "ofd") for x in EXTENSIONS[f] if low.endswith("." + x)), None)
         marks = (("word/document.xml", "docx"), ("ppt/presentation.xml", "pptx"), ("xl/workbook.xml", "xlsx"), ("OFD.xml", "ofd"))
         return next((kind for part, kind in marks if part in names), None)
     if head.startswith(b"\x1f\x8b"):
@@ -73,6 +76,12 @@ def detect(name: str, content: bytes) -> str | None:
         return suffix
     if re.match(r"(?i)<(html|head|body|!doctype html)", bare):
         return "html"
+    if bare.startswith("<") and low.endswith((".xml", ".nxml", ".txt")):  # without a document type: by the first element
+        element = re.search(r"<([A-Za-z][\w.-]*)", re.sub(r"<\?.*?\?>|<!.*?>", "", bare, flags=re.S))
+        if element and element[1] in ("us-patent-grant", "us-patent-application", "PATDOC", "patent-application-publication"):
+            return "xml_uspto"
+        if element and element[1] == "article":
+            return "xml_jats"
     if looks_separated(text):
         return "csv"
     return None

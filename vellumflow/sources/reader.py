@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import time
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +23,17 @@ PARSERS = {
 }
 #: Bytes of documents that a Python worker gets at a time.
 BATCH_BYTES = 32 << 20
-#: Formats that need a model, which has to be plugged in.
+#: Formats that need a parser of the caller's.
 PLUGGED = ("pdf", "audio")
 TOO_LATE = "document timeout exceeded"
 
 
-def parse(kind: str, content: bytes | str, base: str | None = None) -> Tree:
+def parse(kind: str, content: bytes | str, base: str | None = None, parsers: dict | None = None) -> Tree:
+    """``parsers``: for a format a function from content to a Tree, of the caller's; it comes before the library's own."""
+    if parsers and kind in parsers:
+        return parsers[kind](content)
     if kind not in PARSERS:
-        raise ValueError(f"no parser for {kind}")
+        raise ValueError(f"no parser for {kind}" + (": it has to be plugged in" if kind in PLUGGED else ""))
     parser, text = PARSERS[kind]
     if text and isinstance(content, bytes):
         content = content.decode("utf-8", "replace")
@@ -44,24 +48,37 @@ def files(spark: SparkSession, path: str, patterns: str | None = None, recursive
     return reader.load(path).where(~F.regexp_extract("path", r"([^/]+)$", 1).startswith("~$"))
 
 
-def inputs(found: DataFrame, allowed: tuple[str, ...] | None = None, max_size: int | None = None) -> DataFrame:
-    """(doc_id, file, format, filesize, status, error, content) of files: what is not allowed is skipped, what is too
-    large or of no known format fails; the content of neither is hashed or read on."""
+#: What of a file is looked at to find its format: its first bytes, and of an archive the last ones, where its index is.
+HEAD, TAIL = 8192, 256 << 10
 
-    @F.udf("string")
-    def kind(name, content):
-        return formats.detect(name, bytes(content or b""))
 
-    rows = found.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1)).withColumn("format", kind("file", "content"))
+def inputs(found: DataFrame, allowed: tuple[str, ...] | None = None, max_size: int | None = None) -> DataFrame:
+    """(doc_id, hash, path, file, format, filesize, status, error, content) of files: what is not allowed is skipped, what is
+    too large or of no known format fails; the content of neither is hashed or read on, and of too large files nothing is read.
+
+    ``hash`` is that of the content, ``doc_id`` that of path and content: equal files are documents each for itself."""
+
+    @F.pandas_udf("string")
+    def kind(name: pd.Series, head: pd.Series, tail: pd.Series) -> pd.Series:
+        return pd.Series([formats.detect(n, bytes(h if h is not None else b""), None if t is None else bytes(t)) for n, h, t in zip(name, head, tail)])
+
+    rows = found.select("path", "length", "content")
+    if max_size is not None:
+        small, large = F.col("length") <= max_size, F.col("length") > max_size
+        rows = rows.where(small).unionByName(found.select("path", "length").where(large).withColumn("content", F.lit(None).cast("binary")))
+    head, archive = F.substring("content", 1, HEAD), F.startswith(F.col("content"), F.lit(b"PK"))
+    tail = F.when(archive, F.expr(f"substring(content, greatest(length - {TAIL}, 0) + 1, {TAIL})"))
+    rows = rows.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1)).withColumn("format", kind("file", head, tail))
     large = F.col("length") > max_size if max_size is not None else F.lit(False)
     barred = ~F.col("format").isin(*allowed) if allowed is not None else F.lit(False)
     status = F.when(large, "failure").when(F.col("format").isNull(), "failure").when(barred, "skipped").otherwise("pending")
     error = F.when(large, "file too large").when(F.col("format").isNull(), "format unknown").when(barred, "format not allowed")
     live = F.col("status") == "pending"
-    return rows.withColumn("status", status).withColumn("error", error).select(F.when(live, F.sha2("content", 256)).alias("doc_id"), "file", "format", F.col("length").alias("filesize"), "status", "error", F.when(live, F.col("content")).alias("content"))
+    rows = rows.withColumn("status", status).withColumn("error", error).withColumn("hash", F.when(live, F.sha2("content", 256)))
+    return rows.select(F.when(live, F.sha2(F.concat_ws(":", "hash", "path"), 256)).alias("doc_id"), "hash", "path", "file", F.when(large, F.lit(None)).otherwise(F.col("format")).alias("format"), F.col("length").alias("filesize"), "status", "error", F.when(live, F.col("content")).alias("content"))
 
 
-def items(df: DataFrame, kind: str | None = None, content: str = "content", key: str = "doc_id", base: str | None = None, timeout: float | None = None) -> DataFrame:
+def items(df: DataFrame, kind: str | None = None, content: str = "content", key: str = "doc_id", base: str | None = None, timeout: float | None = None, parsers: dict | None = None) -> DataFrame:
     """(key, error, items...) rows of each document: a document that cannot be parsed gives one row with its error.
 
     ``kind`` is the format of all rows, or that of a column named format. Each Arrow batch is parsed on its own, so
@@ -81,7 +98,7 @@ def items(df: DataFrame, kind: str | None = None, content: str = "content", key:
                 try:
                     if c is None:
                         raise ValueError("no content")
-                    got = parse(f, c, u).rows()
+                    got = parse(f, c, u, parsers).rows()
                 except Exception as e:  # a bad document is a row, not a failed task
                     out.append({"key": k, "error": f"{type(e).__name__}: {e}"[:300]})
                     continue
