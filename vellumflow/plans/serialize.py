@@ -8,13 +8,14 @@ import io
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Labels whose own text is not written: their children's is.
 HOLDERS = ("inline", "list", "section", "chapter")
 
 
 def table_markdown(cells: str | Column) -> Column:
-    """Pipe tables: columns padded to their widest cell, numbers to the right."""
+    """Pipe tables: columns as wide as their widest cell and their header with two spaces, numbers to the right."""
     return F.pandas_udf(_tables, "string")(cells)
 
 
@@ -31,7 +32,7 @@ def _table(cells) -> str | None:
         for r in range(c["r0"], c["r1"]):
             for k in range(c["c0"], c["c1"]):
                 grid[r][k] = (c["text"] or "").replace("\n", " ").replace("|", "\\|")
-    wide = [max(3, *(len(row[k]) for row in grid)) for k in range(m)]
+    wide = [max(len(grid[0][k]) + 2, *(len(row[k]) for row in grid)) for k in range(m)]
     right = [n > 1 and all(_number(row[k]) for row in grid[1:] if row[k]) and any(row[k] for row in grid[1:]) for k in range(m)]
     lines = ["| " + " | ".join(t.rjust(w) if a else t.ljust(w) for t, w, a in zip(row, wide, right)) + " |" for row in grid]
     return "\n".join([lines[0], "|" + "|".join("-" * (w + 2) for w in wide) + "|", *lines[1:]])
@@ -47,8 +48,7 @@ def _number(text: str) -> bool:
 
 def styled(text: Column, style: Column, link: Column, label: Column) -> Column:
     """A text with its marks of style and its link; code is not escaped."""
-    escaped = F.when(label.isin("code", "formula"), text).otherwise(F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")))
-    out = escaped
+    out = F.when(label.isin("code", "formula"), text).otherwise(F.regexp_replace(escaped(text), r"(?<!\\)_", r"\\_"))
     for name, mark in (("strikethrough", "~~"), ("italic", "*"), ("bold", "**")):
         out = F.when(F.coalesce(style, F.lit("")).contains(name), F.concat(F.lit(mark), out, F.lit(mark))).otherwise(out)
     return F.when(link.isNotNull() & (F.length(link) > 0) & ~label.isin("picture"), F.concat(F.lit("["), out, F.lit("]("), link, F.lit(")"))).otherwise(out)
@@ -61,7 +61,8 @@ def of_layers(items: DataFrame, layers: tuple[str, ...]) -> DataFrame:
 
 
 def blocks(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("body",)) -> DataFrame:
-    """(key, ord, label, depth, block): the Markdown of each block; inline runs are put into the block they belong to."""
+    """(key, ord, label, depth, list, block): the Markdown of each block; inline runs are put into the block they belong to, and
+    ``list`` numbers the outermost lists."""
     live = of_layers(items, layers)
     said = live.withColumn("said", styled(F.col("text"), F.col("style"), F.col("link"), F.col("label")))
     up = live.select(F.col(key).alias("k"), F.col("ord").alias("p"), F.col("label").alias("p_label"), F.coalesce("text", F.lit("")).alias("p_text"))
@@ -75,8 +76,9 @@ def blocks(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("bo
     led = own.where(leads).groupBy(key, F.col("parent").alias("ord")).agg(F.min_by("run", "ord").alias("led"))
     own = own.where(~leads).join(led, [key, "ord"], "left")
     text = F.when(F.length("said") > 0, F.col("said")).otherwise(F.coalesce("led", "said", F.lit("")))
-    indent = F.repeat(F.lit("    "), F.greatest(F.lit(0), F.col("list_depth")))
-    own = own.withColumn("list_depth", F.when(F.col("label") == "list_item", F.floor((F.col("depth") - 1) / 2).cast("int")).otherwise(0))
+    indent = F.repeat(F.lit("    "), F.coalesce(F.col("level"), F.lit(1)) - 1)
+    first = F.when((F.col("label") == "list") & (F.coalesce("level", F.lit(1)) == 1), 1).otherwise(0)
+    own = own.withColumn("run", F.when(F.col("label") == "list_item", F.lit(None).cast("string")).otherwise(F.col("run"))).withColumn("list", F.sum(first).over(Window.partitionBy(key).orderBy("ord")))
     block = (
         F.when(F.col("label") == "title", F.concat(F.lit("# "), text)).when(F.col("label") == "section_header", F.concat(F.repeat(F.lit("#"), F.coalesce("level", F.lit(1)) + 1), F.lit(" "), text))
         .when(F.col("label") == "list_item", F.concat(indent, F.when(F.coalesce("enumerated", F.lit(False)), F.concat("marker", F.lit(" "))).otherwise(F.lit("- ")), text))
@@ -84,17 +86,17 @@ def blocks(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("bo
         .when(F.col("label") == "formula", F.concat(F.lit("$$"), "text", F.lit("$$"))).when(F.col("label") == "picture", F.lit("<!-- image -->")).when(F.col("label") == "table", table_markdown("cells"))
         .when(F.col("label") == "inline", F.col("run")).when(F.col("label").isin(*HOLDERS), F.lit(None).cast("string")).otherwise(text)
     )
-    return own.select(key, "ord", "label", "depth", block.alias("block")).where(F.length("block") > 0)
+    return own.select(key, "ord", "label", "depth", "list", block.alias("block")).where(F.length("block") > 0)
 
 
 def markdown(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("body",)) -> DataFrame:
-    """(key, markdown): blocks in order, a blank line between them, but not between the items of a list."""
+    """(key, markdown): blocks in order, a blank line between them, but not between the items of one list and the lists in it."""
     b = blocks(items, key, layers)
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "label", "block")))
-    listed = lambda x: x["label"] == "list_item"
+    ordered = F.array_sort(F.collect_list(F.struct("ord", "label", "list", "block")))
+    listed = lambda last, x: (last["label"] == "list_item") & (x["label"] == "list_item") & (last["list"] == x["list"])
     rows = b.groupBy(key).agg(ordered.alias("rows"))
     before = F.concat(F.array(F.lit(None).cast(rows.schema["rows"].dataType.elementType)), F.slice("rows", F.lit(1), F.size("rows") - 1))
-    joined = F.zip_with("rows", before, lambda x, last: F.concat(F.when(last.isNull(), "").when(listed(last) & listed(x), "\n").otherwise("\n\n"), x["block"]))
+    joined = F.zip_with("rows", before, lambda x, last: F.concat(F.when(last.isNull(), "").when(listed(last, x), "\n").otherwise("\n\n"), x["block"]))
     return rows.select(key, F.array_join(joined, "").alias("markdown"))
 
 

@@ -53,8 +53,12 @@ class Tree:
         return len(self.items) - 1
 
     def rows(self) -> list[tuple]:
-        out = []
+        """A tuple for each item. The level of a list and of its items is the number of lists around them, itself included."""
+        out, lists = [], []
         for k, x in enumerate(self.items):
+            lists.append((lists[x.parent] if x.parent >= 0 else 0) + (x.label == "list"))
+            if x.label in ("list", "list_item"):
+                x.level = max(1, lists[k])
             cells = [(c.r0, c.r0 + c.rows, c.c0, c.c0 + c.cols, c.text, c.column_header, c.row_header) for c in x.cells] if x.label == "table" else None
             out.append((k, x.parent, x.depth, x.label, x.level, x.layer, x.text, x.orig, x.marker, x.enumerated, x.style, x.link, x.language, x.page, cells))
         return out
