@@ -5,10 +5,12 @@ BUCKETS bucket boundaries so that the padding of all documents to their bucket's
 choices, the one with the earliest boundaries). Within a bucket of length L, batches hold max(1, BUDGET // L) documents,
 so a batch has at most BUDGET padded words unless a single document is longer.
 
-The driver holds one count for each distinct length. Documents are numbered within a bucket by stripes (a hash of
-doc_id), of bounded size, and the counts of the stripes before; so no bucket is gathered in one task.
+The driver holds one count for each distinct length. Texts are read once, for their lengths. Documents are numbered in one order
+at every size, by (bucket, doc_id, length): ranges of that order go to partitions, and a document's number is its place in its
+range and the counts of the ranges before. Rows that are alike in all three are told apart by their place in the input, so
+even these are dealt to several ranges.
 
-Null texts count as empty (length 0). Rows of equal doc_id are packed each for itself.
+Null texts count as empty (length 0), null ids as larger than all. Rows of equal doc_id are packed each for itself.
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import runtime
+
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS, BUDGET = 8, 16384
-STRIPE_ROWS = 20_000
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -61,28 +64,45 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS)
     return sorted([*ends, int(lengths[j])])
 
 
-def pack(df: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
-    """``df`` with n_words, bucket (from 0), bucket_length, batch (within the bucket, from 0) and slot (within the batch)."""
-    sized = df.withColumn("n_words", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
+def _packed(sized: DataFrame, key: str, buckets: int, budget: int) -> DataFrame:
+    """``sized`` (with n_words) with bucket, bucket_length, batch and slot."""
     rows = sized.groupBy("n_words").agg(F.count("*").alias("n")).collect()
     rows.sort(key=lambda r: r["n_words"])
     ends = boundaries(np.array([r["n_words"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64), buckets) or [0]
-    stripes = max(1, sum(r["n"] for r in rows) // STRIPE_ROWS)
     bucket = F.lit(len(ends) - 1)
     for k in range(len(ends) - 2, -1, -1):
         bucket = F.when(F.col("n_words") <= ends[k], F.lit(k)).otherwise(bucket)
-    placed = sized.withColumn("bucket", bucket).withColumn("__stripe", F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(stripes)))
-    sizes = placed.groupBy("bucket", "__stripe").agg(F.count("*").alias("__n"))
-    before = sizes.select("bucket", "__stripe", (F.sum("__n").over(Window.partitionBy("bucket").orderBy("__stripe")) - F.col("__n")).alias("__before"))
-    number = F.row_number().over(Window.partitionBy("bucket", "__stripe").orderBy(F.col(key), F.col("n_words"))) - 1
-    length = F.get(F.array(*map(F.lit, ends)), F.col("bucket")).cast("long")
-    out = placed.withColumn("__at", number).join(before, ["bucket", "__stripe"]).withColumn("bucket_length", length)
+    first, k = [0], 0
+    for end in ends[:-1]:
+        while k < len(rows) and rows[k]["n_words"] <= end:
+            k += 1
+        first.append(sum(r["n"] for r in rows[:k]))
+    order = ("bucket", F.col(key).asc_nulls_last(), "n_words", "__tie")
+    ranged = sized.withColumn("bucket", bucket).repartitionByRange(runtime.partitions(sized.sparkSession), *order).sortWithinPartitions(*order)
+    ranged = runtime.save(ranged.withColumn("__at", F.monotonically_increasing_id()), "ranged")
+    place = ranged.withColumn("__range", F.shiftright("__at", 33)).withColumn("__at", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = place.groupBy("__range").agg(F.count("*").alias("__n")).select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
+    of = lambda values: F.get(F.array(*(F.lit(v).cast("long") for v in values)), F.col("bucket"))
+    out = place.join(F.broadcast(before), "__range").withColumn("bucket_length", of(ends))  # one row for each range
     room = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("bucket_length"), F.lit(1))))
-    at = F.col("__at") + F.col("__before")
+    at = F.col("__at") + F.col("__before") - of(first)
     out = out.withColumn("batch", F.floor(at / room).cast("long")).withColumn("slot", (at % room).cast("long"))
-    return out.drop("__stripe", "__at", "__before")
+    return out.drop("__range", "__at", "__before", "__tie")
+
+
+MADE = ("n_words", "bucket", "bucket_length", "batch", "slot")
+
+
+def pack(df: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+    """``df`` with n_words, bucket (from 0), bucket_length, batch (within the bucket, from 0) and slot (within the batch).
+    A column of ``df`` that has one of these names is replaced."""
+    n_words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    sized = runtime.save(df.drop(*MADE).withColumn("n_words", n_words).withColumn("__tie", F.monotonically_increasing_id()), "sized")
+    return _packed(sized, key, buckets, budget)
 
 
 def report(df: DataFrame) -> DataFrame:
     """doc_id, n_words, bucket, bucket_length, batch, slot of every document."""
-    return pack(df.select("doc_id", "text")).select("doc_id", "n_words", "bucket", "bucket_length", "batch", "slot")
+    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    sized = runtime.save(df.select("doc_id", n_words.alias("n_words"), F.monotonically_increasing_id().alias("__tie")), "sized")
+    return _packed(sized, "doc_id", BUCKETS, BUDGET).select("doc_id", *MADE)

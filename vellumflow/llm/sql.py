@@ -35,7 +35,6 @@ SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS
 
 
 def packs() -> str:
-    """Holds while one stripe numbers all documents (fewer than twice packing.STRIPE_ROWS)."""
     return f"""
 WITH RECURSIVE d AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n FROM documents),
 h AS (SELECT n AS len, count(*) AS c, row_number() OVER (ORDER BY n) AS j FROM d GROUP BY n),
