@@ -8,12 +8,13 @@ are equal. The narrow lanes are a linear sketch, so the squared length of a diff
 documents do not share: likeness is 1 - |a-b|^2 / (|a|^2 + |b|^2), held between 0 and 1; of equal fingerprints, 1.
 
 Null and blank texts have the zero vector. In the order of documents (descending doc_id), rows of equal doc_id follow
-in order of their texts and null ids come last.
+in order of the MD5 of their texts and null ids come last.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 
 import numpy as np
@@ -25,7 +26,8 @@ from . import runtime
 from .textscan import U64, column_bytes, mix, words
 
 IDENT, LANES, RUN = 4, 128, 3
-LOWEST = -(2**63)
+#: Rows drawn for each partition, whose quantiles cut the order into stretches.
+SAMPLE = 64
 
 
 class Sketch:
@@ -98,33 +100,50 @@ def edited(text: str, following: str) -> str:
 
 
 def with_next(df: DataFrame) -> DataFrame:
-    """(pid, look, doc_id, text) sorted within partitions so that each row (look 0) is followed by the next document.
+    """(pid, look, doc_id, digest, text) sorted within partitions so that each row (look 0) is followed by the next document.
 
-    The descending order of doc_id is cut at ids that occur, the first of which is the largest; rows at a cut are sent
-    a second time (look 1), to the end of the stretch before (from the very first: to the last stretch). So only one
-    row for each stretch is sent twice, and the driver holds only the cuts.
+    The order (descending doc_id, digest of the text) is cut at rows that occur: the very first one, and quantiles of a random
+    sample of SAMPLE rows for each partition. A row that begins a stretch is sent a second time (look 1), to the end of the stretch
+    before (the very first: to the last stretch). Stretches are partitions, one each. The driver holds only the sample's
+    ids and digests.
     """
     spark = df.sparkSession
     n = runtime.partitions(spark)
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = rows.select(F.max("doc_id")).first()[0]
-    inner = rows.approxQuantile("doc_id", [k / n for k in range(1, n)], 1 / (8 * n)) if n > 1 and found is not None else []
-    cuts = np.array(sorted({int(x) for x in inner if -(2**53) < x < 2**53} | {LOWEST if found is None else found}), np.int64)
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.unhex(F.md5("text")))
+    order = lambda i, d: (i is None, 0 if i is None else ~i, bytes(d))
+    ids = rows.select("doc_id", "digest")
+    first = [order(*r) for r in ids.orderBy(F.col("doc_id").desc_nulls_last(), "digest").limit(1).collect()]
+    drawn = sorted(order(*r) for r in ids.orderBy(F.rand(7)).limit(SAMPLE * n).collect()) if n > 1 else []
+    cuts = sorted({*first, *(drawn[k * len(drawn) // n] for k in range(1, n) if drawn)})
+    known = np.array([c[1] for c in cuts if not c[0]], np.int64)
+
+    def stretch(found: pa.Array, digests: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(stretch, whether the row is a cut) of each row."""
+        null = np.asarray(found.is_null())
+        turned = ~found.fill_null(0).to_numpy(zero_copy_only=False)
+        pid = np.searchsorted(known, turned, side="right") - 1
+        tied = np.flatnonzero(null | (known[np.maximum(pid, 0)] == turned if len(known) else False))
+        at_cut = np.zeros(len(null), bool)
+        for k in tied.tolist():
+            key = (bool(null[k]), 0 if null[k] else int(turned[k]), digests[k].as_py())
+            pid[k] = bisect.bisect_right(cuts, key) - 1
+            at_cut[k] = cuts[pid[k]] == key
+        return pid, at_cut
 
     def deal(batches):
         for b in batches:
-            ids = b.column(0).fill_null(LOWEST).to_numpy(zero_copy_only=False)
-            pid = len(cuts) - 1 - np.searchsorted(cuts, ids)
-            at_cut = np.isin(ids, cuts)
-            table = pa.RecordBatch.from_arrays([pa.array(pid.astype(np.int64)), pa.array(np.zeros(len(ids), np.int32)), b.column(0), b.column(1)], names)
-            yield table
-            if at_cut.any():
-                again = np.where(pid == 0, len(cuts) - 1, pid - 1)[at_cut]
-                yield pa.RecordBatch.from_arrays([pa.array(again.astype(np.int64)), pa.array(np.ones(int(at_cut.sum()), np.int32)), b.column(0).filter(pa.array(at_cut)), b.column(1).filter(pa.array(at_cut))], names)
-
-    names = ["pid", "look", "doc_id", "text"]
-    dealt = rows.mapInArrow(deal, "pid long, look int, doc_id long, text string")
-    return dealt.repartition(n, "pid").sortWithinPartitions("pid", "look", F.col("doc_id").desc_nulls_last(), "text")
+            pid, at_cut = stretch(b.column(0), b.column(2))
+            own = (b.column(0), b.column(2), b.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(pid.astype(np.int32)), pa.array(np.zeros(len(pid), np.int32)), *own], names)
+            where = np.flatnonzero(at_cut)
+            where = where[np.unique(pid[where], return_index=True)[1]]  # of equal rows one is enough
+            if len(where):
+                again = np.where(pid[where] == 0, len(cuts) - 1, pid[where] - 1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(again), pa.array(np.ones(len(where), np.int32)), *(c.take(pa.array(where)) for c in own)], names)
+
+    names = ["pid", "look", "doc_id", "digest", "text"]
+    dealt = rows.mapInArrow(runtime.lean(deal), "pid int, look int, doc_id long, digest binary, text string")
+    return dealt.repartitionById(max(1, len(cuts)), "pid").sortWithinPartitions("look", F.col("doc_id").desc_nulls_last(), "digest").drop("digest")
 
 
 def report(df: DataFrame) -> DataFrame:
