@@ -1,7 +1,7 @@
 """Operator 5: a quality classifier with learned subword embeddings.
 
-Features of a document are its words, the byte 2- to 4-grams inside them and whether a word repeats the one before, hashed into 2**16 rows of an
-embedding table. A document is the mean of its features' embeddings; a softmax over two classes stands on top. Both
+Features of a document are its words, the 2- to 4-grams of characters inside them and whether a word repeats the one before, hashed
+into 2**16 rows of an embedding table. A document is the mean of its features' embeddings; a softmax over two classes stands on top. Both
 are learned by stochastic gradient descent in numpy, on at most MOST labelled rows that are not held out. As the model
 is linear above the table, each row's part in the difference of the two classes is a single number, so every whole text
 is scored by a mean of numbers looked up.
@@ -23,7 +23,7 @@ from .textscan import Prefix, column_bytes, parts, word_bounds
 BITS, DIMENSIONS, GRAMS = 16, 8, (2, 3, 4)
 MOST = 3000
 THRESHOLD = 0.7
-#: The buckets of word pairs: of two different words, of a word that comes twice in a row.
+#: The buckets of a word that differs from the one before, and of one that repeats it.
 SAME = np.array([40503, 20261])
 EPOCHS, RATE, BATCH = 12, 0.4, 32
 
@@ -39,12 +39,15 @@ def features(part: np.ndarray, cuts: np.ndarray):
     again = np.zeros(len(s), np.int64)
     again[1:] = word[1:] == word[:-1]
     yield SAME[again], s
-    size = e - s
+    letters = np.flatnonzero((part & 0xC0) != 0x80)  # where characters begin
+    ends = np.append(letters, len(part))
+    low, high = np.searchsorted(letters, s), np.searchsorted(letters, e)
+    size = high - low
     offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    pos, left = np.repeat(s, size) + offset, np.repeat(size, size) - offset
+    at, left = np.repeat(low, size) + offset, np.repeat(size, size) - offset
     for n in GRAMS:
-        at = pos[left >= n]
-        yield h.buckets(at, n, BITS, 10 + n), at
+        k = at[left >= n]
+        yield h.buckets(letters[k], ends[k + n] - letters[k], BITS, 10 + n), letters[k]
 
 
 def scan(column: pa.Array):

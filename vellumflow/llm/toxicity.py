@@ -157,13 +157,16 @@ def score(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "
             none, found = np.zeros(n), [[] for _ in range(n)]
             if m is not None:
                 raw, at = column_bytes(b.column(0))
+                points = None
                 for f, sentence, first, last, doc in scan(b.column(0)):
                     p = m.sentence_scores(f, sentence, len(first))
                     none += np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), n)
-                    for k in np.flatnonzero(p >= SENTENCE_THRESHOLD).tolist():
-                        d = doc[k]
-                        points = lambda x: int(np.count_nonzero((raw[at[d] : x] & 0xC0) != 0x80))  # noqa: B023, E731
-                        found[d].append(f"{points(first[k])}:{points(last[k])}")
+                    hits = np.flatnonzero(p >= SENTENCE_THRESHOLD)
+                    if len(hits) and points is None:  # characters that begin before each byte
+                        points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                    for k in hits.tolist():
+                        begin = points[at[doc[k]]]
+                        found[doc[k]].append(f"{points[first[k]] - begin}:{points[last[k]] - begin}")
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(-np.expm1(none)), pa.array([",".join(x) for x in found])], [*b.schema.names[1:], "score", "offending"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
