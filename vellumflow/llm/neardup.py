@@ -269,8 +269,8 @@ def _labelled(df: DataFrame, percent: int, key: str, text: str) -> tuple[DataFra
     classes = runtime.save(classes.withColumn("node", F.col("lo") if unique else F.xxhash64("s1", "s2")), "classes")
 
     # 1: shingles of hash-ordered prefixes that occur in two classes
-    others = first.join(classes, ["s1", "s2"]).where("id > lo").select("id", "s1", "s2").distinct()
-    others = runtime.save(others, "others")  # rows that another one stands for: few enough to be told apart by a sieve
+    others = first.join(classes.hint("merge"), ["s1", "s2"]).where("id > lo").select("id", "s1", "s2")
+    others = runtime.save(others, "others")  # rows that another one stands for
     maybe = runtime.Sieve(others, "id")
     full = sets.where("n > 0")
     chosen = maybe.failing(full, "id").unionByName(maybe.passing(full, "id").join(others.hint("merge"), ["id", "s1", "s2"], "left_anti").select(full.columns))
