@@ -28,16 +28,18 @@ SAME = np.array([40503, 20261])
 EPOCHS, RATE, BATCH = 12, 0.4, 32
 
 
-def features(part: np.ndarray, cuts: np.ndarray):
-    """For each kind of feature (buckets, first byte) of a part."""
+def features(part: np.ndarray, cuts: np.ndarray, before: int = -1):
+    """For each kind of feature (buckets, first byte) of a part; ``before`` is the bucket of the word before it."""
     s, e = word_bounds(part, cuts)
     if not len(s):
         return
     h = Prefix(part)
     word = h.buckets(s, e - s, BITS, 1)
     yield word, s
+    document = np.searchsorted(cuts, s, side="right")
     again = np.zeros(len(s), np.int64)
-    again[1:] = word[1:] == word[:-1]
+    again[0] = word[0] == before
+    again[1:] = (word[1:] == word[:-1]) & (document[1:] == document[:-1])
     yield SAME[again], s
     letters = np.flatnonzero((part & 0xC0) != 0x80)  # where characters begin
     ends = np.append(letters, len(part))
@@ -53,8 +55,11 @@ def features(part: np.ndarray, cuts: np.ndarray):
 def scan(column: pa.Array):
     """(buckets, document) for part after part of a column."""
     raw, at = column_bytes(column)
+    before = -1
     for first, last, lo, hi in parts(raw, at):
-        for f, pos in features(raw[lo:hi], at[first:last] - lo):
+        found = list(features(raw[lo:hi], at[first:last] - lo, before if lo > at[first] else -1))
+        before = int(found[0][0][-1]) if found else before
+        for f, pos in found:
             yield f, (first + np.searchsorted(at[first : last + 1], pos + lo, side="right") - 1 if last - first > 1 else np.full(len(f), first))
 
 

@@ -60,9 +60,9 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]] if len(column) else raw[:0], at - at[0]
 
 
-def pieces(raw: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES):
-    """Ranges of documents of at most about ``limit`` bytes together; a longer document stands alone."""
-    first, n = 0, len(offsets) - 1
+def pieces(offsets: np.ndarray):
+    """Ranges of documents of at most PIECE_BYTES together; a longer document stands alone."""
+    first, n, limit = 0, len(offsets) - 1, PIECE_BYTES
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
         last = min(max(last, first + 1), n)
@@ -99,13 +99,14 @@ def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: n
 
 
 def parts(raw: np.ndarray, offsets: np.ndarray):
-    """(first document, last, from byte, to byte): ranges of bounded size; only a long document is cut, at white space."""
-    for first, last in pieces(raw, offsets):
+    """(first document, last, from byte, to byte): ranges of bounded size; only a long document is cut, at a line end, or at white space where it has none."""
+    for first, last in pieces(offsets):
         at, hi = int(offsets[first]), int(offsets[last])
         while at < hi:
             to = min(hi, at + PIECE_BYTES)
             if to < hi:
-                back = np.flatnonzero(WHITE[raw[at:to]])
+                back = np.flatnonzero(raw[at:to] == 10)  # no sentence goes over a line end
+                back = back if len(back) else np.flatnonzero(WHITE[raw[at:to]])
                 if len(back):
                     to = at + int(back[-1]) + 1
                 else:
