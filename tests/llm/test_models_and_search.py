@@ -67,9 +67,20 @@ def test_sentences_in_pieces(monkeypatch):
     rows, labels = labelled_corpus(200)
     texts = pa.array([t for _, t in rows])
     model = quality.train(texts, np.array([x[1] for x in labels]))
-    whole = model.scores(texts)
+    poison = toxicity.train(texts, np.array([x[2] for x in labels]))
+    long = pa.array([*texts.to_pylist(), "\n".join(t for _, t in rows), " ".join(t for _, t in rows)])
+
+    def toxic(column):
+        none = np.zeros(len(column))
+        for f, sentence, first, _, doc in toxicity.scan(column):
+            none += np.bincount(doc, np.log1p(-poison.sentence_scores(f, sentence, len(first))), len(column))
+        return none
+
+    whole, bags = model.scores(long), toxic(long.slice(0, 201))
     monkeypatch.setattr(textscan, "PIECE_BYTES", 300)
-    assert np.allclose(whole[[len(t) < 300 for _, t in rows]], model.scores(texts)[[len(t) < 300 for _, t in rows]])
+    assert np.allclose(whole, model.scores(long))
+    monkeypatch.setattr(textscan, "PIECE_BYTES", 1 + max(len(t.encode()) for _, t in rows))  # no line is longer
+    assert np.allclose(bags, toxic(long.slice(0, 201)))
 
 
 def brute_top(vectors, k, every):
@@ -83,8 +94,8 @@ def brute_top(vectors, k, every):
     return sorted(out)
 
 
-@pytest.mark.parametrize("shard, block", [(4096, 8192), (37, 3)])
-def test_top_k(spark, monkeypatch, shard, block):
+@pytest.mark.parametrize("shard, block, seed", [(4096, 8192, 4096), (37, 3, 64), (150, 8192, 10)])
+def test_top_k(spark, monkeypatch, shard, block, seed):
     rng = np.random.default_rng(1)
     vectors = [(int(i), [float(x) for x in np.float32(rng.normal(size=10) * rng.choice([0.1, 1, 5]))]) for i in range(300)]
     for i in range(40, 80):
@@ -93,11 +104,103 @@ def test_top_k(spark, monkeypatch, shard, block):
     vectors[7] = (7, [0.5, 0.25])
     monkeypatch.setattr(topk, "SHARD", shard)
     monkeypatch.setattr(topk, "BLOCK", block)
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(3)
+    monkeypatch.setattr(topk, "SEED", seed)
+    monkeypatch.setattr(topk, "POSTINGS", 4)
+    df = spark.createDataFrame([(*v, 1.0, "x") for v in vectors], "vec_id long, embedding array<float>, score double, v string").repartition(3)
     assert sorted(tuple(r) for r in topk.top_k(df, 20, 20).collect()) == brute_top(vectors, 20, 20)
     few = spark.createDataFrame(vectors[20:25], "vec_id long, embedding array<float>")
     assert sorted(tuple(r) for r in topk.top_k(few).collect()) == brute_top(vectors[20:25], 20, 20)
     assert topk.top_k(df.limit(0)).count() == 0
+    again = spark.createDataFrame(vectors[18:120] + vectors[20:22], "vec_id long, embedding array<float>")  # a query's row twice, a candidate's twice
+    got = [tuple(r) for r in topk.top_k(again, 5, 20).collect()]
+    assert len(got) == 5 * len({i for i, _ in vectors[18:120] if i % 20 == 0}) and [r[:2] for r in sorted(got)] == [(q, r) for q in range(20, 120, 20) for r in range(1, 6)]
+
+
+def test_postings_are_traversed_in_part():
+    rng = np.random.default_rng(2)
+    ids, vectors = np.arange(4000), np.floor(rng.normal(size=(4000, 6)) * np.array([600, 20, 20, 5, 5, 5]))
+    q = np.floor(rng.normal(size=(3, 6)) * 60)
+    shard = topk.Postings(vectors, ids)
+    best = topk.Best(3, 5)
+    met = []
+    reached = shard.reached
+    shard.reached = lambda *a: met.append(reached(*a)) or met[-1]
+    topk.search_shard(q, np.array([-1, -1, -1]), shard, best)
+    topk.search_shard(q, np.array([-1, -1, -1]), shard, best)  # theta is known now
+    assert met and all(m is not None and len(m) < 1000 for m in met)
+    for k in range(3):
+        score = vectors @ q[k]
+        want = sorted(zip(-score, ids))[:5]
+        assert [(-s, i) for s, i in want] == list(dict.fromkeys(zip(best.score[k].tolist(), best.id[k].tolist())))[:5] or best.theta[k] >= -want[-1][0]
+
+
+def test_large_components(spark):
+    df = spark.createDataFrame([(20, [1e30, -0.5]), (21, [-1e30, 2.0**60])], "vec_id long, embedding array<double>")
+    assert [r["v"] for r in topk.integers(df).orderBy("vec_id").collect()] == [[64e30, -32.0], [-64e30, 2.0**66]]
+
+
+def plain_bucket(word, bits, salt):
+    from vellumflow.llm.textscan import Prefix
+
+    return int(Prefix(np.frombuffer(word, np.uint8)).buckets(np.array([0]), len(word), bits, salt)[0])
+
+
+def test_toxicity_against_a_plain_scorer(spark):
+    import re
+
+    rows, labels = labelled_corpus(300)
+    model = toxicity.train(pa.array([t for _, t in rows]), np.array([x[2] for x in labels]))
+    outer, sigmoid = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]), lambda z: 1 / (1 + np.exp(-z))
+
+    def plain(text):
+        none = 1.0
+        for line in (text or "").split("\n"):
+            for sentence in re.findall(r"(?:\S*[^\s.!?](?=\s|$)\s*|\s+)*(?:\S*[.!?](?=\s|$))?", line):
+                own = sentence.split()
+                total = 0.0
+                for w in own:
+                    b = toxicity.lowered(np.frombuffer(w.encode(), np.uint8)).tobytes()
+                    for _ in range(4):  # at most four marks on either side
+                        b = b[1:] if b[:1] and b[0] in outer else b
+                        b = b[:-1] if b[-1:] and b[-1] in outer else b
+                    if b:
+                        total += model.weights[plain_bucket(b, toxicity.BITS, 1)]
+                    total += sum(model.weights[plain_bucket(b[:k], toxicity.BITS, 100 + k)] for k in toxicity.PREFIXES if len(b) >= k)
+                if own:
+                    base = sigmoid(model.bias)
+                    none *= 1 - max(0.0, (sigmoid(model.bias + total) - base) / (1 - base))
+        return 1 - none
+
+    texts = [*rows[:60], (9000, "You vermin! (Cretin), é wretch.\nrotter"), (9001, ""), (9002, None), (9003, "a. " * 5000 + "vermin"), (9003, rows[0][1])]
+    got = toxicity.score(cases.frame(spark, texts), model).collect()
+    assert sorted((r["doc_id"], round(r["score"], 6)) for r in got) == sorted((i, round(float(plain(t)), 6)) for i, t in texts)
+
+
+def test_quality_against_a_plain_scorer(spark):
+    rows, labels = labelled_corpus(300)
+    model = quality.train(pa.array([t for _, t in rows]), np.array([x[1] for x in labels]))
+
+    def plain(text):
+        own, parts, last = (text or "").split(), [], None
+        for w in own:
+            parts.append(model.parts_of[plain_bucket(w.encode(), quality.BITS, 1)])
+            parts.append(model.parts_of[quality.SAME[int(w == last)]])
+            parts += [model.parts_of[plain_bucket(w[k : k + n].encode(), quality.BITS, 10 + n)] for n in quality.GRAMS for k in range(len(w) - n + 1)]
+            last = w
+        return 1 / (1 + np.exp(-((float(np.mean(parts, dtype=np.float64)) if parts else 0.0) + model.bias)))
+
+    texts = [*rows[:60], (9000, "Ünïcödé wörd wörd 你好吗"), (9001, ""), (9002, None), (9003, "xy " * 4000)]
+    got = {r["doc_id"]: r["score"] for r in quality.score(cases.frame(spark, texts), model).collect()}
+    assert all(abs(got[i] - plain(t)) < 1e-6 for i, t in texts)
+
+
+def test_models_without_rows(spark):
+    none, marks = cases.frame(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows, labels = labelled_corpus(40)
+    for module in (toxicity, quality):
+        assert module.report(none, marks).count() == 0 and module.report(none, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
+        got = module.report(cases.frame(spark, rows), marks).collect()
+        assert len(got) == 40 and {r["score"] for r in got} == {0.0 if module is toxicity else 0.5}
 
 
 def test_pipeline(spark, tmp_path):
@@ -135,3 +238,19 @@ def test_pipeline(spark, tmp_path):
             assert left.keys() == texts.keys()
     assert kept[0] < len(rows) and kept[1] < kept[0] and kept[4] == kept[1]
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_pipeline_stages_with_odd_rows(spark, tmp_path):
+    rows, labels = labelled_corpus(60)
+    odd = [*cases.with_odd_ids(cases.documents(3, 12)), (None, None), (None, None), (None, "a lone text of null id"), *rows]
+    frame = cases.frame(spark, odd)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for docs, n in ((frame, len(odd)), (frame.limit(0), 0)):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            before = docs.count()
+            stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{n}-{k}")
+            docs = spark.read.parquet(f"{tmp_path}/{n}-{k}")
+            assert docs.columns == frame.columns if k < 4 else "slot" in docs.columns
+            assert docs.count() <= before and (docs.count() == before or k < 2) and (docs.count() > 0) == (n > 0)
+            if n and k < 4:
+                assert docs.where("text = 'a lone text of null id'").count() == 1
