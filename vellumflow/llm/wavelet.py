@@ -26,78 +26,81 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import runtime
-from .bpe import END, ForcedBoundaryBPE
+from .bpe import END, ForcedBoundaryBPE, byte_letters
 from .pieces import Recent, plain_pieces, text_pieces
 
 SHARD_TOKENS = 1 << 20
-BLOCK = 512
-MAGIC = b"VWM1"
-CACHE_ENTRIES = 1_000_000
+BLOCK = 1 << 16
+MAGIC, HEAD = b"VWM2", "<4sIQQQ"
+CACHE_ENTRIES = 400_000
 
 
 def build(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> bytes:
     """The file of one shard: ids of documents in sequence, their lengths and keys."""
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-    planes, ones, pack = [], [], zstandard.ZstdCompressor(1).compress
-    for k in range(bits - 1, -1, -1):
-        bit = (rest & rest.dtype.type(1 << k)) != 0
+    blocks = -(-len(ids) // BLOCK)
+    pack = zstandard.ZstdCompressor(1).compress
+    sizes, ones, parts = np.zeros((bits, blocks), "<u4"), np.zeros((bits, blocks + 1), "<u4"), []
+    for level in range(bits):
+        bit = (rest & rest.dtype.type(1 << (bits - 1 - level))) != 0
         high, low = np.flatnonzero(bit), np.flatnonzero(~bit)
-        ones.append(len(high))
-        planes.append(pack(np.packbits(bit).tobytes()))
+        raw = np.packbits(bit).tobytes()
+        own = [pack(raw[k : k + BLOCK // 8]) for k in range(0, len(raw), BLOCK // 8)]
+        sizes[level] = [len(x) for x in own]
+        ones[level] = np.searchsorted(high, np.minimum(np.arange(blocks + 1) * BLOCK, len(ids)))
+        parts += own
         rest = np.concatenate([rest[low], rest[high]])
     docs = pack(lengths.astype("<i8").tobytes() + keys.astype("<i8").tobytes())
-    head = struct.pack("<4sIQQQ", MAGIC, bits, len(ids), len(lengths), len(docs))
-    sizes = struct.pack(f"<{2 * bits}Q", *map(len, planes), *ones)
-    return b"".join([head, sizes, docs, *planes])
-
-
-def _unpack(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    head = struct.pack(HEAD, MAGIC, bits, len(ids), len(lengths), len(docs))
+    return b"".join([head, sizes.tobytes(), ones.tobytes(), docs, *parts])
 
 
 class Shard:
-    """Reads one shard file; planes are expanded when they are first needed."""
+    """Reads one shard file; blocks are expanded when they are needed, and a few are kept."""
+
+    KEPT = 256
 
     def __init__(self, file: bytes):
-        magic, self.bits, self.n, n_docs, docs = struct.unpack_from("<4sIQQQ", file)
+        magic, self.bits, self.n, n_docs, docs = struct.unpack_from(HEAD, file)
         if magic != MAGIC:
             raise ValueError("not a shard file")
-        at = struct.calcsize("<4sIQQQ")
-        sizes = struct.unpack_from(f"<{2 * self.bits}Q", file, at)
-        at += 16 * self.bits
-        raw = _unpack(file[at : at + docs])
+        at, blocks = struct.calcsize(HEAD), -(-self.n // BLOCK)
+        sizes = np.frombuffer(file, "<u4", self.bits * blocks, at)
+        at += 4 * self.bits * blocks
+        self.ones = np.frombuffer(file, "<u4", self.bits * (blocks + 1), at).reshape(self.bits, blocks + 1).astype(np.int64)
+        at += 4 * self.bits * (blocks + 1)
+        self.unpack = zstandard.ZstdDecompressor().decompress
+        raw = self.unpack(file[at : at + docs])
         self.lengths, self.keys = np.frombuffer(raw, "<i8", n_docs), np.frombuffer(raw, "<i8", n_docs, 8 * n_docs)
-        at += docs
-        self.file, self.spans = file, []
-        for size in sizes[: self.bits]:
-            self.spans.append((at, at + size))
-            at += size
-        self.zeros = [self.n - x for x in sizes[self.bits :]]
-        self.planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def plane(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """(packed bytes, ones before each block)."""
-        if level not in self.planes:
-            a, b = self.spans[level]
-            packed = np.frombuffer(_unpack(self.file[a:b]), np.uint8)
-            whole = np.zeros(-(-len(packed) * 8 // BLOCK) * BLOCK // 8, np.uint8)
-            whole[: len(packed)] = packed
-            counts = np.bitwise_count(whole).reshape(-1, BLOCK // 8).sum(1, dtype=np.int64)
-            self.planes[level] = whole, np.concatenate([[0], np.cumsum(counts)])
-        return self.planes[level]
+        self.file = file
+        ends = at + docs + np.cumsum(sizes, dtype=np.int64)
+        self.spans = np.stack([ends - sizes, ends], 1).reshape(self.bits, blocks, 2)
+        self.zeros = [self.n - int(x[-1]) for x in self.ones]
+        self.held: dict[tuple[int, int], np.ndarray] = {}
+
+    def block(self, level: int, k: int) -> np.ndarray:
+        """The packed bytes of a block."""
+        if (level, k) not in self.held:
+            if len(self.held) >= self.KEPT:
+                self.held.clear()
+            a, b = self.spans[level, k].tolist()
+            self.held[level, k] = np.frombuffer(self.unpack(self.file[a:b]), np.uint8)
+        return self.held[level, k]
 
     def rank1(self, level: int, pos: int) -> int:
-        packed, before = self.plane(level)
-        block = pos // BLOCK
-        a = block * BLOCK // 8
-        part = packed[a : a + -(-(pos - block * BLOCK) // 8)].copy()
-        if (spare := pos % 8) and len(part):
+        k, rest = divmod(pos, BLOCK)
+        before = int(self.ones[level, k])
+        if not rest:
+            return before
+        part = self.block(level, k)[: -(-rest // 8)].copy()
+        if spare := rest % 8:
             part[-1] &= 0xFF << (8 - spare) & 0xFF
-        return int(before[block]) + int(np.bitwise_count(part).sum())
+        return before + int(np.bitwise_count(part).sum())
 
     def bit(self, level: int, pos: int) -> int:
-        return int(self.plane(level)[0][pos // 8] >> (7 - pos % 8)) & 1
+        k, rest = divmod(pos, BLOCK)
+        return int(self.block(level, k)[rest // 8] >> (7 - rest % 8)) & 1
 
     def access(self, pos: int) -> int:
         if not 0 <= pos < self.n:
@@ -128,10 +131,10 @@ class Shard:
 
     def select(self, level: int, which: int, k: int) -> int:
         """The place of the k-th (from 0) bit of value ``which`` on a level."""
-        packed, before = self.plane(level)
-        marks = before if which else np.arange(len(before)) * BLOCK - before
+        before = self.ones[level]
+        marks = before if which else np.minimum(np.arange(len(before)) * BLOCK, self.n) - before
         block = int(np.searchsorted(marks, k, side="right")) - 1
-        bits = np.unpackbits(packed[block * BLOCK // 8 : (block + 1) * BLOCK // 8]) == which
+        bits = np.unpackbits(self.block(level, block), count=min(BLOCK, self.n - block * BLOCK)) == which
         return block * BLOCK + int(np.flatnonzero(bits)[k - int(marks[block])])
 
     def find(self, token: int, k: int) -> int:
@@ -150,8 +153,8 @@ class Shard:
         kind = np.uint16 if self.bits <= 16 else np.uint32
         rest = np.zeros(self.n, kind)
         for level in range(self.bits - 1, -1, -1):
-            a, b = self.spans[level]
-            bit = np.unpackbits(np.frombuffer(_unpack(self.file[a:b]), np.uint8), count=self.n).view(bool)
+            raw = b"".join([self.unpack(self.file[a:b]) for a, b in self.spans[level].tolist()])
+            bit = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n).view(bool)
             out = np.empty(self.n, kind)
             out[np.flatnonzero(~bit)] = rest[: self.zeros[level]]
             out[np.flatnonzero(bit)] = rest[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
@@ -176,7 +179,9 @@ class ChunkEncoder:
         self.divided.no_truncation()
         self.divided.no_padding()
         self.divided.normalizer = None
-        self.divided.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.divided.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        letter = byte_letters()
+        self.letters = {c: "".join([letter[b] for b in chr(c).encode()]) for c in range(0xC0, 0x180)}  # as the splitter's byte level writes them
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.plain = spec["model"].get("end_of_word_suffix") == END and ForcedBoundaryBPE.rules_are_plain(spec)
@@ -192,7 +197,7 @@ class ChunkEncoder:
         out = self.one_by_one(other) if other else {}
         for k in range(0, len(plain), 2000):
             part = plain[k : k + 2000]
-            ids = np.asarray(self.divided.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.asarray(self.divided.encode_batch_fast([" ".join(part).translate(self.letters)], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.last[ids]) + 1
             if len(stops) == len(part):
                 raw, ends = ids.tobytes(), (4 * stops).tolist()
