@@ -433,6 +433,25 @@ def test_substring_dedup_without_sieve_and_many_null_ids(spark, rows, monkeypatc
     assert got == sorted(brute_components(all_rows), key=str)
 
 
+def test_given_reference(spark, rows, monkeypatch):
+    monkeypatch.setattr(substring, "SHARD_WORDS", 300)
+    reference = [(k, t) for k, (_, t) in enumerate(rows[:25])]
+    ref = spark.createDataFrame(reference, "id long, text string")
+    got = sorted(((r["doc_id"], r["least"]) for r in substring.against(cases.frame(spark, cases.with_odd_ids(rows)), ref).collect()), key=str)
+    first = {}
+    for k, t in reference:
+        w = WORD.findall(t or "")
+        for j in range(len(w) - 12):
+            first.setdefault(tuple(w[j : j + 13]), k)
+    want = []
+    for i, t in cases.with_odd_ids(rows):
+        w = WORD.findall(t or "")
+        want.append((i, [first.get(tuple(w[j : j + 13]), substring.LAST) for j in range(len(w) - 12)]))
+    assert got == sorted(want, key=str) and any(x != substring.LAST for _, xs in got for x in xs)
+    with pytest.raises(ValueError):
+        substring.against(cases.frame(spark, rows), ref, most_words=10)
+
+
 def test_automaton():
     a = substring.Automaton()
     texts = [("a b c d".split(), 5), ("b c d e".split(), 3), ("x a b c".split(), 9), ("b c d e".split(), 4)]

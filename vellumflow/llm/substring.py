@@ -1,16 +1,24 @@
 """Operator 10: removal of word spans that repeat across documents, by suffix automata of reference shards.
 
 A window is 13 consecutive words. A word is removed if a window that covers it also starts in a document with a
-smaller doc_id. The work is dealt out by minimisers: each window belongs to the least hash among its nine 5-word
-seeds, so equal windows of different documents always meet; consecutive windows of one minimiser form a run of 13 to
-21 words. Only runs whose minimiser occurs in at least two documents go on (with random text, few). Their distinct
-texts are the reference, dealt to shards of a bounded number of words; each shard is a suffix automaton whose states
-carry the least doc_id of their occurrences, and the shard's runs stream through it: the matching statistics, cut to
-13 words, give each window's least doc_id. Instead of broadcasting every automaton to every document, which grows with
-the square of the input, a run is sent to the one shard that can hold its windows.
+smaller doc_id.
+
+Two forms stand here. ``against`` is the plain one: a given reference (say, a benchmark), whose size is checked, is cut into
+shards of a bounded number of words, the shards are broadcast, each worker makes their suffix automata, and all documents are
+streamed through each: the matching statistics give the maximal spans of 13 words and more that the reference holds, too. Its
+cost is documents times shards, which is right for a reference of fixed size.
+
+``repeats`` serves where the corpus is its own reference, so that shards would grow with it. The work is dealt out by
+minimisers: each window belongs to the least hash among its nine 5-word seeds, so equal windows of different documents always
+meet; consecutive windows of one minimiser form a run of 13 to 21 words. Only runs whose minimiser occurs in at least two
+documents go on (with random text, few). Their distinct texts are the reference, dealt to shards of a bounded number of
+words; each shard is a suffix automaton whose states carry the least doc_id of their occurrences, and the shard's runs
+stream through it: the matching statistics, cut to 13 words, give each window's least doc_id.
 
 A minimiser with very many runs is taken apart: each of its windows is dealt by the window's own hash. Runs of equal
-text are reduced to one before they are dealt, so copies and frequent passages weigh nothing.
+text are reduced to one before they are dealt, so copies and frequent passages weigh nothing. Minimisers, runs and the windows
+of very frequent minimisers are told apart by 64-bit hashes of their words, copies of whole texts by 128 bits; within a shard
+the words themselves are compared.
 
 Null texts have no words. Rows of equal doc_id never remove from each other. A null doc_id counts as larger than all.
 """
@@ -32,6 +40,9 @@ WINDOW, SEED = 13, 5
 SPAN = WINDOW - SEED + 1
 HOT_RUNS = 2000
 SHARD_WORDS = 40_000
+#: Words of a reference that is broadcast.
+REFERENCE_WORDS = 2_000_000
+WORD = r"[^\x20\x09-\x0D]+"
 LAST = 2**63 - 1
 
 
@@ -142,6 +153,45 @@ class Automaton:
         return out
 
 
+def against(df: DataFrame, reference: DataFrame, key: str = "doc_id", text: str = "text", reference_id: str = "id", reference_text: str = "text", most_words: int = REFERENCE_WORDS) -> DataFrame:
+    """(key, least array<long>) of every row: for each window of its text the least ``reference_id`` whose text holds it (LAST: none).
+
+    The reference goes to all workers, so its size is checked: more than ``most_words`` words are refused."""
+    spark = df.sparkSession
+    runtime.tune(spark)
+    size = reference.agg(F.sum(F.regexp_count(F.coalesce(F.col(reference_text), F.lit("")), F.lit(WORD)))).first()[0] or 0
+    if size > most_words:
+        raise ValueError(f"the reference has {size} words; at most {most_words} are broadcast")
+    shards: list[list[tuple[int, bytes]]] = [[]]
+    held = 0
+    for i, t in reference.select(F.col(reference_id).cast("long"), reference_text).orderBy(reference_id).toLocalIterator():
+        own = (t or "").encode().split()
+        if held and held + len(own) > SHARD_WORDS:
+            shards.append([])
+            held = 0
+        shards[-1].append((i, b" ".join(own)))
+        held += len(own)
+    sent = spark.sparkContext.broadcast(shards)
+
+    def run(batches):
+        automata = []
+        for shard in sent.value:
+            a = Automaton()
+            for i, t in shard:
+                a.add(t.split(b" "), i)
+            a.finish()
+            automata.append(a)
+        for b in batches:
+            out = []
+            for t in b.column(1).cast(pa.binary()).to_pylist():
+                own = (t or b"").split()
+                out.append(list(map(min, zip(*(a.least(own) for a in automata)))) if len(own) >= WINDOW else [])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], ["key", "least"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(runtime.lean(run), f"key {kind}, least array<bigint>").withColumnRenamed("key", key)
+
+
 def _scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
