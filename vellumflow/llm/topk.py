@@ -8,8 +8,9 @@ contribution, its width the difference to its largest.
 While a query's k-th best score so far is theta, a candidate has to gather theta less all floors. Terms are ordered by
 width; as many of the narrow ones as cannot gather that together are non-essential. Of the others, the essential terms, a
 candidate must reach at least one's share of what is left, in proportion to its width, so of each essential term only the
-blocks of postings above its share are traversed. Who is met there is probed in the terms in order, widest first, while the sum
-so far and the upper bounds of the terms left still reach theta.
+blocks of postings above its share are traversed (where these hold nearly everybody, all candidates are taken at once). Who is met
+there gets the sum of its essential terms and is probed in the others, widest first, while the sum so far and the upper
+bounds of the terms left still reach theta.
 
 theta begins as the k-th best score among a bounded sample of candidates (SEED rows), the same for all tasks, and is carried
 from shard to shard of a task; shards are merged at the end. The queries go to the shards in blocks of bounded size (BLOCK
@@ -112,21 +113,22 @@ def search_shard(queries: np.ndarray, query_ids: np.ndarray, shard: Postings, be
         left = np.concatenate([np.cumsum(upper[q][order][::-1])[::-1], [0.0]])  # upper bounds of the terms from a place on
         spread = np.concatenate([np.cumsum(width[q][order][::-1])[::-1], [0.0]])
         gather = theta - floor[q].sum()
-        alive = None
+        alive, essential = None, len(order)
         if gather > 0:
             essential = max(1, int(np.count_nonzero(spread[:-1] >= gather)))
             share = (gather - spread[essential]) / max(spread[0] - spread[essential], 1e-300)
             terms = order[:essential]
             alive = shard.reached(terms, own, floor[q][terms] + np.floor(share * width[q][terms] * (1 - 1e-12)))
-        total = 0.0
-        for first in range(0, len(order), PROBE):
-            some = order[first : first + PROBE]
+        total, first, last = 0.0, 0, essential
+        while True:
+            some = order[first:last]
             part = shard.columns[:, some] if alive is None else shard.columns[np.ix_(alive, some)]
             total = total + part @ own[some]
-            keep = np.flatnonzero(total + left[min(first + PROBE, len(order))] >= theta)
+            keep = np.flatnonzero(total + left[last] >= theta)
             alive, total = keep if alive is None else alive[keep], total[keep]
-            if not len(alive):
+            if last == len(order) or not len(alive):
                 break
+            first, last = last, min(last + PROBE, len(order))
         keep = shard.ids[alive] != query_ids[q]
         if keep.any():
             alive, total = alive[keep], total[keep]
