@@ -103,7 +103,7 @@ def with_next(df: DataFrame) -> DataFrame:
     """(pid, look, doc_id, digest, text) sorted within partitions so that each row (look 0) is followed by the next document.
 
     The order (descending doc_id, digest of the text) is cut at rows that occur: the very first one, and quantiles of a random
-    sample of SAMPLE rows for each partition. A row that begins a stretch is sent a second time (look 1), to the end of the stretch
+    sample of about SAMPLE rows for each partition. A row that begins a stretch is sent a second time (look 1), to the end of the stretch
     before (the very first: to the last stretch). Stretches are partitions, one each. The driver holds only the sample's
     ids and digests.
     """
@@ -113,7 +113,8 @@ def with_next(df: DataFrame) -> DataFrame:
     order = lambda i, d: (i is None, 0 if i is None else ~i, bytes(d))
     ids = rows.select("doc_id", "digest")
     first = [order(*r) for r in ids.orderBy(F.col("doc_id").desc_nulls_last(), "digest").limit(1).collect()]
-    drawn = sorted(order(*r) for r in ids.orderBy(F.rand(7)).limit(SAMPLE * n).collect()) if n > 1 else []
+    part = SAMPLE * n / max(1, rows.count())
+    drawn = sorted(order(*r) for r in ids.where(F.rand(7) < part).collect()) if n > 1 else []
     cuts = sorted({*first, *(drawn[k * len(drawn) // n] for k in range(1, n) if drawn)})
     known = np.array([c[1] for c in cuts if not c[0]], np.int64)
 
