@@ -31,7 +31,7 @@ def test_convert_files(spark, folder, tmp_path):
     md = {x["file"]: x["markdown"] for x in r.documents.join(r.markdown(), "doc_id").collect()}
     assert md["e.md"] == "# T\n\n- a\n- b\n\n| x   |   n |\n|-----|-----|\n| y   |  10 |"
     assert md["f.html"] == "# H\n\na &amp; **b**"
-    assert "running head" not in md["a.docx"] and "| h1  | h1  |" in md["a.docx"] and "secret" not in md["c.xlsx"]
+    assert "running head" not in md["a.docx"] and "| h1   | h1   |" in md["a.docx"] and "secret" not in md["c.xlsx"]
     r.save(str(tmp_path))
     assert Result.load(spark, str(tmp_path)).items.count() == r.items.count()
     assert {x["status"]: x["count"] for x in r.export(str(tmp_path / "out"), ("md", "json", "text", "doctags", "html_split_page")).collect()} == {"success": 7, "failure": 3}
@@ -66,6 +66,16 @@ def test_equal_files_and_plugged_parsers(spark, tmp_path):
         DocumentConverter(spark, options=PipelineOptions(do_code_enrichment=True), plugins={"code": lambda s: s}).convert_all(str(tmp_path))
 
 
+def test_markdown_of_lists_cells_and_breaks(spark):
+    page = "<h1>T</h1><ul><li>a<ul><li>b_c</li></ul></li></ul><ol><li>d</li></ol><img alt='cap' src='x'><div>one<br>two</div><table><tr><th>A</th></tr><tr><td><p>p</p><ul><li>x</li><li><b>y</b></li></ul></td></tr></table>"
+    df = spark.createDataFrame([(1, page, "Head\n====\n\nSub\n---\n\n```\na\n---\n```\n")], "id long, h string, m string")
+    c = DocumentConverter(spark)
+    want = ["# T", "- a\n    - b\\_c", "1. d", "cap", "<!-- image -->", "one", "two", "| A               |\n|-----------------|\n| p  - x - **y** |"]
+    got = c.convert_string(df, "html", "h", "id").markdown().first()["markdown"].split("\n\n")
+    assert got[:7] == want[:7] and "| p  - x - **y** |" in got[7]
+    assert c.convert_string(df, "md", "m", "id").markdown().first()["markdown"] == "# Head\n\n## Sub\n\n```\na\n---\n```"
+
+
 def test_sniffing_of_a_part():
     whole = word()
     assert formats.detect("x", whole[:8192], whole[-4000:]) == formats.detect("x", whole) == "docx"

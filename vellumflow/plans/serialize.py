@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vellumflow.sources.tree import pipe_table
+
 #: Labels whose own text is not written: their children's is.
 HOLDERS = ("inline", "list", "section", "chapter")
 
@@ -24,26 +26,7 @@ def _tables(cells: pd.Series) -> pd.Series:
 
 
 def _table(cells) -> str | None:
-    if cells is None or not len(cells):
-        return None
-    n, m = max(c["r1"] for c in cells), max(c["c1"] for c in cells)
-    grid = [[""] * m for _ in range(n)]
-    for c in cells:
-        for r in range(c["r0"], c["r1"]):
-            for k in range(c["c0"], c["c1"]):
-                grid[r][k] = (c["text"] or "").replace("\n", " ").replace("|", "\\|")
-    wide = [max(len(grid[0][k]) + 2, *(len(row[k]) for row in grid)) for k in range(m)]
-    right = [n > 1 and all(_number(row[k]) for row in grid[1:] if row[k]) and any(row[k] for row in grid[1:]) for k in range(m)]
-    lines = ["| " + " | ".join(t.rjust(w) if a else t.ljust(w) for t, w, a in zip(row, wide, right)) + " |" for row in grid]
-    return "\n".join([lines[0], "|" + "|".join("-" * (w + 2) for w in wide) + "|", *lines[1:]])
-
-
-def _number(text: str) -> bool:
-    try:
-        float(text)
-    except ValueError:
-        return False
-    return True
+    return None if cells is None or not len(cells) else pipe_table(_grid(cells))
 
 
 def styled(text: Column, style: Column, link: Column, label: Column) -> Column:
@@ -61,7 +44,7 @@ def of_layers(items: DataFrame, layers: tuple[str, ...]) -> DataFrame:
 
 
 def blocks(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("body",)) -> DataFrame:
-    """(key, ord, label, depth, list, block): the Markdown of each block; inline runs are put into the block they belong to, and
+    """(key, ord, place, label, depth, list, block): the Markdown of each block; inline runs are put into the block they belong to, and
     ``list`` numbers the outermost lists."""
     live = of_layers(items, layers)
     said = live.withColumn("said", styled(F.col("text"), F.col("style"), F.col("link"), F.col("label")))
@@ -69,7 +52,7 @@ def blocks(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("bo
     joined = said.join(up, (F.col(key) == F.col("k")) & (F.col("parent") == F.col("p")), "left")
     inner = F.when(F.col("label") == "code", F.concat(F.lit("`"), "said", F.lit("`"))).otherwise(F.col("said"))
     runs = joined.where(F.col("p_label") == "inline").groupBy(key, F.col("parent").alias("ord")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", inner.alias("t")))), lambda x: x["t"]), " ").alias("run"))
-    own = joined.where((F.col("p_label") != "inline") | F.col("p_label").isNull()).drop("k", "p")
+    own = joined.where((F.col("p_label") != "inline") | F.col("p_label").isNull()).drop("k").withColumnRenamed("p", "over")
     own = own.join(runs, [key, "ord"], "left")
     # the first inline group below a title, heading or list item without a text of its own is its text
     leads = (F.col("label") == "inline") & F.coalesce(F.col("p_label").isin("title", "section_header", "list_item") & (F.col("p_text") == ""), F.lit(False))
@@ -82,17 +65,18 @@ def blocks(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("bo
     block = (
         F.when(F.col("label") == "title", F.concat(F.lit("# "), text)).when(F.col("label") == "section_header", F.concat(F.repeat(F.lit("#"), F.coalesce("level", F.lit(1)) + 1), F.lit(" "), text))
         .when(F.col("label") == "list_item", F.concat(indent, F.when(F.coalesce("enumerated", F.lit(False)), F.concat("marker", F.lit(" "))).otherwise(F.lit("- ")), text))
-        .when(F.col("label") == "code", F.concat(F.lit("```"), F.coalesce("language", F.lit("")), F.lit("\n"), "text", F.lit("\n```")))
+        .when(F.col("label") == "code", F.concat(F.lit("```\n"), "text", F.lit("\n```")))
         .when(F.col("label") == "formula", F.concat(F.lit("$$"), "text", F.lit("$$"))).when(F.col("label") == "picture", F.lit("<!-- image -->")).when(F.col("label") == "table", table_markdown("cells"))
         .when(F.col("label") == "inline", F.col("run")).when(F.col("label").isin(*HOLDERS), F.lit(None).cast("string")).otherwise(text)
     )
-    return own.select(key, "ord", "label", "depth", "list", block.alias("block")).where(F.length("block") > 0)
+    place = F.when((F.col("label") == "caption") & F.col("p_label").isin("picture", "table"), F.col("over") - 0.5).otherwise(F.col("ord"))  # a caption stands before what it is of
+    return own.select(key, "ord", place.cast("double").alias("place"), "label", "depth", "list", block.alias("block")).where(F.length("block") > 0)
 
 
 def markdown(items: DataFrame, key: str = "doc_id", layers: tuple[str, ...] = ("body",)) -> DataFrame:
     """(key, markdown): blocks in order, a blank line between them, but not between the items of one list and the lists in it."""
     b = blocks(items, key, layers)
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "label", "list", "block")))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "ord", "label", "list", "block")))
     listed = lambda last, x: (last["label"] == "list_item") & (x["label"] == "list_item") & (last["list"] == x["list"])
     rows = b.groupBy(key).agg(ordered.alias("rows"))
     before = F.concat(F.array(F.lit(None).cast(rows.schema["rows"].dataType.elementType)), F.slice("rows", F.lit(1), F.size("rows") - 1))

@@ -6,7 +6,7 @@ import re
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-from vellumflow.sources.tree import Cell, Tree
+from vellumflow.sources.tree import Cell, grid, pipe_table, Tree
 
 # Elements with a meaning of their own, elements without an end, elements that are left out.
 BLOCKS = {"address", "details", "figure", "footer", "img", "h1", "h2", "h3", "h4", "h5", "h6", "ol", "p", "pre", "summary", "table", "ul"}
@@ -94,6 +94,36 @@ def _squeeze(text: str) -> str:
     return re.sub(r"\s+", " ", clean(text)).strip()
 
 
+def marked_text(tree: Tree) -> str:
+    """A small tree as Markdown: runs with their marks, list entries, tables; blocks with a blank line between."""
+    marks = {"bold": "**", "italic": "*", "strikethrough": "~~"}
+    said: dict[int, list[str]] = {}
+    blocks: list[tuple[str, str]] = []
+    items = tree.items
+    for x in reversed(range(len(items))):
+        item = items[x]
+        text = item.text or " ".join(reversed(said.pop(x, [])))
+        for name in reversed((item.style or "").split(",")):
+            text = f"{marks[name]}{text}{marks[name]}" if name in marks and text else text
+        if item.label == "table":
+            text = pipe_table(grid(item.cells))
+        if item.label == "inline" or (item.parent >= 0 and items[item.parent].label == "inline"):
+            up = item.parent
+            if item.label != "inline" or (up >= 0 and items[up].label == "list_item"):
+                said.setdefault(up, []).append(text)
+                continue
+        if item.label == "list_item":
+            text = f"{item.marker or '-'} {text}"
+        if text and item.label not in ("list", "caption"):
+            blocks.append((item.label, text))
+    out = ""
+    last = None
+    for label, text in reversed(blocks):
+        out += ("" if last is None else "\n" if last == label == "list_item" else "\n\n") + text
+        last = label
+    return out
+
+
 class _Walk:
     def __init__(self, root: Node, base: str | None):
         self.tree, self.base = Tree(), base
@@ -125,18 +155,30 @@ class _Walk:
         return h if h.startswith("#") or re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", h) or not self.base else urljoin(self.base, h)
 
     def runs(self, node: Node, style: tuple = (), link: str | None = None):
-        """(text, style, link) of the inline content below a node, blocks of their own left out."""
+        """(text, style, link) of the inline content below a node, blocks of their own left out; a line break has no text."""
         for c in node.children:
             if isinstance(c, str):
                 yield c, style, link
             elif c.tag == "br":
-                yield "\n", style, link
+                yield None, style, link
             elif c.tag not in DROPPED and c.tag not in ("ul", "ol", "table", "img", "figure") and "hidden" not in c.attrs:
                 more = STYLES.get(c.tag)
                 yield from self.runs(c, style + (more,) if more and more not in style else style, self.href(c) or link if c.tag == "a" else link)
 
     def emit(self, runs, label: str, parent: int, **more) -> int | None:
-        """One item for runs of one style, an inline group for several. Equal neighbours are put together."""
+        """One item for runs of one style, an inline group for several. Equal neighbours are put together. A text ends at a line
+        break, so it may be several items (the first is returned); elsewhere a line break is a space."""
+        runs = list(runs)
+        if label == "text" and any(text is None for text, _, _ in runs):
+            made, part = [], []
+            for x in [*runs, (None, (), None)]:
+                if x[0] is None:
+                    made.append(self.emit(part, label, parent, **more))
+                    part = []
+                else:
+                    part.append(x)
+            return next((x for x in made if x is not None), None)
+        runs = [("\n" if text is None else text, style, link) for text, style, link in runs]
         joined: list[list] = []
         for text, style, link in runs:
             if joined and joined[-1][1:] == [style, link]:
@@ -177,7 +219,7 @@ class _Walk:
                 flush()
                 self.go(c, parent)
             elif c.tag == "br":
-                loose.append(("\n", (), None))
+                loose.append((None, (), None))
             else:
                 holder = Node("#inline")
                 holder.children = [c]
@@ -261,6 +303,15 @@ class _Walk:
         if not images:
             self.go(c, parent)
 
+    def cell_text(self, x: Node) -> str:
+        """The text of a table cell; of one that holds blocks or styled runs, its Markdown in one line."""
+        if not any(True for _ in x.find("p", "ul", "ol", "table", "pre", *STYLES)):
+            return _squeeze(x.text())
+        inner = _Walk(x, self.base)
+        inner.layer = "body"
+        inner.go(x, -1)
+        return marked_text(inner.tree).replace("\n", " ")
+
     def table(self, c: Node, parent: int) -> None:
         rows = [r for r in c.find("tr") if next((a for a in self._above(r, c) if a.tag == "table"), None) is None]
         taken: set[tuple[int, int]] = set()
@@ -274,7 +325,7 @@ class _Walk:
                     col += 1
                 h, w = min(span(x.attrs.get("rowspan")), len(rows) - r), span(x.attrs.get("colspan"))
                 taken.update((r + i, col + j) for i in range(h) for j in range(w))
-                cells.append(Cell(r, col, _squeeze(x.text()), h, w, heads and bool(own), x.tag == "th" and not heads))
+                cells.append(Cell(r, col, self.cell_text(x), h, w, heads and bool(own), x.tag == "th" and not heads))
                 col += w
         caption = next((x.text() for x in c.find("caption")), None)
         at = self.tree.add("table", None, parent, layer=self.layer, cells=cells)

@@ -81,12 +81,19 @@ def pipe_table(lines: list[str]) -> list[Cell]:
     return [Cell(r, c, entities.unescape(re.sub(r"[*_`]{1,2}(\S(?:.*?\S)?)[*_`]{1,2}", r"\1", t.replace("\\|", "|"))), column_header=r == 0) for r, row in enumerate(rows) for c, t in enumerate(row)]
 
 
+def underlined(content: str) -> str:
+    """Headings that are underlined by = or - written with number signs, outside of fences."""
+    parts = re.split(r"(?ms)(^\s*```.*?(?:^\s*```\s*?$|\Z))", content)
+    mark = lambda m: ("# " if m[2][0] == "=" else "## ") + m[1]
+    return "".join(x if k % 2 else re.sub(r"(?m)(?<![^\n]\n)^(?![ \t]*(?:[-*+#>|<=`~]|\d+[.)]))(\S[^\n|]*)\n(=+|-{2,})[ \t]*$", mark, x) for k, x in enumerate(parts))
+
+
 def markdown(content: str) -> Tree:
     """Headings (the first level as title), paragraphs, nested lists, fences, pipe tables, pictures; a text with blocks
     of HTML is put into HTML as a whole and read by that parser."""
     if re.search(r"(?m)^<(?:table|div|p|ul|ol|h[1-6]|pre|details|figure|img)\b", content):
         return html.parse(to_html(content))
-    tree, lines, k = Tree(), content.replace("\r\n", "\n").split("\n"), 0
+    tree, lines, k = Tree(), underlined(content.replace("\r\n", "\n")).split("\n"), 0
     heads: dict[int, int] = {}
     up = lambda: heads[max(heads)] if heads else -1
     lists: list[tuple[int, int, bool, int]] = []  # indent, group, ordered, last item

@@ -78,3 +78,23 @@ def grid(cells: list[Cell]) -> list[list[str]]:
 def outline(tree: Tree) -> str:
     """One line for each item: its place, depth, label and text."""
     return "\n".join(f"{'  ' * x.depth}item-{k} at level {x.depth}: {x.label}" + (f": {x.text}" if x.text else "") for k, x in enumerate(tree.items))
+
+
+def pipe_table(rows: list[list[str]]) -> str | None:
+    """Rows as a pipe table: columns as wide as their widest cell and their header with two spaces, numbers to the right."""
+    if not rows:
+        return None
+    rows = [[t.replace("\n", " ") for t in row] for row in rows]
+    columns = range(len(rows[0]))
+    wide = [max(len(rows[0][k]) + 2, *(len(row[k]) for row in rows)) for k in columns]
+    right = [all(_number(row[k]) for row in rows[1:] if row[k]) and any(row[k] for row in rows[1:]) for k in columns]
+    lines = ["| " + " | ".join(t.rjust(w) if a else t.ljust(w) for t, w, a in zip(row, wide, right)) + " |" for row in rows]
+    return "\n".join([lines[0], "|" + "|".join("-" * (w + 2) for w in wide) + "|", *lines[1:]])
+
+
+def _number(text: str) -> bool:
+    try:
+        float(text)
+    except ValueError:
+        return False
+    return True
