@@ -3,8 +3,9 @@
 Documents are dealt to partitions by ranges of doc_id and sorted, encoded, and gathered into shards of about
 ``SHARD_TOKENS`` ids (a document is never divided). A shard file holds one bit-plane per bit of the largest id, from
 the highest down; every plane lists that bit of all ids after a stable partition by the bits above it. Each plane is
-compressed, and its counts of ones before every block of 512 bits give rank in constant time, from which follow
-access, counting and occurrence lookup. Ids from 0 to 2**32-1 can be held.
+stored in blocks of 8 KB, each compressed for itself, with the counts of ones before every block in the file: a rank
+expands and counts one block at most, whatever the length of the shard. From rank follow access, counting and
+occurrence lookup. Ids from 0 to 2**32-1 can be held.
 
 Shard files are rows (part, shard, ..., file binary) of a parquet folder, so that any store that Spark writes will
 do. Only their short headers are needed to place a shard in the whole sequence.
