@@ -26,15 +26,22 @@ def _file(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def fresh_folder(spark: SparkSession) -> str:
+    """A folder of its own under the shared one, that goes when the application ends."""
+    path = f"{shared_dir(spark)}/vellumflow/{uuid.uuid4().hex}"
+    at, system = _file(spark, path)
+    system.mkdirs(at)
+    system.deleteOnExit(at)
+    return path
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes ``df`` as a table in the shared folder and reads it back. The table goes with discard(),
     or when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/vellumflow/{uuid.uuid4().hex}"
+    path = fresh_folder(spark)
     df.write.parquet(f"{path}/{name}")
     out = spark.read.schema(df.schema).parquet(f"{path}/{name}")
-    at, system = _file(spark, path)
-    system.deleteOnExit(at)
     out._saved_at = path
     return out
 
