@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, neardup, packing, quality, runtime, secrets, sql, substring, topk, toxicity, wavelet
+from . import audit, bpe, fingerprint, lloyd, neardup, packing, quality, runtime, secrets, sql, substring, tokencount, topk, toxicity, wavelet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -55,6 +55,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(runtime.documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.report(runtime.documents(spark, sf_dir), runtime.labels(spark, sf_dir))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.report(runtime.documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -66,4 +78,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_ngram_jaccard": sql.near_duplicates(),
         "op9_exact_top_k": topk.sql(),
         "op10_substring_dedup": sql.substrings(),
+        "op11_vector_codes": lloyd.sql(),
+        "op12_filter_audit": audit.sql(),
     }
