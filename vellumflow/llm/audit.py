@@ -7,8 +7,8 @@ A, B, C and D follow from a text alone. For E, texts are routed by their xxhash6
 each fingerprint has a chain of the full texts behind it and the least id of each. A text that meets an equal one of a smaller id is
 emitted as failing, so in the end only those of the least id are left in the chains. Tasks do the same with what they read before
 anything is routed, so that of a text with any number of copies a task sends one with the least id (again for each ROOM bytes of
-texts that it holds); the others are known to fail, and travel as an id and a mask. The RDD has four partitions for each one of
-the input, so that the texts of one are a bounded share of what an input split holds. Ids, not texts, are then joined with the labels, and
+texts that it holds); the others are known to fail, and travel as an id and a mask. The RDD has a partition for each ROOM bytes of
+texts in the table, which are summed up first. Ids, not texts, are then joined with the labels, and
 combineByKey adds up for each part the documents behind each of the 32 masks (number, good, toxic). All orders are read off those.
 
 Null and empty texts are equal empty texts. A null doc_id is larger than all others; rows of equal or null doc_id are documents each
@@ -33,7 +33,7 @@ FILTERS = "ABCDE"
 SAME = 1 << FILTERS.index("E")
 LEAST_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 200, 50, 3
 CAPITALS, MARKS = bytes(range(65, 91)), b"#$%&*|"
-#: Bytes of texts that a task holds before it sends on what it has.
+#: Bytes of texts that a task holds before it sends on what it has, and that a partition of the RDD gets on average at most.
 ROOM = 32 << 20
 #: Sorts behind all ids.
 LAST = 1 << 63
@@ -116,7 +116,8 @@ def masks(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     text = runtime.text_of()
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")).alias("part"), F.xxhash64(text).alias("fingerprint"), text.alias("text")).rdd
-    parts = max(runtime.partitions(spark), 4 * rows.getNumPartitions())
+    size = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(runtime.partitions(spark), -(-size // ROOM))
     settled = rows.mapPartitions(_route).partitionBy(parts, lambda where: where % parts).mapPartitions(_settle)
     return spark.createDataFrame(settled.map(lambda r: (None if r[0] == LAST else r[0], *r[1:])), "doc_id long, part string, mask int, n long", verifySchema=False)
 
