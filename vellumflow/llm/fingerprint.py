@@ -8,7 +8,9 @@ are equal. The narrow lanes are a linear sketch, so the squared length of a diff
 documents do not share: likeness is 1 - |a-b|^2 / (|a|^2 + |b|^2), held between 0 and 1; of equal fingerprints, 1.
 
 Null and blank texts have the zero vector. In the order of documents (descending doc_id), rows of equal doc_id follow
-in order of the MD5 of their texts and null ids come last.
+in order of the MD5 of their texts and null ids come last. Rows of equal doc_id and text follow one another, so each but the
+last of them has its own text as the next; a task folds those that it reads into one row and a number before anything is sent, so
+however many there are, a task sends two rows for them (again for each FOLDED different ones).
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from .textscan import U64, column_bytes, mix, words
 IDENT, LANES, RUN = 4, 128, 3
 #: Rows drawn for each partition, whose quantiles cut the order into stretches.
 SAMPLE = 64
+#: Different repeated rows that a task holds at a time to fold what repeats them.
+FOLDED = 256
 
 
 class Sketch:
@@ -100,7 +104,8 @@ def edited(text: str, following: str) -> str:
 
 
 def with_next(df: DataFrame) -> DataFrame:
-    """(pid, look, doc_id, digest, text) sorted within partitions so that each row (look 0) is followed by the next document.
+    """(pid, look, doc_id, text, times) sorted within partitions so that each row (look 0) is followed by the next document. A
+    row of look 2 is followed by ``times`` - 1 equal ones and then by one more: it has itself as the next document, that many times.
 
     The order (descending doc_id, digest of the text) is cut at rows that occur: the very first one, and quantiles of a random
     sample of about SAMPLE rows for each partition. A row that begins a stretch is sent a second time (look 1), to the end of the stretch
@@ -131,19 +136,50 @@ def with_next(df: DataFrame) -> DataFrame:
             at_cut[k] = cuts[pid[k]] == key
         return pid, at_cut
 
+    def sent(pid: np.ndarray, look: int, own, times: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(pid.astype(np.int32)), pa.array(np.full(len(pid), look, np.int32)), *own, pa.array(times.astype(np.int64))], names)
+
+    def fold(b: pa.RecordBatch, seen: dict) -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
+        """The rows without those that repeat an earlier one (of the batch or in ``seen``), counted there; and what ``seen`` held if full."""
+        keys = list(zip(b.column(0).to_pylist(), b.column(2).to_pylist()))
+        if len(set(keys)) == len(keys) and not any(k in seen for k in keys) if seen else len(set(keys)) == len(keys):
+            return b, None
+        first, keep = {}, []
+        for n, k in enumerate(keys):
+            if k in seen:
+                seen[k][1] += 1
+            elif k in first:
+                seen[k] = [b.slice(first[k], 1), 1]
+            else:
+                first[k] = n
+                keep.append(n)
+        return b.take(pa.array(keep, pa.int64())), (again(seen) if len(seen) > FOLDED else None)
+
+    def again(seen: dict) -> pa.RecordBatch:
+        """Rows of look 2 for what was folded, to any stretches."""
+        rows = pa.Table.from_batches([x[0] for x in seen.values()]).combine_chunks().to_batches()[0]
+        times = np.array([x[1] for x in seen.values()])
+        seen.clear()
+        return sent(np.arange(len(times)) % len(cuts), 2, (rows.column(0), rows.column(2), rows.column(1)), times)
+
     def deal(batches):
+        seen: dict = {}
         for b in batches:
+            b, more = fold(b, seen)
+            if more is not None:
+                yield more
             pid, at_cut = stretch(b.column(0), b.column(2))
             own = (b.column(0), b.column(2), b.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array(pid.astype(np.int32)), pa.array(np.zeros(len(pid), np.int32)), *own], names)
+            yield sent(pid, 0, own, np.ones(len(pid)))
             where = np.flatnonzero(at_cut)
             where = where[np.unique(pid[where], return_index=True)[1]]  # of equal rows one is enough
             if len(where):
-                again = np.where(pid[where] == 0, len(cuts) - 1, pid[where] - 1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(again), pa.array(np.ones(len(where), np.int32)), *(c.take(pa.array(where)) for c in own)], names)
+                yield sent(np.where(pid[where] == 0, len(cuts) - 1, pid[where] - 1), 1, [c.take(pa.array(where)) for c in own], np.ones(len(where)))
+        if seen:
+            yield again(seen)
 
-    names = ["pid", "look", "doc_id", "digest", "text"]
-    dealt = rows.mapInArrow(runtime.lean(deal), "pid int, look int, doc_id long, digest binary, text string")
+    names = ["pid", "look", "doc_id", "digest", "text", "times"]
+    dealt = rows.mapInArrow(runtime.lean(deal), "pid int, look int, doc_id long, digest binary, text string, times long")
     return dealt.repartitionById(max(1, len(cuts)), "pid").sortWithinPartitions("look", F.col("doc_id").desc_nulls_last(), "digest").drop("digest")
 
 
@@ -155,11 +191,14 @@ def report(df: DataFrame) -> DataFrame:
     def finish(held, marks: Sketch):
         """Rows for all of ``held`` but the last, which waits for what follows it."""
         rows = [k for k in range(len(held) - 1) if held[k][1] == 0 and held[k][0] == held[k + 1][0]]
-        if not rows:
+        itself = [k for k in range(len(held) - 1) if held[k][1] == 2]
+        if not rows and not itself:
             return None
+        after = [k + 1 for k in rows] + itself
+        rows += itself
         old, new, sha, n = [], [], [], []
-        for k in rows:
-            text, following = held[k][3], held[k + 1][3]
+        for k, then in zip(rows, after):
+            text, following = held[k][3], held[then][3]
             changed = edited(text, following)
             cut = len(text) - len(text) // 3
             line = text.rfind("\n", 0, cut) + 1
@@ -167,16 +206,16 @@ def report(df: DataFrame) -> DataFrame:
             new.append(changed[line:].encode())
             sha.append(hashlib.sha256(changed.encode()).hexdigest())
             n.append(len(text))
-        own, after = marks.take(rows), marks.take([k + 1 for k in rows])
+        own, following = marks.take(rows), marks.take(after)
         other = own - sketch(old) + sketch(new)
-        arrays = [pa.array([held[k][2] for k in rows], pa.int64()), pa.array(n, pa.int64()), pa.array(sha), pa.array(own.strings()), pa.array(other.strings()), pa.array(own.likeness(other)), pa.array(own.likeness(after))]
-        return pa.RecordBatch.from_arrays(arrays, COLUMNS)
+        arrays = [pa.array([held[k][2] for k in rows], pa.int64()), pa.array(n, pa.int64()), pa.array(sha), pa.array(own.strings()), pa.array(other.strings()), pa.array(own.likeness(other)), pa.array(own.likeness(following)), pa.array([held[k][4] for k in rows], pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, [*COLUMNS, "times"])
 
     def run(batches):
         held: list[tuple] = []
         marks = None
         for b in batches:
-            fresh = list(zip(*(b.column(k).to_pylist() for k in range(4))))
+            fresh = list(zip(*(b.column(k).to_pylist() for k in range(5))))
             for first in range(0, len(fresh), 250):
                 part = fresh[first : first + 250]
                 made = sketch([x[3].encode() for x in part])
@@ -185,8 +224,11 @@ def report(df: DataFrame) -> DataFrame:
                 if (out := finish(held, marks)) is not None:
                     yield out
                 held, marks = held[-1:], marks.take([-1])
+        if held and held[-1][1] == 2 and (out := finish([*held, held[-1]], marks)) is not None:
+            yield out
 
-    return with_next(df).mapInArrow(runtime.lean(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    done = with_next(df).mapInArrow(runtime.lean(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, times long")
+    return done.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select(COLUMNS)
 
 
 COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
