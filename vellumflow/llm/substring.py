@@ -268,22 +268,26 @@ def _shards(reference: DataFrame) -> DataFrame:
     return reference.repartition(runtime.partitions(reference.sparkSession), "h").sortWithinPartitions("h").mapInArrow(runtime.lean(run), "h long, c long, least array<long>")
 
 
-def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``df`` with __id (null ids as LAST) and __tag: where ids repeat, the 128-bit digest of the row's text, so that only rows
-    of equal id and text, which are treated alike, share both."""
+def _keyed(df: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
+    """``df`` with __id (null ids as LAST) and __tag: where ids repeat (the second value), the 128-bit digest of the row's text, so
+    that only rows of equal id and text, which are treated alike, share both."""
     rows = df.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
     size = rows.agg(F.count("*").alias("n"), F.count_distinct("__id").alias("ids")).first()
-    return rows.withColumn("__tag", F.unhex(F.md5(runtime.text_of(text))) if size["n"] != size["ids"] else F.lit(b""))
+    repeated = size["n"] != size["ids"]
+    return rows.withColumn("__tag", F.unhex(F.md5(runtime.text_of(text))) if repeated else F.lit(b"")), repeated
 
 
-def repeats(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+def repeats(keyed: DataFrame, text: str, repeated: bool) -> tuple[DataFrame, DataFrame]:
     """(copies, cuts) with key (id, tag): ``copies`` are whole copies of a text of a smaller id, of which all
     is covered if a window fits in; ``cuts`` hold the first words of the windows to remove from the others.
 
+    Where rows of an id and text are ``repeated``, one of them is looked at: all are treated alike.
     What is summed up for a key is a table before it is joined, so that Spark can split the join's large keys."""
     spark = keyed.sparkSession
     runtime.tune(spark)
     docs = keyed.select(F.col("__id").alias("id"), F.col("__tag").alias("tag"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if repeated:
+        docs = runtime.save(docs.groupBy("id", "tag").agg(F.any_value("text").alias("text")), "docs")
 
     marks = runtime.save(docs.select("id", "tag", F.unhex(F.md5("text")).alias("mark")), "marks")
     first = runtime.save(marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "first")
@@ -313,7 +317,7 @@ def repeats(keyed: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     cuts = runs.select("c", "id", "tag", "first").join(of_text.hint("merge"), "c").select("id", "tag", places.alias("at")).where(F.size("at") > 0)
     cuts = cuts.groupBy("id", "tag").agg(F.flatten(F.collect_list("at")).alias("cut"))
     cuts = runtime.save(cuts, "cuts")
-    runtime.discard(runs, work, least, of_text)
+    runtime.discard(runs, work, least, of_text, *([docs] if repeated else []))
     return copies, cuts
 
 
@@ -327,8 +331,8 @@ def _marked(n: int, cut) -> np.ndarray:
 
 def _cut_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with __cut (first words of the windows to remove, or null) and __whole (a copy: all is covered)."""
-    keyed = _keyed(df, key, text)
-    copies, cuts = repeats(keyed, text)
+    keyed, repeated = _keyed(df, key, text)
+    copies, cuts = repeats(keyed, text, repeated)
     gone = copies.select("id", "tag", F.array().cast("array<int>").alias("cut"), F.lit(True).alias("whole")).unionByName(cuts.withColumn("whole", F.lit(False)))
     gone = runtime.save(gone.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("cut").alias("__cut"), F.col("whole").alias("__whole")), "gone")
     runtime.discard(copies, cuts)
