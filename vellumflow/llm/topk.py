@@ -15,8 +15,8 @@ bounds of the terms left still reach theta.
 theta begins as the k-th best score among a bounded sample of candidates (SEED rows), the same for all tasks, and is carried
 from shard to shard of a task; shards are merged at the end. The queries go to the shards in blocks of bounded size (BLOCK
 rows), one after the other, and a block's broadcast is dropped once its results are saved; candidates are never moved.
-Vectors that are null, empty or hold a null or non-finite component take no part. Missing components of a shorter vector
-count as 0. Equal scores are ranked by the smaller vec_id. All rows of a query's vec_id are its own; of repeated rows of a
+Vectors that are null or hold a null or non-finite component take no part. Missing components of a shorter vector (all, of an
+empty one) count as 0. Equal scores are ranked by the smaller vec_id. All rows of a query's vec_id are its own; of repeated rows of a
 query with different vectors each is a query, and the best of them count. Scores are exact while the sums stay below 2**53.
 Columns besides vec_id and embedding are not looked at.
 """
@@ -39,7 +39,7 @@ POSTINGS = 64
 
 def integers(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, v array<double>) of the vectors that take part, with whole components."""
-    usable = F.size(vector).__gt__(0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    usable = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
 
     def whole(x):
         y = x.cast("double") * SCALE
@@ -200,7 +200,7 @@ def top_k(df: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
 def sql(k: int = K, every: int = EVERY) -> str:
     return f"""
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM e q, e c WHERE q.vec_id % {every} = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}"""
