@@ -5,7 +5,7 @@ digest of its file, its library's version and how it is called. The cache is a t
 driver and executors share, partitioned by version. Digests of all texts are a narrow table; those that the cache does not know are
 found by an anti-join, and of each the row with the least doc_id stands for all its copies: (digest, doc_id) of these few is joined
 with the texts, so that copies fall out there and one digest's copies are spread by their ids. Only these texts are encoded; their
-counts are appended to the cache, from which all rows then get theirs. Spark broadcasts the missing digests where they are few
+counts are appended to the cache, and all rows get theirs from these and from what the cache had. Spark broadcasts the missing digests where they are few
 (by its own threshold), so no text is shuffled then; where most are missing, texts are shuffled once.
 
 Inside a text, counts of its pieces between certain cuts (before a space that stands before another character than white space, and at
@@ -139,14 +139,14 @@ def counts(df: DataFrame, path: str, cache: str, limit: int = LIMIT) -> DataFram
     runtime.tune(spark)
     digest = F.unhex(F.sha2(text, 256))
     rows = runtime.save(df.select("doc_id", digest.alias("digest"), F.octet_length(text).cast("long").alias("n_bytes")), "digests")
-    known = stored(spark, cache, tokenizer)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    missing = runtime.save(rows.groupBy("digest").agg(F.min(key).alias("key")).join(known, "digest", "left_anti"), "missing")
+    needed = runtime.save(rows.groupBy("digest").agg(F.min(key).alias("key")).join(stored(spark, cache, tokenizer), "digest", "left"), "needed")
+    missing = runtime.save(needed.where("n_tokens IS NULL").select("digest", "key"), "missing")
     texts = df.select(digest.alias("digest"), key.alias("key"), text.alias("text")).join(missing, ["digest", "key"], "left_semi").select("digest", "text")
-    new = encode(texts, path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    new = runtime.save(encode(texts, path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "new")
     new.select(F.lit(tokenizer).alias("version"), "digest", "n_tokens").write.mode("append").partitionBy("version").parquet(cache)
     runtime.discard(missing)
-    found = rows.join(stored(spark, cache, tokenizer), "digest", "left")
+    found = rows.join(needed.where("n_tokens IS NOT NULL").select("digest", "n_tokens").unionByName(new), "digest", "left")
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
