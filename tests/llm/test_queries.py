@@ -5,7 +5,7 @@ import pytest
 from vellumflow.llm import queries
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS = {"op9_exact_top_k": None}
+ROWS = ("op9_exact_top_k", "op11_vector_codes", "op12_filter_audit")
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
@@ -14,7 +14,7 @@ def test_query(spark, name):
     duckdb = pytest.importorskip("duckdb")
     got = queries.queries()[name](spark, FOLDER).toPandas()
     c = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     if name not in ROWS:
         assert len(got) == c.sql("SELECT count(*) FROM documents").fetchall()[0][0] and got["doc_id"].is_unique
@@ -27,5 +27,5 @@ def test_query(spark, name):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
