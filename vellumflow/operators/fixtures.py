@@ -65,3 +65,54 @@ def perturbed(spark: SparkSession, folder: str) -> DataFrame:
     for n, made in enumerate(noisy):
         out = F.when(k == n, made).otherwise(out)
     return table(spark, folder, "documents").select("doc_id", out.alias("text"))
+
+
+PARTS = ("text", "text", "caption", "table", "text", "picture", "footnote", "list_item", "page_header", "text", "page_footer", "section_header", "text", "caption", "code", "text")
+ENDS = (" goes on,", " ends.", " hy-", " so")
+ELEMENTS = f"""elements AS (SELECT o_orderkey // {PER_PAGE} // 4 AS doc, o_orderkey // {PER_PAGE} AS page, o_orderkey AS cid, [{', '.join(f"'{x}'" for x in PARTS)}][o_orderkey * 7 % {len(PARTS)} + 1] AS label,
+  (CASE WHEN o_custkey % 11 = 0 THEN 40 ELSE 40 + o_custkey % 2 * 280 END)::DOUBLE AS l, (o_custkey * 13 % 700)::DOUBLE AS t, (CASE WHEN o_custkey % 11 = 0 THEN 560 ELSE 220 + o_custkey % 2 * 280 + o_custkey % 60 END)::DOUBLE AS r, (o_custkey * 13 % 700 + 15 + o_custkey % 60)::DOUBLE AS b,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'and then ' ELSE 'Some ' END || o_orderkey || [{', '.join(f"'{x}'" for x in ENDS)}][o_orderkey % {len(ENDS)} + 1] AS text FROM orders)"""
+
+
+def elements(spark: SparkSession, folder: str) -> DataFrame:
+    """Elements of pages in two columns, some over both: (doc, page, cid, label, l, t, r, b, text)."""
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    page, wide, top = F.floor(o / PER_PAGE), c % 11 == 0, (c * 13 % 700).cast("double")
+    pick = lambda values, n: F.get(F.array(*map(F.lit, values)), n.cast("int"))
+    return table(spark, folder, "orders").select(
+        F.floor(page / 4).alias("doc"), page.alias("page"), o.alias("cid"), pick(PARTS, o * 7 % len(PARTS)).alias("label"),
+        F.when(wide, 40.0).otherwise(40.0 + c % 2 * 280).alias("l"), top.alias("t"), F.when(wide, 560.0).otherwise(220.0 + c % 2 * 280 + c % 60).alias("r"), (top + 15 + c % 60).alias("b"),
+        F.concat(F.when(o % 3 == 0, "and then ").otherwise("Some "), o.cast("string"), pick(ENDS, o % len(ENDS))).alias("text"),
+    )
+
+
+BITMAPS = f"""sizes AS (SELECT DISTINCT page, (CASE WHEN page % 7 = 0 THEN 300.5 ELSE 612 END)::DOUBLE AS width, (CASE WHEN page % 7 = 0 THEN 200 ELSE 792 END)::DOUBLE AS height FROM clusters),
+bitmaps AS (SELECT page, l + 0.5 AS l, t, r + 0.5 AS r, b FROM clusters WHERE page % 3 = 1 OR label = 'picture' OR page % 7 = 0 UNION ALL SELECT page, l, t, r, b FROM cells WHERE page % 3 = 2 AND from_ocr)"""
+
+
+def bitmaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Bitmaps (page, l, t, r, b), some over the page's edge, and sizes of pages (page, width, height), some small."""
+    k, c = clusters(spark, folder), cells(spark, folder)
+    small = F.col("page") % 7 == 0
+    sizes = k.select("page").distinct().select("page", F.when(small, 300.5).otherwise(612.0).alias("width"), F.when(small, 200.0).otherwise(792.0).alias("height"))
+    some = k.where((F.col("page") % 3 == 1) | (F.col("label") == "picture") | small).select("page", (F.col("l") + 0.5).alias("l"), "t", (F.col("r") + 0.5).alias("r"), "b")
+    return some.unionByName(c.where((F.col("page") % 3 == 2) & F.col("from_ocr")).select("page", *"ltrb")), sizes
+
+
+TABLE_WORDS = f"""words AS (SELECT l_orderkey // {PER_PAGE} AS page, row_number() OVER (PARTITION BY l_orderkey // {PER_PAGE} ORDER BY {', '.join(KEY)}) - 1 AS idx, CASE WHEN l_partkey % 23 = 0 THEN '  ' ELSE 'w' || l_partkey END AS text,
+  (40 + l_partkey % 8 * 60 + l_suppkey % 5)::DOUBLE AS l, (100 + l_suppkey % 25 * 14)::DOUBLE AS t, 40 + l_partkey % 8 * 60 + l_suppkey % 5 + CASE WHEN l_partkey % 29 = 0 THEN 200 ELSE l_quantity * 1.25 END AS r, (100 + l_suppkey % 25 * 14 + CASE WHEN l_partkey % 31 = 0 THEN 24 ELSE 11 END)::DOUBLE AS b FROM lineitem),
+tables AS (SELECT page, k AS cid, (30 + k)::DOUBLE AS l, (80 + k * 180)::DOUBLE AS t, 530.0::DOUBLE AS r, CASE WHEN k = 2 THEN 446.0 ELSE 250.0 + k * 180 END::DOUBLE AS b FROM (SELECT DISTINCT page FROM words), range(3) g(k))"""
+
+
+def table_words(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Words (page, idx, text, l, t, r, b) of tables and tables (page, cid, l, t, r, b), three a page, the last a thin one."""
+    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    left, top = (40 + p % 8 * 60 + s % 5).cast("double"), (100 + s % 25 * 14).cast("double")
+    rows = table(spark, folder, "lineitem").withColumn("page", F.floor(F.col("l_orderkey") / PER_PAGE))
+    words = rows.select(
+        "page", (F.row_number().over(Window.partitionBy("page").orderBy(*KEY)) - 1).cast("long").alias("idx"), F.when(p % 23 == 0, "  ").otherwise(F.concat(F.lit("w"), p.cast("string"))).alias("text"),
+        left.alias("l"), top.alias("t"), (left + F.when(p % 29 == 0, 200.0).otherwise(F.col("l_quantity") * 1.25)).alias("r"), (top + F.when(p % 31 == 0, 24.0).otherwise(11.0)).alias("b"),
+    )
+    k = F.col("cid")
+    tables = rows.select("page").distinct().select("page", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("cid"))
+    return words, tables.select("page", "cid", (30.0 + k).alias("l"), (80.0 + k * 180).alias("t"), F.lit(530.0).alias("r"), F.when(k == 2, 446.0).otherwise(250.0 + k * 180).alias("b"))

@@ -102,16 +102,6 @@ def bitmap_coverage(spark, folder):
     return united.groupBy("page").agg(part.alias("part")).withColumn("ocr", F.col("part") > OcrOptions().bitmap_area_threshold)
 
 
-@query("reading_order", f"""WITH {K}, c AS (SELECT *, CASE WHEN (l + r) / 2 < {PAGE_WIDTH / 2} OR r - l > {PAGE_WIDTH} * 0.6 THEN 0 ELSE 1 END AS col, label IN ('page_header', 'page_footer') AS furniture FROM clusters)
-  SELECT page, cid, col, row_number() OVER (PARTITION BY page ORDER BY furniture, col, t, l, cid)::INTEGER AS place FROM c""")
-def reading_order(spark, folder):
-    """A default reading order: the left column, then the right one, each from the top; wide elements count as left."""
-    wide = F.col("r") - F.col("l") > PAGE_WIDTH * 0.6
-    col = F.when(((F.col("l") + F.col("r")) / 2 < PAGE_WIDTH / 2) | wide, 0).otherwise(1)
-    place = F.row_number().over(Window.partitionBy("page").orderBy(F.col("label").isin("page_header", "page_footer"), "col", "t", "l", "cid"))
-    return fixtures.clusters(spark, folder).withColumn("col", col).select("page", "cid", "col", place.alias("place"))
-
-
 @query("longest_first_replacement", "SELECT c_custkey, replace(replace(c_name || ' of Customer', c_name, 'person-1'), 'Customer', 'word-1') AS text FROM customer")
 def longest_first_replacement(spark, folder):
     """Names are replaced longest first, so that a short one never breaks a long one."""

@@ -74,13 +74,6 @@ def page_islands(spark, folder):
     return items(spark, folder).withColumn("flip", flip).select("doc", "ord", F.sum("flip").over(_doc()).alias("island"))
 
 
-@query("text_merge_spans", f"WITH {ITEMS} SELECT doc, ord, (coalesce(sum(length(text) + 1) OVER (PARTITION BY doc ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first, (coalesce(sum(length(text) + 1) OVER (PARTITION BY doc ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(text))::BIGINT AS last FROM items WHERE kind = 'text'")
-def text_merge_spans(spark, folder):
-    """Where each part of a text merged over columns and pages stands in it (parts are joined by a space)."""
-    before = F.coalesce(F.sum(F.length("text") + 1).over(_doc().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return items(spark, folder).where("kind = 'text'").select("doc", "ord", before.alias("first"), (before + F.length("text")).alias("last"))
-
-
 @query("paragraph_gap", f"""WITH {C}, p AS (SELECT *, lag(t) OVER w AS pt, lag(b - t) OVER w AS ph, lag(r) OVER w AS pr FROM cells WINDOW w AS (PARTITION BY page ORDER BY t, l, idx))
   SELECT page, idx, sum(CASE WHEN t - pt > greatest(ph, b - t) * 1.4 THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY t, l, idx)::BIGINT AS para, CASE WHEN t = pt AND l - pr > greatest(0.6 * (b - t), 0.8) THEN 1 ELSE 0 END AS space FROM p""")
 def paragraph_gap(spark, folder):
@@ -295,15 +288,6 @@ def ref_resolution(spark, folder):
     return h.where("kind <> 'heading'").join(p, ["doc", "parent"]).select("doc", "ord", "parent_text")
 
 
-@query("caption_mapping", f"WITH {ITEMS}, c AS (SELECT doc, ord - 1 AS owner, ord AS cap FROM items WHERE kind = 'text' AND ord > 1) SELECT i.doc, i.ord, coalesce(c.cap, -1) AS cap FROM items i LEFT JOIN c ON c.doc = i.doc AND c.owner = i.ord WHERE (i.doc, i.ord) NOT IN (SELECT (doc, cap) FROM c)")
-def caption_mapping(spark, folder):
-    """Items with the caption that belongs to them; captions that are taken do not stand alone."""
-    rows = items(spark, folder)
-    caps = rows.where("kind = 'text' AND ord > 1").select("doc", (F.col("ord") - 1).alias("owner"), F.col("ord").alias("cap"))
-    alone = rows.join(caps.select("doc", F.col("cap").alias("ord")), ["doc", "ord"], "left_anti")
-    return alone.join(caps.withColumnRenamed("owner", "ord"), ["doc", "ord"], "left").select("doc", "ord", F.coalesce("cap", F.lit(-1)).alias("cap"))
-
-
 @query("document_concat", f"WITH {ITEMS}, n AS (SELECT doc, max(ord) AS size FROM items GROUP BY doc), o AS (SELECT doc, doc // 10 AS joined, sum(size) OVER (PARTITION BY doc // 10 ORDER BY doc) - size AS shift FROM n) SELECT joined, (ord + shift)::BIGINT AS ord, text FROM items JOIN o USING (doc)")
 def document_concat(spark, folder):
     """Documents of single pages put into one: items numbered on from the pages before."""
