@@ -1,10 +1,11 @@
 """What operators hold and send where rows repeat: bounded by tasks, not by rows."""
 
+import itertools
 import zlib
 
 from pyspark.sql import functions as F
 
-from vellumflow.llm import fingerprint, labelled, substring, topk
+from vellumflow.llm import fingerprint, labelled, queries, substring, topk, wavelet
 
 from . import cases
 
@@ -49,3 +50,15 @@ def test_empty_vectors_take_part(spark):
     rows = spark.createDataFrame([(0, [1.0, 2.0], 1), (1, [], 1), (2, [0.5, -1.0], 1), (3, [0.25, -1.0], 1), (4, None, 1), (20, [], 1)], "vec_id long, embedding array<float>, label int")
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(rows).collect())
     assert got == [(0, 1, 1, 0), (0, 2, 20, 0), (0, 3, 2, -6144), (0, 4, 3, -7168), (20, 1, 0, 0), (20, 2, 1, 0), (20, 3, 2, 0), (20, 4, 3, 0)]
+
+
+def test_token_files_of_a_repeated_id(spark, tmp_path):
+    """Rows of one id are spread over the partitions that their texts fill, equal ones too."""
+    rows = [(None, "the same text for all")] * 600 + [(3, f"text number {k}") for k in range(600)] + [(k, "own") for k in range(10, 20)]
+    folder = f"file://{tmp_path}/shards"
+    wavelet.write(cases.frame(spark, rows).repartition(3), folder, queries.tokenizer_path())
+    sizes = [r["n"] for r in spark.read.parquet(folder).groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()]
+    assert len(sizes) > 2 and max(sizes) < 0.6 * sum(sizes)
+    got = [tuple(r) for r in wavelet.read(spark, folder).orderBy("start").collect()]
+    assert [r[0] for r in got] == [None] * 600 + [3] * 600 + list(range(10, 20))
+    assert [r[1] for r in got] == [0, *itertools.accumulate(r[2] for r in got)][:-1]

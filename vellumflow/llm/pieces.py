@@ -21,6 +21,18 @@ def plain_pieces(chunk: str) -> list[str] | None:
     return _SPLIT.findall(chunk.lower())
 
 
+_SPLIT_SPACED = re.compile(" |" + _SPLIT.pattern)
+
+
+def is_plain(chunk: str) -> bool:
+    return _PLAIN.fullmatch(chunk) is not None and "<|" not in chunk
+
+
+def pieces_of(chunks: list[str]) -> list[str]:
+    """The lower-case pieces of plain chunks in sequence, with a space between those of one chunk and those of the next."""
+    return _SPLIT_SPACED.findall(" ".join(chunks).lower())
+
+
 def text_pieces(text: str) -> list[str] | None:
     """The same for a whole text, of chunks divided by space, tab, line feed or carriage return."""
     if "<|" in text:

@@ -10,7 +10,9 @@ occurrence lookup. Ids from 0 to 2**32-1 can be held.
 Shard files are rows (part, shard, ..., file binary) of a parquet folder, so that any store that Spark writes will
 do. Only their short headers are needed to place a shard in the whole sequence.
 
-Null texts count as empty: they still get their end id. Rows of equal doc_id stay together, in order of their text.
+Null texts count as empty: they still get their end id. Rows of equal doc_id stay together, in order of the first HEAD_CHARS code
+points of their texts, then of a hash of them, equal ones as they are read; a range may end between any two of them, so an id that
+repeats is spread over as many partitions as its texts fill.
 """
 
 from __future__ import annotations
@@ -28,12 +30,17 @@ from pyspark.sql import functions as F
 
 from . import runtime
 from .bpe import END, ForcedBoundaryBPE, byte_letters
-from .pieces import Recent, plain_pieces, text_pieces
+from .pieces import Recent, is_plain, pieces_of
+from .wordtable import Table, divide
 
 SHARD_TOKENS = 1 << 20
 BLOCK = 1 << 16
 MAGIC, HEAD = b"VWM2", "<4sIQQQ"
-CACHE_ENTRIES = 400_000
+#: Pieces and chunks whose ids a worker keeps (chunks take some 50 bytes each).
+CACHE_ENTRIES, CHUNKS = 400_000, 1_000_000
+#: Plain pieces that the library is asked for in one text.
+ASKED = 20_000
+HEAD_CHARS = 64
 
 
 def build(ids: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> bytes:
@@ -166,8 +173,9 @@ class Shard:
 class ChunkEncoder:
     """The tokenizers library, asked once for each distinct piece.
 
-    Nothing is ever joined across ASCII white space, and a plain chunk's pieces are encoded each for itself; so the
-    ids of a text are those of its pieces in sequence, and pieces (and chunks) that come again are looked up.
+    Nothing is ever joined across ASCII white space, so the ids of a text are those of its chunks in sequence, and a plain
+    chunk's pieces are encoded each for itself. Of the chunks of a batch each distinct one is looked up once, and what comes
+    again in later batches is kept, chunks and pieces; all else are operations on arrays.
     """
 
     def __init__(self, path: str):
@@ -181,14 +189,13 @@ class ChunkEncoder:
         self.divided.no_padding()
         self.divided.normalizer = None
         self.divided.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        letter = byte_letters()
-        self.letters = {c: "".join([letter[b] for b in chr(c).encode()]) for c in range(0xC0, 0x180)}  # as the splitter's byte level writes them
+        self.letters = np.array([0x20 if b == 0x20 else ord(x) for b, x in enumerate(byte_letters())], "<u4")  # as the splitter's byte level writes bytes
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.plain = spec["model"].get("end_of_word_suffix") == END and ForcedBoundaryBPE.rules_are_plain(spec)
         self.last = np.zeros(max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1, bool)
         self.last[[i for t, i in spec["model"]["vocab"].items() if t.endswith(END)]] = True
-        self.pieces = Recent(CACHE_ENTRIES)
+        self.pieces, self.chunks = Recent(CACHE_ENTRIES), Table(CHUNKS)
 
     def one_by_one(self, texts: list[str]) -> dict[str, bytes]:
         return {p: np.asarray(e.ids, dtype="<u4").tobytes() for p, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False))}
@@ -196,9 +203,10 @@ class ChunkEncoder:
     def library(self, plain: list[str], other: list[str]) -> dict[str, bytes]:
         """Plain pieces are asked for in one text; each ends where an id with the end-of-word mark does."""
         out = self.one_by_one(other) if other else {}
-        for k in range(0, len(plain), 2000):
-            part = plain[k : k + 2000]
-            ids = np.asarray(self.divided.encode_batch_fast([" ".join(part).translate(self.letters)], add_special_tokens=False)[0].ids, dtype="<u4")
+        for k in range(0, len(plain), ASKED):
+            part = plain[k : k + ASKED]
+            joined = self.letters[np.frombuffer(" ".join(part).encode(), np.uint8)].tobytes().decode("utf-32-le")
+            ids = np.asarray(self.divided.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.last[ids]) + 1
             if len(stops) == len(part):
                 raw, ends = ids.tobytes(), (4 * stops).tolist()
@@ -207,32 +215,41 @@ class ChunkEncoder:
                 out.update(self.one_by_one(part))
         return out
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def learn(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks: of plain ones, those of their pieces; others are left to the library as they are."""
+        texts = [c.decode() for c in chunks]
+        plain = [is_plain(t) for t in texts]
+        flat = pieces_of([t for t, p in zip(texts, plain) if p])
+        self.pieces.turn()
+        need = {p for p in flat if p != " " and not self.pieces.has(p)}
+        got = self.library(list(need), [t for t, p in zip(texts, plain) if not p])
+        self.pieces.update((p, got[p]) for p in need)
+        pieces, found, own = self.pieces, [], []
+        for p in flat:
+            if p == " ":
+                found.append(b"".join(own))
+                own = []
+            else:
+                own.append(pieces[p])
+        found.append(b"".join(own))
+        ready = iter(found)
+        return [next(ready) if p else got[t] for t, p in zip(texts, plain)]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in sequence, where each text's end); null texts are empty."""
         if not self.plain:  # another kind of file: whole texts, nothing looked up
-            return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        divided = [text_pieces(t or "") for t in texts]
-        table = self.pieces
-        table.turn()
-        found = [list(map(table.get, xs)) if xs is not None else [self.by_chunks(t or "")] for t, xs in zip(texts, divided)]
-        missed = [k for k, ids in enumerate(found) if None in ids]
-        holes = [[j for j, x in enumerate(found[k]) if x is None] for k in missed]
-        new = {divided[k][j] for k, js in zip(missed, holes) for j in js}
-        table.update((x, table.older[x]) for x in new if x in table.older)
-        table.update(self.library([x for x in new if x not in table], []))
-        for k, js in zip(missed, holes):
-            ids, xs = found[k], divided[k]
-            for j in js:
-                ids[j] = table[xs[j]]
-        return list(map(b"".join, found))
-
-    def by_chunks(self, text: str) -> bytes:
-        """A text with other letters: chunk by chunk, plain ones from the table."""
-        parts = [p for p in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if p]
-        split = {p: plain_pieces(p) for p in set(parts)}
-        plain = {x for xs in split.values() if xs is not None for x in xs}
-        got = self.library([x for x in plain if not self.pieces.has(x)], [p for p, xs in split.items() if xs is None])
-        ids = {p: got[p] if xs is None else b"".join([got[x] if x in got else self.pieces[x] for x in xs]) for p, xs in split.items()}
-        return b"".join([ids[p] for p in parts])
+            found = [e.ids for e in self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], "<u4"), np.cumsum(list(map(len, found)), dtype=np.int64)
+        found = divide(texts)
+        begin, size = self.chunks.places(found, self.learn)
+        each = size[found.which]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        ids = self.chunks.ids[np.arange(ends[-1]) + np.repeat(begin[found.which] - ends[:-1], each)]
+        return ids, ends[found.of_text[1:]]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        ids, ends = self.flat(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -251,33 +268,40 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 2, shard_tokens:
 
     def run(batches):
         encode = encoder(path)
-        end = np.array([end_id], "<u4").tobytes()
         part, shard, before = TaskContext.get().partitionId(), 0, 0
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         keys: list[int | None] = []
         held = 0
 
         def flush():
             nonlocal ids, keys, held, shard, before
-            lengths = np.array([len(x) // 4 for x in ids], np.int64)
+            lengths = np.array([len(x) for x in ids], np.int64)
             missing = [k is None for k in keys]
-            file = build(np.frombuffer(b"".join(ids), "<u4"), lengths, np.array([0 if k is None else k for k in keys], np.int64))
+            file = build(np.concatenate(ids), lengths, np.array([0 if k is None else k for k in keys], np.int64))
             row = pa.RecordBatch.from_arrays([pa.array([part]), pa.array([shard]), pa.array([keys[0]], pa.int64()), pa.array([before]), pa.array([held]), pa.array([sum(missing)]), pa.array([file], pa.binary())], NAMES)
             ids, keys, held, shard, before = [], [], 0, shard + 1, before + held
             return row
 
         for b in batches:
-            for key, x in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
-                x += end
-                if ids and held + len(x) // 4 > shard_tokens:
+            flat, ends = encode.flat(b.column(1))
+            flat = np.insert(flat, ends, np.uint32(end_id))
+            ends = (ends + np.arange(1, len(ends) + 1)).tolist()
+            for key, first, last in zip(b.column(0).to_pylist(), [0, *ends], ends):
+                if ids and held + last - first > shard_tokens:
                     yield flush()
-                ids.append(x)
+                ids.append(flat[first:last])
                 keys.append(key)
-                held += len(x) // 4
+                held += last - first
         if ids:
             yield flush()
 
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(runtime.partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = rows.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids")).first()
+    order = ["doc_id"]
+    if size["n"] != size["ids"]:
+        rows = rows.withColumns({"__head": F.left("text", F.lit(HEAD_CHARS)), "__hash": F.xxhash64("text"), "__row": F.monotonically_increasing_id()})
+        order += ["__head", "__hash", "__row"]
+    rows = rows.repartitionByRange(runtime.partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
     rows.mapInArrow(runtime.lean(run), "part long, shard long, first_doc long, before long, n_tokens long, n_null long, file binary").write.parquet(folder)
 
 
