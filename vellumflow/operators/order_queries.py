@@ -154,21 +154,6 @@ def page_text_concat(spark, folder):
     return items(spark, folder).groupBy("doc", F.col("level").alias("page_no")).agg(F.sha2(text, 256).alias("text_sha"), F.count("*").alias("n"))
 
 
-@query("chunk_hierarchical", f"""WITH {ITEMS}, g AS (SELECT *, sum(CASE WHEN kind <> 'list_item' THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY ord) AS grp, max(CASE WHEN kind = 'heading' THEN ord END) OVER (PARTITION BY doc ORDER BY ord) AS head FROM items),
-  c AS (SELECT doc, min(ord) AS first, coalesce(head, 0) AS head, string_agg(text, chr(10) ORDER BY ord) AS text FROM g WHERE kind <> 'heading' GROUP BY doc, CASE WHEN kind = 'list_item' THEN grp ELSE -ord END, head)
-  SELECT c.doc, c.first, c.head, sha256(coalesce(i.text || chr(10), '') || c.text) AS chunk_sha FROM c LEFT JOIN items i ON i.doc = c.doc AND i.ord = c.head""")
-def chunk_hierarchical(spark, folder):
-    """One chunk for each element, list items of a list together, with the heading above for context."""
-    rows = items(spark, folder)
-    run = F.sum(F.when(F.col("kind") != "list_item", 1).otherwise(0)).over(_doc())
-    head = F.coalesce(F.max(F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc()), F.lit(0))
-    title = F.max_by(F.when(F.col("kind") == "heading", F.col("text")), F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc())
-    g = rows.select("*", run.alias("grp"), head.alias("head"), title.alias("title")).where("kind <> 'heading'")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n")
-    c = g.groupBy("doc", F.when(F.col("kind") == "list_item", F.col("grp")).otherwise(-F.col("ord")).alias("g"), "head", "title").agg(F.min("ord").alias("first"), text.alias("text"))
-    return c.select("doc", "first", "head", F.sha2(F.concat_ws("\n", "title", "text"), 256).alias("chunk_sha"))
-
-
 MOST_WORDS = 40
 
 
@@ -210,30 +195,12 @@ def chunk_overlapping(spark, folder):
     return rows.select("doc_id", "w", F.explode(firsts).alias("first")).select("doc_id", F.floor(F.col("first") / 98).alias("chunk_no"), F.sha2(F.array_join(F.slice("w", F.col("first") + 1, F.lit(128)), " "), 256).alias("chunk_sha"))
 
 
-@query("pii_stable_ids", "WITH f AS (SELECT c_mktsegment AS kind, c_nationkey AS name, min(c_custkey) AS first FROM customer GROUP BY ALL) SELECT kind, name, lower(kind) || '-' || dense_rank() OVER (PARTITION BY kind ORDER BY first) AS stable_id FROM f")
-def pii_stable_ids(spark, folder):
-    """Names numbered within their kind, in order of first sight."""
-    f = table(spark, folder, "customer").groupBy(F.col("c_mktsegment").alias("kind"), F.col("c_nationkey").alias("name")).agg(F.min("c_custkey").alias("first"))
-    return f.select("kind", "name", F.concat(F.lower("kind"), F.lit("-"), F.dense_rank().over(Window.partitionBy("kind").orderBy("first")).cast("string")).alias("stable_id"))
-
-
 @query("pii_obfuscation", r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+', 'email', 'g'), '[0-9]{3}-[0-9]{3}-[0-9]{4}', 'phone', 'g')) AS text_sha FROM documents")
 def pii_obfuscation(spark, folder):
     c = F.regexp_replace(F.regexp_replace("text", r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", "email"), r"[0-9]{3}-[0-9]{3}-[0-9]{4}", "phone")
     return table(spark, folder, "documents").select("doc_id", F.sha2(c, 256).alias("text_sha"))
 
 
-@query("span_merge", """WITH s AS (SELECT user_id, event_type, event_id, event_id AS first, event_id + (floor(value)::BIGINT % 900) AS last FROM events), p AS (SELECT *, max(last) OVER (PARTITION BY user_id, event_type ORDER BY first, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s),
-  g AS (SELECT *, sum(CASE WHEN first <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, event_type ORDER BY first, event_id) AS grp FROM p) SELECT user_id, event_type, min(first) AS first, max(last) AS last, count(*)::BIGINT AS merged FROM g GROUP BY user_id, event_type, grp""")
-def span_merge(spark, folder):
-    """Spans of one label that overlap or touch become one."""
-    s = table(spark, folder, "events").select("user_id", "event_type", F.col("event_id").alias("first"), (F.col("event_id") + F.floor("value") % 900).alias("last"))
-    w = Window.partitionBy("user_id", "event_type").orderBy("first")
-    reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    g = s.withColumn("new", F.when(F.col("first") <= reach, 0).otherwise(1)).withColumn("grp", F.sum("new").over(w))
-    return g.groupBy("user_id", "event_type", "grp").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("merged")).drop("grp")
-
-
 @query("repetition_runs", """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM documents), f AS (SELECT *, CASE WHEN line = lag(line) OVER (PARTITION BY doc_id ORDER BY k) THEN 0 ELSE 1 END AS new FROM l),
   g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM f) SELECT doc_id, min(k)::BIGINT AS first, count(*)::BIGINT AS times FROM g GROUP BY doc_id, run HAVING count(*) >= 2""")
 def repetition_runs(spark, folder):
@@ -280,14 +247,6 @@ def table_pivot(spark, folder):
     return p.select("row", *(F.coalesce(F.col(str(k)), F.lit(-1)).cast("long").alias(f"c{k}") for k in TABLE_COLUMNS))
 
 
-@query("ref_resolution", f"WITH {ITEMS}, h AS (SELECT *, max(CASE WHEN kind = 'heading' THEN ord END) OVER (PARTITION BY doc ORDER BY ord) AS parent FROM items) SELECT c.doc, c.ord, p.text AS parent_text FROM h c JOIN items p ON p.doc = c.doc AND p.ord = c.parent WHERE c.kind <> 'heading'")
-def ref_resolution(spark, folder):
-    """Children with their parents' texts, by following references."""
-    h = items(spark, folder).withColumn("parent", F.max(F.when(F.col("kind") == "heading", F.col("ord"))).over(_doc()))
-    p = items(spark, folder).select("doc", F.col("ord").alias("parent"), F.col("text").alias("parent_text"))
-    return h.where("kind <> 'heading'").join(p, ["doc", "parent"]).select("doc", "ord", "parent_text")
-
-
 @query("document_concat", f"WITH {ITEMS}, n AS (SELECT doc, max(ord) AS size FROM items GROUP BY doc), o AS (SELECT doc, doc // 10 AS joined, sum(size) OVER (PARTITION BY doc // 10 ORDER BY doc) - size AS shift FROM n) SELECT joined, (ord + shift)::BIGINT AS ord, text FROM items JOIN o USING (doc)")
 def document_concat(spark, folder):
     """Documents of single pages put into one: items numbered on from the pages before."""

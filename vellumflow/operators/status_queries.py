@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vellumflow import scratch
+from vellumflow.functions.ranks import SKETCH_ERROR, merged, percentiles, sketched, sketches
 from vellumflow.plans import plugins, serialize
 from vellumflow.registry import query, table
+from vellumflow.streaming import pages
 
 # Where the grades of a score begin.
 GRADES = ((0.9, "excellent"), (0.8, "good"), (0.5, "fair"))
@@ -75,11 +78,22 @@ def score_coercion(spark, folder):
 
 @query("profiling_stats", "SELECT event_type, count(*)::BIGINT AS n, round(sum(value), 4) AS total, round(avg(value), 6) AS avg, round(stddev_pop(value), 6) AS std, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.9), 6) AS p90, min(value) AS least, max(value) AS most FROM events GROUP BY event_type")
 def profiling_stats(spark, folder):
-    v = "value"
-    return table(spark, folder, "events").groupBy("event_type").agg(
-        F.count("*").alias("n"), F.round(F.sum(v), 4).alias("total"), F.round(F.avg(v), 6).alias("avg"), F.round(F.stddev_pop(v), 6).alias("std"), F.round(F.expr("percentile(value, 0.5)"), 6).alias("median"),
-        F.round(F.expr("percentile(value, 0.9)"), 6).alias("p90"), F.min(v).alias("least"), F.max(v).alias("most"),
-    )
+    """Times of each kind of stage: sums by partial aggregates, quantiles by ranks in ranges of (kind, time), exact at any size."""
+    v, rows = "value", table(spark, folder, "events")
+    sums = rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum(v), 4).alias("total"), F.round(F.avg(v), 6).alias("avg"), F.round(F.stddev_pop(v), 6).alias("std"), F.min(v).alias("least"), F.max(v).alias("most"))
+    cuts = percentiles(rows, ["event_type"], v, {"median": 0.5, "p90": 0.9})
+    return sums.join(cuts, "event_type", "left").withColumns({c: F.round(c, 6) for c in ("median", "p90")})
+
+
+@query("profiling_sketch", "SELECT event_type, count(*)::BIGINT AS n, true AS near, min(value) AS least, max(value) AS most FROM events GROUP BY event_type")
+def profiling_sketch(spark, folder):
+    """The same quantiles from sketches of every hour, merged: near says that the share of values up to each is as stated."""
+    rows = table(spark, folder, "events")
+    hours = sketches(rows.withColumn("hour", F.date_trunc("hour", "ts")), ["event_type", "hour"], "value")
+    kinds = sketched(merged(hours, ["event_type"]), {"low": 0.1, "median": 0.5, "p90": 0.9})
+    share = lambda c: F.avg((F.col("value") <= F.col(c)).cast("int"))
+    near = (F.abs(share("low") - 0.1) <= SKETCH_ERROR) & (F.abs(share("median") - 0.5) <= SKETCH_ERROR) & (F.abs(share("p90") - 0.9) <= SKETCH_ERROR)
+    return rows.join(kinds.drop("n"), "event_type").groupBy("event_type").agg(F.count("*").alias("n"), near.alias("near"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
 PAGE_STATUS = "page_status AS (SELECT user_id AS doc_id, event_id, CASE WHEN event_id % 11 = 0 THEN 'failed' ELSE 'ok' END AS page, value > 0.999 * (SELECT max(value) FROM events) AS late FROM events)"
@@ -146,3 +160,36 @@ def plugin_origin_filter(spark, folder):
     """Plug-ins from outside (of another module than part) stay out unless they are allowed (here: sizes above 40)."""
     p = table(spark, folder, "part")
     return p.where(plugins.admitted(F.col("p_name"), "part", F.col("p_size") > 40)).groupBy("p_brand").agg(F.count("*").alias("n"))
+
+
+FEED_PAGES, FEED_TIMEOUT, FEED_LATE = 4, 6 * 86400, "1 hour"
+FEED = f"""feed AS (SELECT doc_id, page_no, min((ts, ok)) AS p FROM (SELECT user_id // 3 AS doc_id, (event_id % 5 + 1)::INTEGER AS page_no, ts, event_id % 11 <> 0 AS ok FROM events WHERE event_type <> 'view') WHERE page_no <= {FEED_PAGES} GROUP BY doc_id, page_no),
+began AS (SELECT doc_id, min(p[1]) + INTERVAL {FEED_TIMEOUT} SECONDS AS due FROM feed GROUP BY doc_id),
+held AS (SELECT f.doc_id, due, coalesce(list(page_no) FILTER (p[1] <= due), []) AS there, count(*) FILTER (p[1] <= due AND p[2]) AS ok, count(*) FILTER (p[1] <= due AND NOT p[2]) AS failed FROM feed f JOIN began USING (doc_id) GROUP BY f.doc_id, due),
+rolled AS (SELECT *, list_sort(list_filter(range(1, {FEED_PAGES} + 1), lambda x: NOT list_contains(there, x::INTEGER))) AS gone FROM held)
+SELECT doc_id, CASE WHEN ok = 0 THEN 'failure' WHEN len(gone) > 0 OR failed > 0 THEN 'partial_success' ELSE 'success' END AS status, ok::INTEGER AS ok, failed::INTEGER AS failed, array_to_string(gone, ',') AS missing, CASE WHEN len(gone) > 0 THEN '{pages.TOO_LATE}' END AS error FROM rolled"""
+
+
+def _feed(events):
+    page = (F.col("event_id") % 5 + 1).cast("int")
+    return events.where("event_type <> 'view'").select(F.floor(F.col("user_id") / 3).alias("doc_id"), page.alias("page_no"), F.lit(FEED_PAGES).alias("n_pages"), "ts", (F.col("event_id") % 11 != 0).alias("ok"))
+
+
+def _fed(documents):
+    return documents.select("doc_id", "status", "ok", "failed", F.array_join(F.transform("missing", lambda x: x.cast("string")), ",").alias("missing"), "error")
+
+
+@query("page_feed", f"WITH {FEED}")
+def page_feed(spark, folder):
+    """Documents out of their pages, each of which has its time: complete ones, overdue ones with what is missing."""
+    return _fed(pages.documents(_feed(table(spark, folder, "events")), FEED_TIMEOUT))
+
+
+@query("page_feed_stream", f"WITH {FEED} WHERE len(gone) = 0 OR due <= (SELECT max(ts) FROM events WHERE event_type <> 'view' AND event_id % 5 < {FEED_PAGES}) - INTERVAL {FEED_LATE}")
+def page_feed_stream(spark, folder):
+    """The same from a stream of pages: every document once, when it is complete or the watermark has passed its time."""
+    place = scratch.fresh_folder(spark)
+    events = spark.readStream.schema(table(spark, folder, "events").schema).parquet(f"{folder}/events.parque[t]")  # a stream's path is a folder or a pattern
+    out = pages.documents_stream(_feed(events), FEED_TIMEOUT, FEED_LATE)
+    out.writeStream.format("parquet").option("path", f"{place}/documents").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return _fed(spark.read.schema(pages.DOCUMENT).parquet(f"{place}/documents"))
