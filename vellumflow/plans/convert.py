@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from vellumflow import scratch
 from vellumflow.plans import serialize
 from vellumflow.plans.options import PipelineOptions
 from vellumflow.plans.plugins import Registry, enrich
-from vellumflow.sources import reader
+from vellumflow.sources import archives, reader
+from vellumflow.sources.tree import ITEM_FIELDS
 
 
 class BaseError(RuntimeError):
@@ -77,6 +79,26 @@ class Result:
     def load(spark: SparkSession, path: str) -> Result:
         return Result(spark.read.parquet(f"{path}/documents"), spark.read.parquet(f"{path}/items"))
 
+    def save_archives(self, path: str, overwrite: bool = False) -> None:
+        """One zip archive for each document, <doc_id>.zip, with JSON members: version, status, errors, pages, document. A failed
+        task leaves nothing in the folder."""
+        archives.register(self.documents.sparkSession)
+        pages = self.items.where("page IS NOT NULL").groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_set("page"))).alias("pages"))
+        status = F.to_json(F.struct("status", "file", "format", "filesize"))
+        docs = self.documents.where("doc_id IS NOT NULL").select("doc_id", F.lit(json.dumps({"archive": 1})).alias("version"), status.alias("status"), F.to_json(F.array_compact(F.array("error"))).alias("errors"))
+        rows = docs.join(pages, "doc_id", "left").join(self.json().withColumnRenamed("json", "document"), "doc_id", "left")
+        rows.write.format("conversion_archives").mode("overwrite" if overwrite else "append").save(path)
+
+    @staticmethod
+    def load_archives(spark: SparkSession, path: str) -> Result:
+        """What save_archives() wrote; members that are missing leave their columns null, and documents without items have none."""
+        archives.register(spark)
+        found = scratch.save(spark.read.format("conversion_archives").load(path), "archives")
+        status = F.from_json("status", "status string, file string, format string, filesize long")
+        documents = found.select("doc_id", status.alias("s"), F.array_join(F.from_json("errors", "array<string>"), "; ").alias("error")).select("doc_id", "s.*", F.nullif("error", F.lit("")).alias("error"))
+        items = found.select("doc_id", F.explode(F.from_json("document", f"array<struct<{ITEM_FIELDS}>>")).alias("item")).select("doc_id", "item.*")
+        return Result(documents, items)
+
     def export(self, path: str, kinds: tuple[str, ...] = ("md", "json")) -> DataFrame:
         """Writes the full successes, one folder for each kind; returns how many documents there are of each status."""
         good = self.documents.where("status = 'success'").select("doc_id")

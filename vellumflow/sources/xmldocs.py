@@ -302,31 +302,50 @@ def positions(deltas: str, n: int) -> list[float]:
     return (out + [0.0] * n)[:n]
 
 
-def fixed_layout(content: bytes) -> list[dict]:
-    """(page, text, l, t, r, b, size) of every text object of a fixed-layout archive."""
-    z = zipfile.ZipFile(io.BytesIO(content))
-    names = {n.lower(): n for n in z.namelist()}
-
-    def read(path: str, base: str = "") -> tuple[ET.Element | None, str]:
+class Layout:
+    """A fixed-layout archive: its pages' files, and what one of them holds."""
+
+    def __init__(self, archive: zipfile.ZipFile):
+        self.archive = archive
+        self.names = {n.lower(): n for n in archive.namelist()}
+        top, base = self._read("OFD.xml")
+        if top is None:
+            raise ValueError("no OFD.xml in the archive")
+        doc, self.folder = self._read((top.findtext(".//DocRoot") or "Doc_0/Document.xml").strip(), base)
+        self.pages = [page.get("BaseLoc", "") for page in doc.iter("Page")] if doc is not None else []
+
+    def _read(self, path: str, base: str = "") -> tuple[ET.Element | None, str]:
         full = path.lstrip("/") if path.startswith("/") else posixpath.normpath(posixpath.join(base, path))
-        name = names.get(full.lower())
-        return (_root(z.read(name).decode("utf-8", "replace")), posixpath.dirname(full)) if name else (None, "")
+        name = self.names.get(full.lower())
+        return (_root(self.archive.read(name).decode("utf-8", "replace")), posixpath.dirname(full)) if name else (None, "")
 
-    top, base = read("OFD.xml")
-    if top is None:
-        raise ValueError("no OFD.xml in the archive")
-    doc, folder = read((top.findtext(".//DocRoot") or "Doc_0/Document.xml").strip(), base)
-    out = []
-    for n, page in enumerate(doc.iter("Page") if doc is not None else (), 1):
-        root, _ = read(page.get("BaseLoc", ""), folder)
+    def texts(self, page: int) -> list[dict]:
+        """(page, text, l, t, r, b, size) of every text object of a page, from 1 on."""
+        out = []
+        root, _ = self._read(self.pages[page - 1], self.folder)
         for obj in root.iter("TextObject") if root is not None else ():
             x, y, w, h = (list(map(float, (obj.get("Boundary") or "0 0 0 0").split())) + [0.0] * 4)[:4]
-            size = float(obj.get("Size") or 6.0)
+            size = float(obj.get("Size") or DEFAULT_SIZE)
             text = "".join(t.text or "" for t in obj.iter("TextCode"))
             text = re.sub("[\ue000-\uf8ff]", "", text)
             if text.strip():
-                out.append({"page": n, "text": text, "l": x, "t": y, "r": x + (w or 0.6 * size * len(text)), "b": y + h, "size": size})
-    return out
+                out.append({"page": page, "text": text, "l": x, "t": y, "r": x + (w or text_width(text, size)), "b": y + h, "size": size})
+        return out
+
+
+# The size of text that names none, and the width of a letter in sizes.
+DEFAULT_SIZE, LETTER_WIDTH = 6.0, 0.6
+
+
+def text_width(text: str, size: float | None) -> float:
+    """The width that a text may have, by its size (none, or none above 0: DEFAULT_SIZE) and letters (one at least)."""
+    return (size if size and size > 0 else DEFAULT_SIZE) * LETTER_WIDTH * max(len(text), 1)
+
+
+def fixed_layout(content: bytes) -> list[dict]:
+    """(page, text, l, t, r, b, size) of every text object of a fixed-layout archive."""
+    layout = Layout(zipfile.ZipFile(io.BytesIO(content)))
+    return [x for page in range(1, len(layout.pages) + 1) for x in layout.texts(page)]
 
 
 def ofd(content: bytes) -> Tree:
