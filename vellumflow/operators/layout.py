@@ -144,13 +144,15 @@ def fitted_sql(clusters: str, held: str, out: str) -> str:
   SELECT h.page, h.cid, min(c.l) AS l, min(c.t) AS t, max(c.r) AS r, max(c.b) AS b FROM {held} h JOIN cells c ON c.page = h.page AND c.idx = h.idx GROUP BY h.page, h.cid) u ON u.page = k.page AND u.cid = k.cid)"""
 
 
-def merged(clusters: DataFrame, held: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """(clusters, held) with one cluster of each group, which also gets the cells of the others."""
+def merged(clusters: DataFrame, held: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clusters, held) with one cluster of each group, which also gets the cells of the others; and the saved table (page, cid, best)
+    of the groups, which both read."""
     found = scratch.save(groups(overlaps(clusters)), "groups")
     best = chosen(clusters.join(found, ["page", "cid"]), kind).select("page", "grp", F.col("cid").alias("best"))
     moved = scratch.save(found.join(best, ["page", "grp"]).select("page", "cid", "best"), "moved")
+    scratch.discard(found)
     left = clusters.join(moved.where("cid <> best"), ["page", "cid"], "left_anti")
-    return left, held.join(moved, ["page", "cid"], "left").select("page", F.coalesce("best", "cid").alias("cid"), "idx").distinct()
+    return left, held.join(moved, ["page", "cid"], "left").select("page", F.coalesce("best", "cid").alias("cid"), "idx").distinct(), moved
 
 
 def merged_sql(clusters: str, held: str, kind: str, name: str, orphans: bool = False) -> str:
@@ -184,13 +186,16 @@ def postprocess(cells: DataFrame, clusters: DataFrame, page_area: float, options
     three rounds fit boxes to cells and merge groups. Sure enough special clusters lose wrappers that are nearly a table and
     full-page pictures; they adopt what lies in them (forms and key-value regions take its bounds and cells), then pictures and
     wrappers are merged, each by their own thresholds. What was adopted by a special cluster that is left no longer stands by itself.
-    A round without a merge changes nothing more, so three rounds are done everywhere."""
+    A round without a merge changes nothing more, so it is the last. Tables between the steps go as soon as the next is written;
+    those that the result reads go when the application ends."""
     least = F.create_map(*(F.lit(x) for kv in LEAST_CONFIDENCE.items() for x in kv))
     sure = clusters.where(F.col("confidence") >= least[F.col("label")]).withColumn("orphan", F.lit(False))
     regular = sure.where(~F.col("label").isin(*SPECIAL)).withColumn("label", F.when(F.col("label") == "title", "section_header").otherwise(F.col("label")))
+    used = []
     none = regular.limit(0).select("page", "cid", F.lit(0).cast("long").alias("idx"))
     held = none if options.skip_cell_assignment else scratch.save(assign(cells, regular).select("page", "cid", "idx"), "held")
     if not options.skip_cell_assignment:
+        used.append(held)
         if not options.keep_empty_clusters:
             full = held.select("page", "cid").distinct().withColumn("full", F.lit(True))
             regular = regular.join(full, ["page", "cid"], "left").where((F.col("label") == "formula") | F.col("full")).drop("full")
@@ -199,21 +204,31 @@ def postprocess(cells: DataFrame, clusters: DataFrame, page_area: float, options
             free = cells.where(F.trim("text") != "").join(held, ["page", "idx"], "left_anti").join(top, "page", "left")
             number = F.coalesce("top", F.lit(0)) + F.row_number().over(Window.partitionBy("page").orderBy("idx"))
             orphans = scratch.save(free.select("page", number.alias("cid"), F.lit("text").alias("label"), "confidence", *"ltrb", F.lit(True).alias("orphan"), "idx"), "orphans")
+            used.append(orphans)
             regular, held = regular.unionByName(orphans.drop("idx")), held.unionByName(orphans.select("page", "cid", "idx"))
     for _ in range(ROUNDS):
-        regular, held = merged(scratch.save(fitted(regular, held, cells), "fitted"), held, "regular")
+        fit = scratch.save(fitted(regular, held, cells), "fitted")
+        regular, held, moved = merged(fit, held, "regular")
         regular, held = scratch.save(regular, "regular"), scratch.save(held, "held")
+        any_merge = moved.where("cid <> best").limit(1).count()
+        scratch.discard(fit, moved, *used)
+        used = [regular, held]
+        if not any_merge:
+            break
 
     special = sure.where(F.col("label").isin(*SPECIAL))
     special = special.join(like_tables(special.where(F.col("label").isin(*WRAPPERS)), regular.where("label = 'table'")), ["page", "cid"], "left_anti")
     special = scratch.save(special.where(~((F.col("label") == "picture") & (Box.of().area() / page_area > FULL_PAGE))), "special")
     adopted = scratch.save(children(special, regular).select("page", "special", "s_label", "cid", *"ltrb"), "adopted")
     bounds = adopted.where(F.col("s_label").isin("form", "key_value_region")).groupBy("page", F.col("special").alias("cid")).agg(F.min("l").alias("u_l"), F.min("t").alias("u_t"), F.max("r").alias("u_r"), F.max("b").alias("u_b"))
+    first_special = special
     special = scratch.save(special.join(bounds, ["page", "cid"], "left").select("page", "cid", "label", "confidence", "orphan", *(F.coalesce(f"u_{x}", x).alias(x) for x in "ltrb")), "special")
+    scratch.discard(first_special)
     inside = scratch.save(adopted.join(held, ["page", "cid"]).select("page", F.col("special").alias("cid"), "idx").distinct(), "inside")
     parts = [merged(special.where(F.col("label").isin(*labels)), inside, kind) for labels, kind in ((("picture",), "picture"), (WRAPPERS, "wrapper"))]
     kept = scratch.save(parts[0][0].unionByName(parts[1][0]), "special")
-    cells_of = parts[0][1].unionByName(parts[1][1]).join(kept.select("page", "cid"), ["page", "cid"], "left_semi").distinct()
+    cells_of = scratch.save(parts[0][1].unionByName(parts[1][1]).join(kept.select("page", "cid"), ["page", "cid"], "left_semi").distinct(), "inside")
+    scratch.discard(special, inside, parts[0][2], parts[1][2])
     theirs = adopted.join(kept.select("page", F.col("cid").alias("special")), ["page", "special"], "left_semi")
 
     alone = regular.join(theirs.select("page", "cid").distinct(), ["page", "cid"], "left_anti")

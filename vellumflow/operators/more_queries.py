@@ -68,13 +68,6 @@ def table_triplets(spark, folder):
     return n.select(F.col("n_nationkey").alias("row"), "n_name", F.explode(cells).alias("c")).select("row", "c.col", F.concat("n_name", F.lit(", "), "c.col", F.lit(" = "), "c.v").alias("triplet"))
 
 
-@query("multimodal_rows", f"""WITH {C} SELECT page, sha256(string_agg(text, ' ' ORDER BY idx)) AS contents_sha, sha256('doc:' || page) AS page_hash, count(*)::BIGINT AS cells, round(min(l / {PAGE_WIDTH}), 10) AS left_most FROM cells GROUP BY page""")
-def multimodal_rows(spark, folder):
-    """One row a page for training on text and picture: contents, hash, cells on a page of size one."""
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "text"))), lambda x: x["text"]), " ")
-    return fixtures.cells(spark, folder).groupBy("page").agg(F.sha2(text, 256).alias("contents_sha"), F.count("*").alias("cells"), F.round(F.min(F.col("l") / PAGE_WIDTH), 10).alias("left_most")).withColumn("page_hash", F.sha2(F.concat(F.lit("doc:"), F.col("page").cast("string")), 256))
-
-
 @query("ocr_confidence_filter", f"WITH {C} SELECT page, count(*)::BIGINT AS kept FROM cells WHERE from_ocr AND confidence >= 0.95 AND trim(text) <> '' AND (r - l) * (b - t) > 0 GROUP BY page")
 def ocr_confidence_filter(spark, folder):
     """Recognised cells that are sure enough, not blank and not empty."""

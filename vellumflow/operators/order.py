@@ -11,11 +11,16 @@ import heapq
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from vellumflow import scratch
+from vellumflow.sources.tree import ITEM_FIELDS
+
 # Labels that stand at the edge of a page, that can own captions and footnotes, that merged texts step over.
 HEADER, FOOTER = "page_header", "page_footer"
 CAPTIONED, FOOTNOTED = ("table", "picture", "code"), ("table", "picture")
+OUTSIDE_LISTS, WITHOUT_TEXT = ("table", "picture", "code", "form", "key_value_region", "document_index"), ("table", "picture", "form", "key_value_region", "document_index", "formula", "list")
 STEPPED_OVER = (HEADER, FOOTER, "table", "picture", "caption", "footnote")
 #: Width of the strips in which one element sees another above it, and the part of an element's width that does not count, at either side.
 STRIP, MARGIN = 4, 0.1
@@ -193,14 +198,60 @@ def document_items(elements: DataFrame) -> DataFrame:
 
     Captions and footnotes with an owner and texts that go on from another do not stand alone: owners list the cids of theirs, a text has
     all its parts' text, and ``parts`` says where each of them stands in it (page, cid, first, last). Page headers and footers are furniture."""
-    ordered = elements.join(reading_order(elements), ["page", "cid"])
-    owned = captions(elements).select("page", "cid", "owner", F.lit("caption").alias("role")).unionByName(footnotes(ordered).select("page", "cid", "owner", F.lit("footnote").alias("role")))
+    ordered = scratch.save(elements.join(reading_order(elements), ["page", "cid"]), "ordered")
+    owned = scratch.save(captions(ordered).select("page", "cid", "owner", F.lit("caption").alias("role")).unionByName(footnotes(ordered).select("page", "cid", "owner", F.lit("footnote").alias("role"))), "owned")
     of = lambda role: F.array_sort(F.collect_list(F.when(F.col("role") == role, F.col("cid"))))
     theirs = owned.groupBy("page", F.col("owner").alias("cid")).agg(of("caption").alias("captions"), of("footnote").alias("footnotes"))
     part = F.struct("first", "last", "page", "cid", F.coalesce("text", F.lit("")).alias("text"))
-    texts = merges(ordered).join(elements.select("page", "cid", "text"), ["page", "cid"]).groupBy(F.col("head_page").alias("page"), F.col("head").alias("cid")).agg(F.array_sort(F.collect_list(part)).alias("p"))
+    texts = merges(ordered).join(ordered.select("page", "cid", "text"), ["page", "cid"]).groupBy(F.col("head_page").alias("page"), F.col("head").alias("cid")).agg(F.array_sort(F.collect_list(part)).alias("p"))
     texts = texts.select("page", "cid", F.array_join(F.transform("p", lambda x: x["text"]), " ").alias("joined"), F.transform("p", lambda x: F.struct(x["page"].alias("page"), x["cid"].alias("cid"), x["first"].alias("first"), x["last"].alias("last"))).alias("parts"))
     alone = ordered.join(owned.select("page", "cid"), ["page", "cid"], "left_anti").join(theirs, ["page", "cid"], "left").join(texts, ["page", "cid"], "left").where((F.col("label") != "text") | F.col("parts").isNotNull())
     none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
     layer = F.when(F.col("label").isin(HEADER, FOOTER), "furniture").otherwise("body").alias("layer")
     return alone.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("page", "place")).alias("ord"), "page", "cid", "label", layer, F.coalesce("joined", "text", F.lit("")).alias("text"), none("captions", "array<long>"), none("footnotes", "array<long>"), "parts")
+
+
+def tree_items(items: DataFrame, elements: DataFrame) -> DataFrame:
+    """document_items() as rows of a document tree: doc_id, the fields of all parsers' items, and cid.
+
+    What follows a section header is below it; list items that follow one another, with nothing but tables, pictures, code and
+    containers between, are below a list; captions are below their owners. Tables, pictures, containers and formulas have no text of their own."""
+    w = Window.partitionBy("doc").orderBy("ord")
+    items = scratch.save(items, "items")
+    flow = items.where(~F.col("label").isin(*OUTSIDE_LISTS)).select("doc", "ord", ((F.col("label") == "list_item") & (F.coalesce(F.lag("label").over(w), F.lit("")) != "list_item")).alias("opens"))
+    rows = items.join(flow, ["doc", "ord"], "left").withColumn("opens", F.coalesce("opens", F.lit(False)))
+    head = F.max(F.when((F.col("label") == "section_header") & (F.col("layer") == "body"), F.col("ord"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("head", head).withColumn("list", F.max(F.when(F.col("opens"), F.col("ord"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    row = lambda sub, cid, label, up, up_sub, depth, text: F.struct(F.lit(sub).alias("sub"), cid.cast("long").alias("cid"), label.alias("label"), up.alias("up"), F.lit(up_sub).alias("up_sub"), depth.alias("depth"), text.alias("text"))
+    none, nothing = F.lit(None).cast("int"), F.lit(None).cast("string")
+    own = F.when((F.col("label") == "section_header") | (F.col("layer") == "furniture"), none).otherwise(F.col("head"))
+    deep = F.when(own.isNotNull(), 1).otherwise(0)
+    made = F.array(
+        F.when(F.col("opens"), row(0, F.lit(None), F.lit("list"), F.col("head"), 1, deep, nothing)),
+        F.when(F.col("label") == "list_item", row(1, F.col("cid"), F.col("label"), F.col("list"), 0, deep + 1, F.col("text"))).otherwise(row(1, F.col("cid"), F.col("label"), own, 1, deep, F.col("text"))),
+    )
+    said = elements.select("page", F.col("cid").cast("long").alias("cap"), F.coalesce("text", F.lit("")).alias("said"))
+    caps = rows.select("doc", "ord", "page", "layer", deep.alias("deep"), F.explode("captions").alias("cap")).join(said, ["page", "cap"])
+    caps = caps.select("doc", "ord", "page", "layer", row(2, F.col("cap"), F.lit("caption"), F.col("ord"), 1, F.col("deep") + 1, F.col("said")).alias("x"))
+    every = rows.select("doc", "ord", "page", "layer", F.explode(F.array_compact(made)).alias("x")).unionByName(caps).select("doc", "ord", "page", "layer", "x.*")
+    numbered = scratch.save(every.withColumn("n", (F.row_number().over(Window.partitionBy("doc").orderBy("ord", "sub", "cid")) - 1).cast("int")), "numbered")
+    places = numbered.where("sub < 2").select("doc", F.col("ord").alias("up"), F.col("sub").alias("up_sub"), F.col("n").alias("parent"))
+    bare = F.col("label").isin(*WITHOUT_TEXT)
+    full = numbered.join(places, ["doc", "up", "up_sub"], "left").select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("ord"), F.coalesce("parent", F.lit(-1)).alias("parent"), "depth", "label", F.when(F.col("label").isin("section_header", "list", "list_item"), 1).alias("level"), "layer",
+        F.when(~bare, F.col("text")).alias("text"), F.when(bare, F.col("text")).alias("orig"), F.when(F.col("label") == "list_item", F.lit(False)).alias("enumerated"), F.col("page").cast("int").alias("page"), "cid",
+    )
+    fields = StructType.fromDDL(ITEM_FIELDS)
+    return full.select("doc_id", *(F.col(f.name) if f.name in full.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields), "cid")
+
+
+def tree_items_sql(items: str, elements: str, out: str) -> str:
+    """CTE ``out`` (doc, n, parent, label, layer, text, page, cid); ``items`` with caps, a list of cids."""
+    return f"""{out}_flow AS (SELECT doc, ord, label = 'list_item' AND coalesce(lag(label) OVER (PARTITION BY doc ORDER BY ord), '') <> 'list_item' AS opens FROM {items} WHERE label NOT IN {_list(OUTSIDE_LISTS)}),
+{out}_marked AS (SELECT i.*, coalesce(opens, false) AS opens, max(CASE WHEN label = 'section_header' AND layer = 'body' THEN i.ord END) OVER (PARTITION BY i.doc ORDER BY i.ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS head,
+  max(CASE WHEN opens THEN i.ord END) OVER (PARTITION BY i.doc ORDER BY i.ord) AS list FROM {items} i LEFT JOIN {out}_flow f ON f.doc = i.doc AND f.ord = i.ord),
+{out}_rows AS (SELECT doc, ord, page, 0 AS sub, NULL::BIGINT AS cid, 'list' AS label, layer, head AS up, 1 AS up_sub, NULL AS text FROM {out}_marked WHERE opens
+  UNION ALL SELECT doc, ord, page, 1, cid, label, layer, CASE WHEN label = 'list_item' THEN list WHEN label = 'section_header' OR layer = 'furniture' THEN NULL ELSE head END, CASE WHEN label = 'list_item' THEN 0 ELSE 1 END, CASE WHEN label NOT IN {_list(WITHOUT_TEXT)} THEN text END FROM {out}_marked
+  UNION ALL SELECT i.doc, i.ord, i.page, 2, e.cid, 'caption', layer, i.ord, 1, coalesce(e.text, '') FROM (SELECT doc, ord, page, layer, unnest(caps) AS cap FROM {items}) i JOIN {elements} e ON e.page = i.page AND e.cid = i.cap),
+{out}_numbered AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY ord, sub, cid) - 1 AS n FROM {out}_rows),
+{out} AS (SELECT r.doc, r.n, coalesce(p.n, -1) AS parent, r.label, r.layer, r.text, r.page, r.cid FROM {out}_numbered r LEFT JOIN {out}_numbered p ON p.doc = r.doc AND p.ord = r.up AND p.sub = r.up_sub AND p.sub < 2)"""
