@@ -69,3 +69,11 @@ def test_pictures():
     assert images.frames(png) == images.frames(jpeg) == [(30, 20)] and images.frames(tiff) == [(30, 20), (31, 20)]
     assert images.frames(b"BM" + b"\0" * 16 + struct.pack("<ii", 30, -20)) == [(30, 20)] and images.frames(b"GIF89a" + struct.pack("<HH", 30, 20)) == [(30, 20)]
     assert [(x.label, x.page) for x in images.parse(tiff).items] == [("chapter", 1), ("picture", 1), ("chapter", 2), ("picture", 2)]
+
+
+def test_split_options():
+    from vellumflow.plans.options import split_list
+    from vellumflow.sources.xmldocs import text_width
+
+    assert split_list("html,md;docx") == ("html", "md", "docx") and split_list("") == ("",) and split_list(None) is None
+    assert text_width("abc", 10) == 18.0 and text_width("", None) == pytest.approx(3.6) and text_width("ab", -1) == pytest.approx(7.2)

@@ -6,6 +6,7 @@ import argparse
 import sys
 
 from vellumflow.plans.convert import DocumentConverter, Limits
+from vellumflow.plans.options import split_list
 
 
 def main(args: list[str] | None = None) -> int:
@@ -22,7 +23,7 @@ def main(args: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.getOrCreate()
     limits = Limits(max_num_pages=o.max_pages, max_file_size=o.max_file_size)
-    result = DocumentConverter(spark, tuple(o.formats) if o.formats else None).convert_all(o.source, limits, raises_on_error=o.abort_on_error)
+    result = DocumentConverter(spark, tuple(f for x in o.formats for f in split_list(x)) if o.formats else None).convert_all(o.source, limits, raises_on_error=o.abort_on_error)
     counts = {r["status"]: r["count"] for r in result.export(o.output, tuple(o.to)).collect()}
     print(", ".join(f"{n} {s}" for s, n in sorted(counts.items())) or "nothing found")
     return int(any(s != "success" for s in counts))

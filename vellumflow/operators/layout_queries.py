@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from vellumflow.functions import text as T
 from vellumflow.functions.geometry import Box
-from vellumflow.operators import fixtures, layout
+from vellumflow.operators import fixtures, layout, spatial
 from vellumflow.operators.layout import CHILD_OVERLAP, FULL_PAGE, LEAST_CONFIDENCE, SPECIAL, WRAPPERS, area_sql, assign, groups, labels_sql, overlaps, shared_sql
 from vellumflow.registry import query, table
 
@@ -201,6 +201,18 @@ def text_in_rect(spark, folder):
     return hits.groupBy("page", "cid").agg(F.sha2(text, 256).alias("text_sha"), F.count("*").alias("n"))
 
 
+DENSE = 40
+
+
+@query("dense_page_overlaps", f"""WITH {C}, {K}, few AS (SELECT * FROM clusters WHERE label = 'text') SELECT k.page // {DENSE} AS page, k.cid, count(*)::BIGINT AS n, sum({_shared('c', 'k')})::DOUBLE AS shared FROM few k JOIN cells c ON k.page // {DENSE} = c.page // {DENSE} AND c.l < k.r AND c.r > k.l AND c.t < k.b AND c.b > k.t GROUP BY ALL""")
+def dense_page_overlaps(spark, folder):
+    """Clusters with the cells that they meet, on pages of thousands of cells: joined tile by tile."""
+    page = F.floor(F.col("page") / DENSE)
+    cells = fixtures.cells(spark, folder).withColumn("page", page)
+    few = fixtures.clusters(spark, folder).where("label = 'text'").select(page.alias("page"), "cid", *(F.col(x).alias(f"k_{x}") for x in "ltrb"))
+    return spatial.meeting(cells, few, "k_").groupBy("page", "cid").agg(F.count("*").alias("n"), F.sum(Box.of().shared(Box.of("k_"))).alias("shared"))
+
+
 @query("interval_stabbing", f"WITH {K} SELECT a.page, a.cid, count(*)::BIGINT AS holders FROM clusters a JOIN clusters b ON a.page = b.page AND a.cid <> b.cid AND (a.l + a.r) / 2 BETWEEN b.l AND b.r GROUP BY a.page, a.cid")
 def interval_stabbing(spark, folder):
     """How many others' horizontal intervals contain a cluster's middle."""

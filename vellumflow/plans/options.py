@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column
@@ -29,6 +30,11 @@ class AcceleratorOptions:
         return self.device if kind in available else "cpu"
 
 
+def split_list(raw: str | None) -> tuple[str, ...] | None:
+    """The parts of an option or environment value, between commas and semicolons; none of none."""
+    return None if raw is None else tuple(re.split("[;,]", raw))
+
+
 @dataclass(frozen=True)
 class OcrOptions:
     bitmap_area_threshold: float = 0.05
