@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.sources import formats, reader
+from vellumflow.sources import reader
 from vellumflow.sources.tree import ITEM_FIELDS, Tree
 
 
@@ -28,6 +28,8 @@ class ParseDocument:
 
 
 def register(spark: SparkSession) -> None:
-    """parse_document as a table function, detect_format as a function."""
+    """parse_document as a table function, detect_format as a function, of which only the ends of a content go to Python."""
     spark.udtf.register("parse_document", F.udtf(ParseDocument, returnType=f"error string, {ITEM_FIELDS}"))
-    spark.udf.register("detect_format", lambda name, content: formats.detect(name, bytes(content or b"")), "string")
+    spark.udf.register("detect_format_of", F.pandas_udf(reader.kinds, "string"))
+    head, tail = reader.looked_at("content")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION detect_format(name STRING, content BINARY) RETURNS STRING RETURN detect_format_of(name, {head}, {tail})")

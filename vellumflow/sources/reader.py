@@ -52,23 +52,27 @@ def files(spark: SparkSession, path: str, patterns: str | None = None, recursive
 HEAD, TAIL = 8192, 256 << 10
 
 
+def looked_at(content: str) -> tuple[str, str]:
+    """SQL of the first bytes of a content, and of the last ones if it is an archive (else null)."""
+    return f"substring({content}, 1, {HEAD})", f"CASE WHEN substring({content}, 1, 2) = X'504B' THEN substring({content}, greatest(octet_length({content}) - {TAIL}, 0) + 1, {TAIL}) END"
+
+
+def kinds(name: pd.Series, head: pd.Series, tail: pd.Series) -> pd.Series:
+    """The formats of files, by their names and what looked_at() gives."""
+    return pd.Series([formats.detect(n, bytes(h if h is not None else b""), None if t is None else bytes(t)) for n, h, t in zip(name, head, tail)])
+
+
 def inputs(found: DataFrame, allowed: tuple[str, ...] | None = None, max_size: int | None = None) -> DataFrame:
     """(doc_id, hash, path, file, format, filesize, status, error, content) of files: what is not allowed is skipped, what is
     too large or of no known format fails; the content of neither is hashed or read on, and of too large files nothing is read.
 
     ``hash`` is that of the content, ``doc_id`` that of path and content: equal files are documents each for itself."""
 
-    @F.pandas_udf("string")
-    def kind(name: pd.Series, head: pd.Series, tail: pd.Series) -> pd.Series:
-        return pd.Series([formats.detect(n, bytes(h if h is not None else b""), None if t is None else bytes(t)) for n, h, t in zip(name, head, tail)])
-
     rows = found.select("path", "length", "content")
     if max_size is not None:
         small, large = F.col("length") <= max_size, F.col("length") > max_size
         rows = rows.where(small).unionByName(found.select("path", "length").where(large).withColumn("content", F.lit(None).cast("binary")))
-    head, archive = F.substring("content", 1, HEAD), F.startswith(F.col("content"), F.lit(b"PK"))
-    tail = F.when(archive, F.expr(f"substring(content, greatest(length - {TAIL}, 0) + 1, {TAIL})"))
-    rows = rows.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1)).withColumn("format", kind("file", head, tail))
+    rows = rows.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1)).withColumn("format", F.pandas_udf(kinds, "string")("file", *map(F.expr, looked_at("content"))))
     large = F.col("length") > max_size if max_size is not None else F.lit(False)
     barred = ~F.col("format").isin(*allowed) if allowed is not None else F.lit(False)
     status = F.when(large, "failure").when(F.col("format").isNull(), "failure").when(barred, "skipped").otherwise("pending")
