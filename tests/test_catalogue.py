@@ -5,7 +5,7 @@ import pytest
 from vellumflow import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents pages conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages conversations benchmark labels embeddings".split()
 
 
 def rows(frame):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import json
+import time
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -180,12 +181,15 @@ class Written(WriterCommitMessage):
 
 
 class ArchiveWriter(DataSourceWriter):
-    """Tasks write to a folder of the job's own; commit() moves the files of the tasks that count to their places, abort() takes all away."""
+    """Tasks write to a folder of the job's own, which is there before they begin; commit() moves the files of the tasks that count to their
+    places, abort() takes the folder away, and a task that goes on after that finds it gone and fails."""
 
     def __init__(self, path: str, schema: StructType, overwrite: bool):
         self.path, self.names, self.overwrite, self.job = path.rstrip("/"), schema.names, overwrite, uuid.uuid4().hex
         if "doc_id" not in self.names or not set(self.names) <= {"doc_id", *MEMBERS}:
             raise ValueError(f"columns are doc_id and some of {', '.join(MEMBERS)}")
+        system, _, temporary = self._temporary()
+        system.create_dir(temporary, recursive=True)
 
     def _temporary(self) -> tuple[pyarrow.fs.FileSystem, str, str]:
         system, at = _system(self.path)
@@ -194,7 +198,7 @@ class ArchiveWriter(DataSourceWriter):
     def write(self, iterator: Iterator[Row]) -> Written:
         system, at, temporary = self._temporary()
         folder, done = f"{temporary}/{uuid.uuid4().hex}", Written()
-        system.create_dir(folder, recursive=True)
+        system.create_dir(folder, recursive=False)
         for n, row in enumerate(iterator):
             values = dict(zip(self.names, row))
             name = str(values.pop("doc_id"))
@@ -226,8 +230,13 @@ class ArchiveWriter(DataSourceWriter):
 
     def abort(self, messages: list[Written | None]) -> None:
         system, _, temporary = self._temporary()
-        if system.get_file_info(temporary).type != pyarrow.fs.FileType.NotFound:
-            system.delete_dir(temporary)
+        for _ in range(20):  # a task may put a file in while this goes through the folder
+            if system.get_file_info(temporary).type == pyarrow.fs.FileType.NotFound:
+                return
+            try:
+                system.delete_dir(temporary)
+            except OSError:
+                time.sleep(0.1)
 
 
 class ArchiveReader(DataSourceReader):
