@@ -86,8 +86,8 @@ def ocr_regions(bitmaps: DataFrame, sizes: DataFrame, options: OcrOptions = OcrO
                 raster = np.zeros((round(height), -(-round(width) // WORD) * WORD), bool)
                 if words is not None and len(words):
                     y, w, bits = (words.field(c).to_numpy() for c in ("y", "w", "bits"))
-                    spread = (bits[:, None] >> np.arange(WORD)) & 1
-                    raster.reshape(len(raster), -1, WORD)[y, w] = spread
+                    spread = np.unpackbits(bits.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    raster.reshape(len(raster), -1, WORD)[y, w] = spread[:, :WORD]
                 part = float(raster.sum()) / (width * height) if width * height > 0 else 0.0
                 if options.force_full_page_ocr or part > whole:
                     out.append((page, part, "page", 0.0, 0.0, width, height))
