@@ -1,7 +1,8 @@
 """Which parts of a page are read by character recognition: its bitmaps, grown and merged, if they cover enough of it.
 
-Bitmaps (page, l, t, r, b) are painted on a raster of the page's size, one bit a point; the painting is one aggregate over words
-of bits, so a page with any number of bitmaps ends as a raster of bounded size. What touches on the grown raster, edge to edge, is one region.
+Bitmaps (page, l, t, r, b) are painted on a raster of the page's size, one bit a point, with one row for all points between two heights at
+which a bitmap begins or ends; the painting is one aggregate over words of bits, so a page with any number of bitmaps ends as a raster of
+bounded size. What touches on the grown raster, edge to edge, is one region.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ WORD = 60
 
 
 def painted(bitmaps: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(page, y, w, bits): the words of bits of a page's grown bitmaps. A bitmap's edges are rounded (halves to even) and belong to
+    """(page, heights, words array<struct<y, w, bits>>): the heights at which a page's grown bitmaps begin or end, in order, and the words of bits
+    of the rows that begin at them. A bitmap's edges are rounded (halves to even) and belong to
     it; what lies outside the page is cut off before it grows. Boxes with a null edge, or turned inside out, paint nothing."""
     at = lambda c: F.bround(c, 0).cast("long")
     boxes = bitmaps.join(sizes.select("page", at("width").alias("w"), at("height").alias("h")), "page").select("page", "w", "h", *(at(x).alias(x) for x in "ltrb"))
@@ -33,8 +35,11 @@ def painted(bitmaps: DataFrame, sizes: DataFrame) -> DataFrame:
         return F.call_function("shiftleft", F.lit(1).cast("long"), F.least(F.greatest(n, F.lit(0)), F.lit(WORD)).cast("int"))
 
     words = grown.select("page", "x0", "x1", "y0", "y1", F.explode(F.sequence(F.floor(F.col("x0") / WORD), F.floor(F.col("x1") / WORD))).alias("w"))
-    words = words.withColumn("bits", below(F.col("x1") + 1 - F.col("w") * WORD) - below(F.col("x0") - F.col("w") * WORD))
-    return words.select("page", "w", "bits", F.explode(F.sequence("y0", "y1")).alias("y")).groupBy("page", "y", "w").agg(F.bit_or("bits").alias("bits"))
+    heights = grown.groupBy("page").agg(F.array_sort(F.array_union(F.collect_set("y0"), F.collect_set(F.col("y1") + 1))).alias("heights"))
+    words = words.join(heights, "page").withColumn("bits", below(F.col("x1") + 1 - F.col("w") * WORD) - below(F.col("x0") - F.col("w") * WORD))
+    crossed = F.filter("heights", lambda y: (F.col("y0") <= y) & (y <= F.col("y1")))
+    rows = words.select("page", "w", "bits", F.explode(crossed).alias("y")).groupBy("page", "y", "w").agg(F.bit_or("bits").alias("bits"))
+    return rows.groupBy("page").agg(F.collect_list(F.struct("y", "w", "bits")).alias("words")).join(heights, "page")
 
 
 def parts(raster: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -73,8 +78,7 @@ def ocr_regions(bitmaps: DataFrame, sizes: DataFrame, options: OcrOptions = OcrO
     """(page, part, decision, l, t, r, b) of every page of ``sizes`` (page, width, height): 'page' with the whole page where its grown
     bitmaps cover more than WHOLE of it (or if all pages are to be read), 'regions' with one row for each of them above the least
     part, else 'skip' without a box."""
-    rows = painted(bitmaps, sizes).groupBy("page").agg(F.collect_list(F.struct("y", "w", "bits")).alias("words"))
-    rows = sizes.select("page", F.col("width").cast("double").alias("width"), F.col("height").cast("double").alias("height")).join(rows, "page", "left")
+    rows = sizes.select("page", F.col("width").cast("double").alias("width"), F.col("height").cast("double").alias("height")).join(painted(bitmaps, sizes), "page", "left").select("page", "width", "height", "words", "heights")
     enough, whole = options.bitmap_area_threshold, max(WHOLE, options.bitmap_area_threshold)
     names = ["page", "part", "decision", *"ltrb"]
 
@@ -82,17 +86,21 @@ def ocr_regions(bitmaps: DataFrame, sizes: DataFrame, options: OcrOptions = OcrO
         for batch in batches:
             out: list[tuple] = []
             for n, (page, width, height) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
-                words = batch.column(3)[n].values
-                raster = np.zeros((round(height), -(-round(width) // WORD) * WORD), bool)
+                words, heights = batch.column(3)[n].values, batch.column(4)[n].values
+                begin = np.zeros(1, np.int64) if heights is None else heights.to_numpy()
+                raster = np.zeros((max(1, len(begin) - 1), -(-round(width) // WORD) * WORD), bool)
                 if words is not None and len(words):
                     y, w, bits = (words.field(c).to_numpy() for c in ("y", "w", "bits"))
+                    y = np.searchsorted(begin, y)
                     spread = np.unpackbits(bits.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                     raster.reshape(len(raster), -1, WORD)[y, w] = spread[:, :WORD]
-                part = float(raster.sum()) / (width * height) if width * height > 0 else 0.0
+                points = float((raster.sum(1) * np.diff(begin)).sum()) if len(begin) > 1 else 0.0
+                part = points / (width * height) if width * height > 0 else 0.0
                 if options.force_full_page_ocr or part > whole:
                     out.append((page, part, "page", 0.0, 0.0, width, height))
                 elif part > enough:
-                    out += [(page, part, "regions", *map(float, box)) for box in parts(raster)]
+                    boxes = [(l, int(begin[t]), r, int(begin[b + 1]) - 1) for l, t, r, b in parts(raster)]
+                    out += [(page, part, "regions", *map(float, box)) for box in boxes]
                 else:
                     out.append((page, part, "skip", None, None, None, None))
             kinds = (pa.int64(), pa.float64(), pa.string(), *[pa.float64()] * 4)
