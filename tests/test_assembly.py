@@ -1,5 +1,6 @@
 """Pages put together: against plain versions and on small pages."""
 
+import math
 import random
 
 import numpy as np
@@ -157,3 +158,32 @@ def test_tables_without_words_inside(spark):
     assert cells(spark, [("far", 500, 5, 545, 15)]) == []
     assert cells(spark, []) == []
     assert cells(spark, [("all wide", 5, 5, 295, 15), ("wide too", 5, 25, 295, 35)]) == [(9, 0, 0, 0, 0, "all wide"), (9, 1, 1, 0, 0, "wide too")]
+
+
+def plain_seen(rows):
+    """What each (cid, l, t, r, b) sees above it, strip by strip."""
+    last, out = {}, set()
+    for cid, l, t, r, b in sorted(rows, key=lambda x: ((x[2] + x[4]) / 2, x[0])):  # noqa: E741
+        low = math.floor((l + 0.1 * (r - l)) / 4)
+        for strip in range(low, max(low, math.ceil((r - 0.1 * (r - l)) / 4) - 1) + 1):
+            out.add((cid, last.get(strip)))
+            last[strip] = cid
+    return sorted(x for x in out if x[1] is not None)
+
+
+def test_precedence_strip_by_strip_and_over_any_width(spark):
+    rng = random.Random(9)
+    for most in (30, 400):
+        rows = [(k, "text", x, y, x + rng.randint(-5, most), y + rng.randint(0, 60)) for k in range(60) for x, y in [(rng.randint(-40, 500), rng.randint(0, 300))]]
+        assert sorted((r["cid"], r["above"]) for r in order.precedence(elements(spark, rows)).collect()) == plain_seen([(r[0], *r[2:]) for r in rows])
+    wide = [(k, "text", -1e15, k, 1e15, k + 1) for k in range(5)]  # a row for each strip would be 10^14 of them
+    assert sorted((r["cid"], r["above"]) for r in order.precedence(elements(spark, wide)).collect()) == [(k, k - 1) for k in range(1, 5)]
+
+
+def test_documents_and_trees_shuffle_elements_twice_and_write_nothing(spark, monkeypatch):
+    monkeypatch.setattr("vellumflow.scratch.save", lambda *_: pytest.fail("a table between the steps"))
+    rows = [(1, "section_header", 50, 10, 290, 60), (2, "list_item", 50, 70, 290, 90), (3, "list_item", 50, 100, 290, 110), (4, "table", 50, 210, 290, 300), (5, "caption", 50, 310, 290, 320), (6, "text", 50, 400, 290, 410), (6, "text", 50, 400, 290, 410)]
+    tree = order.tree_items(order.document_items(elements(spark, rows)))
+    assert tree._jdf.queryExecution().sparkPlan().toString().count("RepartitionByExpression") + tree._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    got = [(r["ord"], r["parent"], r["label"], r["text"]) for r in tree.orderBy("ord").collect()]
+    assert got == [(0, -1, "section_header", "text 1"), (1, 0, "list", None), (2, 1, "list_item", "text 2"), (3, 1, "list_item", "text 3"), (4, 0, "table", None), (5, 4, "caption", "text 5"), (6, 0, "text", "text 6")]

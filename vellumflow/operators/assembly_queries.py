@@ -16,8 +16,7 @@ OWNED = f"{order.captions_sql('elements', 'capped')},\n{order.footnotes_sql('ord
 
 
 def _ordered(spark, folder):
-    rows = fixtures.elements(spark, folder)
-    return rows.join(order.reading_order(rows), ["page", "cid"])
+    return order.ordered(fixtures.elements(spark, folder))
 
 
 @query("ocr_regions", regions.ocr_regions_sql(f"{fixtures.CELLS}, {fixtures.CLUSTERS}, {fixtures.BITMAPS}"))
@@ -80,8 +79,7 @@ TREE = f"{ITEMS},\n{order.tree_items_sql('items', 'elements', 'tree')}"
 
 
 def _tree(spark, folder):
-    rows = fixtures.elements(spark, folder)
-    return order.tree_items(order.document_items(rows), rows)
+    return order.tree_items(order.document_items(fixtures.elements(spark, folder)))
 
 
 @query("tree_items", f"WITH RECURSIVE {E}, {TREE} SELECT doc AS doc_id, n::INTEGER AS ord, parent::INTEGER AS parent, label, layer, text FROM tree")
@@ -129,7 +127,7 @@ _said = """(SELECT *, CASE WHEN lag(block) OVER w IS NULL THEN '' WHEN label = '
 @query("document_markdown", f"WITH RECURSIVE {E}, {TREE}, {MARKDOWN} SELECT doc AS doc_id, sha256(string_agg(sep || block, '' ORDER BY place, n)) AS markdown_sha, count(*)::BIGINT AS blocks, count(*) FILTER (label = 'picture')::BIGINT AS pictures FROM {_said.format('doc')} GROUP BY doc")
 def document_markdown(spark, folder):
     """Documents out of layout elements as Markdown."""
-    tree = _tree(spark, folder)
+    tree = scratch.save(_tree(spark, folder), "tree")
     counts = serialize.blocks(tree).groupBy("doc_id").agg(F.count("*").alias("blocks"), F.count_if(F.col("label") == "picture").alias("pictures"))
     return serialize.markdown(tree).join(counts, "doc_id").select("doc_id", F.sha2("markdown", 256).alias("markdown_sha"), "blocks", "pictures")
 
@@ -137,16 +135,16 @@ def document_markdown(spark, folder):
 WIDTH, HEIGHT = 612, 792
 
 
-def _sizes(tree):
-    return tree.select("page").distinct().select(F.col("page").cast("long").alias("page"), F.lit(float(WIDTH)).alias("width"), F.lit(float(HEIGHT)).alias("height"))
+def _sizes(elements):
+    return elements.select("page").distinct().select("page", F.lit(float(WIDTH)).alias("width"), F.lit(float(HEIGHT)).alias("height"))
 
 
 @query("page_segments", f"""WITH RECURSIVE {E}, {TREE}
   SELECT t.doc AS doc_id, t.page, t.n::INTEGER AS index_in_doc, t.label, sha256(coalesce(t.text, '')) AS text_sha, round(l / {WIDTH}, 9) AS l, round(t.t / {HEIGHT}, 9) AS t, round(r / {WIDTH}, 9) AS r, round(b / {HEIGHT}, 9) AS b FROM (SELECT tree.*, l, e.t, r, b FROM tree JOIN elements e ON e.page = tree.page AND e.cid = tree.cid WHERE tree.label <> 'list') t""")
 def page_segments(spark, folder):
     """Items with their boxes on pages of size one."""
-    tree = _tree(spark, folder)
-    rows = multimodal.segments(tree.withColumn("page", F.col("page").cast("long")), fixtures.elements(spark, folder), _sizes(tree))
+    elements = fixtures.elements(spark, folder)
+    rows = multimodal.segments(_tree(spark, folder).withColumn("page", F.col("page").cast("long")), elements, _sizes(elements))
     return rows.select("doc_id", "page", "index_in_doc", "label", F.sha2("text", 256).alias("text_sha"), *(F.round(F.get("bbox", F.lit(k)), 9).alias(x) for k, x in enumerate("ltrb")))
 
 
@@ -158,7 +156,8 @@ def multimodal_rows(spark, folder):
     """One row a page for training on text and picture: contents, Markdown, segments, cells, hash."""
     tree = scratch.save(_tree(spark, folder).withColumn("page", F.col("page").cast("long")), "tree")
     hashes = tree.select("doc_id").distinct().withColumn("hash", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
-    rows = multimodal.page_rows(tree, fixtures.elements(spark, folder), fixtures.cells(spark, folder), _sizes(tree), hashes)
+    elements = fixtures.elements(spark, folder)
+    rows = multimodal.page_rows(tree, elements, fixtures.cells(spark, folder), _sizes(elements), hashes)
     many = lambda c: F.greatest(F.size(F.coalesce(c, F.array())), F.lit(0)).cast("long")
     return rows.select("doc_id", "page", F.sha2("contents", 256).alias("contents_sha"), F.sha2("contents_md", 256).alias("md_sha"), many("segments").alias("n_segments"), many("cells").alias("n_cells"), "page_hash")
 
@@ -166,7 +165,7 @@ def multimodal_rows(spark, folder):
 @query("ref_resolution", f"WITH RECURSIVE {E}, {TREE} SELECT c.doc AS doc_id, c.n::INTEGER AS ord, p.label AS parent_label, coalesce(p.text, '') AS parent_text FROM tree c JOIN tree p ON p.doc = c.doc AND p.n = c.parent")
 def ref_resolution(spark, folder):
     """Items with what they are below, by following references."""
-    tree = scratch.save(_tree(spark, folder), "tree")
+    tree = scratch.save(_tree(spark, folder).select("doc_id", "ord", "parent", "label", "text"), "tree")
     up = tree.select("doc_id", F.col("ord").alias("parent"), F.col("label").alias("parent_label"), F.coalesce("text", F.lit("")).alias("parent_text"))
     return tree.select("doc_id", "ord", "parent").join(up, ["doc_id", "parent"]).select("doc_id", "ord", "parent_label", "parent_text")
 

@@ -1,12 +1,15 @@
 """Reading order of the elements of pages, captions and footnotes with their owners, texts that go on over columns and pages.
 
 An element is (page, cid, label, l, t, r, b), with the origin at the top left; documents add (doc, text). All but two steps are
-relations; the numbering of a page and the matching of its captions are folds of small numbers, an Arrow batch of pages at a time.
+relations; the numbering of a page and the matching of its captions are folds of small numbers, an Arrow batch of pages at a time, and what
+an element sees above it is a fold over a page's elements as they pass.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from vellumflow import scratch
 from vellumflow.sources.tree import ITEM_FIELDS
 
 # Labels that stand at the edge of a page, that can own captions and footnotes, that merged texts step over.
@@ -30,9 +32,32 @@ CAPTION_GAP = 60
 _list = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 
 
-def _strips(first: Column, last: Column) -> Column:
-    low = F.floor(first / STRIP)
-    return F.sequence(low, F.greatest(low, F.ceil(last / STRIP) - 1))
+def _body(label: Column) -> Column:
+    return ~label.isin(HEADER, FOOTER) & F.col("l").isNotNull() & F.col("t").isNotNull() & F.col("r").isNotNull() & F.col("b").isNotNull()
+
+
+def _spans() -> list[Column]:
+    """The height of an element's centre and the first and last strip of its middle part."""
+    width = F.col("r") - F.col("l")
+    low = F.floor((F.col("l") + MARGIN * width) / STRIP)
+    return [((F.col("t") + F.col("b")) / 2).cast("double").alias("y"), low.alias("low"), F.greatest(low, F.ceil((F.col("r") - MARGIN * width) / STRIP) - 1).alias("high")]
+
+
+class Sky:
+    """Who was seen last in each strip, as runs of strips: as many runs as it takes, however wide an element is."""
+
+    def __init__(self):
+        self.starts, self.last = [float("-inf")], [None]
+
+    def put(self, low: int, high: int, name: int | None) -> set[int | None]:
+        """Those that ``name`` sees from the strips ``low`` to ``high``, where it is the last from now on."""
+        i, j = bisect_right(self.starts, low) - 1, bisect_left(self.starts, high + 1)
+        seen = set(self.last[i:j])
+        goes_on = j == len(self.starts) or self.starts[j] != high + 1
+        i += self.starts[i] < low
+        self.last[i:j] = [name, self.last[j - 1]] if goes_on else [name]
+        self.starts[i:j] = [low, high + 1] if goes_on else [low]
+        return seen
 
 
 def precedence(elements: DataFrame) -> DataFrame:
@@ -40,12 +65,25 @@ def precedence(elements: DataFrame) -> DataFrame:
 
     An element covers the vertical strips of its middle part; in a strip elements stand in order of their centre's height (equal: of
     cid), and each sees the one before. Every such pair runs down the page in that order, so there are no cycles, overlapping
-    elements included. Page headers and footers and elements without a box see nothing and are not seen."""
-    body = elements.where(~F.col("label").isin(HEADER, FOOTER) & F.col("l").isNotNull() & F.col("t").isNotNull() & F.col("r").isNotNull() & F.col("b").isNotNull())
-    width = F.col("r") - F.col("l")
-    strips = body.select("page", "cid", ((F.col("t") + F.col("b")) / 2).alias("y"), F.explode(_strips(F.col("l") + MARGIN * width, F.col("r") - MARGIN * width)).alias("strip"))
-    seen = strips.select("page", "cid", F.lag("cid").over(Window.partitionBy("page", "strip").orderBy("y", "cid")).alias("above"))
-    return seen.where("above IS NOT NULL").distinct()
+    elements included. Page headers and footers and elements without a box see nothing and are not seen. A page's elements pass one by one
+    in that order, and only the runs of its strips are held; no strip is a row."""
+    rows = elements.where(_body(F.col("label"))).select("page", "cid", *_spans()).repartition("page").sortWithinPartitions("page", "y", "cid").select("page", "cid", "low", "high")
+
+    def run(batches):
+        page, sky = None, Sky()
+        for b in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for p, cid, low, high in zip(*(b.column(k).to_pylist() for k in range(4))):
+                if p != page:
+                    page, sky = p, Sky()
+                for above in sky.put(low, high, cid):
+                    if above is not None:
+                        for c, x in zip(out, (p, cid, above)):
+                            c.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, b.column(min(k, 1)).type) for k, c in enumerate(out)], ["page", "cid", "above"])
+
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(run, f"page {kind['page']}, cid {kind['cid']}, above {kind['cid']}").distinct()
 
 
 def precedence_sql(elements: str, out: str) -> str:
@@ -83,25 +121,50 @@ def numbered(rows: list[tuple]) -> list[int]:
     return place
 
 
-def reading_order(elements: DataFrame) -> DataFrame:
-    """(page, cid, place): places from 1 on each page. cids differ within a page; of rows that repeat one the first counts."""
-    kind = F.when(F.col("label") == HEADER, 0).when(F.col("label") == FOOTER, 2).otherwise(1)
-    one = elements.groupBy("page", "cid").agg(F.min(F.struct("label", *"ltrb")).alias("e")).select("page", "cid", "e.*")
-    above = precedence(one).groupBy("page", "cid").agg(F.collect_list("above").alias("above"))
-    rows = one.withColumn("kind", kind).join(above, ["page", "cid"], "left")
-    pages = rows.groupBy("page").agg(F.collect_list(F.struct("kind", F.col("l").cast("double").alias("l"), F.col("t").cast("double").alias("t"), F.col("cid").cast("long").alias("cid"), "above")).alias("rows"))
+def _places(kinds: list[int], ls: list, ts: list, cids: list[int], bodies: list[bool], ys: list, lows: list, highs: list) -> list[int]:
+    """numbered() of the rows of a page in order of cid: the first row of a cid has its place, those that repeat it minus that."""
+    first = [k for k in range(len(cids)) if not k or cids[k] != cids[k - 1]]
+    sky, above = Sky(), {}
+    for k in sorted((k for k in first if bodies[k]), key=lambda k: (ys[k] != ys[k], ys[k], cids[k])):  # NaN last
+        above[k] = sky.put(lows[k], highs[k], cids[k]) - {None}
+    of = dict(zip((cids[k] for k in first), numbered([(kinds[k], ls[k], ts[k], cids[k], above.get(k)) for k in first])))
+    own = set(first)
+    return [of[c] if k in own else -of[c] for k, c in enumerate(cids)]
 
-    def run(batches):
-        for b in batches:
-            page, cid, place = [], [], []
-            for p, listed in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = [tuple(r.values()) for r in listed]
-                page += [p] * len(found)
-                cid += [r[3] for r in found]
-                place += numbered(found)
-            yield pa.RecordBatch.from_arrays([pa.array(page, pa.int64()), pa.array(cid, pa.int64()), pa.array(place, pa.int32())], ["page", "cid", "place"])
 
-    return pages.mapInArrow(run, "page long, cid long, place int")
+def _doubles(edge: str) -> Column:
+    return F.transform(f"rows.{edge}", lambda x: x.cast("double"))
+
+
+def _pages(elements: DataFrame) -> DataFrame:
+    """(doc if there is one, page, rows, place): the elements of each page in order of cid and their places, of repeated ones negative.
+
+    A page is one row here, in the order of its cids; Python gets its boxes, not its texts."""
+    by = [c for c in ("doc", "page") if c in elements.columns]
+    kind = F.when(F.col("label") == HEADER, 0).when(F.col("label") == FOOTER, 2).otherwise(1).alias("kind")
+    rest = [c for c in elements.columns if c not in (*by, "cid", "label", *"ltrb")]
+    row = F.struct(F.col("cid").cast("long").alias("cid"), "label", *"ltrb", *rest, kind, F.coalesce(_body(F.col("label")), F.lit(False)).alias("body"), *_spans())
+    listed = elements.repartition("page").groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+    @F.arrow_udf("array<int>")
+    def place(kind: pa.Array, l: pa.Array, t: pa.Array, cid: pa.Array, body: pa.Array, y: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:  # noqa: E741
+        columns, out = [c.to_pylist() for c in (kind, l, t, cid, body, y, low, high)], []
+        for page in zip(*columns):
+            out.append(_places(*page))
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return listed.withColumn("place", place("rows.kind", _doubles("l"), _doubles("t"), "rows.cid", "rows.body", "rows.y", "rows.low", "rows.high"))
+
+
+def ordered(elements: DataFrame) -> DataFrame:
+    """``elements`` with their places: of rows of a page that repeat a cid the first is left. A page is in one document."""
+    rows = _pages(elements).withColumn("z", F.explode(F.arrays_zip("rows", "place"))).where("z.place > 0")
+    return rows.select(*(c if c in ("doc", "page") else F.col(f"z.rows.{c}").alias(c) for c in elements.columns), F.col("z.place").alias("place"))
+
+
+def reading_order(elements: DataFrame) -> DataFrame:
+    """(page, cid, place): places from 1 on each page. cids differ within a page; of rows that repeat one the first counts."""
+    return ordered(elements.select("page", "cid", "label", *"ltrb")).select("page", "cid", "place")
 
 
 def reading_order_sql(elements: str, out: str) -> str:
@@ -121,6 +184,35 @@ def _gap(a: str, b: str) -> Column:
     return along("l", "r") + along("t", "b")
 
 
+def _far(a: tuple, b: tuple) -> float:
+    """_gap() of two boxes: a null edge does not count, what is not a number is far."""
+    out = 0.0
+    for low, high in ((0, 2), (1, 3)):
+        apart = [x - y for x, y in ((a[low], b[high]), (b[low], a[high])) if x is not None and y is not None]
+        out += math.nan if any(map(math.isnan, apart)) else max([0.0, *apart])
+    return out
+
+
+def _matched(pairs: list[dict]) -> dict[int, int]:
+    """Captions with their owners, out of a page's pairs in order of (gap, cid, owner): the least pair that is left is each other's nearest."""
+    found: dict[int, int] = {}
+    taken: set[int] = set()
+    for pair in pairs:
+        if pair["cid"] not in found and pair["owner"] not in taken:
+            found[pair["cid"]] = pair["owner"]
+            taken.add(pair["owner"])
+    return found
+
+
+def _owners(labels: list[str], cids: list[int], *edges: list) -> list[int | None]:
+    """captions() of one page: the owner of each of its rows that is a caption with one."""
+    boxes = list(zip(*edges))
+    owners = [k for k, x in enumerate(labels) if x in CAPTIONED]
+    near = {(gap, cids[k], cids[o]) for k, x in enumerate(labels) if x == "caption" for o in owners if (gap := _far(boxes[k], boxes[o])) <= CAPTION_GAP}
+    found = _matched([{"cid": c, "owner": o} for _, c, o in sorted(near)])
+    return [found.get(c) if x == "caption" else None for c, x in zip(cids, labels)]
+
+
 def captions(elements: DataFrame) -> DataFrame:
     """(page, cid, owner): captions with the table, picture or code they belong to.
 
@@ -135,12 +227,7 @@ def captions(elements: DataFrame) -> DataFrame:
         for b in batches:
             out: list[tuple[int, int, int]] = []
             for page, pairs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                taken: set[tuple[str, int]] = set()
-                for pair in pairs:  # the least pair that is left is each other's nearest
-                    ends = {("cid", pair["cid"]), ("owner", pair["owner"])}
-                    if not ends & taken:
-                        taken |= ends
-                        out.append((page, pair["cid"], pair["owner"]))
+                out += [(page, *found) for found in _matched(pairs).items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], ["page", "cid", "owner"])
 
     return pages.mapInArrow(run, "page long, cid long, owner long")
@@ -169,20 +256,27 @@ def footnotes_sql(ordered: str, out: str) -> str:
   FROM {ordered} WHERE label NOT IN {_list((HEADER, FOOTER, 'caption'))}) WHERE label = 'footnote' AND last.label IN {_list(FOOTNOTED)})"""
 
 
+def _runs(rows: DataFrame) -> DataFrame:
+    """``rows`` with flow (what texts do not step over), head_page, head, first and last, all null but for texts: see merges()."""
+    rows = rows.withColumn("flow", F.coalesce(~F.col("label").isin(*STEPPED_OVER), F.lit(False)))
+    w, said = Window.partitionBy("doc", "flow").orderBy("page", "place"), F.coalesce("text", F.lit(""))
+    before = lambda c: F.lag(c).over(w)
+    on = F.col("flow") & (F.col("label") == "text") & (before("label") == "text") & F.coalesce(before(said), F.lit("")).rlike(r"[a-z,\-]\s*$") & said.rlike(r"^\s*[a-z]") & ((before("page") < F.col("page")) | (before("r") <= F.col("l")))
+    rows = rows.withColumn("new", F.when(on, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    chain = Window.partitionBy("doc", "flow", "run").orderBy("page", "place")  # a run with a text in it has nothing else
+    start = F.coalesce(F.sum(F.length(said) + 1).over(chain.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    of = lambda c: F.when(F.col("label") == "text", c)
+    made = [of(F.first("page").over(chain)).alias("head_page"), of(F.first("cid").over(chain)).alias("head"), of(start.cast("long")).alias("first"), of((start + F.length(said)).cast("long")).alias("last")]
+    return rows.select("*", *made).drop("new", "run")
+
+
 def merges(ordered: DataFrame) -> DataFrame:
     """(doc, page, cid, head_page, head, first, last) of every text of a document: the text that it is a part of, and where it stands in it.
 
     A text goes on in the next one of the reading order over all pages (furniture, tables, pictures, captions and footnotes between do
     not count) if it ends in a small letter, a comma or a hyphen, that one begins with a small letter, and it lies on a later page or
     right of it. Parts are joined by a space. ``ordered``: elements with doc, place and text; a null text is empty."""
-    flow = ordered.where(~F.col("label").isin(*STEPPED_OVER)).withColumn("text", F.coalesce("text", F.lit("")))
-    w = Window.partitionBy("doc").orderBy("page", "place")
-    before = lambda c: F.lag(c).over(w)
-    on = (F.col("label") == "text") & (before("label") == "text") & F.coalesce(before("text"), F.lit("")).rlike(r"[a-z,\-]\s*$") & F.col("text").rlike(r"^\s*[a-z]") & ((before("page") < F.col("page")) | (before("r") <= F.col("l")))
-    texts = flow.withColumn("new", F.when(on, 0).otherwise(1)).withColumn("run", F.sum("new").over(w)).where("label = 'text'")
-    chain = Window.partitionBy("doc", "run").orderBy("page", "place")
-    start = F.coalesce(F.sum(F.length("text") + 1).over(chain.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return texts.select("doc", "page", "cid", F.first("page").over(chain).alias("head_page"), F.first("cid").over(chain).alias("head"), start.cast("long").alias("first"), (start + F.length("text")).cast("long").alias("last"))
+    return _runs(ordered.where(~F.col("label").isin(*STEPPED_OVER))).where("label = 'text'").select("doc", "page", "cid", "head_page", "head", "first", "last")
 
 
 def merges_sql(ordered: str, out: str) -> str:
@@ -194,50 +288,67 @@ def merges_sql(ordered: str, out: str) -> str:
 
 
 def document_items(elements: DataFrame) -> DataFrame:
-    """(doc, ord, page, cid, label, layer, text, captions, footnotes, parts): documents as items in reading order.
-
-    Captions and footnotes with an owner and texts that go on from another do not stand alone: owners list the cids of theirs, a text has
-    all its parts' text, and ``parts`` says where each of them stands in it (page, cid, first, last). Page headers and footers are furniture."""
-    ordered = scratch.save(elements.join(reading_order(elements), ["page", "cid"]), "ordered")
-    owned = scratch.save(captions(ordered).select("page", "cid", "owner", F.lit("caption").alias("role")).unionByName(footnotes(ordered).select("page", "cid", "owner", F.lit("footnote").alias("role"))), "owned")
-    of = lambda role: F.array_sort(F.collect_list(F.when(F.col("role") == role, F.col("cid"))))
-    theirs = owned.groupBy("page", F.col("owner").alias("cid")).agg(of("caption").alias("captions"), of("footnote").alias("footnotes"))
-    part = F.struct("first", "last", "page", "cid", F.coalesce("text", F.lit("")).alias("text"))
-    texts = merges(ordered).join(ordered.select("page", "cid", "text"), ["page", "cid"]).groupBy(F.col("head_page").alias("page"), F.col("head").alias("cid")).agg(F.array_sort(F.collect_list(part)).alias("p"))
-    texts = texts.select("page", "cid", F.array_join(F.transform("p", lambda x: x["text"]), " ").alias("joined"), F.transform("p", lambda x: F.struct(x["page"].alias("page"), x["cid"].alias("cid"), x["first"].alias("first"), x["last"].alias("last"))).alias("parts"))
-    alone = ordered.join(owned.select("page", "cid"), ["page", "cid"], "left_anti").join(theirs, ["page", "cid"], "left").join(texts, ["page", "cid"], "left").where((F.col("label") != "text") | F.col("parts").isNotNull())
-    none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
+    """(doc, ord, page, cid, label, layer, text, captions, footnotes, parts, said): documents as items in reading order.
+
+    Captions and footnotes with an owner and texts that go on from another do not stand alone: owners list the cids of theirs (``said``: what
+    their captions say), a text has all its parts' text, and ``parts`` says where each of them stands in it (page, cid, first, last). Page
+    headers and footers are furniture. Elements are shuffled twice, by page and by document, and nothing is written between the steps."""
+    @F.arrow_udf("array<long>")
+    def owner(label: pa.Array, cid: pa.Array, l: pa.Array, t: pa.Array, r: pa.Array, b: pa.Array) -> pa.Array:  # noqa: E741
+        return pa.array([_owners(*page) for page in zip(*(c.to_pylist() for c in (label, cid, l, t, r, b)))], pa.list_(pa.int64()))
+
+    pages = _pages(elements).where("page IS NOT NULL").withColumn("capped", owner("rows.label", "rows.cid", *map(_doubles, "ltrb")))
+    rows = pages.withColumn("z", F.explode(F.arrays_zip("rows", "place", "capped"))).where("z.place > 0 AND z.rows.cid IS NOT NULL")
+    rows = rows.select("doc", "page", *(F.col(f"z.rows.{c}").alias(c) for c in ("cid", "label", "l", "r", "text")), F.col("z.place").alias("place"), F.col("z.capped").alias("capped"))
+    rows = rows.repartition("doc").withColumn("between", F.coalesce(F.col("label").isin(HEADER, FOOTER, "caption"), F.lit(True)))
+    last = F.last(F.when(F.col("label") != "footnote", F.struct("cid", "label")), ignorenulls=True).over(Window.partitionBy("doc", "page", "between").orderBy("place"))
+    noted = F.when((F.col("label") == "footnote") & F.col("last.label").isin(*FOOTNOTED), F.col("last.cid"))
+    rows = _runs(rows.withColumn("last", last).withColumn("noted", noted).drop("last", "between"))
+    # an item is what its own row, its captions, its footnotes and its parts are together
+    page, cid = F.coalesce("head_page", "page").alias("at_page"), F.coalesce("capped", "noted", "head", "cid").alias("at")
+    own = F.col("capped").isNull() & F.col("noted").isNull() & ((F.col("page") == F.col("head_page")) & (F.col("cid") == F.col("head")) | F.col("head").isNull())
+    listed = lambda test, *columns: F.array_sort(F.collect_list(F.when(test, F.struct(*columns))))
+    made = rows.select("*", page, cid, own.alias("own"), F.coalesce("text", F.lit("")).alias("said")).groupBy("doc", "at_page", "at").agg(
+        F.first(F.when(F.col("own"), F.struct("place", "label", "said")), ignorenulls=True).alias("i"), listed(F.col("capped").isNotNull(), "cid", "said").alias("c"), listed(F.col("noted").isNotNull(), "cid").alias("n"),
+        listed(F.col("head").isNotNull(), "first", "last", "page", "cid", "said").alias("p"),
+    )
     layer = F.when(F.col("label").isin(HEADER, FOOTER), "furniture").otherwise("body").alias("layer")
-    return alone.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("page", "place")).alias("ord"), "page", "cid", "label", layer, F.coalesce("joined", "text", F.lit("")).alias("text"), none("captions", "array<long>"), none("footnotes", "array<long>"), "parts")
+    parts = F.when(F.size("p") > 0, F.transform("p", lambda x: F.struct(x["page"].alias("page"), x["cid"].alias("cid"), x["first"].alias("first"), x["last"].alias("last")))).alias("parts")
+    made = made.select("doc", F.col("at_page").alias("page"), F.col("at").alias("cid"), "i.*", F.col("c.cid").alias("captions"), F.col("n.cid").alias("footnotes"), parts, F.col("c.said").alias("told"), F.when(F.size("p") > 0, F.array_join("p.said", " ")).alias("joined"))
+    ord = F.row_number().over(Window.partitionBy("doc").orderBy("page", "place")).alias("ord")
+    return made.select("doc", ord, "page", "cid", "label", layer, F.coalesce("joined", "said").alias("text"), "captions", "footnotes", "parts", F.col("told").alias("said"))
 
 
-def tree_items(items: DataFrame, elements: DataFrame) -> DataFrame:
+def tree_items(items: DataFrame) -> DataFrame:
     """document_items() as rows of a document tree: doc_id, the fields of all parsers' items, and cid.
 
     What follows a section header is below it; list items that follow one another, with nothing but tables, pictures, code and
-    containers between, are below a list; captions are below their owners. Tables, pictures, containers and formulas have no text of their own."""
+    containers between, are below a list; captions are below their owners. Tables, pictures, containers and formulas have no text of their own.
+    What a row is below is always the latest of its kind before it, so all of it is windows over a document."""
     w = Window.partitionBy("doc").orderBy("ord")
-    items = scratch.save(items, "items")
-    flow = items.where(~F.col("label").isin(*OUTSIDE_LISTS)).select("doc", "ord", ((F.col("label") == "list_item") & (F.coalesce(F.lag("label").over(w), F.lit("")) != "list_item")).alias("opens"))
-    rows = items.join(flow, ["doc", "ord"], "left").withColumn("opens", F.coalesce("opens", F.lit(False)))
-    head = F.max(F.when((F.col("label") == "section_header") & (F.col("layer") == "body"), F.col("ord"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("head", head).withColumn("list", F.max(F.when(F.col("opens"), F.col("ord"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    row = lambda sub, cid, label, up, up_sub, depth, text: F.struct(F.lit(sub).alias("sub"), cid.cast("long").alias("cid"), label.alias("label"), up.alias("up"), F.lit(up_sub).alias("up_sub"), depth.alias("depth"), text.alias("text"))
-    none, nothing = F.lit(None).cast("int"), F.lit(None).cast("string")
-    own = F.when((F.col("label") == "section_header") | (F.col("layer") == "furniture"), none).otherwise(F.col("head"))
-    deep = F.when(own.isNotNull(), 1).otherwise(0)
+    rows = items.withColumn("outside", F.coalesce(F.col("label").isin(*OUTSIDE_LISTS), F.lit(True)))
+    follows = F.lag("label").over(Window.partitionBy("doc", "outside").orderBy("ord"))
+    rows = rows.withColumn("opens", ~F.col("outside") & (F.col("label") == "list_item") & (F.coalesce(follows, F.lit("")) != "list_item"))
+    titled = F.col("label").eqNullSafe("section_header") & F.col("layer").eqNullSafe("body")
+    rows = rows.withColumn("headed", F.coalesce(F.max(titled).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)))
+    row = lambda sub, cid, label, up, depth, text: F.struct(F.lit(sub).alias("sub"), cid.cast("long").alias("cid"), label.alias("label"), up.alias("up"), depth.alias("depth"), text.alias("text"))
+    up = lambda test, name: F.when(test, F.lit(name))
+    below = F.col("headed") & ~((F.col("label") == "section_header") | (F.col("layer") == "furniture"))
+    deep = F.when(below, 1).otherwise(0)
+    head = up(below, "head")
     made = F.array(
-        F.when(F.col("opens"), row(0, F.lit(None), F.lit("list"), F.col("head"), 1, deep, nothing)),
-        F.when(F.col("label") == "list_item", row(1, F.col("cid"), F.col("label"), F.col("list"), 0, deep + 1, F.col("text"))).otherwise(row(1, F.col("cid"), F.col("label"), own, 1, deep, F.col("text"))),
+        F.when(F.col("opens"), row(0, F.lit(None), F.lit("list"), up(F.col("headed"), "head"), deep, F.lit(None).cast("string"))),
+        F.when(F.col("label") == "list_item", row(1, F.col("cid"), F.col("label"), F.lit("list"), deep + 1, F.col("text"))).otherwise(row(1, F.col("cid"), F.col("label"), head, deep, F.col("text"))),
     )
-    said = elements.select("page", F.col("cid").cast("long").alias("cap"), F.coalesce("text", F.lit("")).alias("said"))
-    caps = rows.select("doc", "ord", "page", "layer", deep.alias("deep"), F.explode("captions").alias("cap")).join(said, ["page", "cap"])
-    caps = caps.select("doc", "ord", "page", "layer", row(2, F.col("cap"), F.lit("caption"), F.col("ord"), 1, F.col("deep") + 1, F.col("said")).alias("x"))
-    every = rows.select("doc", "ord", "page", "layer", F.explode(F.array_compact(made)).alias("x")).unionByName(caps).select("doc", "ord", "page", "layer", "x.*")
-    numbered = scratch.save(every.withColumn("n", (F.row_number().over(Window.partitionBy("doc").orderBy("ord", "sub", "cid")) - 1).cast("int")), "numbered")
-    places = numbered.where("sub < 2").select("doc", F.col("ord").alias("up"), F.col("sub").alias("up_sub"), F.col("n").alias("parent"))
+    caps = F.transform(F.arrays_zip("captions", "said"), lambda x: row(2, x["captions"], F.lit("caption"), F.lit("owner"), deep + 1, x["said"]))
+    every = rows.select("doc", "ord", "page", "layer", F.explode(F.concat(F.array_compact(made), caps)).alias("x")).select("doc", "ord", "page", "layer", "x.*")
+    w = Window.partitionBy("doc").orderBy("ord", "sub", "cid")
+    every = every.withColumn("n", (F.row_number().over(w) - 1).cast("int"))
+    latest = lambda test: F.max(F.when(test, F.col("n"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    titled = (F.col("sub") == 1) & (F.col("label") == "section_header") & (F.col("layer") == "body")
+    parent = F.when(F.col("up") == "list", latest(F.col("sub") == 0)).when(F.col("up") == "owner", latest(F.col("sub") == 1)).when(F.col("up") == "head", latest(titled))
     bare = F.col("label").isin(*WITHOUT_TEXT)
-    full = numbered.join(places, ["doc", "up", "up_sub"], "left").select(
+    full = every.withColumn("parent", parent).select(
         F.col("doc").alias("doc_id"), F.col("n").alias("ord"), F.coalesce("parent", F.lit(-1)).alias("parent"), "depth", "label", F.when(F.col("label").isin("section_header", "list", "list_item"), 1).alias("level"), "layer",
         F.when(~bare, F.col("text")).alias("text"), F.when(bare, F.col("text")).alias("orig"), F.when(F.col("label") == "list_item", F.lit(False)).alias("enumerated"), F.col("page").cast("int").alias("page"), "cid",
     )
