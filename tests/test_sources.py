@@ -191,3 +191,17 @@ def test_saved_tree():
     assert outline(t) == "item-0 at level 0: title: T\n  item-1 at level 1: table" and grid(t.items[1].cells) == [["x"]]
     with pytest.raises(ValueError):
         reader.parse("json_tree", "{}")
+
+
+def test_items_leave_a_worker_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from vellumflow.sources import reader
+
+    ran, df = [], spark.createDataFrame([(1, "x")], "doc_id long, content string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: ran.append(f) or self)
+    reader.items(df, "html")
+    page = "<body>" + "<p>some words</p>" * 50 + "</body>"
+    batch = pa.RecordBatch.from_pydict({"key": list(range(300)), "content": [page] * 300, "format": ["html"] * 300, "base": pa.nulls(300, pa.string())})
+    sizes = [b.num_rows for b in ran[0](iter([batch]))]
+    assert sum(sizes) >= 300 * 50 and max(sizes) < reader.BATCH_ITEMS + 100

@@ -23,6 +23,8 @@ PARSERS = {
 }
 #: Bytes of documents that a Python worker gets at a time.
 BATCH_BYTES = 32 << 20
+#: Items that a worker makes before it hands them on: a batch of many small documents is many items.
+BATCH_ITEMS = 2048
 #: Formats that need a parser of the caller's.
 PLUGGED = ("pdf", "audio")
 TOO_LATE = "document timeout exceeded"
@@ -94,10 +96,17 @@ def items(df: DataFrame, kind: str | None = None, content: str = "content", key:
     schema = StructType.fromDDL(f"key {df.schema[key].dataType.simpleString()}, error string, {ITEM_FIELDS}")
     arrow, names = to_arrow_schema(schema), schema.names
 
+    def made(out: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in out], schema=arrow)
+
     def run(batches):
         for b in batches:
             out: list[dict] = []
-            for k, c, f, u in zip(*(b.column(j).to_pylist() for j in range(4))):
+            for n in range(b.num_rows):
+                if len(out) >= BATCH_ITEMS:
+                    yield made(out)
+                    out = []
+                k, c, f, u = (b.column(j)[n].as_py() for j in range(4))
                 began = time.monotonic()
                 try:
                     if c is None:
@@ -113,7 +122,7 @@ def items(df: DataFrame, kind: str | None = None, content: str = "content", key:
                     out.append(row)
                 if timeout is not None and time.monotonic() - began > timeout:
                     out.append({"key": k, "error": TOO_LATE})
-            yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in out], schema=arrow)
+            yield made(out)
 
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
