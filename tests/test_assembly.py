@@ -187,3 +187,26 @@ def test_documents_and_trees_shuffle_elements_twice_and_write_nothing(spark, mon
     assert tree._jdf.queryExecution().sparkPlan().toString().count("RepartitionByExpression") + tree._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
     got = [(r["ord"], r["parent"], r["label"], r["text"]) for r in tree.orderBy("ord").collect()]
     assert got == [(0, -1, "section_header", "text 1"), (1, 0, "list", None), (2, 1, "list_item", "text 2"), (3, 1, "list_item", "text 3"), (4, 0, "table", None), (5, 4, "caption", "text 5"), (6, 0, "text", "text 6")]
+
+
+def test_regions_hold_one_page_and_no_row_for_each_word_of_bits(spark):
+    boxes = spark.createDataFrame([(1, 0.0, 0.0, 5.0, 5.0)], "page long, l double, t double, r double, b double")
+    found = regions.ocr_regions(boxes, spark.createDataFrame([(1, 700.0, 800.0)], "page long, width double, height double"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "collect_list" not in plan
+    raster = regions.Raster(200, 300)
+    rng, dense = np.random.default_rng(4), np.zeros((300, 256), bool)
+    for _ in range(40):
+        x0, y0 = int(rng.integers(0, 190)), int(rng.integers(0, 290))
+        x1, y1 = int(rng.integers(x0, 200)), int(rng.integers(y0, 300))
+        raster.paint(x0, x1, y0, y1)
+        dense[y0 : y1 + 1, x0 : x1 + 1] = True
+    rows, begin = raster.rows()
+    assert (np.repeat(rows, np.diff(begin), axis=0) == dense).all()
+
+
+def test_bands_are_searched_twice_for_each_edge_of_a_word(spark):
+    w = spark.createDataFrame([(1, 0, "a", 5.0, 5.0, 40.0, 15.0)], WORD)
+    t = spark.createDataFrame([(1, 9, 0.0, 0.0, 300.0, 100.0)], "page long, cid long, l double, t double, r double, b double")
+    plan = tables.table_cells(w, t)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("size(filter(rows") == 2 and plan.count("size(filter(columns") == 2

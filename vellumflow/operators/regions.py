@@ -1,15 +1,17 @@
 """Which parts of a page are read by character recognition: its bitmaps, grown and merged, if they cover enough of it.
 
-Bitmaps (page, l, t, r, b) are painted on a raster of the page's size, one bit a point, with one row for all points between two heights at
-which a bitmap begins or ends; the painting is one aggregate over words of bits, so a page with any number of bitmaps ends as a raster of
-bounded size. What touches on the grown raster, edge to edge, is one region.
+Bitmaps (page, l, t, r, b) are painted one by one on a raster of the page's size, one bit a point; rows that are equal to the one before are
+one row then. A task holds the raster of one page, however many bitmaps or pages there are. What touches on the grown raster, edge to
+edge, is one region.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.plans.options import OcrOptions
@@ -17,29 +19,37 @@ from vellumflow.plans.options import OcrOptions
 # A bitmap grows by the square of 20 points whose centre is its point 10; above the second part all of the page is read.
 GROW_BEFORE, GROW_AFTER, WHOLE = 10, 9, 0.75
 #: Points in a word of bits.
-WORD = 60
+WORD = 64
 
 
-def painted(bitmaps: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(page, heights, words array<struct<y, w, bits>>): the heights at which a page's grown bitmaps begin or end, in order, and the words of bits
-    of the rows that begin at them. A bitmap's edges are rounded (halves to even) and belong to
-    it; what lies outside the page is cut off before it grows. Boxes with a null edge, or turned inside out, paint nothing."""
+def grown(bitmaps: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(page, x0, x1, y0, y1): the grown bitmaps of each page, each once. A bitmap's edges are rounded (halves to even) and belong to
+    it; what lies outside the page is cut off before it grows. Boxes with a null edge, or turned inside out, are none."""
     at = lambda c: F.bround(c, 0).cast("long")
     boxes = bitmaps.join(sizes.select("page", at("width").alias("w"), at("height").alias("h")), "page").select("page", "w", "h", *(at(x).alias(x) for x in "ltrb"))
     seen = boxes.where("l <= r AND t <= b AND r >= 0 AND b >= 0 AND l < w AND t < h")
     low = lambda x: F.greatest(F.greatest(x, F.lit(0)) - GROW_BEFORE, F.lit(0))
     high = lambda x, size: F.least(F.least(x, F.col(size) - 1) + GROW_AFTER, F.col(size) - 1)
-    grown = seen.select("page", low("l").alias("x0"), high("r", "w").alias("x1"), low("t").alias("y0"), high("b", "h").alias("y1")).distinct()
+    return seen.select("page", low("l").alias("x0"), high("r", "w").alias("x1"), low("t").alias("y0"), high("b", "h").alias("y1")).distinct()
+
+
+class Raster:
+    """A page of one bit a point."""
 
-    def below(n: Column) -> Column:
-        return F.call_function("shiftleft", F.lit(1).cast("long"), F.least(F.greatest(n, F.lit(0)), F.lit(WORD)).cast("int"))
+    def __init__(self, width: int, height: int):
+        self.bits = np.zeros((max(1, height), max(1, -(-width // WORD))), np.uint64)
 
-    words = grown.select("page", "x0", "x1", "y0", "y1", F.explode(F.sequence(F.floor(F.col("x0") / WORD), F.floor(F.col("x1") / WORD))).alias("w"))
-    heights = grown.groupBy("page").agg(F.array_sort(F.array_union(F.collect_set("y0"), F.collect_set(F.col("y1") + 1))).alias("heights"))
-    words = words.join(heights, "page").withColumn("bits", below(F.col("x1") + 1 - F.col("w") * WORD) - below(F.col("x0") - F.col("w") * WORD))
-    crossed = F.filter("heights", lambda y: (F.col("y0") <= y) & (y <= F.col("y1")))
-    rows = words.select("page", "w", "bits", F.explode(crossed).alias("y")).groupBy("page", "y", "w").agg(F.bit_or("bits").alias("bits"))
-    return rows.groupBy("page").agg(F.collect_list(F.struct("y", "w", "bits")).alias("words")).join(heights, "page")
+    def paint(self, x0: int, x1: int, y0: int, y1: int) -> None:
+        a, z = x0 // WORD, x1 // WORD
+        for w in range(a, z + 1):
+            first, last = max(x0 - w * WORD, 0), min(x1 - w * WORD, WORD - 1)
+            self.bits[y0 : y1 + 1, w] |= np.uint64((2 << last) - (1 << first))
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that differ from the one before, as points, and the heights at which they begin, with the page's end."""
+        begin = np.flatnonzero(np.concatenate([[True], (self.bits[1:] != self.bits[:-1]).any(1)]))
+        spread = np.unpackbits(self.bits[begin].astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        return spread.astype(bool), np.append(begin, len(self.bits))
 
 
 def parts(raster: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -78,31 +88,32 @@ def ocr_regions(bitmaps: DataFrame, sizes: DataFrame, options: OcrOptions = OcrO
     """(page, part, decision, l, t, r, b) of every page of ``sizes`` (page, width, height): 'page' with the whole page where its grown
     bitmaps cover more than WHOLE of it (or if all pages are to be read), 'regions' with one row for each of them above the least
     part, else 'skip' without a box."""
-    rows = sizes.select("page", F.col("width").cast("double").alias("width"), F.col("height").cast("double").alias("height")).join(painted(bitmaps, sizes), "page", "left").select("page", "width", "height", "words", "heights")
+    pages = sizes.select("page", F.col("width").cast("double").alias("width"), F.col("height").cast("double").alias("height"), F.monotonically_increasing_id().alias("k"))
+    rows = pages.join(grown(bitmaps, sizes), "page", "left").select("k", "page", "width", "height", "x0", "x1", "y0", "y1")  # the boxes of a page follow one another
     enough, whole = options.bitmap_area_threshold, max(WHOLE, options.bitmap_area_threshold)
     names = ["page", "part", "decision", *"ltrb"]
 
+    def decided(page, width, height, raster):
+        spread, begin = raster.rows()
+        points = float((spread.sum(1) * np.diff(begin)).sum())
+        part = points / (width * height) if width * height > 0 else 0.0
+        if options.force_full_page_ocr or part > whole:
+            return [(page, part, "page", 0.0, 0.0, width, height)]
+        if part > enough:
+            return [(page, part, "regions", float(l), float(begin[t]), float(r), float(begin[b + 1] - 1)) for l, t, r, b in parts(spread)]
+        return [(page, part, "skip", None, None, None, None)]
+
     def run(batches):
-        for batch in batches:
+        now, raster = None, None
+        for batch in itertools.chain(batches, [None]):
             out: list[tuple] = []
-            for n, (page, width, height) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
-                words, heights = batch.column(3)[n].values, batch.column(4)[n].values
-                begin = np.zeros(1, np.int64) if heights is None else heights.to_numpy()
-                raster = np.zeros((max(1, len(begin) - 1), -(-round(width) // WORD) * WORD), bool)
-                if words is not None and len(words):
-                    y, w, bits = (words.field(c).to_numpy() for c in ("y", "w", "bits"))
-                    y = np.searchsorted(begin, y)
-                    spread = np.unpackbits(bits.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                    raster.reshape(len(raster), -1, WORD)[y, w] = spread[:, :WORD]
-                points = float((raster.sum(1) * np.diff(begin)).sum()) if len(begin) > 1 else 0.0
-                part = points / (width * height) if width * height > 0 else 0.0
-                if options.force_full_page_ocr or part > whole:
-                    out.append((page, part, "page", 0.0, 0.0, width, height))
-                elif part > enough:
-                    boxes = [(l, int(begin[t]), r, int(begin[b + 1]) - 1) for l, t, r, b in parts(raster)]
-                    out += [(page, part, "regions", *map(float, box)) for box in boxes]
-                else:
-                    out.append((page, part, "skip", None, None, None, None))
+            for k, page, width, height, *box in [(None,) * 8] if batch is None else zip(*(c.to_pylist() for c in batch.columns)):
+                if now is None or k != now[0]:
+                    if now is not None:
+                        out += decided(*now[1:], raster)
+                    now, raster = (k, page, width, height), None if batch is None else Raster(round(width), round(height))
+                if box[0] is not None:
+                    raster.paint(*box)
             kinds = (pa.int64(), pa.float64(), pa.string(), *[pa.float64()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
