@@ -52,10 +52,14 @@ def bands_sql(words: str, low: str, high: str, band: str, out: str) -> str:
 
 
 def _crossed(found: Column, low: Column, high: Column) -> tuple[Column, Column]:
-    """The first and last of the bands that (low, high) overlaps; where it overlaps none, the last band before it, else the first."""
-    first, last = F.size(F.filter(found, lambda x: x["hi"] <= low)), F.size(F.filter(found, lambda x: x["lo"] < high)) - 1
-    alone = F.greatest(first - 1, F.lit(0))
-    return F.when(last < first, alone).otherwise(first), F.when(last < first, alone).otherwise(last)
+    """How many of the bands end before (low, high), and the last that begins before its end: if it overlaps any, its first and last."""
+    return F.size(F.filter(found, lambda x: x["hi"] <= low)), F.size(F.filter(found, lambda x: x["lo"] < high)) - 1
+
+
+def _spanned(first: str, last: str) -> tuple[Column, Column]:
+    """The first and last of the bands that a word overlaps, from _crossed(); where it overlaps none, the last band before it, else the first."""
+    alone = F.greatest(F.col(first) - 1, F.lit(0))
+    return F.when(F.col(last) < F.col(first), alone).otherwise(F.col(first)).alias(first), F.when(F.col(last) < F.col(first), alone).otherwise(F.col(last)).alias(last)
 
 
 def _crossed_sql(words: str, band: str, low: str, high: str, number: str, first: str, last: str, out: str) -> str:
@@ -76,10 +80,11 @@ def table_cells(words: DataFrame, tables: DataFrame) -> DataFrame:
     rows = between(lambda x: x["b"] - x["t"] <= TALL * F.col("height"), "u", "v")
     columns = between(lambda x: x["r"] - x["l"] <= WIDE * F.col("w"), "l", "r")
     told = held.select("page", "table", "words", rows.alias("rows"), columns.alias("columns")).select("page", "table", "rows", "columns", F.explode("words").alias("word"))
-    r0, r1 = _crossed(F.col("rows"), F.col("word.u"), F.col("word.v"))
-    c0, c1 = _crossed(F.col("columns"), F.col("word.l"), F.col("word.r"))
+    names = ("r0", "r1", "c0", "c1")
+    crossed = (*_crossed(F.col("rows"), F.col("word.u"), F.col("word.v")), *_crossed(F.col("columns"), F.col("word.l"), F.col("word.r")))
+    placed = told.select("page", "table", "word", *(c.alias(n) for c, n in zip(crossed, names))).select("page", "table", "word", *_spanned("r0", "r1"), *_spanned("c0", "c1"))
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word.t", "word.l", "word.idx", "word.x"))), lambda x: x["x"]), " ")
-    return told.groupBy("page", "table", r0.alias("r0"), r1.alias("r1"), c0.alias("c0"), c1.alias("c1")).agg(said.alias("text"))
+    return placed.groupBy("page", "table", *names).agg(said.alias("text"))
 
 
 def table_cells_sql(words: str, tables: str, out: str) -> str:
