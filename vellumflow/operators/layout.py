@@ -38,14 +38,14 @@ def _side(clusters: DataFrame, name: str, *more: str) -> DataFrame:
     return clusters.select("page", *(F.col(c).alias(f"{name}_{c}") for c in ("cid", *"ltrb", *more)))
 
 
-def assign(cells: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(page, idx, cid, part): the cluster that covers most of each cell that is not blank, above a fifth of it; of
-    equals the first. A join on the page with a box test, then one maximum for each cell."""
+def assign(cells: DataFrame, clusters: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(page, idx, cid, part, and the columns ``keep`` of the cell): the cluster that covers most of each cell that is not blank, above
+    a fifth of it; of equals the first. A join on the page with a box test, then one maximum for each cell."""
     a, b = Box.of(), Box.of("k_")
     right = clusters.select("page", "cid", *(F.col(x).alias(f"k_{x}") for x in "ltrb"))
     pairs = cells.where(F.trim("text") != "").join(right, "page").where(a.overlaps(b)).withColumn("part", a.inside(b)).where(F.col("part") > CELL_OVERLAP)
     best = F.min(F.struct((-F.round("part", 9)).alias("o"), "cid", "part")).alias("best")
-    return pairs.groupBy("page", "idx").agg(best).select("page", "idx", "best.cid", "best.part")
+    return pairs.groupBy("page", "idx").agg(best, *(F.first(c).alias(c) for c in keep)).select("page", "idx", "best.cid", "best.part", *keep)
 
 
 def assign_sql(clusters: str, out: str) -> str:
@@ -132,10 +132,18 @@ def chosen_sql(members: str, kind: str, out: str) -> str:
 def fitted(clusters: DataFrame, held: DataFrame, cells: DataFrame) -> DataFrame:
     """``clusters`` with boxes as large as the cells that they hold (page, cid, idx); a table never shrinks, and what
     holds none stays as it is."""
-    own = held.join(cells.select("page", "idx", *"ltrb"), ["page", "idx"]).groupBy("page", "cid").agg(F.min("l").alias("u_l"), F.min("t").alias("u_t"), F.max("r").alias("u_r"), F.max("b").alias("u_b"))
+    return _fitted(clusters, _summed(held.join(cells.select("page", "idx", *"ltrb"), ["page", "idx"])))
+
+
+def _summed(held: DataFrame) -> DataFrame:
+    """(page, cid, n, first, u_l, u_t, u_r, u_b): what the cells of a cluster (page, cid, idx, l, t, r, b) come to."""
+    return held.groupBy("page", "cid").agg(F.count("*").alias("n"), F.min("idx").alias("first"), F.min("l").alias("u_l"), F.min("t").alias("u_t"), F.max("r").alias("u_r"), F.max("b").alias("u_b"))
+
+
+def _fitted(clusters: DataFrame, own: DataFrame) -> DataFrame:
     edge = lambda x, f: F.when(F.col("label") == "table", f(x, f"u_{x}")).otherwise(F.coalesce(f"u_{x}", x)).alias(x)
     rest = [c for c in clusters.columns if c not in ("l", "t", "r", "b")]
-    return clusters.join(own, ["page", "cid"], "left").select(*rest, edge("l", F.least), edge("t", F.least), edge("r", F.greatest), edge("b", F.greatest))
+    return clusters.join(own.select("page", "cid", *(f"u_{x}" for x in "ltrb")), ["page", "cid"], "left").select(*rest, edge("l", F.least), edge("t", F.least), edge("r", F.greatest), edge("b", F.greatest))
 
 
 def fitted_sql(clusters: str, held: str, out: str) -> str:
@@ -144,15 +152,17 @@ def fitted_sql(clusters: str, held: str, out: str) -> str:
   SELECT h.page, h.cid, min(c.l) AS l, min(c.t) AS t, max(c.r) AS r, max(c.b) AS b FROM {held} h JOIN cells c ON c.page = h.page AND c.idx = h.idx GROUP BY h.page, h.cid) u ON u.page = k.page AND u.cid = k.cid)"""
 
 
-def merged(clusters: DataFrame, held: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clusters, held) with one cluster of each group, which also gets the cells of the others; and the saved table (page, cid, best)
-    of the groups, which both read."""
+def merged(clusters: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """One cluster of each group of ``clusters``, and the saved table (page, cid, best) of the groups, which it reads: what the others hold is the best one's."""
     found = scratch.save(groups(overlaps(clusters)), "groups")
     best = chosen(clusters.join(found, ["page", "cid"]), kind).select("page", "grp", F.col("cid").alias("best"))
     moved = scratch.save(found.join(best, ["page", "grp"]).select("page", "cid", "best"), "moved")
     scratch.discard(found)
-    left = clusters.join(moved.where("cid <> best"), ["page", "cid"], "left_anti")
-    return left, held.join(moved, ["page", "cid"], "left").select("page", F.coalesce("best", "cid").alias("cid"), "idx").distinct(), moved
+    return clusters.join(moved.where("cid <> best"), ["page", "cid"], "left_anti"), moved
+
+
+def _moved(held: DataFrame, moved: DataFrame) -> DataFrame:
+    return held.join(moved, ["page", "cid"], "left").withColumn("cid", F.coalesce("best", "cid")).drop("best")
 
 
 def merged_sql(clusters: str, held: str, kind: str, name: str, orphans: bool = False) -> str:
@@ -186,30 +196,35 @@ def postprocess(cells: DataFrame, clusters: DataFrame, page_area: float, options
     three rounds fit boxes to cells and merge groups. Sure enough special clusters lose wrappers that are nearly a table and
     full-page pictures; they adopt what lies in them (forms and key-value regions take its bounds and cells), then pictures and
     wrappers are merged, each by their own thresholds. What was adopted by a special cluster that is left no longer stands by itself.
+    From the assignment on, a cluster's cells are their number, their first and their bounds; no cell is read again.
     A round without a merge changes nothing more, so it is the last. Tables between the steps go as soon as the next is written;
     those that the result reads go when the application ends."""
     least = F.create_map(*(F.lit(x) for kv in LEAST_CONFIDENCE.items() for x in kv))
     sure = clusters.where(F.col("confidence") >= least[F.col("label")]).withColumn("orphan", F.lit(False))
     regular = sure.where(~F.col("label").isin(*SPECIAL)).withColumn("label", F.when(F.col("label") == "title", "section_header").otherwise(F.col("label")))
     used = []
-    none = regular.limit(0).select("page", "cid", F.lit(0).cast("long").alias("idx"))
-    held = none if options.skip_cell_assignment else scratch.save(assign(cells, regular).select("page", "cid", "idx"), "held")
+    none = regular.limit(0).select("page", "cid", F.lit(0).cast("long").alias("idx"), *"ltrb")
+    given = none if options.skip_cell_assignment else scratch.save(assign(cells, regular, tuple("ltrb")).select("page", "cid", "idx", *"ltrb"), "given")
+    held = _summed(given)
     if not options.skip_cell_assignment:
-        used.append(held)
+        used.append(given)
         if not options.keep_empty_clusters:
-            full = held.select("page", "cid").distinct().withColumn("full", F.lit(True))
+            full = given.select("page", "cid").distinct().withColumn("full", F.lit(True))
             regular = regular.join(full, ["page", "cid"], "left").where((F.col("label") == "formula") | F.col("full")).drop("full")
         if options.create_orphan_clusters:
             top = clusters.groupBy("page").agg(F.max("cid").alias("top"))
-            free = cells.where(F.trim("text") != "").join(held, ["page", "idx"], "left_anti").join(top, "page", "left")
+            free = cells.where(F.trim("text") != "").join(given.select("page", "idx"), ["page", "idx"], "left_anti").join(top, "page", "left")
             number = F.coalesce("top", F.lit(0)) + F.row_number().over(Window.partitionBy("page").orderBy("idx"))
             orphans = scratch.save(free.select("page", number.alias("cid"), F.lit("text").alias("label"), "confidence", *"ltrb", F.lit(True).alias("orphan"), "idx"), "orphans")
             used.append(orphans)
-            regular, held = regular.unionByName(orphans.drop("idx")), held.unionByName(orphans.select("page", "cid", "idx"))
+            regular, held = regular.unionByName(orphans.drop("idx")), held.unionByName(orphans.select("page", "cid", F.lit(1).cast("long").alias("n"), F.col("idx").alias("first"), *(F.col(x).alias(f"u_{x}") for x in "ltrb")))
+    held = scratch.save(held, "held")
+    used.append(held)
     for _ in range(ROUNDS):
-        fit = scratch.save(fitted(regular, held, cells), "fitted")
-        regular, held, moved = merged(fit, held, "regular")
-        regular, held = scratch.save(regular, "regular"), scratch.save(held, "held")
+        fit = scratch.save(_fitted(regular, held), "fitted")
+        regular, moved = merged(fit, "regular")
+        sums = [F.sum("n").alias("n"), *(F.min(x).alias(x) for x in ("first", "u_l", "u_t")), *(F.max(x).alias(x) for x in ("u_r", "u_b"))]
+        regular, held = scratch.save(regular, "regular"), scratch.save(_moved(held, moved).groupBy("page", "cid").agg(*sums), "held")
         any_merge = moved.where("cid <> best").limit(1).count()
         scratch.discard(fit, moved, *used)
         used = [regular, held]
@@ -224,15 +239,15 @@ def postprocess(cells: DataFrame, clusters: DataFrame, page_area: float, options
     first_special = special
     special = scratch.save(special.join(bounds, ["page", "cid"], "left").select("page", "cid", "label", "confidence", "orphan", *(F.coalesce(f"u_{x}", x).alias(x) for x in "ltrb")), "special")
     scratch.discard(first_special)
-    inside = scratch.save(adopted.join(held, ["page", "cid"]).select("page", F.col("special").alias("cid"), "idx").distinct(), "inside")
-    parts = [merged(special.where(F.col("label").isin(*labels)), inside, kind) for labels, kind in ((("picture",), "picture"), (WRAPPERS, "wrapper"))]
+    inside = scratch.save(adopted.join(held, ["page", "cid"]).select("page", F.col("special").alias("cid"), F.col("cid").alias("of"), "n", "first"), "inside")
+    parts = [merged(special.where(F.col("label").isin(*labels)), kind) for labels, kind in ((("picture",), "picture"), (WRAPPERS, "wrapper"))]
     kept = scratch.save(parts[0][0].unionByName(parts[1][0]), "special")
-    cells_of = scratch.save(parts[0][1].unionByName(parts[1][1]).join(kept.select("page", "cid"), ["page", "cid"], "left_semi").distinct(), "inside")
-    scratch.discard(special, inside, parts[0][2], parts[1][2])
+    cells_of = scratch.save(_moved(inside, parts[0][1].unionByName(parts[1][1])).join(kept.select("page", "cid"), ["page", "cid"], "left_semi").distinct(), "inside")
+    scratch.discard(special, inside, parts[0][1], parts[1][1])
     theirs = adopted.join(kept.select("page", F.col("cid").alias("special")), ["page", "special"], "left_semi")
 
     alone = regular.join(theirs.select("page", "cid").distinct(), ["page", "cid"], "left_anti")
-    all_held = held.unionByName(cells_of).groupBy("page", "cid").agg(F.min("idx").alias("first"), F.count("*").alias("n_cells"))
+    all_held = held.select("page", "cid", "n", "first").unionByName(cells_of.select("page", "cid", "n", "first")).groupBy("page", "cid").agg(F.min("first").alias("first"), F.sum("n").alias("n_cells"))
     n_children = theirs.groupBy("page", F.col("special").alias("cid")).agg(F.count("*").alias("n_children"))
     rows = alone.unionByName(kept).join(all_held, ["page", "cid"], "left").join(n_children, ["page", "cid"], "left")
     place = F.row_number().over(Window.partitionBy("page").orderBy(F.coalesce("first", F.lit(UNPLACED)), "t", "l", "cid"))
