@@ -17,6 +17,16 @@ def test_chunks(spark):
     assert chunk.contextualize(h).orderBy("chunk_no").first()["context"] == "Doc\nintro text"
 
 
+def test_documents_go_to_python_as_arrow_with_what_chunks_are_made_of(spark):
+    rows = [("d", 1, -1, "text", "body", None, "b"), ("d", 0, -1, "section_header", "body", "## ", "h"), (None, 0, -1, "text", "body", None, "no id"), ("d", 2, -1, "text", "furniture", None, "no chunk"), ("e", 0, -1, "text", "furniture", None, "no chunk")]
+    items = spark.createDataFrame(rows, "doc_id string, ord int, parent int, label string, layer string, marker string, text string").selectExpr("*", "CAST(NULL AS array<struct<r0: int>>) cells", "'kept out' orig")
+    made = chunk.hierarchical(items)
+    for df in (made, chunk.hybrid(made, 4)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "InPandas" not in plan and "kept out" not in plan
+        assert sorted(map(tuple, df.select("doc_id", "chunk_no", "text", "item_refs", "n_tokens").collect()), key=str) == [("d", 0, "b", [1], 1), (None, 0, "no id", [0], 2)]
+
+
 def test_generation():
     assert generation.template_prompt("x") == "x" and generation.template_prompt({"a": 1}) == '{\n  "a": 1\n}'
 

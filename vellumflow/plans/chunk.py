@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.plans.serialize import _table
 
 CHUNK_FIELDS = "chunk_no int, text string, headings array<string>, captions array<string>, item_refs array<int>, n_tokens int"
+_ARROW = (pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32())
+#: What chunks are made of; no other column of an item goes to Python.
+_SEEN = ("ord", "parent", "label", "layer", "text", "marker", "cells")
 
 
 def words(text: str) -> int:
@@ -67,17 +70,23 @@ def _elements(rows: list[dict]):
             yield text, path(r), captions, refs
 
 
-def hierarchical(items: DataFrame, key: str = "doc_id", count: Callable[[str], int] = words) -> DataFrame:
-    """One chunk for each element; the items of a list are one element. Headings and captions go along."""
-    kind = items.schema[key].dataType.simpleString()
+def _grouped(rows: DataFrame, key: str, order: str, columns: tuple[str, ...], make: Callable[[list[dict]], list[tuple]]) -> DataFrame:
+    """(key, CHUNK_FIELDS): what ``make`` makes of the rows of each document in order, numbered; as Arrow, since a document costs
+    more as a pandas frame than its chunks do."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(table: pa.Table) -> pa.Table:
+        made = [(n, *r) for n, r in enumerate(make(sorted(table.select(columns).to_pylist(), key=lambda r: r[order])))]
+        of = pa.array([table.column(key)[0].as_py()] * len(made), table.schema.field(key).type)
+        return pa.table([of, *(pa.array([r[k] for r in made], t) for k, t in enumerate(_ARROW))], names=["key", *(f.split()[0] for f in CHUNK_FIELDS.split(", "))])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("ord").astype(object).where(pdf.notna(), None).to_dict("records")
-        made = list(_elements(rows))
-        return pd.DataFrame([(pdf[key].iloc[0], n, t, h, c, r, count(t)) for n, (t, h, c, r) in enumerate(made)], columns=["key", "chunk_no", "text", "headings", "captions", "item_refs", "n_tokens"])
+    return rows.select(key, *columns).groupBy(key).applyInArrow(run, f"key {kind}, {CHUNK_FIELDS}").withColumnRenamed("key", key)
 
+
+def hierarchical(items: DataFrame, key: str = "doc_id", count: Callable[[str], int] = words) -> DataFrame:
+    """One chunk for each element; the items of a list are one element. Headings and captions go along."""
     live = items.where("error IS NULL") if "error" in items.columns else items
-    return live.groupBy(key).applyInPandas(run, f"key {kind}, {CHUNK_FIELDS}").withColumnRenamed("key", key)
+    return _grouped(live, key, "ord", _SEEN, lambda rows: [(t, h, c, r, count(t)) for t, h, c, r in _elements(rows)])
 
 
 def _pieces(text: str, most: int, count: Callable[[str], int]):
@@ -101,12 +110,11 @@ def _pieces(text: str, most: int, count: Callable[[str], int]):
 def hybrid(chunks: DataFrame, max_tokens: int, key: str = "doc_id", count: Callable[[str], int] = words, merge_peers: bool = True) -> DataFrame:
     """Chunks of at most ``max_tokens``: larger ones are split, then neighbours with the same headings and captions are
     merged while they fit."""
-    kind = chunks.schema[key].dataType.simpleString()
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def make(rows: list[dict]) -> list[tuple]:
         out: list[list] = []
-        for r in pdf.sort_values("chunk_no").to_dict("records"):
-            h, c, refs = list(r["headings"]), list(r["captions"]), list(r["item_refs"])
+        for r in rows:
+            h, c, refs = r["headings"], r["captions"], r["item_refs"]
             for t in [r["text"]] if count(r["text"]) <= max_tokens else _pieces(r["text"], max_tokens, count):
                 last = out[-1] if out else None
                 if merge_peers and last and last[1] == h and last[2] == c and count(last[0] + "\n" + t) <= max_tokens:
@@ -114,9 +122,9 @@ def hybrid(chunks: DataFrame, max_tokens: int, key: str = "doc_id", count: Calla
                     last[3] += [x for x in refs if x not in last[3]]
                 else:
                     out.append([t, h, c, list(refs)])
-        return pd.DataFrame([(pdf[key].iloc[0], n, t, h, c, r, count(t)) for n, (t, h, c, r) in enumerate(out)], columns=["key", "chunk_no", "text", "headings", "captions", "item_refs", "n_tokens"])
+        return [(*r, count(r[0])) for r in out]
 
-    return chunks.groupBy(key).applyInPandas(run, f"key {kind}, {CHUNK_FIELDS}").withColumnRenamed("key", key)
+    return _grouped(chunks, key, "chunk_no", ("chunk_no", "text", "headings", "captions", "item_refs"), make)
 
 
 def contextualize(chunks: DataFrame) -> DataFrame:
