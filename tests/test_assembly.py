@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -210,3 +211,32 @@ def test_bands_are_searched_twice_for_each_edge_of_a_word(spark):
     t = spark.createDataFrame([(1, 9, 0.0, 0.0, 300.0, 100.0)], "page long, cid long, l double, t double, r double, b double")
     plan = tables.table_cells(w, t)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("size(filter(rows") == 2 and plan.count("size(filter(columns") == 2
+
+
+def sorts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Sort [")
+
+
+def test_merges_look_at_ends_of_texts_and_move_no_texts(spark):
+    rng = random.Random(2)
+    labels = ["text", "text", "text", "caption", "table", "list_item", "page_header", "footnote"]
+    texts = ["goes on,", "and ends.", "and on-", "Not this", "", None, " small \n", "x"]
+    rows = [(k, rng.choice(labels), x, y, x + 100.0, y + 20.0, page, rng.choice(texts)) for page in range(5) for k in range(30) for x, y in [(rng.choice([0.0, 150.0]), 7.0 * rng.randint(0, 99))]]
+    placed = order.ordered(elements(spark, rows))
+    want, last = [], None
+    for r in sorted((r for r in placed.collect() if r["label"] not in order.STEPPED_OVER), key=lambda r: (r["page"], r["place"])):
+        said = r["text"] or ""
+        on = last and r["label"] == last[0]["label"] == "text" and re.search(r"[a-z,\-]\s*$", last[0]["text"] or "") and re.match(r"\s*[a-z]", said) and (last[0]["page"] < r["page"] or last[0]["r"] <= r["l"])
+        head, first = (last[1], last[2] + 1) if on else ((r["page"], r["cid"]), 0)
+        last = (r, head, first + len(said))
+        if r["label"] == "text":
+            want.append((r["doc"], r["page"], r["cid"], *head, first, first + len(said)))
+    assert len({w[3:5] for w in want}) < len(want)
+    lean = order.merges(order.ordered(order.text_ends(elements(spark, rows)).drop("text")))
+    assert sorted(map(tuple, lean.collect())) == sorted(map(tuple, order.merges(placed).collect())) == sorted(want)
+    from vellumflow.operators import assembly_queries  # noqa: F401
+    from vellumflow.registry import QUERIES
+
+    query = QUERIES["text_merge_spans"](spark, "/root/testdata/sf0.001")
+    moved = [line for line in query._jdf.queryExecution().optimizedPlan().toString().splitlines() if "collect_list" in line]
+    assert moved and not any(re.search(r"\btext#", line) for line in moved) and sorts(query) == 1

@@ -55,7 +55,7 @@ def footnote_owners(spark, folder):
 @query("text_merge_spans", f"WITH RECURSIVE {E}, {ORDERED}, {order.merges_sql('ordered', 'merged')} SELECT * FROM merged")
 def text_merge_spans(spark, folder):
     """Texts that go on over columns and pages: the text that each is a part of, and where it stands in it."""
-    return order.merges(_ordered(spark, folder))
+    return order.merges(order.ordered(order.text_ends(fixtures.elements(spark, folder)).drop("text")))
 
 
 ITEMS = f"""{ORDERED}, {OWNED},

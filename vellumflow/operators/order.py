@@ -256,18 +256,28 @@ def footnotes_sql(ordered: str, out: str) -> str:
   FROM {ordered} WHERE label NOT IN {_list((HEADER, FOOTER, 'caption'))}) WHERE label = 'footnote' AND last.label IN {_list(FOOTNOTED)})"""
 
 
+def text_ends(elements: DataFrame) -> DataFrame:
+    """``elements`` with what merges() looks at in their texts: size, open (may go on) and small (begins with a small letter)."""
+    said = F.coalesce("text", F.lit(""))
+    return elements.withColumns({"size": F.length(said), "open": said.rlike(r"[a-z,\-]\s*$"), "small": said.rlike(r"^\s*[a-z]")})
+
+
 def _runs(rows: DataFrame) -> DataFrame:
-    """``rows`` with flow (what texts do not step over), head_page, head, first and last, all null but for texts: see merges()."""
-    rows = rows.withColumn("flow", F.coalesce(~F.col("label").isin(*STEPPED_OVER), F.lit(False)))
-    w, said = Window.partitionBy("doc", "flow").orderBy("page", "place"), F.coalesce("text", F.lit(""))
-    before = lambda c: F.lag(c).over(w)
-    on = F.col("flow") & (F.col("label") == "text") & (before("label") == "text") & F.coalesce(before(said), F.lit("")).rlike(r"[a-z,\-]\s*$") & said.rlike(r"^\s*[a-z]") & ((before("page") < F.col("page")) | (before("r") <= F.col("l")))
-    rows = rows.withColumn("new", F.when(on, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
-    chain = Window.partitionBy("doc", "flow", "run").orderBy("page", "place")  # a run with a text in it has nothing else
-    start = F.coalesce(F.sum(F.length(said) + 1).over(chain.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    of = lambda c: F.when(F.col("label") == "text", c)
-    made = [of(F.first("page").over(chain)).alias("head_page"), of(F.first("cid").over(chain)).alias("head"), of(start.cast("long")).alias("first"), of((start + F.length(said)).cast("long")).alias("last")]
-    return rows.select("*", *made).drop("new", "run")
+    """``rows`` (with text_ends()) with flow (what texts do not step over), head_page, head, first and last, all null but for texts: see
+    merges(). All windows run over a document in the one order of its pages and places, so its rows are sorted once."""
+    flow = F.coalesce(~F.col("label").isin(*STEPPED_OVER), F.lit(False))
+    w = Window.partitionBy("doc").orderBy("page", "place")
+    upto = lambda last: w.rowsBetween(Window.unboundedPreceding, last)
+    rows = rows.withColumn("flow", flow).withColumn("chars", F.sum(F.when(F.col("flow"), F.col("size") + 1)).over(upto(0)))
+    rows = rows.withColumn("before", F.last(F.when(F.col("flow"), F.struct("label", "open", "page", "r", "chars")), ignorenulls=True).over(upto(-1)))
+    on = (F.col("label") == "text") & (F.col("before.label") == "text") & F.col("before.open") & F.col("small") & ((F.col("before.page") < F.col("page")) | (F.col("before.r") <= F.col("l")))
+    start = F.coalesce("before.chars", F.lit(0)).alias("start")
+    begins = F.when(F.col("flow") & ~F.coalesce(on, F.lit(False)), F.struct("page", "cid", start))
+    rows = rows.withColumn("begun", F.last(begins, ignorenulls=True).over(upto(0)))  # what begins with a text has nothing else in it
+    first = (start - F.col("begun.start")).cast("long")
+    of = lambda c, name: F.when(F.col("flow") & (F.col("label") == "text"), c).alias(name)
+    made = [of(F.col("begun.page"), "head_page"), of(F.col("begun.cid"), "head"), of(first, "first"), of(first + F.col("size"), "last")]
+    return rows.select("*", *made).drop("chars", "before", "begun")
 
 
 def merges(ordered: DataFrame) -> DataFrame:
@@ -275,8 +285,11 @@ def merges(ordered: DataFrame) -> DataFrame:
 
     A text goes on in the next one of the reading order over all pages (furniture, tables, pictures, captions and footnotes between do
     not count) if it ends in a small letter, a comma or a hyphen, that one begins with a small letter, and it lies on a later page or
-    right of it. Parts are joined by a space. ``ordered``: elements with doc, place and text; a null text is empty."""
-    return _runs(ordered.where(~F.col("label").isin(*STEPPED_OVER))).where("label = 'text'").select("doc", "page", "cid", "head_page", "head", "first", "last")
+    right of it. Parts are joined by a space. ``ordered``: elements with doc, place and text, or text_ends() in its stead; a null text is
+    empty. Texts are not shuffled."""
+    ends = ordered if "open" in ordered.columns else text_ends(ordered)
+    rows = ends.where(~F.col("label").isin(*STEPPED_OVER)).select("doc", "page", "cid", "label", "l", "r", "place", "size", "open", "small")
+    return _runs(rows.repartition("doc")).where("label = 'text'").select("doc", "page", "cid", "head_page", "head", "first", "last")
 
 
 def merges_sql(ordered: str, out: str) -> str:
@@ -303,7 +316,7 @@ def document_items(elements: DataFrame) -> DataFrame:
     rows = rows.repartition("doc").withColumn("between", F.coalesce(F.col("label").isin(HEADER, FOOTER, "caption"), F.lit(True)))
     last = F.last(F.when(F.col("label") != "footnote", F.struct("cid", "label")), ignorenulls=True).over(Window.partitionBy("doc", "page", "between").orderBy("place"))
     noted = F.when((F.col("label") == "footnote") & F.col("last.label").isin(*FOOTNOTED), F.col("last.cid"))
-    rows = _runs(rows.withColumn("last", last).withColumn("noted", noted).drop("last", "between"))
+    rows = _runs(text_ends(rows.withColumn("last", last).withColumn("noted", noted).drop("last", "between")))
     # an item is what its own row, its captions, its footnotes and its parts are together
     page, cid = F.coalesce("head_page", "page").alias("at_page"), F.coalesce("capped", "noted", "head", "cid").alias("at")
     own = F.col("capped").isNull() & F.col("noted").isNull() & ((F.col("page") == F.col("head_page")) & (F.col("cid") == F.col("head")) | F.col("head").isNull())
