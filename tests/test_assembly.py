@@ -217,6 +217,11 @@ def sorts(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Sort [")
 
 
+def test_windows_over_a_document_sort_it_once_for_each_order(spark):
+    made = order.document_items(elements(spark, [(1, "text", 50, 10, 290, 60)]))
+    assert sorts(made) == 2  # by page and place before and after parts are put together
+
+
 def test_merges_look_at_ends_of_texts_and_move_no_texts(spark):
     rng = random.Random(2)
     labels = ["text", "text", "text", "caption", "table", "list_item", "page_header", "footnote"]

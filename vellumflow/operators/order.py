@@ -313,10 +313,11 @@ def document_items(elements: DataFrame) -> DataFrame:
     pages = _pages(elements).where("page IS NOT NULL").withColumn("capped", owner("rows.label", "rows.cid", *map(_doubles, "ltrb")))
     rows = pages.withColumn("z", F.explode(F.arrays_zip("rows", "place", "capped"))).where("z.place > 0 AND z.rows.cid IS NOT NULL")
     rows = rows.select("doc", "page", *(F.col(f"z.rows.{c}").alias(c) for c in ("cid", "label", "l", "r", "text")), F.col("z.place").alias("place"), F.col("z.capped").alias("capped"))
-    rows = rows.repartition("doc").withColumn("between", F.coalesce(F.col("label").isin(HEADER, FOOTER, "caption"), F.lit(True)))
-    last = F.last(F.when(F.col("label") != "footnote", F.struct("cid", "label")), ignorenulls=True).over(Window.partitionBy("doc", "page", "between").orderBy("place"))
+    rows = rows.repartition("doc")
+    body = F.when(~F.col("label").isin(HEADER, FOOTER, "caption", "footnote"), F.struct("cid", "label"))
+    last = F.last(body, ignorenulls=True).over(Window.partitionBy("doc", "page").orderBy("place"))
     noted = F.when((F.col("label") == "footnote") & F.col("last.label").isin(*FOOTNOTED), F.col("last.cid"))
-    rows = _runs(text_ends(rows.withColumn("last", last).withColumn("noted", noted).drop("last", "between")))
+    rows = _runs(text_ends(rows.withColumn("last", last).withColumn("noted", noted).drop("last")))
     # an item is what its own row, its captions, its footnotes and its parts are together
     page, cid = F.coalesce("head_page", "page").alias("at_page"), F.coalesce("capped", "noted", "head", "cid").alias("at")
     own = F.col("capped").isNull() & F.col("noted").isNull() & ((F.col("page") == F.col("head_page")) & (F.col("cid") == F.col("head")) | F.col("head").isNull())
