@@ -219,7 +219,7 @@ def sorts(df):
 
 def test_windows_over_a_document_sort_it_once_for_each_order(spark):
     made = order.document_items(elements(spark, [(1, "text", 50, 10, 290, 60)]))
-    assert sorts(made) == 2  # by page and place before and after parts are put together
+    assert sorts(made) == 2 and sorts(order.tree_items(made)) == 4  # by page and place before and after parts are put together, then by ord, then with what is below
 
 
 def test_merges_look_at_ends_of_texts_and_move_no_texts(spark):

@@ -341,7 +341,7 @@ def tree_items(items: DataFrame) -> DataFrame:
     What a row is below is always the latest of its kind before it, so all of it is windows over a document."""
     w = Window.partitionBy("doc").orderBy("ord")
     rows = items.withColumn("outside", F.coalesce(F.col("label").isin(*OUTSIDE_LISTS), F.lit(True)))
-    follows = F.lag("label").over(Window.partitionBy("doc", "outside").orderBy("ord"))
+    follows = F.last(F.when(~F.col("outside"), F.col("label")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("opens", ~F.col("outside") & (F.col("label") == "list_item") & (F.coalesce(follows, F.lit("")) != "list_item"))
     titled = F.col("label").eqNullSafe("section_header") & F.col("layer").eqNullSafe("body")
     rows = rows.withColumn("headed", F.coalesce(F.max(titled).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)))
